@@ -1 +1,243 @@
-"""Registered queries."""
+"""Ad attribution."""
+
+from __future__ import annotations
+
+from functools import lru_cache
+
+from pyspark.sql import functions as F
+
+from playlens.functions.cleanse import device_hash, valid_orders
+from playlens.operators import activity, attribution, cohort
+from playlens.operators.aggregates import count_distinct, zero_filled_union
+from playlens.plans import plan
+from playlens.session import write_stage
+from playlens.sources import roles
+
+
+def _traits(df):
+    return df.withColumns({
+        "device": F.when(F.col("imei") == "", "").otherwise(device_hash("imei")),
+        "dev_type": F.concat(F.lit("t"), F.col("user_id") % 5), "sys_version": F.concat(F.lit("v"), F.col("user_id") % 3),
+    })
+
+
+def ad_clicks(spark, sf):
+    c = _traits(roles.clicks(spark, sf)).withColumnRenamed("event_id", "click_id")
+    return c.withColumn("network", (F.col("k") % 4 + 1).cast("int")).withColumn("idea_id", F.concat(F.lit("i"), F.col("k") % 6))
+
+
+def ad_actives(spark, sf):
+    return attribution.first_activations(_traits(roles.actives(spark, sf)).withColumnRenamed("event_id", "active_id"))
+
+
+@lru_cache(maxsize=None)
+def _matches(app: str, spark, sf: str):
+    return attribution.attribute_activation(ad_actives(spark, sf), ad_clicks(spark, sf))
+
+
+def matches(spark, sf):
+    """The match table, written once per session and read by the reports built on it."""
+    return _matches(spark.sparkContext.applicationId, spark, sf)
+
+
+def activations(spark, sf):
+    return attribution.attributed_activations(ad_actives(spark, sf), ad_clicks(spark, sf), matches(spark, sf), ["package", "network", "idea_id"])
+
+
+CARRIED = ["click_package", "click_network", "click_idea_id"]
+
+
+def registrations(spark, sf):
+    regs = _traits(roles.regs(spark, sf)).withColumnRenamed("event_id", "reg_id")
+    return attribution.attribute_registration(regs, activations(spark, sf), CARRIED)
+
+
+def orders(spark, sf):
+    return attribution.attribute_order(valid_orders(roles.game_orders(spark, sf)), registrations(spark, sf), CARRIED)
+
+
+def _rule_sql(os: int, step: int, fields: list[str], earlier: list[str]) -> str:
+    """Matching of one rule as SQL: the height of a running sum that never falls below zero names the partner."""
+    keys = ", ".join(["game_id", *fields])
+    given = " AND ".join(f"{f} <> ''" for f in fields)
+    skip = lambda col: "".join(f" AND {col} NOT IN (SELECT {col} FROM {e})" for e in earlier)
+    n = f"m{os}_{step}"
+    return f"""{n}_b AS (SELECT {keys}, day, 0 AS kind, click_ts AS ts, click_id AS id FROM ad_c WHERE os = {os} AND {given}{skip('click_id')}
+   UNION ALL SELECT {keys}, day, 1, active_ts, active_id FROM ad_a WHERE os = {os} AND {given}{skip('active_id')}),
+ {n}_s AS (SELECT *, sum(1 - 2 * kind) OVER (PARTITION BY {keys} ORDER BY day, kind, ts, id ROWS UNBOUNDED PRECEDING) AS s FROM {n}_b),
+ {n}_l AS (SELECT *, least(0, min(s) OVER (PARTITION BY {keys} ORDER BY day, kind, ts, id ROWS UNBOUNDED PRECEDING)) AS low FROM {n}_s),
+ {n}_h AS (SELECT *, CASE WHEN kind = 0 THEN s - low ELSE s + 1 - lag(low, 1, 0) OVER (PARTITION BY {keys} ORDER BY day, kind, ts, id) END AS h FROM {n}_l),
+ {n}_p AS (SELECT *, lag(kind) OVER w AS pk, lag(id) OVER w AS pid, lag(day) OVER w AS pday FROM {n}_h WHERE h > 0 WINDOW w AS (PARTITION BY {keys}, h ORDER BY day, kind, ts, id)),
+ {n} AS MATERIALIZED (SELECT id AS active_id, pid AS click_id, {step} AS rule FROM {n}_p WHERE kind = 1 AND pk = 0 AND date_diff('day', pday, day) <= 6)"""
+
+
+def _chain_sql() -> str:
+    traits = "CASE WHEN imei = '' THEN '' ELSE upper(md5(upper(imei))) END AS device, 't' || (user_id % 5) AS dev_type, 'v' || (user_id % 3) AS sys_version"
+    parts = [f"""ad_c AS MATERIALIZED (SELECT *, event_id AS click_id, {traits}, CAST(k % 4 + 1 AS INT) AS network, 'i' || (k % 6) AS idea_id FROM g_clicks),
+ ad_a AS MATERIALIZED (SELECT * FROM (SELECT *, event_id AS active_id, {traits}, row_number() OVER (PARTITION BY game_id, imei ORDER BY ts, event_id) AS rn FROM g_actives WHERE imei <> '') WHERE rn = 1)"""]
+    names = []
+    for os, chain in attribution.CHAINS.items():
+        earlier = []
+        for i, fields in enumerate(chain, 1):
+            parts.append(_rule_sql(os, i, fields, earlier))
+            earlier.append(f"m{os}_{i}")
+        names += earlier
+    parts.append("ad_m AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM {n}" for n in names) + ")")
+    parts.append("""ad_x AS MATERIALIZED (SELECT a.*, m.click_id, m.rule, c.package AS click_package, c.network AS click_network, c.idea_id AS click_idea_id
+   FROM ad_a a JOIN ad_m m USING (active_id) JOIN ad_c c ON c.click_id = m.click_id),
+ ad_acc AS (SELECT * FROM (SELECT *, event_id AS reg_id, """ + traits + """, row_number() OVER (PARTITION BY account ORDER BY ts, event_id) AS rn FROM g_regs) WHERE rn = 1),
+ ad_r1 AS (SELECT r.account, r.game_id, r.device, r.reg_ts, r.reg_id, x.active_id, x.active_ts, x.click_package, x.click_network, x.click_idea_id, 1 AS rule
+   FROM ad_acc r JOIN ad_x x USING (game_id, device) WHERE r.device <> '' AND r.reg_ts >= x.active_ts AND date_diff('day', x.day, r.day) <= 30),
+ ad_r2 AS (SELECT r.account, r.game_id, r.device, r.reg_ts, r.reg_id, x.active_id, x.active_ts, x.click_package, x.click_network, x.click_idea_id, 2 AS rule
+   FROM ad_acc r JOIN ad_x x USING (game_id, android_id) WHERE r.android_id <> '' AND x.active_ts <= r.reg_ts AND r.account NOT IN (SELECT account FROM ad_r1)
+   QUALIFY row_number() OVER (PARTITION BY r.account ORDER BY x.active_ts DESC, x.active_id DESC) = 1 AND date_diff('day', x.day, r.day) <= 30),
+ ad_r AS MATERIALIZED (SELECT *, CAST(reg_ts AS DATE) = CAST(active_ts AS DATE) AS new_device FROM (SELECT * FROM ad_r1 UNION ALL SELECT * FROM ad_r2)),
+ ad_o AS MATERIALIZED (SELECT o.*, r.click_package, r.click_network, r.click_idea_id, CAST(r.reg_ts AS DATE) AS reg_day, CAST(r.reg_ts AS DATE) = o.day AS new_payer FROM g_paid o JOIN ad_r r USING (account))""")
+    return "WITH " + ",\n ".join(parts) + "\n"
+
+
+CHAIN = _chain_sql()
+
+
+@plan("attribute_activation", CHAIN + "SELECT active_id, click_id, rule FROM ad_m")
+def attribute_activation(spark, sf):
+    return attribution.attribute_activation(ad_actives(spark, sf), ad_clicks(spark, sf))
+
+
+@plan("attribute_registration", CHAIN + "SELECT account, game_id, reg_id, active_id, click_package, rule, new_device FROM ad_r")
+def attribute_registration(spark, sf):
+    return registrations(spark, sf).select("account", "game_id", "reg_id", "active_id", "click_package", "rule", "new_device")
+
+
+@plan("attribute_order", CHAIN + "SELECT order_no, account, cents, click_package, click_network, new_payer FROM ad_o")
+def attribute_order(spark, sf):
+    return orders(spark, sf).select("order_no", "account", "cents", "click_package", "click_network", "new_payer")
+
+
+@plan("click_dedup_refresh", CHAIN + """SELECT game_id, device, click_id, package, n AS clicks FROM (SELECT *, count(*) OVER (PARTITION BY game_id, device) AS n,
+  row_number() OVER (PARTITION BY game_id, device ORDER BY click_ts DESC, click_id DESC) AS rn2 FROM ad_c WHERE device <> '' AND click_id NOT IN (SELECT click_id FROM ad_m)) WHERE rn2 = 1""")
+def click_dedup_refresh(spark, sf):
+    clicks = ad_clicks(spark, sf).filter("device <> ''")
+    return attribution.refresh_clicks(clicks, matches(spark, sf), ["game_id", "device"]).select("game_id", "device", "click_id", "package", "clicks")
+
+
+def _stats_sql(keys: str) -> str:
+    m = attribution.AD_MEASURES
+    def part(select, source, **given):
+        return f"SELECT {select}, " + ", ".join(f"{given.get(x, '0')} AS {x}" for x in m) + f" FROM {source} GROUP BY ALL"
+    cols = {"game_id": "game_id", "package": "package", "network": "network", "idea_id": "idea_id"}
+    plain = ", ".join(cols[k] for k in keys.split(", "))
+    won = ", ".join(k if k == "game_id" else f"click_{k} AS {k}" for k in keys.split(", "))
+    parts = [
+        part(plain + ", day", "ad_c", clicks="count(*)", click_devices="count(DISTINCT CASE WHEN device <> '' THEN device END)"),
+        part(won + ", day", "ad_x", actives="count(*)"),
+        part(won + ", CAST(reg_ts AS DATE) AS day", "ad_r", regis="count(*)", regi_devices="count(DISTINCT CASE WHEN device <> '' THEN device END)",
+             new_regi_devices="count(DISTINCT CASE WHEN device <> '' AND new_device THEN device END)"),
+        part(won + ", day", "ad_o", pay_cents="sum(cents)", payers="count(DISTINCT account)", new_payers="count(DISTINCT CASE WHEN new_payer THEN account END)",
+             new_pay_cents="sum(CASE WHEN new_payer THEN cents ELSE 0 END)"),
+    ]
+    return f"SELECT {keys}, day, " + ", ".join(f"CAST(sum({x}) AS BIGINT) AS {x}" for x in m) + " FROM (" + " UNION ALL ".join(parts) + ") GROUP BY ALL"
+
+
+def _renamed(df):
+    """The package, network and creative of the click are those of all that follows from it."""
+    return df.drop("package", "network", "idea_id").withColumnsRenamed({"click_package": "package", "click_network": "network", "click_idea_id": "idea_id"})
+
+
+def stats(spark, sf, keys):
+    regs = _renamed(registrations(spark, sf)).withColumn("day", F.to_date("reg_ts"))
+    return attribution.ad_channel_stats(ad_clicks(spark, sf), _renamed(activations(spark, sf)), regs, _renamed(orders(spark, sf)), keys)
+
+
+@plan("ad_channel_stats", CHAIN + _stats_sql("game_id, package, network, idea_id"))
+def ad_channel_stats(spark, sf):
+    return stats(spark, sf, ["game_id", "package", "network", "idea_id"])
+
+
+@plan("ad_conversion", CHAIN + f"""SELECT *, CASE WHEN clicks = 0 THEN 0 ELSE round(actives / clicks, 6) END AS active_rate, CASE WHEN actives = 0 THEN 0 ELSE round(regis / actives, 6) END AS regi_rate,
+  CASE WHEN regis = 0 THEN 0 ELSE round(payers / regis, 6) END AS pay_rate FROM ({_stats_sql('network')})""")
+def ad_conversion(spark, sf):
+    return attribution.conversion_rates(stats(spark, sf, ["network"]))
+
+
+TOTAL = """(SELECT game_id, day, CAST(sum(a) AS BIGINT) AS actives, CAST(sum(r) AS BIGINT) AS regis, CAST(sum(p) AS BIGINT) AS pay_cents FROM (
+  SELECT game_id, day, 1 AS a, 0 AS r, 0 AS p FROM ad_a UNION ALL SELECT game_id, day, 0, 1, 0 FROM ad_acc UNION ALL SELECT game_id, day, 0, 0, cents FROM g_paid) GROUP BY ALL)"""
+PART = """(SELECT game_id, day, {extra}CAST(sum(a) AS BIGINT) AS actives, CAST(sum(r) AS BIGINT) AS regis, CAST(sum(p) AS BIGINT) AS pay_cents FROM (
+  SELECT game_id, day, click_package AS package, 1 AS a, 0 AS r, 0 AS p FROM ad_x UNION ALL SELECT game_id, CAST(reg_ts AS DATE), click_package, 0, 1, 0 FROM ad_r
+  UNION ALL SELECT game_id, day, click_package, 0, 0, cents FROM ad_o) GROUP BY ALL)"""
+MEASURES = ["actives", "regis", "pay_cents"]
+REST = ", ".join(f"CAST(t.{m} - coalesce(x.{m}, 0) AS BIGINT) AS {m}" for m in MEASURES)
+
+
+def totals(spark, sf):
+    firsts = roles.regs(spark, sf).withColumnRenamed("event_id", "reg_id")
+    from playlens.operators.keyed import first_row
+    accounts = first_row(firsts.select("account", "game_id", "reg_day", "reg_ts", "reg_id"), ["account"], ["reg_ts", "reg_id"])
+    count = lambda df, name, day="day": df.groupBy("game_id", F.col(day).alias("day")).agg(F.count("*").alias(name))
+    pay = valid_orders(roles.game_orders(spark, sf)).groupBy("game_id", "day").agg(F.sum("cents").alias("pay_cents"))
+    return zero_filled_union([count(ad_actives(spark, sf), "actives"), count(accounts, "regis", "reg_day"), pay], ["game_id", "day"], MEASURES)
+
+
+def by_package(spark, sf):
+    full = stats(spark, sf, ["game_id", "package"]).select("game_id", "package", "day", *MEASURES)
+    return full.filter("actives <> 0 or regis <> 0 or pay_cents <> 0")
+
+
+@plan("natural_kpi", CHAIN + f"SELECT t.game_id, t.day, {REST} FROM {TOTAL} t LEFT JOIN {PART.format(extra='')} x USING (game_id, day)")
+def natural_kpi(spark, sf):
+    return attribution.natural_kpi(totals(spark, sf), by_package(spark, sf), ["game_id", "day"], MEASURES)
+
+
+@plan("merged_ad_kpi", CHAIN + f"""SELECT game_id, day, package, actives, regis, pay_cents, FALSE AS is_natural FROM {PART.format(extra='package, ')} WHERE actives <> 0 OR regis <> 0 OR pay_cents <> 0
+  UNION ALL SELECT t.game_id, t.day, '', {REST}, TRUE FROM {TOTAL} t LEFT JOIN {PART.format(extra='')} x USING (game_id, day)""")
+def merged_ad_kpi(spark, sf):
+    return attribution.merged_ad_kpi(totals(spark, sf), by_package(spark, sf), ["game_id", "day"], ["package"], MEASURES)
+
+
+def _ad_cohort_sql():
+    ret = ", ".join(f"CAST(count(DISTINCT CASE WHEN d = {n} THEN account END) AS BIGINT) AS retained_{n}" for n in cohort.REALTIME_OFFSETS)
+    ltv = ", ".join(f"CAST(sum(CASE WHEN {'d = 0' if n == 1 else f'd BETWEEN 0 AND {n - 1}'} THEN cents ELSE 0 END) AS BIGINT) AS ltv_{n}" for n in cohort.AD_LTV_DAYS)
+    return f"""SELECT * FROM (SELECT c.game_id, c.package, c.reg_day, {ltv}, CAST(coalesce(sum(cents), 0) AS BIGINT) AS total_cents FROM
+   (SELECT a.*, o.cents, date_diff('day', a.reg_day, o.day) AS d FROM (SELECT game_id, click_package AS package, account, CAST(reg_ts AS DATE) AS reg_day FROM ad_r) a LEFT JOIN g_paid o USING (account)) c GROUP BY ALL) v
+  JOIN (SELECT game_id, package, reg_day, {ret} FROM (SELECT a.*, date_diff('day', a.reg_day, l.day) AS d FROM
+   (SELECT game_id, click_package AS package, account, CAST(reg_ts AS DATE) AS reg_day FROM ad_r) a LEFT JOIN g_logins l USING (account)) GROUP BY ALL) r USING (game_id, package, reg_day)"""
+
+
+@plan("ad_retention_ltv", CHAIN + _ad_cohort_sql())
+def ad_retention_ltv(spark, sf):
+    keys = ["game_id", "package"]
+    regs = _renamed(registrations(spark, sf)).withColumn("reg_day", F.to_date("reg_ts")).select(*keys, "account", "reg_day")
+    value = cohort.cohort_value(regs, valid_orders(roles.game_orders(spark, sf)), ["account"], keys, days=cohort.AD_LTV_DAYS, total="total_cents")
+    back = cohort.retention(regs, roles.logins(spark, sf), ["account"], keys, ["account"], offsets=cohort.REALTIME_OFFSETS)
+    return value.join(back, [*keys, "reg_day"], "left").fillna(0, [f"retained_{n}" for n in cohort.REALTIME_OFFSETS])
+
+
+@plan("reward_network_audit", """WITH rep AS (SELECT game_id, imei, day FROM g_clicks WHERE type IN (1, 2) AND imei <> ''), d AS (SELECT game_id, imei, day, count(*) AS n FROM rep GROUP BY ALL),
+ own AS (SELECT DISTINCT game_id, imei, day FROM g_actives WHERE imei <> ''), reg AS (SELECT DISTINCT game_id, imei, day FROM g_regs WHERE imei <> ''),
+ f AS (SELECT d.*, EXISTS (SELECT 1 FROM own o WHERE o.game_id = d.game_id AND o.imei = d.imei AND o.day = d.day) AS mt,
+  EXISTS (SELECT 1 FROM own o WHERE o.game_id = d.game_id AND o.imei = d.imei AND o.day < d.day) AS ob,
+  EXISTS (SELECT 1 FROM rep o WHERE o.game_id = d.game_id AND o.imei = d.imei AND o.day < d.day) AS rb,
+  EXISTS (SELECT 1 FROM reg o WHERE o.game_id = d.game_id AND o.imei = d.imei AND o.day = d.day) AS rg,
+  EXISTS (SELECT 1 FROM reg o WHERE o.game_id = d.game_id AND o.imei = d.imei AND o.day < d.day) AS rgb FROM d),
+ a AS (SELECT game_id, day, CAST(sum(n) AS BIGINT) AS reported, count(*) AS unique_devices, count(*) FILTER (mt) AS matched, count(*) FILTER (NOT mt AND NOT ob) AS unmatched,
+  count(*) FILTER (NOT mt AND ob) AS repeat_own, count(*) FILTER (NOT mt AND ob AND rb) AS repeat_both, count(*) FILTER (rg) AS registered, count(*) FILTER (rg AND NOT rgb) AS new_registered FROM f GROUP BY ALL)
+ SELECT a.*, coalesce(t.n, 0) AS active_devices, greatest(coalesce(t.n, 0) - matched, 0) AS "natural" FROM a LEFT JOIN (SELECT game_id, day, count(*) AS n FROM own GROUP BY ALL) t USING (game_id, day)""")
+def reward_network_audit(spark, sf):
+    known = F.col("imei") != ""
+    reports = roles.clicks(spark, sf).filter(F.col("type").isin(1, 2) & known)
+    return attribution.reward_network_audit(reports, roles.actives(spark, sf).filter(known), roles.regs(spark, sf).filter(known))
+
+
+@plan("one_time_repairs", """SELECT event_id, game_id, coalesce(day = min(CASE WHEN imei <> '' THEN day END) OVER (PARTITION BY game_id, imei), FALSE) AS is_new_device, upper(md5(upper(imei))) AS device_hash FROM g_regs""")
+def one_time_repairs(spark, sf):
+    fixed = attribution.repair_new_device(roles.regs(spark, sf), ["game_id"])
+    return fixed.select("event_id", "game_id", "is_new_device", device_hash("imei").alias("device_hash"))
+
+
+@plan("ad_click_detail", """SELECT c.event_id AS click_id, c.game_id, c.package, CAST(c.k % 4 + 1 AS INT) AS network, coalesce('tag' || n.n_nationkey, '') AS medium_tag, coalesce(n.n_name, '') AS medium_name, coalesce(s.s_name, '') AS buyer
+  FROM g_clicks c LEFT JOIN nation n ON n.n_nationkey = c.k % 4 + 1 LEFT JOIN supplier s ON 'p' || s.s_suppkey = c.package WHERE c.k % 4 + 1 IN (1, 3)""")
+def ad_click_detail(spark, sf):
+    media = roles.table(spark, sf, "nation").select(F.col("n_nationkey").cast("int").alias("network"), F.concat(F.lit("tag"), "n_nationkey").alias("medium_tag"), F.col("n_name").alias("medium_name"))
+    buyers = roles.table(spark, sf, "supplier").select(F.concat(F.lit("p"), "s_suppkey").alias("package"), F.col("s_name").alias("buyer"))
+    out = attribution.ad_click_detail(ad_clicks(spark, sf), [1, 3], media, buyers)
+    return out.select("click_id", "game_id", "package", "network", "medium_tag", "medium_name", "buyer")

@@ -38,3 +38,14 @@ def work_folder(spark: SparkSession, name: str) -> str:
     if not base:
         base = os.path.join(tempfile.gettempdir(), "playlens-work")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def write_stage(df, name: str):
+    """``df`` written to the shared folder and read back.
+
+    Cuts the lineage of iterative plans; a lost executor re-reads the files instead of losing blocks.
+    """
+    spark = df.sparkSession
+    path = work_folder(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
