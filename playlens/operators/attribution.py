@@ -35,24 +35,29 @@ def attribute_activation(actives: DataFrame, clicks: DataFrame, days: int = CLIC
     free click of the same game and the ``days`` before. What matched leaves both sides before the next rule.
     Both inputs carry game_id, os, the fields of the rules, an id and a time.
     """
-    found: list[DataFrame] = []
-    for step in range(max(len(c) for c in chains.values())):
-        parts = []
+    fields = sorted({f for chain in chains.values() for rule in chain for f in rule})
+    narrow = lambda df, ident, ts: df.select("game_id", "os", *fields, ident, ts)
+    # all rules read these narrow columns
+    a = write_stage(narrow(actives, "active_id", "active_ts"), "attribution-actives")
+    c = write_stage(narrow(clicks, "click_id", "click_ts"), "attribution-clicks")
+    found: DataFrame | None = None
+    for step in range(max(len(chain) for chain in chains.values())):
+        # the platforms' rules of one step go together; the evidence is one text, null when a part lacks
+        evidence = F.lit(None).cast("string")
         for os, chain in chains.items():
-            if step >= len(chain):
-                continue
-            fields = chain[step]
-            given = reduce(lambda a, b: a & b, [F.coalesce(F.col(f), F.lit("")) != "" for f in fields])
-            a, c = actives.filter((F.col("os") == os) & given), clicks.filter((F.col("os") == os) & given)
-            for earlier in found:
-                a = a.join(earlier.select("active_id"), "active_id", "left_anti")
-                c = c.join(earlier.select("click_id"), "click_id", "left_anti")
-            keys = ["game_id", *fields]
-            parts.append(match_once(a, c, keys, ("active_ts", "active_id"), ("click_ts", "click_id"), days).withColumn("rule", F.lit(step + 1)))
-        round_ = reduce(DataFrame.unionByName, parts)
+            if step < len(chain):
+                parts = [F.when(F.col(f) != "", F.col(f)) for f in chain[step]]
+                evidence = F.when(F.col("os") == os, F.concat(*[x for p in parts for x in (p, F.lit("\x1f"))])).otherwise(evidence)
+        usable = lambda df: df.withColumn("evidence", evidence).filter(F.col("evidence").isNotNull())
+        free_a, free_c = usable(a), usable(c)
+        if found is not None:
+            free_a = free_a.join(found.select("active_id"), "active_id", "left_anti")
+            free_c = free_c.join(found.select("click_id"), "click_id", "left_anti")
+        won = match_once(free_a, free_c, ["os", "game_id", "evidence"], ("active_ts", "active_id"), ("click_ts", "click_id"), days)
         # written, as every later rule reads it twice
-        found.append(write_stage(round_, f"attribution-rule-{step + 1}"))
-    return reduce(DataFrame.unionByName, found)
+        won = write_stage(won.withColumn("rule", F.lit(step + 1)), f"attribution-rule-{step + 1}")
+        found = won if found is None else found.unionByName(won)
+    return found
 
 
 def attributed_activations(actives: DataFrame, clicks: DataFrame, matches: DataFrame, click_fields: list[str]) -> DataFrame:

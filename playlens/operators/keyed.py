@@ -51,20 +51,16 @@ def with_group_total(df: DataFrame, keys: list[str], measure: str, name: str) ->
     return df.join(totals, keys)
 
 
-def sliced_row_number(df: DataFrame, keys: list[str], ts: str, tie: list[str], name: str, unit: str = "second") -> DataFrame:
+def sliced_row_number(df: DataFrame, keys: list[str], ts: str, tie: list[str], name: str, unit: str = "minute") -> DataFrame:
     """``row_number`` per key by ``ts, tie`` without sorting a whole key in one task. Keys not null."""
-    cut = df.withColumn("_slice", F.date_trunc(unit, F.col(ts)))
-    local = cut.withColumn("_n", F.row_number().over(W.partitionBy(*keys, "_slice").orderBy(ts, *tie)))
+    cut = [*keys, "_slice"]
+    local = df.withColumn("_slice", F.date_trunc(unit, F.col(ts)))
+    local = local.withColumn("_n", F.row_number().over(W.partitionBy(*cut).orderBy(ts, *tie)))
     before = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        cut.groupBy(*keys, "_slice").agg(F.count("*").alias("_size"))
-        .select(*keys, "_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
-    )
-    return (
-        local.join(offsets, [*keys, "_slice"])
-        .withColumn(name, (F.col("_n") + F.col("_before")).cast("long"))
-        .drop("_slice", "_n", "_before")
-    )
+    # on the partitioning of the local ranks, so the sizes need no shuffle of rows
+    offsets = local.groupBy(*cut).agg(F.max("_n").alias("_size")).select(
+        *cut, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    return local.join(offsets, cut).withColumn(name, (F.col("_n") + F.col("_before")).cast("long")).drop("_slice", "_n", "_before")
 
 
 def asof_latest(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str, right_ts: str,
@@ -96,39 +92,36 @@ def asof_latest(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str
 
 
 def match_once(takers: DataFrame, givers: DataFrame, keys: list[str], taker: tuple[str, str], giver: tuple[str, str],
-               days: int) -> DataFrame:
+               days: int, unit: str = "minute") -> DataFrame:
     """One-to-one matching: takers, in order of time, each take the latest free giver.
 
     A giver can be taken from its own day until ``days`` days later, and only once; of one day all
     givers count as earlier than the takers. ``taker`` and ``giver`` name (time, id) columns; keys not null.
     Returns (taker id, giver id).
 
-    Givers are a stack per key: each taker pops the latest. So a giver's height in the stack, known
-    from per-day counts, names its partner: the next taker at that height. An expired giver may be
-    popped for nothing, since all below it are older still. No pairs are formed; a (key, height) has at
-    most one giver and one taker per day.
+    Givers are a stack per key: each taker pops the latest. So with +1 per giver and -1 per taker, the
+    running sum above its lowest point so far is the height of the stack, and a taker's partner is the
+    latest giver put at that height. An expired giver may be popped for nothing, since all below it are
+    older still. Sums per slice carry the running sum from slice to slice; no pairs are formed; and a
+    (key, height) has at most one giver and one taker per day.
     """
     g = givers.select(*keys, F.col(giver[0]).alias("_ts"), F.col(giver[1]).alias("_id"), F.lit(0).alias("_kind"))
     t = takers.select(*keys, F.col(taker[0]).alias("_ts"), F.col(taker[1]).alias("_id"), F.lit(1).alias("_kind"))
-    both = g.unionByName(t).withColumn("_day", F.to_date("_ts"))
-    per_day = both.groupBy(*keys, "_day").agg(
-        F.count(F.when(F.col("_kind") == 0, 1)).alias("_g"), F.count(F.when(F.col("_kind") == 1, 1)).alias("_t")
-    )
-    # keys without both sides cannot match
-    live = per_day.groupBy(*keys).agg(F.sum("_g").alias("_a"), F.sum("_t").alias("_b")).filter("_a > 0 and _b > 0").select(*keys)
-    by_day = W.partitionBy(*keys).orderBy("_day")
-    both, per_day = both.join(live, keys, "left_semi"), per_day.join(live, keys, "left_semi")
-    s = per_day.withColumn("_sum", F.sum(F.col("_g") - F.col("_t")).over(by_day))
-    s = s.withColumn("_low", F.least(F.lit(0), F.min("_sum").over(by_day)))
-    after = F.col("_sum") - F.col("_low")
-    heights = s.select(*keys, "_day", "_g", F.coalesce(F.lag(after).over(by_day), F.lit(0)).alias("_base"))
-    ranked = sliced_row_number(both, [*keys, "_day", "_kind"], "_ts", ["_id"], "_rank")
-    placed = ranked.join(heights, [*keys, "_day"]).withColumn(
-        "_height",
-        F.when(F.col("_kind") == 0, F.col("_base") + F.col("_rank")).otherwise(
-            F.col("_base") + F.col("_g") - F.col("_rank") + 1
-        ),
-    ).filter("_height > 0")
+    cut = [*keys, "_day", "_kind", "_slice"]
+    both = g.unionByName(t).withColumn("_day", F.to_date("_ts")).withColumn("_slice", F.date_trunc(unit, "_ts"))
+    local = both.withColumn("_n", F.row_number().over(W.partitionBy(*cut).orderBy("_ts", "_id")))
+    sizes = local.groupBy(*cut).agg(F.max("_n").alias("_size"))
+    by_time = W.partitionBy(*keys).orderBy("_day", "_kind", "_slice")
+    earlier = by_time.rowsBetween(W.unboundedPreceding, -1)
+    sums = sizes.withColumn("_end", F.sum(F.when(F.col("_kind") == 0, F.col("_size")).otherwise(-F.col("_size"))).over(by_time))
+    state = sums.select(
+        *cut, F.coalesce(F.lag("_end").over(by_time), F.lit(0)).alias("_sum"),
+        F.least(F.lit(0), F.coalesce(F.min("_end").over(earlier), F.lit(0))).alias("_low"),
+        F.sum("_kind").over(W.partitionBy(*keys)).alias("_takers"), F.sum(1 - F.col("_kind")).over(W.partitionBy(*keys)).alias("_givers"),
+    ).filter("_takers > 0 and _givers > 0")  # a key needs both sides
+    above = F.col("_sum") - F.col("_low")
+    height = F.when(F.col("_kind") == 0, above + F.col("_n")).otherwise(above - F.col("_n") + 1)
+    placed = local.join(state, cut).withColumn("_height", height).filter("_height > 0")
     order = W.partitionBy(*keys, "_height").orderBy("_day", "_kind")
     previous = F.lag(F.struct("_kind", "_id", "_day")).over(order)
     paired = placed.withColumn("_prev", previous).filter("_kind = 1 and _prev._kind = 0")

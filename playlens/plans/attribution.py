@@ -31,25 +31,31 @@ def ad_actives(spark, sf):
 
 
 @lru_cache(maxsize=None)
-def _matches(app: str, spark, sf: str):
-    return attribution.attribute_activation(ad_actives(spark, sf), ad_clicks(spark, sf))
+def _detail(kind: str, spark, app: str, sf: str):
+    if kind == "matches":
+        return attribution.attribute_activation(ad_actives(spark, sf), ad_clicks(spark, sf))
+    if kind == "activations":
+        found = attribution.attributed_activations(ad_actives(spark, sf), ad_clicks(spark, sf), matches(spark, sf), ["package", "network", "idea_id"])
+    else:
+        regs = _traits(roles.regs(spark, sf)).withColumnRenamed("event_id", "reg_id")
+        found = attribution.attribute_registration(regs, activations(spark, sf), CARRIED)
+    return write_stage(found, f"ad-{kind}")
 
 
 def matches(spark, sf):
-    """The match table, written once per session and read by the reports built on it."""
-    return _matches(spark.sparkContext.applicationId, spark, sf)
+    """The detail tables are written once per session and read by all reports on them."""
+    return _detail("matches", spark, spark.sparkContext.applicationId, sf)
 
 
 def activations(spark, sf):
-    return attribution.attributed_activations(ad_actives(spark, sf), ad_clicks(spark, sf), matches(spark, sf), ["package", "network", "idea_id"])
+    return _detail("activations", spark, spark.sparkContext.applicationId, sf)
 
 
 CARRIED = ["click_package", "click_network", "click_idea_id"]
 
 
 def registrations(spark, sf):
-    regs = _traits(roles.regs(spark, sf)).withColumnRenamed("event_id", "reg_id")
-    return attribution.attribute_registration(regs, activations(spark, sf), CARRIED)
+    return _detail("registrations", spark, spark.sparkContext.applicationId, sf)
 
 
 def orders(spark, sf):
