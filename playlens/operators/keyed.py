@@ -109,6 +109,7 @@ def match_once(takers: DataFrame, givers: DataFrame, keys: list[str], taker: tup
     t = takers.select(*keys, F.col(taker[0]).alias("_ts"), F.col(taker[1]).alias("_id"), F.lit(1).alias("_kind"))
     cut = [*keys, "_day", "_kind", "_slice"]
     both = g.unionByName(t).withColumn("_day", F.to_date("_ts")).withColumn("_slice", F.date_trunc(unit, "_ts"))
+    both = both.dropna(subset=cut)  # stated here, so that both uses below share one shuffle
     local = both.withColumn("_n", F.row_number().over(W.partitionBy(*cut).orderBy("_ts", "_id")))
     sizes = local.groupBy(*cut).agg(F.max("_n").alias("_size"))
     by_time = W.partitionBy(*keys).orderBy("_day", "_kind", "_slice")
