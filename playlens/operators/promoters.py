@@ -252,7 +252,8 @@ def sub_rebate(counted: DataFrame, monthly: DataFrame, cumulative: DataFrame, pr
 
     Members qualify by their own month and to-date amounts (rule 3), else by the number of subs above a monthly amount
     (rule 4). ``counted`` are the amounts that rebates are paid on; ``own_rule`` None leaves rule 3 out.
-    All amounts (member_id, ym, cents); rules (month_number, accumulated_number, scale) and (sub_month_number, sub_number, scale).
+    All amounts (member_id, ym, cents); rules per month: (ym, month_number, accumulated_number, scale) and
+    (ym, sub_month_number, sub_number, scale).
     """
     links = promoters.select("member_id", "owner_id").filter("owner_id <> 0")
     below = counted.join(links, "member_id").groupBy(F.col("owner_id").alias("member_id"), "ym").agg(
@@ -265,14 +266,14 @@ def sub_rebate(counted: DataFrame, monthly: DataFrame, cumulative: DataFrame, pr
                            F.round(F.col("sub_cents") * F.col("scale") / 100).cast("long").alias("rebate_cents"))
     qualified = None
     if own_rule is not None:
-        hit = own.join(own_rule, (F.col("cents") >= F.col("month_number")) & (F.col("to_date_cents") >= F.col("accumulated_number")))
+        hit = own.join(own_rule, "ym").filter("cents >= month_number and to_date_cents >= accumulated_number")
         qualified = paid(hit, RULE_OWN)
-    strong = monthly.join(links, "member_id").join(subs_rule, F.col("cents") >= F.col("sub_month_number")).groupBy(
+    strong = monthly.join(links, "member_id").join(subs_rule, "ym").filter("cents >= sub_month_number").groupBy(
         F.col("owner_id").alias("member_id"), "ym", "sub_number", "scale").agg(F.count("*").alias("strong")).filter(F.col("strong") >= F.col("sub_number"))
     by_subs = own.join(strong.select("member_id", "ym", "scale"), ["member_id", "ym"])
     if qualified is None:
         return paid(by_subs, RULE_OWN)
-    rest = by_subs.join(qualified.select("member_id"), "member_id", "left_anti")
+    rest = by_subs.join(qualified.select("member_id", "ym"), ["member_id", "ym"], "left_anti")
     return qualified.unionByName(paid(rest, RULE_SUBS))
 
 

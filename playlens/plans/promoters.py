@@ -201,13 +201,14 @@ def _sub_inputs(spark, sf, skip_special: bool):
     cumulative = running_total(rows, ["member_id"], "ym", ["cents"]).select("member_id", "ym", F.col("total_cents").alias("cents"))
     counted = rows.filter(~F.col("game_id").isin(3, 5)) if skip_special else rows
     counted = counted.groupBy("member_id", "ym").agg(F.sum("cents").alias("cents"))
-    own_rule = spark.createDataFrame([(40_000_000, 100_000_000, 2)], "month_number long, accumulated_number long, scale int")
-    subs_rule = spark.createDataFrame([(30_000_000, 1, 1)], "sub_month_number long, sub_number long, scale int")
+    months = monthly.select("ym").distinct()
+    own_rule = months.select("ym", F.lit(40_000_000).alias("month_number"), F.lit(100_000_000).alias("accumulated_number"), F.lit(2).alias("scale"))
+    subs_rule = months.select("ym", F.lit(30_000_000).alias("sub_month_number"), F.lit(1).alias("sub_number"), F.lit(1).alias("scale"))
     return counted, monthly, cumulative, roles.promoters(spark, sf), own_rule, subs_rule
 
 
 @plan("sub_rebate", SUB.format(skip="AND game_id NOT IN (3, 5)") + f""", r3 AS (SELECT *, 3 AS rebate_type, 2 AS scale FROM own WHERE cents >= 40000000 AND to_date_cents >= 100000000)
- SELECT *, {RESULT} FROM (SELECT * FROM r3 UNION ALL SELECT o.*, 4, 1 FROM own o JOIN str USING (member_id, ym) WHERE o.member_id NOT IN (SELECT member_id FROM r3))""")
+ SELECT *, {RESULT} FROM (SELECT * FROM r3 UNION ALL SELECT o.*, 4, 1 FROM own o JOIN str USING (member_id, ym) WHERE NOT EXISTS (SELECT 1 FROM r3 WHERE r3.member_id = o.member_id AND r3.ym = o.ym))""")
 def sub_rebate(spark, sf):
     return promoters.sub_rebate(*_sub_inputs(spark, sf, True))
 
