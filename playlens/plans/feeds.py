@@ -129,7 +129,7 @@ def parse_ad_clicks(spark, sf):
 def parse_landing_requests(spark, sf):
     status = F.when(F.col("event_id") % 5 == 0, '404').otherwise('200')
     line = F.concat(F.lit("1.1.1.1 - - ["), F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"), F.lit(" +0800] \"GET /Ssxy/loadComplete?p=m"), F.col("k") % 4, F.lit("_s"), F.col("k") % 3, F.lit("_p"), F.col("k") % 20,
-                    F.lit("&g="), "game_id", F.lit(" HTTP/1.0\" "), status, F.lit(" 12 \"-\" \"agent\" \""), "ip", F.lit(", 10.9.9.9\""))
+                    F.lit("&g="), "game_id", F.lit(" HTTP/1.0\" "), status, F.lit(" 12 \"-\" \"agent\" "), "ip", F.lit(", 10.9.9.9"))
     path = work_folder(spark, "access")
     roles.clicks(spark, sf).select(line.alias("value")).write.text(path)
     hits = logs.parse_landing_requests(logs.read_lines(spark, path))
@@ -275,7 +275,7 @@ def append_table(spark, sf):
 
 
 # --- streams -----------------------------------------------------------------------------------------------
-STREAM_FILES = 3
+STREAM_FILES = 2
 
 
 def event_stream(spark, sf):
@@ -302,9 +302,10 @@ def stream_demultiplex(spark, sf):
     out = work_folder(spark, "tags")
     run(tagged_lines(event_stream(spark, sf)), jobs.demultiplex(out, list(tags.values())), spark)
     from functools import reduce
-    count = lambda tag, name: deltas.read_deltas(spark, f"{out}/{tag}").agg(F.count("*").alias(name))
-    each = [count(tag, "n").join(count(f"{tag}_malformed", "malformed"), F.lit(True)).select(F.lit(kind).alias("kind"), "n", "malformed") for kind, tag in tags.items()]
-    return reduce(lambda a, b: a.unionByName(b), each)
+    count = lambda kind, table, name: deltas.read_deltas(spark, f"{out}/{table}").agg(F.count("*").alias(name)).withColumn("kind", F.lit(kind))
+    parts = [count(kind, tag, "n") for kind, tag in tags.items()] + [count(kind, f"{tag}_malformed", "malformed") for kind, tag in tags.items()]
+    whole = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    return whole.groupBy("kind").agg(F.sum("n").alias("n"), F.sum("malformed").alias("malformed"))
 
 
 @plan("stream_dedup", "SELECT DISTINCT account, game_id, day FROM g_orders")
@@ -379,7 +380,7 @@ def stream_attribution(spark, sf):
   (SELECT account, date_trunc('hour', ts) AS start_ts, max(ts) AS e FROM ev WHERE event_type IN ('view', 'click') GROUP BY ALL) GROUP BY ALL""")
 def stream_session_time(spark, sf):
     online = event_stream(spark, sf).filter("event_type in ('view', 'click')").select("account", F.date_trunc("hour", "ts").alias("start_ts"), F.col("ts").alias("end_ts"))
-    changes = run_to_table(jobs.session_changes(online, ["account"]), spark)
+    changes = run_to_table(jobs.session_changes(online, ["account"], "40 days"), spark)
     return changes.groupBy("account", F.to_date("start_ts").alias("day")).agg(F.sum("seconds").alias("online_seconds"), F.sum("sessions").cast("long").alias("sessions"))
 
 

@@ -15,7 +15,7 @@ from playlens.sinks.deltas import BATCH, read_deltas, write_delta
 from playlens.sources.logs import parse_tagged
 
 # --- fixed values: how long a repeated record is recognised --------------------------------------
-ORDER_TTL, ATTRIBUTED_ORDER_TTL, LOGIN_TTL = "1 hour", "48 hours", "50 hours"
+ORDER_TTL, ATTRIBUTED_ORDER_TTL, LOGIN_TTL, SESSION_TTL = "1 hour", "48 hours", "50 hours", "25 hours"
 # --------------------------------------------------------------------------------------------------
 
 
@@ -89,8 +89,12 @@ def first_seen_changes(actives: DataFrame, keys: list[str], ts: str) -> DataFram
         step, f"{shape}, hour timestamp, change int", "first_us long", "append", GroupStateTimeout.NoTimeout)
 
 
-def session_changes(online: DataFrame, keys: list[str], ttl_ms: int = 25 * 3600 * 1000) -> DataFrame:
-    """Seconds to add per session report: the whole length at first, then what the end moved on; sessions +1 at first."""
+def session_changes(online: DataFrame, keys: list[str], late: str = SESSION_TTL, ttl_hours: int = 25) -> DataFrame:
+    """Seconds to add per session report: the whole length at first, then what the end moved on; sessions +1 at first.
+
+    A session is forgotten ``ttl_hours`` of event time after its last report. (A timeout in processing time would keep
+    an ``availableNow`` run from ending.)
+    """
     kinds = dict(online.dtypes)
     by = [*keys, "start_ts"]
     shape = ", ".join(f"{k} {kinds[k]}" for k in keys)
@@ -105,11 +109,12 @@ def session_changes(online: DataFrame, keys: list[str], ttl_ms: int = 25 * 3600
         known = state.get[0] if state.exists else None
         if known is None or seconds > known:
             yield pd.DataFrame([(*key, seconds - (began if known is None else known), 1 if known is None else 0)], columns=[*by, "seconds", "sessions"])
-        state.update((max(seconds, known or 0),))
-        state.setTimeoutDuration(ttl_ms)
+        last = max(seconds, known or 0)
+        state.update((last,))
+        state.setTimeoutTimestamp(max(last * 1000, state.getCurrentWatermarkMs()) + ttl_hours * 3_600_000)
 
-    return _combine_batches(online, by, "end_ts", "max").groupBy(*by).applyInPandasWithState(
-        step, f"{shape}, start_ts timestamp, seconds long, sessions int", "end_s long", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return _combine_batches(online, by, "end_ts", "max").withWatermark("end_ts", late).groupBy(*by).applyInPandasWithState(
+        step, f"{shape}, start_ts timestamp, seconds long, sessions int", "end_s long", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def with_cohort(orders: DataFrame, regs: DataFrame, keys: list[str]) -> DataFrame:
