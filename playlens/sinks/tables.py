@@ -79,6 +79,12 @@ def combined(old: DataFrame, new: DataFrame, keys: list[str], rules: dict[str, s
     New rows of one key are ordered by ``version`` where that matters.
     """
     stamp = lambda df, age: df.withColumn("_v", F.struct(F.lit(age).alias("age"), (F.col(version) if version else F.lit(0)).cast("string").alias("at")))
+    for column, rule in rules.items():
+        if rule.startswith("add_if:"):  # what is older than the stored date adds nothing
+            date = rule.split(":", 1)[1]
+            stored = old.groupBy(*keys).agg(F.max(date).alias("_stored"))
+            late = F.col("_stored").isNotNull() & (F.col(date) < F.col("_stored"))
+            new = new.join(stored, keys, "left").withColumn(column, F.when(late, 0).otherwise(F.col(column))).drop("_stored")
     # a column that the stored rows lack is null there
     both = stamp(old, 0).unionByName(stamp(new, 1), allowMissingColumns=True)
     return both.groupBy(*keys).agg(*[_by_rule(column, rule).alias(column) for column, rule in rules.items()])
@@ -86,7 +92,7 @@ def combined(old: DataFrame, new: DataFrame, keys: list[str], rules: dict[str, s
 
 def _by_rule(column: str, rule: str) -> Column:
     value = F.col(column)
-    if rule == ADD:
+    if rule == ADD or rule.startswith("add_if:"):
         return F.sum(value)
     if rule == GREATEST:
         return F.max(value)
@@ -94,14 +100,6 @@ def _by_rule(column: str, rule: str) -> Column:
         return F.max_by(value, "_v")
     if rule == KEEP:
         return F.min_by(value, "_v")
-    if rule.startswith("add_if:"):
-        date = F.col(rule.split(":", 1)[1])
-        stored = F.max(F.when(F.col("_v.age") == 0, date))
-        # the dates of new rows are few per key; each date's sum is kept until the stored date is known
-        new_sum = F.coalesce(F.sum(F.when(F.col("_v.age") == 0, value)), F.lit(0))
-        late = F.collect_list(F.when(F.col("_v.age") == 1, F.struct(date.alias("d"), value.alias("v"))))
-        fresh = F.aggregate(F.filter(late, lambda x: stored.isNull() | (x["d"] >= stored)), F.lit(0).cast("long"), lambda a, x: a + x["v"].cast("long"))
-        return new_sum + fresh
     raise ValueError(f"unknown rule: {rule}")
 
 
@@ -119,10 +117,6 @@ def upsert(new: DataFrame, path: str, keys: list[str], rules: dict[str, str], pa
     if not set(partition_by) <= set(keys):
         raise ValueError("partition columns must be keys")
     spark = new.sparkSession
-    first = [r for r in rules.values() if r.startswith("add_if:")]
-    if first:  # one row per key and date, so that a key holds few new rows
-        new = new.groupBy(*keys, first[0].split(":", 1)[1]).agg(*[
-            (F.sum(c) if r.startswith("add_if:") or r == ADD else F.max(c)).alias(c) for c, r in rules.items() if c != first[0].split(":", 1)[1]])
     new = write_stage(new, "upsert-new")
     old = _touched(spark, path, new, partition_by) if exists(spark, path) else new.limit(0)
     overwrite_partitions(write_stage(combined(old, new, keys, rules, version), "upsert-merged"), path, partition_by)
