@@ -84,23 +84,20 @@ def cumulative_payers(cohort: DataFrame, orders: DataFrame, on: list[str], keys:
                       width: int = PAY_WATCH_DAYS) -> DataFrame:
     """Running payers and amount per cohort for each of the first days, without gaps.
 
-    A payer counts from the first paid day on. Sums per cohort and day come first; only those few rows
-    are spread over the following days.
+    A payer counts from the first paid day on. Sums per cohort and day come first; only those are spread over the days.
     """
     members = cohort.select(*dict.fromkeys([*keys, cohort_day, *on])).distinct()
     spent = orders.groupBy(*on, "day").agg(F.sum("cents").alias("cents"))
     pairs = members.join(spent, on).filter(F.datediff("day", cohort_day).between(0, width))
-    first = pairs.groupBy(*keys, cohort_day, *on).agg(F.min("day").alias("day"))
-    new_payers = first.groupBy(*keys, cohort_day, "day").agg(F.count("*").alias("new_payers"))
-    daily = pairs.groupBy(*keys, cohort_day, "day").agg(F.sum("cents").alias("cents")).join(new_payers, [*keys, cohort_day, "day"], "left")
-    seen = daily.select(*keys, cohort_day).distinct()
-    dense = band_expand(seen, cohort_day, width, "day", last_day)
-    filled = dense.join(daily, [*keys, cohort_day, "day"], "left").fillna(0, ["cents", "new_payers"])
-    w = W.partitionBy(*keys, cohort_day).orderBy("day")
-    return filled.select(
-        *keys, cohort_day, (F.datediff("day", cohort_day) + 1).alias("day_no"),
-        F.sum("new_payers").over(w).alias("payers"), F.sum("cents").over(w).alias("pay_cents"),
-    )
+    first = F.min("day").over(W.partitionBy(*keys, cohort_day, *on))  # at most one row per day of the span
+    daily = pairs.withColumn("_first", first).groupBy(*keys, cohort_day, "day").agg(
+        F.sum("cents").alias("cents"), F.count_if(F.col("day") == F.col("_first")).alias("new"))
+    # the few days of a cohort fit in one row, which is then spread over the span
+    cohorts = daily.groupBy(*keys, cohort_day).agg(F.collect_list(F.struct("day", "cents", "new")).alias("_days"))
+    dense = band_expand(cohorts, cohort_day, width, "day", last_day)
+    upto = lambda field: F.aggregate(
+        F.filter("_days", lambda d: d["day"] <= F.col("day")), F.lit(0).cast("long"), lambda total, d: total + d[field])
+    return dense.select(*keys, cohort_day, (F.datediff("day", cohort_day) + 1).alias("day_no"), upto("new").alias("payers"), upto("cents").alias("pay_cents"))
 
 
 def ltv_net(cohort: DataFrame, orders: DataFrame, proxy: DataFrame, shares: DataFrame, costs: DataFrame, devices: DataFrame,

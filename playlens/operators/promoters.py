@@ -11,6 +11,7 @@ from playlens.functions.cleanse import platform_default, valid_device
 from playlens.operators.aggregates import count_distinct, zero_filled_union
 from playlens.operators.joins import ladder_ranges, range_lookup
 from playlens.operators.keyed import first_day_rows, first_row, running_total, sliced_row_number
+from playlens.session import write_stage
 
 # --- fixed values -------------------------------------------------------------------------------
 SETTLED = (4, 8)
@@ -220,7 +221,7 @@ def rebate_detail(base: DataFrame, promoters: DataFrame, tiers: DataFrame, tarif
     """
     keys = ["ym", "member_id", "game_id", "recharge_type"]
     graded = promoters.filter("member_grade = 1").select("member_id", "username", (F.col("status") + 1).alias("user_type"))
-    base = base.join(graded, "member_id")
+    base = write_stage(base.join(graded, "member_id"), "rebate-base")  # every tariff reads it
     def without_excluded(kind):
         dropped = tiers.filter((F.col("kind") == kind) & F.col("exclude_discount").isNotNull()).select(F.col("exclude_discount").alias("discount")).distinct()
         return base.join(dropped, "discount", "left_anti")
@@ -234,6 +235,7 @@ def rebate_detail(base: DataFrame, promoters: DataFrame, tiers: DataFrame, tarif
     approved_tiers = of_games(2, tiers.filter("kind = 2").select("group_num", "recharge_type", "min_number", "max_number", "scale", F.col("tel").alias("username")))
     approved = range_lookup(amounts(without_excluded(2)), approved_tiers, ["game_id", "recharge_type", "username"], "cents", "min_number", "max_number").select(
         *keys, "username", "user_type", "cents", "scale")
+    approved = write_stage(approved, "rebate-approved")
     taken = approved.select("member_id", "game_id").distinct()
     special_tiers = of_games(1, ladder_ranges(tiers.filter("kind = 1").select("group_num", "recharge_type", "min_number", "scale"), ["group_num", "recharge_type"], "min_number"))
     left = amounts(without_excluded(1)).join(taken, ["member_id", "game_id"], "left_anti")

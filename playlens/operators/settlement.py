@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playlens.operators.joins import ladder_rate, valid_on
+from playlens.operators.joins import ladder_rate, range_lookup, valid_on
 
 # --- fixed values -------------------------------------------------------------------------------
 STORE_PAY_TYPE = 5
@@ -31,32 +31,29 @@ def performance_first(regs: DataFrame, orders: DataFrame, games: DataFrame, mana
     )
     paid = orders.filter("status = 4").groupBy("day", "account", "game_id", "pay_type").agg(
         F.sum("cents").alias("cents"), F.sum(F.when(F.col("is_sandbox"), F.col("cents")).otherwise(0)).alias("box"))
-    homes = regs.select("account", "reg_day", "medium", "site", "package").distinct()
+    # one row per account and channel; its days are as few as the calendar has
+    homes = regs.groupBy("account", "medium", "site", "package").agg(F.collect_set("reg_day").alias("_days"))
     rows = spine.join(paid, ["day", "account", "game_id"], "left").join(homes, "account")
     keys = ["day", "game_id", "medium", "site", "package", "pay_type"]
     rows = rows.withColumn("pay_type", F.coalesce("pay_type", F.lit(UNPAID)))
-    # per account first, so that registrations can be counted without a distinct of their own
-    per_account = rows.groupBy(*keys, "account").agg(
-        F.coalesce(F.sum("cents"), F.lit(0)).alias("cents"), F.coalesce(F.sum("box"), F.lit(0)).alias("box"),
-        F.max(F.when(F.col("reg_day") == F.col("day"), 1).otherwise(0)).alias("reg"))
-    water = per_account.groupBy(*keys).agg(
-        F.sum("cents").alias("pay_water"), F.sum("box").alias("box_water"), F.sum("reg").cast("long").alias("regi_num"))
+    # money counts once per registration day of the account in the channel
+    times = lambda m: F.coalesce(F.sum(F.col(m) * F.size("_days")), F.lit(0))
+    water = rows.groupBy(*keys).agg(
+        times("cents").alias("pay_water"), times("box").alias("box_water"), F.count_if(F.array_contains("_days", F.col("day"))).alias("_reg"))
+    water = water.withColumnRenamed("_reg", "regi_num")
     head = managers.groupBy("package").agg(F.max("manager").alias("manager"))
     return water.join(games, "game_id").join(head, "package", "left").fillna("", ["manager"])
 
 
-def monthly_share(water: DataFrame, proxy: DataFrame, contracts: DataFrame, ladder: DataFrame, game: str) -> DataFrame:
+def monthly_share(net: DataFrame, contracts: DataFrame, ladder: DataFrame, game: str) -> DataFrame:
     """Share and slotting fee per month and game by the contract in force.
 
-    ``water`` (game, month, water), ``proxy`` (game, month, proxy) in cents; ``contracts`` (contract_id, game, my_rate,
+    ``net`` (game, month, net): recharge less that by proxy, in cents; ``contracts`` (contract_id, game, my_rate,
     division_rule, slotting_fee, start_month, end_month): rule 1 is fixed, others step up a ladder of net water
     that starts at ``my_rate``; ``ladder`` (contract_id, threshold, rate). Valid from start (included) to end (excluded).
     """
-    net = water.join(proxy, [game, "month"], "left").select(
-        game, "month", (F.col("water") - F.coalesce("proxy", F.lit(0))).alias("net"))
-    n, c = net.alias("n"), contracts.alias("c")
-    in_force = n.join(c, (F.col(f"n.{game}") == F.col(f"c.{game}")) & (F.col("n.month") >= F.col("c.start_month")) & (F.col("n.month") < F.col("c.end_month")))
-    in_force = in_force.select("n.*", "c.contract_id", "c.my_rate", "c.division_rule", "c.slotting_fee")
+    terms = contracts.select(game, "contract_id", "my_rate", "division_rule", "slotting_fee", "start_month", "end_month")
+    in_force = range_lookup(net, terms, [game], "month", "start_month", "end_month")
     steps = ladder.unionByName(contracts.select("contract_id", F.lit(0).cast("long").alias("threshold"), F.col("my_rate").alias("rate")))
     looked = in_force.withColumn("_net", F.greatest(F.col("net"), F.lit(0)))  # below zero counts as the first step
     rated = ladder_rate(looked, steps, ["contract_id"], "_net", "threshold")
@@ -66,19 +63,18 @@ def monthly_share(water: DataFrame, proxy: DataFrame, contracts: DataFrame, ladd
 
 def performance_second(daily: DataFrame, proxy: DataFrame, contracts: DataFrame, child_contracts: DataFrame, ladder: DataFrame) -> DataFrame:
     """Monthly share per child game: the child's own contract, else the parent's, else nothing."""
-    monthly = daily.groupBy(F.trunc("day", "month").alias("month"), "parent_game_id", "child_game_id").agg(F.sum("pay_water").alias("water"))
-    proxied = proxy.groupBy(F.trunc("day", "month").alias("month"), "parent_game_id", "child_game_id").agg(F.sum("proxy_cents").alias("proxy"))
-    def by(game):
-        add = lambda df, m: df.groupBy(game, "month").agg(F.sum(m).alias(m))
-        return add(monthly, "water"), add(proxied, "proxy")
-    parent = monthly_share(*by("parent_game_id"), contracts, ladder, "parent_game_id").withColumnsRenamed({"slotting_fee": "p_fee", "division_rule": "p_rule"})
-    child = monthly_share(*by("child_game_id"), child_contracts, ladder, "child_game_id").withColumnsRenamed({"slotting_fee": "c_fee", "division_rule": "c_rule"})
+    keys = ["month", "parent_game_id", "child_game_id"]
+    month = F.trunc("day", "month").alias("month")
+    water = daily.select(month, "parent_game_id", "child_game_id", F.col("pay_water").alias("net"), F.lit(True).alias("seen"))
+    less = proxy.select(month, "parent_game_id", "child_game_id", (-F.col("proxy_cents")).alias("net"), F.lit(None).cast("boolean").alias("seen"))
+    # one shuffle of the days serves the parents, the children and the result
+    monthly = water.unionByName(less).groupBy(*keys).agg(F.sum("net").alias("net"), F.max("seen").alias("seen")).filter("seen")
+    by = lambda game: monthly.groupBy(game, "month").agg(F.sum("net").alias("net"))
+    parent = monthly_share(by("parent_game_id"), contracts, ladder, "parent_game_id").withColumnsRenamed({"slotting_fee": "p_fee", "division_rule": "p_rule"})
+    child = monthly_share(by("child_game_id"), child_contracts, ladder, "child_game_id").withColumnsRenamed({"slotting_fee": "c_fee", "division_rule": "c_rule"})
     pick = lambda a, b: F.coalesce(F.col(a), F.col(b), F.lit(0))
-    return (
-        monthly.select("month", "parent_game_id", "child_game_id")
-        .join(parent, ["parent_game_id", "month"], "left").join(child, ["child_game_id", "month"], "left")
-        .select("month", "parent_game_id", "child_game_id", pick("c_fee", "p_fee").alias("slotting_fee"), pick("c_rule", "p_rule").alias("division_rule"))
-    )
+    return monthly.join(parent, ["parent_game_id", "month"], "left").join(child, ["child_game_id", "month"], "left").select(
+        *keys, pick("c_fee", "p_fee").alias("slotting_fee"), pick("c_rule", "p_rule").alias("division_rule"))
 
 
 def bill_percent(bill_type) -> Column:

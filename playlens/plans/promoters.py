@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import functions as F
 
 from playlens.functions.cleanse import valid_orders
 from playlens.operators import promoters
 from playlens.plans import plan
+from playlens.session import write_stage
 from playlens.sources import roles
 
 OWNER = """WITH cand AS (SELECT account, reg_ts, owner_id AS owner FROM l_regs WHERE coalesce(owner_id, 0) <> 0
@@ -27,8 +30,14 @@ def account_map(spark, sf):
     return promoters.account_owner_map(roles.account_regs(spark, sf), roles.promoters(spark, sf), roles.ledger(spark, sf))
 
 
+@lru_cache(maxsize=None)
+def _stored_map(spark, app: str, sf: str):
+    return write_stage(account_map(spark, sf), "account-map")
+
+
 def base(spark, sf):
-    return account_map(spark, sf), roles.ledger(spark, sf), roles.promoters(spark, sf)
+    """The account map is a detail table: written once per session, read by all reports."""
+    return _stored_map(spark, spark.sparkContext.applicationId, sf), roles.ledger(spark, sf), roles.promoters(spark, sf)
 
 
 def logins(spark, sf):
@@ -196,7 +205,9 @@ RESULT = "CAST(round(sub_cents * scale / 100) AS BIGINT) AS rebate_cents"
 
 def _sub_inputs(spark, sf, skip_special: bool):
     from playlens.operators.keyed import running_total
-    rows = detail(spark, sf).filter("channel_id <> 6")
+    # a stage table: months of members and games, small beside the order lines
+    rows = detail(spark, sf).filter("channel_id <> 6").groupBy("member_id", "ym", "game_id").agg(F.sum("cents").alias("cents"))
+    rows = write_stage(rows, "rebate-months")
     monthly = rows.groupBy("member_id", "ym").agg(F.sum("cents").alias("cents"))
     cumulative = running_total(rows, ["member_id"], "ym", ["cents"]).select("member_id", "ym", F.col("total_cents").alias("cents"))
     counted = rows.filter(~F.col("game_id").isin(3, 5)) if skip_special else rows
