@@ -99,7 +99,7 @@ def hierarchy(members: DataFrame, member: str = "member_id", owner: str = "owner
     ).drop("_owner_name")
 
 
-def co_usage(df: DataFrame, entity: str, item: str, blocks: int | None = None, chunk: int = 20_000) -> DataFrame:
+def co_usage(df: DataFrame, entity: str, item: str, blocks: int | None = None, chunk: int = 4_096) -> DataFrame:
     """For each ordered pair of items, the number of entities that used both.
 
     Computed as a blocked product of the entity-by-item incidence matrix with its transpose. Rows are

@@ -27,7 +27,8 @@ def ad_clicks(spark, sf):
 
 
 def ad_actives(spark, sf):
-    return attribution.first_activations(_traits(roles.actives(spark, sf)).withColumnRenamed("event_id", "active_id"))
+    rows = _traits(roles.actives(spark, sf)).withColumnRenamed("event_id", "active_id")
+    return attribution.first_activations(rows.select("active_id", "active_ts", "day", "game_id", "os", "device", "android_id", "ip", "dev_type", "sys_version"))
 
 
 @lru_cache(maxsize=None)
@@ -147,7 +148,8 @@ def _stats_sql(keys: str) -> str:
 
 def _renamed(df):
     """The package, network and creative of the click are those of all that follows from it."""
-    return df.drop("package", "network", "idea_id").withColumnsRenamed({"click_package": "package", "click_network": "network", "click_idea_id": "idea_id"})
+    df = df.drop("package", "network", "idea_id")
+    return df.withColumnsRenamed({"click_package": "package", "click_network": "network", "click_idea_id": "idea_id"})
 
 
 def stats(spark, sf, keys):

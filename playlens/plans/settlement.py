@@ -10,6 +10,7 @@ from playlens.operators.aggregates import roll_up
 from playlens.operators.joins import valid_on
 from playlens.plans import plan
 from playlens.plans.activity import PACKAGE, PK
+from playlens.session import write_stage
 from playlens.sources import roles
 
 GAMES = "(SELECT * FROM g_games WHERE state = 0)"
@@ -72,11 +73,11 @@ def item_days(spark, sf):
     daily = roles.items(spark, sf).groupBy("child_game_id", "day").agg(
         F.sum("cents").alias("pay_water"), F.sum(F.when(F.col("flag") == "A", F.col("cents")).otherwise(0)).alias("apple_water"),
         F.sum(F.when(F.col("discount") > 8, F.expr("cents div 4")).otherwise(0)).alias("behalf_water"))
-    return daily.join(g, "child_game_id")
+    # the first step's result is a stored table, from which shares and profit are computed
+    return write_stage(daily.join(g, "child_game_id"), "performance-days")
 
 
-def shares(spark, sf):
-    daily = item_days(spark, sf)
+def shares(spark, sf, daily):
     d = lambda x: F.lit(x).cast("date")
     p, b = roles.games(spark, sf).select("parent_game_id").distinct(), F.col("parent_game_id")
     contract = lambda cid, rate, rule, fee, start, end: F.struct(
@@ -95,7 +96,7 @@ def shares(spark, sf):
 
 @plan("performance_second", ITEM + "SELECT * FROM ps")
 def performance_second(spark, sf):
-    return shares(spark, sf)
+    return shares(spark, sf, item_days(spark, sf))
 
 
 @plan("profit", ITEM + """, pre AS (SELECT it.child_game_id, it.day, it.pay_water, it.apple_water, it.behalf_water, it.behalf_water // 20 AS behalf_cost, it.pay_water // 10 AS publish_cost,
@@ -105,9 +106,10 @@ def performance_second(spark, sf):
  SELECT child_game_id, day, CAST(round(cost) AS BIGINT) AS cp_cost,
   CAST(round((pay_water - behalf_water) * 0.99::DOUBLE - cost - publish_cost - behalf_cost - (apple_water - behalf_water) * 0.3::DOUBLE) AS BIGINT) AS profit FROM cst""")
 def profit(spark, sf):
-    daily = item_days(spark, sf).withColumns({"month": F.trunc("day", "month"), "bill_type": F.col("parent_game_id") % 4,
+    stored = item_days(spark, sf)
+    daily = stored.withColumns({"month": F.trunc("day", "month"), "bill_type": F.col("parent_game_id") % 4,
                                               "behalf_cost": F.expr("behalf_water div 20"), "publish_cost": F.expr("pay_water div 10")})
-    joined = daily.join(shares(spark, sf).drop("parent_game_id"), ["child_game_id", "month"], "left").fillna(0, ["slotting_fee", "division_rule"])
+    joined = daily.join(shares(spark, sf, stored).drop("parent_game_id"), ["child_game_id", "month"], "left").fillna(0, ["slotting_fee", "division_rule"])
     return settlement.profit(joined).select("child_game_id", "day", "cp_cost", "profit")
 
 

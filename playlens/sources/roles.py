@@ -20,8 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def as_events(ev: DataFrame) -> DataFrame:
     """The event log with the fields that game logs carry. Works on streams too."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    user = F.col("user_id")
+    # each step is a column before the next uses it, so that JSON and text are parsed once per row
+    base = ev.select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "user_id",
+        F.round(F.col("value") * 100).cast("long").alias("cents"), F.get_json_object("props", "$.k").cast("int").alias("k"))
+    k, user = F.col("k"), F.col("user_id")
     channel = (
         F.when(k % 11 == 0, None).when(k % 13 == 0, "").when(k % 17 == 0, "m1")
         .otherwise(F.concat(F.lit("m"), k % 4, F.lit("_s"), k % 3, F.lit("_p"), k % 20))
@@ -29,19 +32,15 @@ def as_events(ev: DataFrame) -> DataFrame:
     device = F.when(user % 29 == 0, "").otherwise(
         F.concat(F.lit("d"), F.floor(user / 3).cast("long"), F.lit("&a"), F.floor(user / 6).cast("long"), F.lit("&"))
     )
-    ch, dv = split_channel(F.col("expand_channel")), split_device(F.col("device"))
-    return (
-        ev.withColumn("ts", F.col("ts").cast("timestamp"))
-        .withColumns({"k": k, "expand_channel": channel, "device": device})
-        .select(
-            "event_id", "ts", F.to_date("ts").alias("day"), "event_type", "k", "user_id",
-            F.concat(F.lit("acc"), user).alias("account"), (k % 10).alias("game_id"), "expand_channel",
-            ch["medium"].alias("medium"), ch["site"].alias("site"), ch["package"].alias("package"),
-            dv["imei"].alias("imei"), dv["android_id"].alias("android_id"),
-            F.concat(F.lit("10.0."), user % 16, F.lit("."), k % 8).alias("ip"),
-            (user % 2 + 1).cast("int").alias("os"),
-            F.round(F.col("value") * 100).cast("long").alias("cents"),
-        )
+    raw = base.withColumns({"expand_channel": channel, "device": device})
+    ch, dv = split_channel("expand_channel"), split_device("device")
+    return raw.select(
+        "event_id", "ts", F.to_date("ts").alias("day"), "event_type", "k", "user_id",
+        F.concat(F.lit("acc"), user).alias("account"), (k % 10).alias("game_id"), "expand_channel",
+        ch["medium"].alias("medium"), ch["site"].alias("site"), ch["package"].alias("package"),
+        dv["imei"].alias("imei"), dv["android_id"].alias("android_id"),
+        F.concat(F.lit("10.0."), user % 16, F.lit("."), k % 8).alias("ip"),
+        (user % 2 + 1).cast("int").alias("os"), "cents",
     )
 
 
