@@ -57,7 +57,7 @@ def coupon_remaining(trans: DataFrame, orders: DataFrame, settled: list[int], be
     """What is left on the coupons of settled orders before a day, and its cash value, per day of the last movement."""
     issued = trans.filter((F.col("kind") == ISSUE) & (F.col("order_id") > 0)).select("coupon_id", "order_id").join(_with_percent(orders, settled), "order_id")
     moves = trans.filter(F.col("day") < F.lit(before).cast("date")).select("coupon_id", "day", "tran_id", "amount")
-    last = last_row(moves, ["coupon_id"], ["day", "tran_id"])
+    last = last_row(moves, ["coupon_id"], ["day", "tran_id", "amount"])
     return last.join(issued.select("coupon_id", "percent"), "coupon_id").groupBy("day").agg(
         F.sum("amount").alias("remaining"), _value("amount").alias("remaining_cash"))
 

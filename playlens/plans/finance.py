@@ -48,7 +48,7 @@ def coupon_ledger(spark, sf):
 
 
 @plan("coupon_remaining", FIN + """SELECT l.day, CAST(sum(l.amount) AS BIGINT) AS remaining, CAST(round(sum(l.amount * o.percent) / 100) AS BIGINT) AS remaining_cash
-  FROM (SELECT coupon_id, arg_max(amount, (day, tran_id)) AS amount, max(day) AS day FROM ft WHERE day < DATE '1999-06-01' GROUP BY ALL) l JOIN ft i ON i.coupon_id = l.coupon_id AND i.kind = 0 AND i.order_id > 0 JOIN fo o ON o.order_no = i.order_id AND o.status = 4 GROUP BY l.day""")
+  FROM (SELECT coupon_id, arg_max(amount, (day, tran_id, amount)) AS amount, max(day) AS day FROM ft WHERE day < DATE '1999-06-01' GROUP BY ALL) l JOIN ft i ON i.coupon_id = l.coupon_id AND i.kind = 0 AND i.order_id > 0 JOIN fo o ON o.order_no = i.order_id AND o.status = 4 GROUP BY l.day""")
 def coupon_remaining(spark, sf):
     return finance.coupon_remaining(fin_trans(spark, sf), fin_orders(spark, sf), [4], "1999-06-01")
 
