@@ -7,8 +7,8 @@ from functools import lru_cache
 from pyspark.sql import functions as F
 
 from playlens.functions.cleanse import device_hash, valid_orders
-from playlens.operators import activity, attribution, cohort
-from playlens.operators.aggregates import count_distinct, zero_filled_union
+from playlens.operators import attribution, cohort
+from playlens.operators.aggregates import zero_filled_union
 from playlens.plans import plan
 from playlens.session import write_stage
 from playlens.sources import roles

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from playlens.functions.cleanse import valid_orders
 from playlens.operators import activity, cohort
-from playlens.operators.keyed import first_row
 from playlens.plans import plan
 from playlens.sources import roles
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from playlens.functions.cleanse import device_hash, norm_account, split_channel, split_device, valid_orders
+from playlens.functions.cleanse import norm_account, split_channel, split_device, valid_orders
 from playlens.operators import cohort
 from playlens.plans import plan
 from playlens.session import work_folder
