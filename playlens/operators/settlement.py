@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from playlens.operators.aggregates import zero_filled_union
 from playlens.operators.joins import ladder_rate, range_lookup, valid_on
 
 # --- fixed values -------------------------------------------------------------------------------
@@ -147,6 +148,22 @@ def rank_effect(purchases: DataFrame, regs: DataFrame, orders: DataFrame, shares
     return out.select("game_id", "day", "cost_cents", "recharge", (F.col("recharge") - own).alias("cp_cost"), (own - F.col("cost_cents")).alias("profit"))
 
 
+def rank_effect_monthly(purchases: DataFrame, regs: DataFrame, orders: DataFrame, shares: DataFrame) -> DataFrame:
+    """Per ranking purchase and month of recharge: what those who registered on its days paid, the developer's part, and
+    profit; the purchase itself counts in the month it starts."""
+    spent = orders.groupBy("account", F.trunc("day", "month").alias("month")).agg(F.sum("cents").alias("cents"))
+    born = regs.select("game_id", "account", "reg_day").distinct()
+    # per game, registration day and month first: only these sums meet the purchases
+    monthly = born.join(spent, "account").groupBy("game_id", F.col("reg_day").alias("day"), "month").agg(F.sum("cents").alias("cents"))
+    days = purchases.select("rank_id", "game_id", F.explode(F.sequence("start_day", "end_day", F.expr("interval 1 day"))).alias("day"))
+    paid = days.join(monthly, ["game_id", "day"]).join(shares, ["game_id", "month"], "left").groupBy("rank_id", "game_id", "month").agg(
+        F.sum("cents").alias("recharge"), F.sum(F.col("cents") * F.coalesce("percent", F.lit(0))).alias("own"))
+    bought = purchases.select("rank_id", "game_id", F.trunc("start_day", "month").alias("month"), F.col("cost_cents"))
+    whole = zero_filled_union([paid, bought], ["rank_id", "game_id", "month"], ["recharge", "own", "cost_cents"])
+    own = F.round(F.col("own") / 100).cast("long")
+    return whole.select("rank_id", "game_id", "month", "cost_cents", "recharge", (F.col("recharge") - own).alias("cp_cost"), (own - F.col("cost_cents")).alias("profit"))
+
+
 def day_report(kpi: DataFrame, actions: DataFrame, keys: list[str]) -> DataFrame:
     """The day's KPIs with the actions of the same key; days without actions stay."""
     numbers = [c for c in actions.columns if c not in keys]

@@ -159,6 +159,22 @@ def rank_effect(spark, sf):
     return settlement.rank_effect(buy, roles.regs(spark, sf), orders, percent)
 
 
+@plan("rank_effect_monthly", """WITH buy AS (SELECT p_partkey AS rank_id, CAST(p_partkey % 10 AS INT) AS game_id, DATE '2024-01-01' + CAST(p_size % 10 AS INT) AS s, DATE '2024-01-01' + CAST(p_size % 10 + p_partkey % 7 AS INT) AS e, CAST(p_retailprice * 100 AS BIGINT) AS cost FROM part),
+ m AS (SELECT r.game_id, r.reg_day, CAST(date_trunc('month', o.day) AS DATE) AS month, sum(o.cents) AS c FROM (SELECT DISTINCT game_id, account, reg_day FROM g_regs) r JOIN (SELECT * FROM g_paid WHERE status = 4) o USING (account) GROUP BY ALL),
+ u AS (SELECT b.rank_id, b.game_id, m.month, m.c AS recharge, m.c * (b.game_id * 5 + 10) AS own, 0 AS cost FROM buy b JOIN m ON m.game_id = b.game_id AND m.reg_day BETWEEN b.s AND b.e
+   UNION ALL SELECT rank_id, game_id, CAST(date_trunc('month', s) AS DATE), 0, 0, cost FROM buy),
+ g AS (SELECT rank_id, game_id, month, CAST(sum(cost) AS BIGINT) AS cost_cents, CAST(sum(recharge) AS BIGINT) AS recharge, CAST(round(sum(own) / 100) AS BIGINT) AS own FROM u GROUP BY ALL)
+ SELECT rank_id, game_id, month, cost_cents, recharge, recharge - own AS cp_cost, own - cost_cents AS profit FROM g""")
+def rank_effect_monthly(spark, sf):
+    p = roles.table(spark, sf, "part")
+    first = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("p_size") % 10).cast("int"))
+    buy = p.select(F.col("p_partkey").alias("rank_id"), (F.col("p_partkey") % 10).cast("int").alias("game_id"), first.alias("start_day"),
+                   F.date_add(first, (F.col("p_partkey") % 7).cast("int")).alias("end_day"), F.round(F.col("p_retailprice") * 100).cast("long").alias("cost_cents"))
+    orders = valid_orders(roles.game_orders(spark, sf), refunds=False)
+    percent = roles.regs(spark, sf).select("game_id").distinct().select("game_id", F.lit("2024-01-01").cast("date").alias("month"), (F.col("game_id") * 5 + 10).cast("long").alias("percent"))
+    return settlement.rank_effect_monthly(buy, roles.regs(spark, sf), orders, percent)
+
+
 @plan("rollup_migration", f"SELECT game_id, day, CAST(sum(n) AS BIGINT) AS new_devices FROM (SELECT {PK}, day, count(*) AS n FROM (SELECT {PK}, imei, min(day) AS day FROM g_regs WHERE imei <> '' GROUP BY ALL) GROUP BY ALL) GROUP BY ALL")
 def rollup_migration(spark, sf):
     return roll_up(activity.new_device_kpi(roles.regs(spark, sf), PACKAGE, "day"), ["game_id", "day"], ["new_devices"])
