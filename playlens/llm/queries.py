@@ -29,3 +29,10 @@ def suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from playlens.llm.suffixes import strip_repeats
 
     return strip_repeats(read(spark, folder, "documents")).drop("kept")
+
+
+@query("op1_substring_dedup")
+def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from playlens.llm.substrings import strip_substrings
+
+    return strip_substrings(read(spark, folder, "documents")).drop("kept")
