@@ -36,3 +36,28 @@ def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from playlens.llm.substrings import strip_substrings
 
     return strip_substrings(read(spark, folder, "documents")).drop("kept")
+
+
+@query("op10_line_dedup", """
+WITH l AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents
+), f AS (
+    SELECT doc_id, line_no, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS pos
+    FROM l WHERE trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''
+), w AS (
+    SELECT doc_id, pos, line || chr(10) || lead(line) OVER d || chr(10) || lead(line, 2) OVER d AS run FROM f WINDOW d AS (PARTITION BY doc_id ORDER BY pos)
+), later AS (
+    SELECT doc_id, pos FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS n FROM w WHERE run IS NOT NULL) WHERE n > 1
+), gone AS (
+    SELECT DISTINCT f.doc_id, f.line_no FROM f JOIN later USING (doc_id) WHERE f.pos BETWEEN later.pos AND later.pos + 2
+)
+SELECT d.doc_id, coalesce(n.n_lines, 0) AS n_lines, coalesce(g.n_removed, 0) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM documents d
+LEFT JOIN (SELECT doc_id, count(*) AS n_lines FROM f GROUP BY 1) n USING (doc_id)
+LEFT JOIN (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY 1) g USING (doc_id)
+LEFT JOIN (SELECT doc_id, string_agg(line, chr(10) ORDER BY line_no) AS kept FROM l ANTI JOIN gone USING (doc_id, line_no) GROUP BY 1) k USING (doc_id)
+""")
+def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from playlens.llm.lines import strip_lines
+
+    return strip_lines(read(spark, folder, "documents")).drop("kept")

@@ -128,12 +128,15 @@ def byte_symbols(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return flat, offsets
 
 
+def filled_lines(text: bytes) -> list[bytes]:
+    """The lines that hold more than white space, without white space at their ends."""
+    return [line for line in map(bytes.strip, text.split(b"\n")) if line]
+
+
 def line_symbols(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A hash for each ``\\n``-separated line of each row (an empty row has one empty line)."""
-    hashes, counts = [], [0]
-    data = flat.tobytes()
+    """A hash for each filled line and the offsets of the rows in lines."""
+    hashes, counts, data = [], [0], flat.tobytes()
     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-        lines = data[a:b].split(b"\n")
-        hashes.extend(map(xxhash.xxh3_64_intdigest, lines))
-        counts.append(len(lines))
-    return np.array(hashes, U64), np.cumsum(counts)
+        hashes.extend(map(xxhash.xxh3_64_intdigest, filled_lines(data[a:b])))
+        counts.append(len(hashes))
+    return np.array(hashes, U64), np.array(counts)

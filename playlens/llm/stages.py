@@ -6,7 +6,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlens.session import write_stage
@@ -14,7 +15,7 @@ from playlens.session import write_stage
 NO_ID = -(1 << 63)  # stands for a null id inside an operator; sorts before all others
 BATCH_ROWS = 1_000
 
-__all__ = ["write_stage", "keyed", "small_batches", "map_arrow", "array_column", "table", "sha256_hex"]
+__all__ = ["write_stage", "keyed", "without", "with_text", "map_arrow", "array_column", "table", "hash_bitmap", "in_bitmap", "original_id"]
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -28,12 +29,33 @@ def keyed(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Dat
     ``doc_key`` is the id, or ``NO_ID`` for null. ``rid`` is 0 while every id is unique and not null, else a hash
     of the text, so rows that share an id but not their text stay apart. Rows equal in both are one document.
     """
+    key, rid = _keys(docs, id_column, text)
+    return docs.select(key.alias("doc_key"), rid.alias("rid"), F.col(text).alias("text"))
+
+
+def _keys(docs: DataFrame, id_column: str, text: str) -> tuple[Column, Column]:
     small_batches(docs.sparkSession)
     key = F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID).cast("long"))
     odd = docs.groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | (F.col("k") == NO_ID))
     unique = not odd.limit(1).count()
-    rid = F.lit(0).cast("long") if unique else F.xxhash64(F.col(text), F.col(text).isNull())
-    return docs.select(key.alias("doc_key"), rid.alias("rid"), F.col(text).alias("text"))
+    return key, F.lit(0).cast("long") if unique else F.xxhash64(F.col(text), F.col(text).isNull())
+
+
+def without(docs: DataFrame, dropped: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows of ``docs``, all columns, whose (doc_key, rid) is not in ``dropped``."""
+    key, rid = _keys(docs, id_column, text)
+    names = docs.columns
+    row = docs.select(key.alias("doc_key"), rid.alias("rid"), F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"))
+    return row.join(dropped, ["doc_key", "rid"], "left_anti").select("row.*")
+
+
+def with_text(docs: DataFrame, texts: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows of ``docs``, all columns, with the text that (doc_key, rid, new_text) gives; rows without one go."""
+    key, rid = _keys(docs, id_column, text)
+    names = docs.columns
+    row = docs.select(key.alias("doc_key"), rid.alias("rid"), F.struct(*(F.col(f"`{c}`") for c in names if c != text)).alias("row"))
+    joined = row.join(texts.dropDuplicates(["doc_key", "rid"]), ["doc_key", "rid"])
+    return joined.select(*(F.col("new_text").alias(text) if c == text else F.col(f"row.`{c}`") for c in names))
 
 
 def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
@@ -48,5 +70,24 @@ def table(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in columns.items()})
 
 
-def original_id(column: str = "doc_key") -> F.Column:
+BITS = 1 << 24  # of a bitmap of hashes: 2 MB, whatever it stands for
+
+
+def hash_bitmap(df: DataFrame, column: str) -> Broadcast:
+    """A fixed-size bitmap of the top bits of 64-bit hashes, broadcast. What it lets pass still has to be joined."""
+    bit = F.shiftrightunsigned(F.col(column), 40)
+    words = df.select(bit.alias("bit")).groupBy(F.shiftright("bit", 5).cast("int").alias("word")).agg(
+        F.bit_or(F.shiftleft(F.lit(1).cast("long"), (F.col("bit") % 32).cast("int"))).alias("bits"))
+    bitmap = np.zeros(BITS // 32, np.uint32)
+    for word, bits in words.collect():  # one row per 32 bits at most
+        bitmap[word] = bits
+    return df.sparkSession.sparkContext.broadcast(bitmap)
+
+
+def in_bitmap(hashes: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    bit = hashes >> np.uint64(40)
+    return (bitmap[bit >> np.uint64(5)] >> (bit & np.uint64(31)).astype(np.uint32)) & np.uint32(1) > 0
+
+
+def original_id(column: str = "doc_key") -> Column:
     return F.when(F.col(column) != NO_ID, F.col(column))
