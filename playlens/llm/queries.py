@@ -61,3 +61,10 @@ def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from playlens.llm.lines import strip_lines
 
     return strip_lines(read(spark, folder, "documents")).drop("kept")
+
+
+@query("op5_benchmark_decontamination")
+def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    from playlens.llm.decontaminate import judged
+
+    return judged(read(spark, folder, "documents"), read(spark, folder, "benchmark"))

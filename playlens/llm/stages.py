@@ -77,7 +77,7 @@ def hash_bitmap(df: DataFrame, column: str) -> Broadcast:
     """A fixed-size bitmap of the top bits of 64-bit hashes, broadcast. What it lets pass still has to be joined."""
     bit = F.shiftrightunsigned(F.col(column), 40)
     words = df.select(bit.alias("bit")).groupBy(F.shiftright("bit", 5).cast("int").alias("word")).agg(
-        F.bit_or(F.shiftleft(F.lit(1).cast("long"), (F.col("bit") % 32).cast("int"))).alias("bits"))
+        F.expr("bit_or(shiftleft(1L, cast(bit % 32 as int)))").alias("bits"))
     bitmap = np.zeros(BITS // 32, np.uint32)
     for word, bits in words.collect():  # one row per 32 bits at most
         bitmap[word] = bits
