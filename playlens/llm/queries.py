@@ -68,3 +68,24 @@ def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     from playlens.llm.decontaminate import judged
 
     return judged(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+@query("op7_minhash_near_dedup", """
+WITH RECURSIVE t AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]] ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS h FROM t
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1), pairs AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_have FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT x, y FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * both_have >= 80 * (p.n + q.n - both_have)
+), edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links), reach AS (
+    SELECT x AS node, x AS seen FROM edges UNION SELECT r.node, e.y FROM reach r JOIN edges e ON e.x = r.seen
+), low AS (SELECT node, min(seen) AS top FROM reach GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(top, d.doc_id) AS component_id, d.doc_id = coalesce(top, d.doc_id) AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN low ON low.node = d.doc_id
+""")
+def minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from playlens.llm.neardup import near_duplicates
+
+    return near_duplicates(read(spark, folder, "documents"), size=2).drop("n_links")
