@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from playlens.llm.urls import BLOCKED
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 CHECKS: dict[str, str] = {}
@@ -89,3 +92,31 @@ def minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from playlens.llm.neardup import near_duplicates
 
     return near_duplicates(read(spark, folder, "documents"), size=2).drop("n_links")
+
+
+def _like(glob: str) -> str:
+    """A glob of the URL filter as a SQL condition on ``full``, the canonical URL."""
+    pattern = "".join(".*" if p == "**" else "[^/]*" if p == "*" else re.escape(p) for p in re.split(r"(\*\*|\*)", glob))
+    return f"regexp_full_match(full_url, '(?s){pattern}')"
+
+
+@query("op3_url_filters", f"""
+WITH u AS (
+    SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), r AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM u
+), p AS (
+    SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM r
+), f AS (SELECT *, '.' || host || path AS full_url,
+    CASE WHEN ('.' || host) LIKE '%.www.example.com' AND path LIKE '/en/%' THEN 'www.example.com/en/'
+         WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/en/%' THEN 'example.com/en/'
+         WHEN ('.' || host) LIKE '%.net' AND path LIKE '/es/%' THEN 'net/es/'
+         WHEN ('.' || host) LIKE '%.net' AND path LIKE '/fr/%' THEN 'net/fr/'
+         WHEN ('.' || host) LIKE '%.com' AND path LIKE '/%' THEN 'com/' END AS rule FROM p
+)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+    WHEN {" OR ".join(map(_like, BLOCKED))} THEN 'block' ELSE 'allow' END AS verdict FROM f
+""")
+def url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    from playlens.llm.urls import judged
+
+    return judged(read(spark, folder, "pages"))
