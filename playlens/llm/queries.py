@@ -120,3 +120,10 @@ def url_filters(spark: SparkSession, folder: str) -> DataFrame:
     from playlens.llm.urls import judged
 
     return judged(read(spark, folder, "pages"))
+
+
+@query("op8_html_extraction")
+def html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    from playlens.llm.html import extracted
+
+    return extracted(read(spark, folder, "pages"))

@@ -15,7 +15,7 @@ from playlens.session import write_stage
 NO_ID = -(1 << 63)  # stands for a null id inside an operator; sorts before all others
 BATCH_ROWS = 1_000
 
-__all__ = ["write_stage", "keyed", "without", "with_text", "map_arrow", "array_column", "table", "hash_bitmap", "in_bitmap", "original_id"]
+__all__ = ["write_stage", "keyed", "key_columns", "small_batches", "without", "with_text", "map_arrow", "array_column", "table", "hash_bitmap", "in_bitmap", "original_id"]
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -29,11 +29,11 @@ def keyed(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Dat
     ``doc_key`` is the id, or ``NO_ID`` for null. ``rid`` is 0 while every id is unique and not null, else a hash
     of the text, so rows that share an id but not their text stay apart. Rows equal in both are one document.
     """
-    key, rid = _keys(docs, id_column, text)
+    key, rid = key_columns(docs, id_column, text)
     return docs.select(key.alias("doc_key"), rid.alias("rid"), F.col(text).alias("text"))
 
 
-def _keys(docs: DataFrame, id_column: str, text: str) -> tuple[Column, Column]:
+def key_columns(docs: DataFrame, id_column: str, text: str) -> tuple[Column, Column]:
     small_batches(docs.sparkSession)
     key = F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID).cast("long"))
     odd = docs.groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | (F.col("k") == NO_ID))
@@ -43,7 +43,7 @@ def _keys(docs: DataFrame, id_column: str, text: str) -> tuple[Column, Column]:
 
 def without(docs: DataFrame, dropped: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``docs``, all columns, whose (doc_key, rid) is not in ``dropped``."""
-    key, rid = _keys(docs, id_column, text)
+    key, rid = key_columns(docs, id_column, text)
     names = docs.columns
     row = docs.select(key.alias("doc_key"), rid.alias("rid"), F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"))
     return row.join(dropped, ["doc_key", "rid"], "left_anti").select("row.*")
@@ -51,7 +51,7 @@ def without(docs: DataFrame, dropped: DataFrame, id_column: str = "doc_id", text
 
 def with_text(docs: DataFrame, texts: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``docs``, all columns, with the text that (doc_key, rid, new_text) gives; rows without one go."""
-    key, rid = _keys(docs, id_column, text)
+    key, rid = key_columns(docs, id_column, text)
     names = docs.columns
     row = docs.select(key.alias("doc_key"), rid.alias("rid"), F.struct(*(F.col(f"`{c}`") for c in names if c != text)).alias("row"))
     joined = row.join(texts.dropDuplicates(["doc_key", "rid"]), ["doc_key", "rid"])
