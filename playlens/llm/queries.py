@@ -127,3 +127,15 @@ def html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     from playlens.llm.html import extracted
 
     return extracted(read(spark, folder, "pages"))
+
+
+TOKENIZER = "byte_bpe_multi_50k.tiktoken"
+
+
+@query("op2_byte_bpe")
+def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from playlens.llm.bpe import encoded
+
+    return encoded(read(spark, folder, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN, columns=("doc_id", "n_tokens", "ids_sha256", "decoded_sha256"))
