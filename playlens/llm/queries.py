@@ -139,3 +139,17 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     from playlens.llm.bpe import encoded
 
     return encoded(read(spark, folder, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN, columns=("doc_id", "n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+@query("op4_quality_rules")
+def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    from playlens.llm.quality import judged
+
+    return judged(read(spark, folder, "documents")).drop("lang")
+
+
+@query("op6_language_id")
+def language_id(spark: SparkSession, folder: str) -> DataFrame:
+    from playlens.llm.langid import predicted
+
+    return predicted(read(spark, folder, "documents"))
