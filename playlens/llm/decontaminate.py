@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlens.llm.rolling import U64, PrefixHash, mix
-from playlens.llm.stages import array_column, hash_bitmap, in_bitmap, keyed, map_arrow, original_id, table
+from playlens.llm.stages import array_column, hash_bitmap, in_bitmap, keyed, map_arrow, original_id, table, without
 
 WINDOW = 8  # template tokens that meet in the join
 RUN = 13  # template tokens in a row that count as a leak, or a whole shorter benchmark text
@@ -182,3 +182,8 @@ def judged(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", tex
         original_id().alias(id_column), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), original_id("best.item_key").alias("item_id"),
         F.coalesce(-F.col("best.less"), F.lit(0)).cast("long").alias("n_tokens"), F.col("best").isNull().alias("kept"))
 
+
+def clean(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """The rows of ``docs``, all columns, that hold no benchmark text."""
+    held = leaks(keyed(docs, id_column, text), benchmark, **settings).select("doc_key", "rid").distinct()
+    return without(docs, held, id_column, text)

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ SAMPLE_DOCS, SAMPLE_SPANS = 200, 8
 STEPS, BATCH, RATE, SEED = 300, 192, 0.03, 7
 AT_ONCE = 4_096  # stretches that step together
 UNKNOWN = "und"
+LEAST_SCORE = 0.35  # below it no language stands out
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -78,6 +80,67 @@ class Network:
                 part[t] = h
         return out
 
+    def _step(self, side: int):
+        """One step of a layer for prediction: states and gates lie feature by feature, so all work is on long rows.
+
+        The halves of the logistic function lie in the parameters, buffers are used again.
+        """
+        half = np.ones(3 * HIDDEN, np.float32)
+        half[: 2 * HIDDEN] = 0.5
+        rows, u = np.ascontiguousarray((self.inputs[side] * half).T), np.ascontiguousarray((self.recurrent[side] * half).T)
+        buffers: dict[int, tuple] = {}
+
+        def step(h: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+            n = h.shape[1]
+            if n not in buffers:
+                buffers[n] = np.empty((3 * HIDDEN, n), np.float32), np.empty((3 * HIDDEN, n), np.float32)
+            x, w = buffers[n]
+            np.take(rows, symbols, axis=1, out=x, mode="clip")
+            np.matmul(u, h, out=w)
+            gates, new = x[: 2 * HIDDEN], x[2 * HIDDEN:]
+            gates += w[: 2 * HIDDEN]
+            np.tanh(gates, out=gates)
+            gates *= 0.5
+            gates += 0.5
+            w[2 * HIDDEN:] *= gates[:HIDDEN]
+            new += w[2 * HIDDEN:]
+            np.tanh(new, out=new)
+            after = h - new
+            after *= gates[HIDDEN:]
+            after += new
+            return after
+
+        return step
+
+    def sums(self, spans: np.ndarray, inside: np.ndarray) -> np.ndarray:
+        """(languages, stretches): the probabilities of all positions added up."""
+        steps, n = spans.shape
+        partial = set(np.flatnonzero(inside.min(axis=1) == 0).tolist())
+        forward, backward = self._step(0), self._step(1)
+        scores = np.empty((steps, len(self.langs), n), np.float32)
+        right = np.ascontiguousarray(self.output[HIDDEN:].T)
+        h = np.zeros((HIDDEN, n), np.float32)
+        for t in range(steps - 1, -1, -1):
+            h = backward(h, spans[t])
+            if t in partial:
+                h *= inside[t]
+            np.matmul(right, h, out=scores[t])
+        left, bias = np.ascontiguousarray(self.output[:HIDDEN].T), self.bias[:, None]
+        h = np.zeros((HIDDEN, n), np.float32)
+        total = np.zeros((len(self.langs), n), np.float32)
+        for t in range(steps):
+            h = forward(h, spans[t])
+            if t in partial:
+                h *= inside[t]
+            chance = scores[t]
+            chance += left @ h
+            chance += bias
+            chance -= chance.max(axis=0)
+            np.exp(chance, out=chance)
+            chance *= inside[t] / chance.sum(axis=0)
+            total += chance
+        return total
+
     def probabilities(self, states: np.ndarray) -> np.ndarray:
         scores = states.reshape(-1, 2 * HIDDEN) @ self.output + self.bias
         scores -= scores.max(axis=1, keepdims=True)
@@ -139,9 +202,8 @@ class Network:
         for i in range(0, len(row), AT_ONCE):
             s = slice(i, i + AT_ONCE)
             spans, inside = columns(flat, start[s], size[s])
-            sums = np.einsum("tnl,tn->nl", self.probabilities(self.states(spans, inside)), inside)
-            for k in range(len(self.langs)):
-                out[:, k] += np.bincount(row[s], sums[:, k], minlength=len(out))
+            for k, sums in enumerate(self.sums(spans, inside)):
+                out[:, k] += np.bincount(row[s], sums, minlength=len(out))
         return out / np.maximum(1, np.diff(offsets))[:, None]
 
 
@@ -188,30 +250,51 @@ def held_out(id_column: str) -> Column:
     return F.coalesce(F.expr(f"crc32(CAST(CAST(`{id_column}` AS string) AS binary)) % 4 = 2"), F.lit(False))
 
 
+def _judge(model: Network | None, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Predicted language and score of each text."""
+    lettered = np.array([bool(x.is_valid and LETTER.search(x.as_py())) for x in column], bool)
+    names, scores = np.full(len(lettered), UNKNOWN, object), np.zeros(len(lettered))
+    if model is not None:
+        for a, b in rolling.groups_of_rows(np.diff(rolling.text_bytes(column)[1]), rolling.CHUNK):
+            pooled = model.pooled(*rolling.text_bytes(column.slice(a, b - a)))
+            names[a:b] = np.array(model.langs, object)[pooled.argmax(axis=1)]
+            scores[a:b] = np.minimum(1.0, pooled.max(axis=1))
+    names[~lettered] = UNKNOWN
+    scores[names == UNKNOWN] = 0.0
+    return names, scores
+
+
+def _fitted(docs: DataFrame, id_column: str, text: str, lang: str) -> Broadcast:
+    """The network learnt from labelled rows that are not held out; some kilobytes."""
+    small_batches(docs.sparkSession)
+    learnt = docs.filter(F.col(id_column).isNotNull() & ~held_out(id_column))
+    return docs.sparkSession.sparkContext.broadcast(trained(learnt, id_column, text, lang))
+
+
+def recognised(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang", least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language: not ``und``, and a score of ``least`` or more."""
+    shared = _fitted(docs, id_column, text, lang)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, scores = _judge(shared.value, batch.column(text))
+            yield batch.filter(pa.array((names != UNKNOWN) & (scores >= least)))
+
+    return docs.mapInArrow(work, docs.schema)
+
+
 def predicted(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """One row per document: the id, held_out, lang_pred, score (pooled probability of the predicted language).
 
     Documents whose crc32(id) mod 4 is 2 are held out and never learnt from; a null id is not held out and not learnt from.
     ``und`` with score 0 where the text is null or has no letter, or where nothing could be learnt. Only the text is looked at.
     """
-    small_batches(docs.sparkSession)
-    network = trained(docs.filter(F.col(id_column).isNotNull() & ~held_out(id_column)), id_column, text, lang)
-    shared = docs.sparkSession.sparkContext.broadcast(network)  # some kilobytes
+    shared = _fitted(docs, id_column, text, lang)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
-            lettered = np.array([bool(x.is_valid and LETTER.search(x.as_py())) for x in batch.column("text")], bool)
-            names, scores = np.full(len(lettered), UNKNOWN, object), np.zeros(len(lettered))
-            if model is not None:
-                for a, b in rolling.groups_of_rows(np.diff(rolling.text_bytes(batch.column("text"))[1]), rolling.CHUNK):
-                    flat, offsets = rolling.text_bytes(batch.column("text").slice(a, b - a))
-                    pooled = model.pooled(flat, offsets)
-                    names[a:b] = np.array(model.langs, object)[pooled.argmax(axis=1)]
-                    scores[a:b] = np.minimum(1.0, pooled.max(axis=1))
-            yield table(
-                doc_id=batch.column("doc_id"), held_out=batch.column("held_out"),
-                lang_pred=pa.array(np.where(lettered, names, UNKNOWN).tolist(), pa.string()), score=np.where(lettered & (names != UNKNOWN), scores, 0.0))
+            names, scores = _judge(shared.value, batch.column("text"))
+            yield table(doc_id=batch.column("doc_id"), held_out=batch.column("held_out"), lang_pred=pa.array(names.tolist(), pa.string()), score=scores)
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), held_out(id_column).alias("held_out"), F.col(text).alias("text"))
     out = map_arrow(rows, work, "doc_id long, held_out boolean, lang_pred string, score double")

@@ -12,9 +12,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from playlens.llm import repeats, rolling
-from playlens.llm.stages import array_column, keyed, map_arrow, original_id, table
+from playlens.llm.stages import array_column, keyed, map_arrow, original_id, table, with_text
 
 RUN = 3
 SHARD_BYTES = 1 << 20
@@ -81,3 +82,13 @@ def strip_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     """
     out = kept_lines(keyed(docs, id_column, text), run).withColumnRenamed("new_text", "kept").withColumnRenamed("sha256", "kept_sha256")
     return out.select(original_id().alias(id_column), "n_lines", "n_removed", "kept", "kept_sha256")
+
+
+def without_runs(docs: DataFrame, id_column: str = "doc_id", text: str = "text", run: int = RUN) -> DataFrame:
+    """The rows of ``docs``, all columns, with the lines left; documents of which every filled line went are dropped.
+
+    A column ``n_chars`` is counted anew.
+    """
+    left = kept_lines(keyed(docs, id_column, text), run).filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines"))).select("doc_key", "rid", "new_text")
+    out = with_text(docs, left, id_column, text)
+    return out.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

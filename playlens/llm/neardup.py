@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from playlens.llm import rolling
 from playlens.llm.rolling import U64, mix
-from playlens.llm.stages import NO_ID, array_column, hash_bitmap, in_bitmap, keyed, map_arrow, original_id, table, write_stage
+from playlens.llm.stages import NO_ID, array_column, hash_bitmap, in_bitmap, keyed, map_arrow, table, without, write_stage
 
 BANDS, ROWS, BITS = 32, 5, 4
 MARGIN = 0.2  # below the threshold an estimate may lie; six standard errors of 160 fields
@@ -179,15 +179,12 @@ def components(links: DataFrame, name: str) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = THRESHOLD) -> DataFrame:
-    """One row per document: the id, n_shingles, component_id, kept, and n_links (confirmed links of its class).
+LAST = (1 << 63) - 1  # stands for a null id here, larger than all others
 
-    A shingle is ``size`` words, ASCII letters lower-cased; a text with fewer words is one shingle, a text without words
-    (or null) has an empty set and is linked with nothing. ``component_id`` is the smallest id reachable over links of
-    ``percent`` similarity or more; a null id counts as larger than all others. ``kept``: id and component_id are equal (or both null).
-    """
-    rows = keyed(docs, id_column, text)
-    rows = rows.withColumn("doc_key", F.when(F.col("doc_key") == NO_ID, F.lit((1 << 63) - 1)).otherwise(F.col("doc_key")))
+
+def linked(rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """(doc_key, rid, n, top, n_links) of keyed documents; ``top`` is the smallest node reachable, a null id being the largest."""
+    rows = rows.withColumn("doc_key", F.when(F.col("doc_key") == NO_ID, F.lit(LAST)).otherwise(F.col("doc_key")))
     signed = write_stage(signatures(rows, size), "near-signed")
     same = ["n", "set_a", "set_b"]
     firsts = write_stage(signed.filter("n > 0").groupBy(*same).agg(F.min(F.struct("doc_key", "rid", "bits", "bands")).alias("first")).select(
@@ -217,8 +214,23 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
     degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("n_links"))
     classes = firsts.select(*same, "node").join(label, "node", "left").join(degree, "node", "left").select(*same, F.coalesce("label", "node").alias("top"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    whole = signed.join(classes, same, "left").withColumn("top", F.coalesce("top", _node()))
-    null_id = (1 << 63) - 1
-    ids = [F.when(F.col(c) != null_id, F.col(c)) for c in ("doc_key", "top.doc_key")]
-    return whole.select(
-        ids[0].alias(id_column), F.col("n").alias("n_shingles"), ids[1].alias("component_id"), ids[0].eqNullSafe(ids[1]).alias("kept"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return signed.join(classes, same, "left").select("doc_key", "rid", "n", F.coalesce("top", _node()).alias("top"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = THRESHOLD) -> DataFrame:
+    """One row per document: the id, n_shingles, component_id, kept, and n_links (confirmed links of its class).
+
+    A shingle is ``size`` words, ASCII letters lower-cased; a text with fewer words is one shingle, a text without words
+    (or null) has an empty set and is linked with nothing. ``component_id`` is the smallest id reachable over links of
+    ``percent`` similarity or more; a null id counts as larger than all others. ``kept``: id and component_id are equal (or both null).
+    """
+    whole = linked(keyed(docs, id_column, text), size, percent)
+    own, top = (F.when(F.col(c) != LAST, F.col(c)) for c in ("doc_key", "top.doc_key"))
+    return whole.select(own.alias(id_column), F.col("n").alias("n_shingles"), top.alias("component_id"), own.eqNullSafe(top).alias("kept"), "n_links")
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that are the smallest of their group, once each."""
+    whole = linked(keyed(docs, id_column, text), size, percent)
+    dropped = whole.filter(_node() != F.col("top")).select(F.when(F.col("doc_key") == LAST, F.lit(NO_ID)).otherwise(F.col("doc_key")).alias("doc_key"), "rid").distinct()
+    return without(docs, dropped, id_column, text, once=True)

@@ -41,21 +41,21 @@ def key_columns(docs: DataFrame, id_column: str, text: str) -> tuple[Column, Col
     return key, F.lit(0).cast("long") if unique else F.xxhash64(F.col(text), F.col(text).isNull())
 
 
-def without(docs: DataFrame, dropped: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of ``docs``, all columns, whose (doc_key, rid) is not in ``dropped``."""
+def without(docs: DataFrame, dropped: DataFrame, id_column: str = "doc_id", text: str = "text", once: bool = False) -> DataFrame:
+    """Rows of ``docs``, all columns, whose (doc_key, rid) is not in ``dropped``; ``once``: rows equal in id and text only once."""
     key, rid = key_columns(docs, id_column, text)
-    names = docs.columns
-    row = docs.select(key.alias("doc_key"), rid.alias("rid"), F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"))
-    return row.join(dropped, ["doc_key", "rid"], "left_anti").select("row.*")
+    row = docs.select(key.alias("doc_key"), rid.alias("rid"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    left = row.join(dropped, ["doc_key", "rid"], "left_anti")
+    return (left.dropDuplicates(["doc_key", "rid"]) if once else left).select("row.*")
 
 
 def with_text(docs: DataFrame, texts: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``docs``, all columns, with the text that (doc_key, rid, new_text) gives; rows without one go."""
     key, rid = key_columns(docs, id_column, text)
-    names = docs.columns
-    row = docs.select(key.alias("doc_key"), rid.alias("rid"), F.struct(*(F.col(f"`{c}`") for c in names if c != text)).alias("row"))
+    others = [c for c in docs.columns if c != text]
+    row = docs.select(key.alias("doc_key"), rid.alias("rid"), F.struct(*(F.col(f"`{c}`") for c in others)).alias("row"))
     joined = row.join(texts.dropDuplicates(["doc_key", "rid"]), ["doc_key", "rid"])
-    return joined.select(*(F.col("new_text").alias(text) if c == text else F.col(f"row.`{c}`") for c in names))
+    return joined.select(*(F.col("new_text").alias(text) if c == text else F.col(f"row.`{c}`") for c in docs.columns))
 
 
 def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
