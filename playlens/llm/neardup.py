@@ -1,14 +1,17 @@
 """MinHash near-dedup (operator 7): documents whose shingle sets have a similarity of the threshold or more are linked.
 
 * Documents with equal sets fall into one class first; only its smallest document goes on, so copies never form pairs.
-* Signatures hold ``BANDS * ROWS`` minima. Full minima give the band keys; of each minimum ``BITS`` low bits are kept, packed
-  in longs. Equal fields are counted by bit operations and corrected for the chance that two fields agree by accident.
-* Round 1 links each class to the smallest class of each of its bands, best estimate first. Round 2 takes up every pair of
-  one band that round 1 left in different components. So no pair of a band is lost, and a group of n near copies costs n
-  links instead of n² pairs.
-* Candidates above the estimate's lower margin are confirmed on their full sets.
-
-With 32 bands of 5 rows a pair at 0.8 meets in no band once in 300,000; the margin is six standard errors wide.
+* ``BANDS * ROWS`` minima of permuted hashes give the band keys.
+* For the estimate the hash range is cut into ``BINS``; of each bin's minimum ``BITS`` low bits are kept (0 for an empty bin),
+  packed in longs. Equal fields are counted by bit operations and corrected for the chance that two fields agree by accident.
+* Round 1 links each class to the most central class of its bands (the one that shares most bands with others), best
+  estimate first. Round 2 takes up whatever shares a band and is still in different components: between small components
+  every pair above the estimate's lower margin, with a large one every such class against all members of it. So no pair of
+  a band is lost, and a group of n near copies costs n links instead of n² pairs.
+* All links are confirmed on full sets.
+
+With 32 bands of 5 rows a pair at 0.8 meets in no band once in 300,000; the margin is four standard errors of long texts wide,
+and more for short ones, whose sets the bins hold nearly whole.
 """
 
 from __future__ import annotations
@@ -25,9 +28,11 @@ from playlens.llm import rolling
 from playlens.llm.rolling import U64, mix
 from playlens.llm.stages import NO_ID, array_column, hash_bitmap, in_bitmap, keyed, map_arrow, table, without, write_stage
 
-BANDS, ROWS, BITS = 32, 5, 4
-MARGIN = 0.2  # below the threshold an estimate may lie; six standard errors of 160 fields
-SHARE = 500  # members that meet a class's full set in one group
+BANDS, ROWS = 32, 5
+BINS, BITS = 512, 4
+MARGIN = 0.08  # below the threshold an estimate may lie
+SHARE = 256  # members of a group that meets in one task
+LARGE = 16  # members of a component that is compared as a whole
 SHINGLE, THRESHOLD = 5, 80  # words, per cent
 
 _HASHES = BANDS * ROWS
@@ -36,6 +41,7 @@ _TERMS = mix(np.arange(_HASHES + 1, 2 * _HASHES + 1, dtype=U64))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 FIELDS = 64 // BITS  # of a long
+LONGS = BINS // FIELDS + BINS // 64  # the fields, and one bit for each filled bin
 SIGNED = "doc_key long, rid long, n long, set_a long, set_b long, bits array<long>, bands array<long>"
 
 
@@ -88,8 +94,15 @@ def signatures(rows: DataFrame, size: int = SHINGLE) -> DataFrame:
                 bands = np.zeros((len(n), BANDS), U64)
                 for r in range(ROWS):
                     bands = mix(bands * U64(rolling.BASE) + minima[:, r::ROWS] + np.arange(BANDS, dtype=U64))
-                low = (minima & U64((1 << BITS) - 1)).reshape(len(n), -1, FIELDS) << (np.arange(FIELDS, dtype=U64) * U64(BITS))
-                bits = np.bitwise_or.reduce(low, axis=2)
+                # sets are sorted, so the first hash of a bin is its minimum
+                row_bin = np.repeat(np.arange(len(n)), n) * BINS + (sets >> U64(64 - BINS.bit_length() + 1)).astype(np.int64)
+                low = np.flatnonzero(np.append(True, row_bin[1:] != row_bin[:-1])) if len(sets) else np.empty(0, np.int64)
+                field = mix(sets[low]) % U64((1 << BITS) - 1) + U64(1)
+                bits = np.zeros(len(n) * BINS // FIELDS, U64)
+                np.add.at(bits, row_bin[low] // FIELDS, field << (row_bin[low] % FIELDS * BITS).astype(U64))
+                filled = np.zeros(len(n) * BINS // 64, U64)
+                np.add.at(filled, row_bin[low] // 64, U64(1) << (row_bin[low] % 64).astype(U64))
+                bits = np.concatenate([bits.reshape(len(n), -1), filled.reshape(len(n), -1)], axis=1)
                 yield table(
                     doc_key=array_column(part, "doc_key"), rid=array_column(part, "rid"), n=n, set_a=sums[0].view(np.int64), set_b=sums[1].view(np.int64),
                     bits=_lists(bits), bands=_lists(bands))
@@ -101,34 +114,37 @@ def _lists(matrix: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(matrix) + 1) * matrix.shape[1], pa.int32()), pa.array(np.ascontiguousarray(matrix).view(np.int64).ravel()))
 
 
+def bit_columns(df: DataFrame, side: str, *others: Column | str) -> DataFrame:
+    """``df`` with its packed bits as columns of longs, named after ``side``."""
+    return df.select(*others, *(F.col("bits")[i].alias(f"{side}{i}") for i in range(LONGS)))
+
+
 def estimate(a: str, b: str) -> Column:
-    """Similarity by the fields that agree, corrected for accidental agreement."""
-    differs = " + ".join(
-        f"bit_count((({x}) | shiftrightunsigned({x}, 1) | shiftrightunsigned({x}, 2) | shiftrightunsigned({x}, 3)) & 1229782938247303441L)"
-        for x in (f"({a}[{i}] ^ {b}[{i}])" for i in range(_HASHES // FIELDS))
-    )
-    chance = 2.0 ** -BITS
-    return F.expr(f"((({_HASHES} - ({differs})) / {_HASHES}.0D) - {chance}D) / {1 - chance}D")
+    """Similarity of two sides' bit columns: fields that agree in bins that either fills, corrected for accidental agreement."""
+    fields, masks = range(BINS // FIELDS), range(BINS // FIELDS, LONGS)
+    lowest = "1229782938247303441L"  # the lowest bit of each field
+    xor = [f"({a}{i} ^ {b}{i})" for i in fields]
+    differs = " + ".join(f"bit_count(({x} | shiftrightunsigned({x}, 1) | shiftrightunsigned({x}, 2) | shiftrightunsigned({x}, 3)) & {lowest})" for x in xor)
+    both = " + ".join(f"bit_count({a}{i} & {b}{i})" for i in masks)
+    either = " + ".join(f"bit_count({a}{i} | {b}{i})" for i in masks)
+    chance = 1 / ((1 << BITS) - 1)
+    # fields of bins that both leave empty are equal too
+    return F.expr(f"((({either}) - ({differs})) - ({both}) * {chance}D) / ({1 - chance}D * ({either}))")
 
 
 def _node() -> Column:
     return F.struct("doc_key", "rid")
 
 
-def confirmed(rows: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes whose full sets have ``percent`` similarity or more.
+def meet(rows: DataFrame, roles: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) of nodes whose full sets have ``percent`` similarity or more.
 
-    Each text is read once; its set goes to the groups where it is asked for. ``b`` may be in any number of pairs: its
-    members are dealt over groups of about ``SHARE``, each of which gets a copy of its set.
+    ``roles`` (node, pivot, part, role): in each (pivot, part), nodes of role 1 are held against all nodes of role 0, which
+    are few; a node gets its first link there. Each text is read once and sent where it is asked for.
     """
-    many = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("groups"))
-    members = pairs.join(many, "b").select(
-        F.col("a").alias("node"), F.col("b").alias("pivot"), F.pmod(F.xxhash64("a"), F.col("groups")).cast("int").alias("part"), F.lit(1).alias("role"))
-    pivots = many.select(F.col("b").alias("node"), F.col("b").alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"), F.lit(0).alias("role"))
-    roles = members.unionByName(pivots).groupBy("node").agg(F.collect_list(F.struct(
-        F.col("pivot.doc_key").alias("key"), F.col("pivot.rid").alias("rid"), "part", "role")).alias("roles"))
-    wanted = roles.select("node.doc_key", "node.rid", "roles")
-    bitmap = hash_bitmap(wanted.select(F.xxhash64("doc_key", "rid").alias("h")), "h")
+    wanted = roles.groupBy("node").agg(F.collect_list(F.struct(F.col("pivot.doc_key").alias("key"), F.col("pivot.rid").alias("rid"), "part", "role")).alias("roles"))
+    wanted = wanted.select("node.doc_key", "node.rid", "roles")
+    bitmap = hash_bitmap(roles.select(F.xxhash64("node.doc_key", "node.rid").alias("h")), "h")
 
     def here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,8 +156,8 @@ def confirmed(rows: DataFrame, pairs: DataFrame, size: int, percent: int) -> Dat
     # rows equal in id and text are one document: one of them will do
     dealt = texts.dropDuplicates(["doc_key", "rid"]).select("doc_key", "rid", "text", F.inline("roles")).toDF("doc_key", "rid", "text", "key", "pivot_rid", "part", "role")
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, pivot = None, None
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = None, _Held()
         for batch in batches:
             out: list[tuple] = []
             for a, b in _in_parts(batch.column("text")):
@@ -149,22 +165,73 @@ def confirmed(rows: DataFrame, pairs: DataFrame, size: int, percent: int) -> Dat
                 sets, offsets = shingles(part.column("text"), size)
                 columns = [part.column(c).to_pylist() for c in ("doc_key", "rid", "key", "pivot_rid", "part", "role")]
                 for i, (doc, rid, key, pivot_rid, no, role) in enumerate(zip(*columns)):
+                    if group != (key, pivot_rid, no):
+                        group, held = (key, pivot_rid, no), _Held()
                     mine = sets[offsets[i]: offsets[i + 1]]
                     if role == 0:
-                        group, pivot = (key, pivot_rid, no), mine
-                    elif group == (key, pivot_rid, no):
-                        shared = len(np.intersect1d(pivot, mine, assume_unique=True))
-                        if 100 * shared >= percent * (len(pivot) + len(mine) - shared):
-                            out.append((doc, rid, key, pivot_rid))
+                        held.add((doc, rid), mine)
+                    else:
+                        first = held.similar(mine, percent)
+                        if first is not None:
+                            out.append((doc, rid, *first))
             if out:
                 a, b, c, d = (pa.array(x, pa.int64()) for x in zip(*out))
                 yield table(a_key=a, a_rid=b, b_key=c, b_rid=d)
 
     met = map_arrow(
-        dealt.repartition("key", "pivot_rid", "part").sortWithinPartitions("key", "pivot_rid", "part", "role"), meet, "a_key long, a_rid long, b_key long, b_rid long")
+        dealt.repartition("key", "pivot_rid", "part").sortWithinPartitions("key", "pivot_rid", "part", "role"), compare, "a_key long, a_rid long, b_key long, b_rid long")
     return met.select(F.struct(F.col("a_key").alias("doc_key"), F.col("a_rid").alias("rid")).alias("a"), F.struct(F.col("b_key").alias("doc_key"), F.col("b_rid").alias("rid")).alias("b"))
 
 
+class _Held:
+    """Sets that others are held against, as one sorted array of hashes with their owners."""
+
+    def __init__(self):
+        self.nodes: list[tuple] = []
+        self.sets: list[np.ndarray] = []
+        self.index: tuple | None = None
+
+    def add(self, node: tuple, members: np.ndarray) -> None:
+        self.nodes.append(node)
+        self.sets.append(members)
+        self.index = None
+
+    def similar(self, members: np.ndarray, percent: int) -> tuple | None:
+        """The first node whose set is similar enough."""
+        if not self.nodes:
+            return None
+        if self.index is None:
+            sizes = np.array(list(map(len, self.sets)))
+            hashes, owner = np.concatenate(self.sets), np.repeat(np.arange(len(sizes)), sizes)
+            order = np.argsort(hashes, kind="stable")
+            self.index = hashes[order], owner[order], sizes
+        hashes, owner, sizes = self.index
+        low, high = np.searchsorted(hashes, members), np.searchsorted(hashes, members, "right")
+        count = high - low
+        at = np.arange(count.sum()) + np.repeat(low - (np.cumsum(count) - count), count)
+        shared = np.bincount(owner[at], minlength=len(sizes))
+        hits = np.flatnonzero(100 * shared >= percent * (sizes + len(members) - shared))
+        return self.nodes[hits[0]] if len(hits) else None
+
+
+def of_pairs(pairs: DataFrame) -> DataFrame:
+    """Roles that hold each ``a`` of (a, b) against its ``b``; where b has many, they are dealt over groups that all hold it."""
+    many = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("groups"))
+    asking = pairs.join(many, "b").select(
+        F.col("a").alias("node"), F.col("b").alias("pivot"), F.pmod(F.xxhash64("a"), F.col("groups")).cast("int").alias("part"), F.lit(1).alias("role"))
+    held = many.select(F.col("b").alias("node"), F.col("b").alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"), F.lit(0).alias("role"))
+    return asking.unionByName(held)
+
+
+def of_components(asks: DataFrame, label: DataFrame) -> DataFrame:
+    """Roles that hold each ``node`` of (node, pivot) against all members of component ``pivot``, dealt over groups."""
+    parts = label.groupBy(F.col("label").alias("pivot")).agg(F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("groups")).join(asks.select("pivot").distinct(), "pivot")
+    held = label.select("node", F.col("label").alias("pivot")).join(parts, "pivot").select(
+        "node", "pivot", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int").alias("part"), F.lit(0).alias("role"))
+    asking = asks.join(parts, "pivot").select("node", "pivot", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"), F.lit(1).alias("role"))
+    return held.unionByName(asking)
+
+
 def components(links: DataFrame, name: str) -> DataFrame:
     """(node, label): the smallest node each linked node can reach; labels spread to neighbours and jump to their own label's."""
     both = write_stage(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).filter(F.col("a") != F.col("b")).distinct(), f"{name}-links")
@@ -183,42 +250,48 @@ LAST = (1 << 63) - 1  # stands for a null id here, larger than all others
 
 
 def linked(rows: DataFrame, size: int, percent: int) -> DataFrame:
-    """(doc_key, rid, n, top, n_links) of keyed documents; ``top`` is the smallest node reachable, a null id being the largest."""
+    """(doc_key, rid, n, top) of keyed documents; ``top`` is the smallest node reachable, a null id being the largest."""
     rows = rows.withColumn("doc_key", F.when(F.col("doc_key") == NO_ID, F.lit(LAST)).otherwise(F.col("doc_key")))
     signed = write_stage(signatures(rows, size), "near-signed")
     same = ["n", "set_a", "set_b"]
     firsts = write_stage(signed.filter("n > 0").groupBy(*same).agg(F.min(F.struct("doc_key", "rid", "bits", "bands")).alias("first")).select(
         *same, F.struct("first.doc_key", "first.rid").alias("node"), "first.bits", "first.bands"), "near-classes")
     banded = firsts.select("node", F.explode("bands").alias("band"))
-    pivots = banded.groupBy("band").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("many")).filter("many > 1").drop("many")
+    many = banded.groupBy("band").agg(F.count(F.lit(1)).alias("many")).filter("many > 1")
+    shared = write_stage(banded.join(many, "band"), "near-bands")
+    central = shared.groupBy("node").agg(F.sum("many").alias("central"))
+    pivots = shared.join(central, "node").groupBy("band").agg(F.max(F.struct("central", "node")).alias("top")).select("band", F.col("top.node").alias("pivot"))
     floor = percent / 100 - MARGIN
-    low = banded.join(pivots, "band").filter(F.col("node") != F.col("pivot")).select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+    low = shared.join(pivots, "band").filter(F.col("node") != F.col("pivot")).select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     bits = firsts.select("node", "bits")
-    rated = low.join(bits.toDF("a", "bits_a"), "a").join(bits.toDF("b", "bits_b"), "b").select("a", "b", estimate("bits_a", "bits_b").alias("about")).filter(F.col("about") >= floor)
+    rated = low.join(bit_columns(bits, "x", F.col("node").alias("a")), "a").join(bit_columns(bits, "y", F.col("node").alias("b")), "b").select("a", "b", estimate("x", "y").alias("about")).filter(F.col("about") >= floor)
     best = rated.groupBy("a").agg(F.max_by("b", F.struct("about", "b")).alias("b"))
     first_pairs = write_stage(best, "near-pairs")
-    first_links = write_stage(confirmed(rows, first_pairs, size, percent), "near-confirmed")
+    first_links = write_stage(meet(rows, of_pairs(first_pairs), size, percent), "near-confirmed")
     label = components(first_links, "near-first")
 
-    # every pair of a band in different components that round 1 has not judged
-    grouped = banded.join(label.select("node", F.col("label")), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    # what shares a band and is in different components now: small ones by pairs, a large one as a whole
+    sized = label.join(label.groupBy("label").agg(F.count(F.lit(1)).alias("size")), "label")
+    grouped = shared.select("node", "band").join(sized, "node", "left").withColumns({"label": F.coalesce("label", "node"), "size": F.coalesce("size", F.lit(1))})
     open_bands = grouped.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter(F.col("low") != F.col("high")).select("band")
     still = write_stage(grouped.join(open_bands, "band").join(bits, "node"), "near-open")
-    a, b = still.toDF(*(f"{c}_a" if c != "band" else c for c in still.columns)), still.toDF(*(f"{c}_b" if c != "band" else c for c in still.columns))
-    near = a.join(b, (a["band"] == b["band"]) & (F.col("node_a") > F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & (estimate("bits_a", "bits_b") >= floor))
-    second_pairs = write_stage(near.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().join(first_pairs, ["a", "b"], "left_anti"), "near-pairs")
-    links = first_links
-    if second_pairs.limit(1).count():
-        links = write_stage(first_links.unionByName(confirmed(rows, second_pairs, size, percent)), "near-confirmed")
-        label = components(links, "near-all")
+    small = still.filter(F.col("size") < LARGE)
+    a, b = (bit_columns(small, side, "band", F.col("node").alias(f"node_{side}"), F.col("label").alias(f"label_{side}")).alias(side) for side in "xy")
+    near = a.join(b, (F.col("x.band") == F.col("y.band")) & (F.col("node_x") > F.col("node_y")) & (F.col("label_x") != F.col("label_y")) & (estimate("x", "y") >= floor))
+    second_pairs = near.select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct().join(first_pairs, ["a", "b"], "left_anti")
+    large = still.filter(F.col("size") >= LARGE).select("band", F.col("label").alias("pivot"), F.col("size").alias("pivot_size")).distinct()
+    rank = F.struct("size", "label") < F.struct(F.col("pivot_size").alias("size"), F.col("pivot").alias("label"))
+    asks = write_stage(still.select("node", "band", "label", "size").join(large, "band").filter(rank).select("node", "pivot").distinct(), "near-asks")
+    roles = write_stage(of_pairs(second_pairs).unionByName(of_components(asks, label)), "near-roles")
+    if roles.limit(1).count():
+        label = components(write_stage(first_links.unionByName(meet(rows, roles, size, percent)), "near-confirmed"), "near-all")
 
-    degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("n_links"))
-    classes = firsts.select(*same, "node").join(label, "node", "left").join(degree, "node", "left").select(*same, F.coalesce("label", "node").alias("top"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return signed.join(classes, same, "left").select("doc_key", "rid", "n", F.coalesce("top", _node()).alias("top"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    classes = firsts.select(*same, "node").join(label, "node", "left").select(*same, F.coalesce("label", "node").alias("top"))
+    return signed.join(classes, same, "left").select("doc_key", "rid", "n", F.coalesce("top", _node()).alias("top"))
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = THRESHOLD) -> DataFrame:
-    """One row per document: the id, n_shingles, component_id, kept, and n_links (confirmed links of its class).
+    """One row per document: the id, n_shingles, component_id, kept.
 
     A shingle is ``size`` words, ASCII letters lower-cased; a text with fewer words is one shingle, a text without words
     (or null) has an empty set and is linked with nothing. ``component_id`` is the smallest id reachable over links of
@@ -226,7 +299,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     """
     whole = linked(keyed(docs, id_column, text), size, percent)
     own, top = (F.when(F.col(c) != LAST, F.col(c)) for c in ("doc_key", "top.doc_key"))
-    return whole.select(own.alias(id_column), F.col("n").alias("n_shingles"), top.alias("component_id"), own.eqNullSafe(top).alias("kept"), "n_links")
+    return whole.select(own.alias(id_column), F.col("n").alias("n_shingles"), top.alias("component_id"), own.eqNullSafe(top).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = THRESHOLD) -> DataFrame:

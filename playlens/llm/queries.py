@@ -91,7 +91,7 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN low ON low.node = d.doc_id
 def minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from playlens.llm.neardup import near_duplicates
 
-    return near_duplicates(read(spark, folder, "documents"), size=2).drop("n_links")
+    return near_duplicates(read(spark, folder, "documents"), size=2)
 
 
 def _like(glob: str) -> str:
