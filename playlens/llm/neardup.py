@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from playlens.llm import rolling
 from playlens.llm.rolling import U64, mix
-from playlens.llm.stages import NO_ID, array_column, hash_bitmap, in_bitmap, keyed, map_arrow, table, without, write_stage
+from playlens.llm.stages import NO_ID, array_column, keyed, likely_in, map_arrow, table, without, write_stage
 
 BANDS, ROWS = 32, 5
 BINS, BITS = 512, 4
@@ -144,15 +144,7 @@ def meet(rows: DataFrame, roles: DataFrame, size: int, percent: int) -> DataFram
     """
     wanted = roles.groupBy("node").agg(F.collect_list(F.struct(F.col("pivot.doc_key").alias("key"), F.col("pivot.rid").alias("rid"), "part", "role")).alias("roles"))
     wanted = wanted.select("node.doc_key", "node.rid", "roles")
-    bitmap = hash_bitmap(roles.select(F.xxhash64("node.doc_key", "node.rid").alias("h")), "h")
-
-    def here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = in_bitmap(array_column(batch, "h").view(U64), bitmap.value)
-            yield batch.select(["doc_key", "rid", "text"]).filter(pa.array(keep))
-
-    hashed = rows.withColumn("h", F.xxhash64("doc_key", "rid"))
-    texts = map_arrow(hashed, here, "doc_key long, rid long, text string").join(wanted, ["doc_key", "rid"])
+    texts = likely_in(rows, wanted).join(wanted, ["doc_key", "rid"])
     # rows equal in id and text are one document: one of them will do
     dealt = texts.dropDuplicates(["doc_key", "rid"]).select("doc_key", "rid", "text", F.inline("roles")).toDF("doc_key", "rid", "text", "key", "pivot_rid", "part", "role")
 

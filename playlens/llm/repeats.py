@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from playlens.llm import rolling
 from playlens.llm.rolling import U64, PrefixHash, mix
-from playlens.llm.stages import array_column, map_arrow, table, write_stage
+from playlens.llm.stages import array_column, likely_in, map_arrow, table, write_stage
 
 COMBINE_ROWS = 400_000
 OCCURRENCE = "anchor long, piece long, doc_key long, rid long, at long"
@@ -236,7 +236,7 @@ def requested(docs: DataFrame, requests: DataFrame, spec: Windows, name: str) ->
                 yield table(**{c.split()[0]: pa.array(v, k) for c, v, k in zip(PIECE.split(", "), cols, kinds)})
 
     asked = per_document(requests, ["start", "n", "ahead", "settled"], "asked")
-    return write_stage(map_arrow(docs.join(asked, ["doc_key", "rid"]), work, PIECE), name)
+    return write_stage(map_arrow(likely_in(docs, requests).join(asked, ["doc_key", "rid"]), work, PIECE), name)
 
 
 def resolve(pieces: DataFrame, spec: Windows, shard: Callable[[list[list[tuple]]], Iterator[tuple]], shard_bytes: int) -> DataFrame:

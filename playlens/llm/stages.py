@@ -15,7 +15,7 @@ from playlens.session import write_stage
 NO_ID = -(1 << 63)  # stands for a null id inside an operator; sorts before all others
 BATCH_ROWS = 1_000
 
-__all__ = ["write_stage", "keyed", "key_columns", "small_batches", "without", "with_text", "map_arrow", "array_column", "table", "hash_bitmap", "in_bitmap", "original_id"]
+__all__ = ["write_stage", "keyed", "key_columns", "small_batches", "without", "with_text", "map_arrow", "array_column", "table", "hash_bitmap", "in_bitmap", "likely_in", "original_id"]
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -89,5 +89,18 @@ def in_bitmap(hashes: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
     return (bitmap[bit >> np.uint64(5)] >> (bit & np.uint64(31)).astype(np.uint32)) & np.uint32(1) > 0
 
 
+def likely_in(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Keyed documents that may be among ``keys`` (doc_key, rid), so that a join shuffles few other texts."""
+    own = F.xxhash64("doc_key", "rid").alias("h")
+    bitmap = hash_bitmap(keys.select(own), "h")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = in_bitmap(array_column(batch, "h").view(np.uint64), bitmap.value)
+            yield batch.select(["doc_key", "rid", "text"]).filter(pa.array(keep))
+
+    return map_arrow(rows.select("doc_key", "rid", "text", own), work, "doc_key long, rid long, text string")
+
+
 def original_id(column: str = "doc_key") -> Column:
     return F.when(F.col(column) != NO_ID, F.col(column))
