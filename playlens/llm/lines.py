@@ -18,11 +18,12 @@ from playlens.llm import repeats, rolling
 from playlens.llm.stages import array_column, keyed, map_arrow, original_id, table, with_text
 
 RUN = 3
+GRAM = 2  # lines of a fingerprint: a line that many documents share has other neighbours in most of them
 SHARD_BYTES = 1 << 20
 
 
 def line_windows(run: int = RUN) -> repeats.Windows:
-    return repeats.Windows(width=run, gram=1, symbols=rolling.line_symbols, units=rolling.filled_lines, joined=b"\n".join, keep_first=True, parts=1)
+    return repeats.Windows(width=run, gram=min(GRAM, run), symbols=rolling.line_symbols, units=rolling.filled_lines, joined=b"\n".join, keep_first=True, parts=1)
 
 
 def extended_in_shard(groups: list[list[tuple]], run: int) -> Iterator[tuple[int, int, int, int]]:

@@ -44,10 +44,8 @@ class Automaton:
             start[at >> 6] |= U64(1 << (at & 63))
             for p in parts:
                 if p in (b"*", b"**"):
-                    bit = U64(1 << (at & 63))
-                    loop[:, at >> 6] |= bit
-                    if p == b"*":
-                        loop[ord("/"), at >> 6] &= ~bit
+                    swallowed = np.arange(256) != (ord("/") if p == b"*" else -1)
+                    loop[swallowed, at >> 6] |= U64(1 << (at & 63))
                 else:
                     at += 1
                     shift[p[0], at >> 6] |= U64(1 << (at & 63))
