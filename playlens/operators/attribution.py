@@ -17,13 +17,17 @@ CHAINS = {
     1: [["device"], ["android_id"]],
 }
 CLICK_DAYS, ACTIVATION_DAYS = 6, 30
+ANDROID = 1
 AD_MEASURES = ["clicks", "click_devices", "actives", "regis", "regi_devices", "new_regi_devices", "pay_cents", "payers", "new_payers", "new_pay_cents"]
 # ------------------------------------------------------------------------------------------------
 
 
 def first_activations(actives: DataFrame, device: str = "device") -> DataFrame:
-    """A device activates once per game, ever."""
-    return first_row(actives.filter(valid_device(device)), ["game_id", device], ["active_ts", "active_id"])
+    """A device activates once per game, ever. An Android device without a usable ``device`` is known by its android id."""
+    known = F.when(valid_device(device), F.col(device)).when(
+        (F.col("os") == ANDROID) & (F.col("android_id") != ""), F.concat(F.lit("android:"), F.col("android_id")))
+    rows = actives.withColumn("_known", known).filter(F.col("_known").isNotNull())
+    return first_row(rows, ["game_id", "_known"], ["active_ts", "active_id"]).drop("_known")
 
 
 def attribute_activation(actives: DataFrame, clicks: DataFrame, days: int = CLICK_DAYS, chains=CHAINS) -> DataFrame:

@@ -10,8 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-OPEN_END = 999_999_999  # fixed value: the upper bound of a last tier
-
 
 def left_fill(left: DataFrame, right: DataFrame, on: list[str], defaults: dict) -> DataFrame:
     """Left join where columns of the right side get a default."""
@@ -51,15 +49,15 @@ def band_expand(df: DataFrame, day: str, width: int, name: str, not_after: str |
 
 
 def ladder_ranges(ladder: DataFrame, keys: list[str], threshold: str, low: str = "low", high: str = "high") -> DataFrame:
-    """Half-open ranges of a ladder: each step ends where the next starts."""
+    """Half-open ranges of a ladder: each step ends where the next starts, the last has no end (null)."""
     following = F.lead(threshold).over(W.partitionBy(*keys).orderBy(threshold))
-    return ladder.withColumn(low, F.col(threshold)).withColumn(high, F.coalesce(following, F.lit(OPEN_END)))
+    return ladder.withColumn(low, F.col(threshold)).withColumn(high, following)
 
 
 def range_lookup(facts: DataFrame, ranges: DataFrame, on: list[str], amount: str, low: str, high: str, how: str = "inner") -> DataFrame:
-    """Rows with the range that holds their amount: ``low <= amount < high`` at equal keys."""
+    """Rows with the range that holds their amount: ``low <= amount < high`` at equal keys; a null ``high`` is no bound."""
     f, r = facts.alias("f"), ranges.alias("r")
-    cond = (F.col(f"f.{amount}") >= F.col(f"r.{low}")) & (F.col(f"f.{amount}") < F.col(f"r.{high}"))
+    cond = (F.col(f"f.{amount}") >= F.col(f"r.{low}")) & (F.col(f"r.{high}").isNull() | (F.col(f"f.{amount}") < F.col(f"r.{high}")))
     for key in on:
         cond = cond & (F.col(f"f.{key}") == F.col(f"r.{key}"))
     extra = [F.col(f"r.{c}") for c in ranges.columns if c not in on and c not in (low, high)]

@@ -72,10 +72,9 @@ def asof_latest(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str
     """
     left_cols = [c for c in left.columns if c not in keys]
     tag = F.struct(F.col(right_ts).alias("_rt"), *payload)
-    l = left.select(*keys, F.col(left_ts).alias("_ts"), F.lit(1).alias("_kind"), F.struct(*left_cols).alias("_l"),
-                    F.lit("").alias("_tie"))
+    l = left.select(*keys, F.col(left_ts).alias("_ts"), F.lit(1).alias("_kind"), F.struct(*left_cols).alias("_l"))
     r = right.select(*keys, F.col(right_ts).alias("_ts"), F.lit(0).alias("_kind"), tag.alias("_r"),
-                     F.struct(*tie).cast("string").alias("_tie"))
+                     F.struct(*tie).alias("_tie"))
     both = l.unionByName(r, allowMissingColumns=True).withColumn("_slice", F.date_trunc(unit, "_ts"))
     upto = W.partitionBy(*keys, "_slice").orderBy("_ts", "_kind", "_tie").rowsBetween(W.unboundedPreceding, 0)
     near = both.withColumn("_near", F.last("_r", ignorenulls=True).over(upto)).filter("_kind = 1")

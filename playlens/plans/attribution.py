@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import functions as F
 
 from playlens.functions.cleanse import device_hash, valid_orders
 from playlens.operators import attribution, cohort
 from playlens.operators.aggregates import zero_filled_union
-from playlens.plans import plan
+from playlens.plans import plan, within_query
 from playlens.session import write_stage
 from playlens.sources import roles
 
@@ -31,8 +29,12 @@ def ad_actives(spark, sf):
     return attribution.first_activations(rows.select("active_id", "active_ts", "day", "game_id", "os", "device", "android_id", "ip", "dev_type", "sys_version"))
 
 
-@lru_cache(maxsize=None)
-def _detail(kind: str, spark, app: str, sf: str):
+def _detail(kind: str, spark, sf: str):
+    """The detail tables are written once per query, however many of its parts read them."""
+    return within_query(f"ad-{kind}", lambda: _written(kind, spark, sf))
+
+
+def _written(kind: str, spark, sf: str):
     if kind == "matches":
         return attribution.attribute_activation(ad_actives(spark, sf), ad_clicks(spark, sf))
     if kind == "activations":
@@ -44,19 +46,18 @@ def _detail(kind: str, spark, app: str, sf: str):
 
 
 def matches(spark, sf):
-    """The detail tables are written once per session and read by all reports on them."""
-    return _detail("matches", spark, spark.sparkContext.applicationId, sf)
+    return _detail("matches", spark, sf)
 
 
 def activations(spark, sf):
-    return _detail("activations", spark, spark.sparkContext.applicationId, sf)
+    return _detail("activations", spark, sf)
 
 
 CARRIED = ["click_package", "click_network", "click_idea_id"]
 
 
 def registrations(spark, sf):
-    return _detail("registrations", spark, spark.sparkContext.applicationId, sf)
+    return _detail("registrations", spark, sf)
 
 
 def orders(spark, sf):
@@ -81,7 +82,7 @@ def _rule_sql(os: int, step: int, fields: list[str], earlier: list[str]) -> str:
 def _chain_sql() -> str:
     traits = "CASE WHEN imei = '' THEN '' ELSE upper(md5(upper(imei))) END AS device, 't' || (user_id % 5) AS dev_type, 'v' || (user_id % 3) AS sys_version"
     parts = [f"""ad_c AS MATERIALIZED (SELECT *, event_id AS click_id, {traits}, CAST(k % 4 + 1 AS INT) AS network, 'i' || (k % 6) AS idea_id FROM g_clicks),
- ad_a AS MATERIALIZED (SELECT * FROM (SELECT *, event_id AS active_id, {traits}, row_number() OVER (PARTITION BY game_id, imei ORDER BY ts, event_id) AS rn FROM g_actives WHERE imei <> '') WHERE rn = 1)"""]
+ ad_a AS MATERIALIZED (SELECT * FROM (SELECT *, event_id AS active_id, {traits}, row_number() OVER (PARTITION BY game_id, CASE WHEN imei <> '' THEN imei ELSE 'android:' || android_id END ORDER BY ts, event_id) AS rn FROM g_actives WHERE imei <> '' OR (os = 1 AND android_id <> '')) WHERE rn = 1)"""]
     names = []
     for os, chain in attribution.CHAINS.items():
         earlier = []

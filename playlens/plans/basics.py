@@ -189,8 +189,8 @@ def _graded(spark, sf):
     return roles.ledger(spark, sf).select("order_no", "cents", (F.col("member_id") % 3).cast("int").alias("grp"))
 
 
-@plan("tier_lookup", f"""SELECT o.order_no, r.rate FROM l_orders o JOIN (SELECT *, lead(threshold, 1, 999999999) OVER (PARTITION BY grp ORDER BY threshold) AS high FROM (VALUES {LADDER_VALUES}) t(grp, threshold, rate)) r
-  ON r.grp = o.member_id % 3 AND o.cents >= r.threshold AND o.cents < r.high""")
+@plan("tier_lookup", f"""SELECT o.order_no, r.rate FROM l_orders o JOIN (SELECT *, lead(threshold) OVER (PARTITION BY grp ORDER BY threshold) AS high FROM (VALUES {LADDER_VALUES}) t(grp, threshold, rate)) r
+  ON r.grp = o.member_id % 3 AND o.cents >= r.threshold AND (r.high IS NULL OR o.cents < r.high)""")
 def tier_lookup(spark, sf):
     ranges = joins.ladder_ranges(_ladder(spark), ["grp"], "threshold").drop("threshold")
     return joins.range_lookup(_graded(spark, sf), ranges, ["grp"], "cents", "low", "high").select("order_no", "rate")
@@ -352,7 +352,7 @@ def top_k(spark, sf):
     return keyed.top_k(roles.game_orders(spark, sf).select("game_id", "order_no", "cents"), ["game_id"], [F.desc("cents"), F.asc("order_no")], 5).select("game_id", "order_no", F.col("rank").cast("long").alias("rank"))
 
 
-@plan("next_tier_bound", f"SELECT grp, threshold, rate, lead(threshold, 1, 999999999) OVER (PARTITION BY grp ORDER BY threshold) AS high, (SELECT count(*) FROM l_orders o WHERE o.member_id % 3 = grp) AS orders FROM (VALUES {LADDER_VALUES}) t(grp, threshold, rate)")
+@plan("next_tier_bound", f"SELECT grp, threshold, rate, lead(threshold) OVER (PARTITION BY grp ORDER BY threshold) AS high, (SELECT count(*) FROM l_orders o WHERE o.member_id % 3 = grp) AS orders FROM (VALUES {LADDER_VALUES}) t(grp, threshold, rate)")
 def next_tier_bound(spark, sf):
     counts = _graded(spark, sf).groupBy("grp").agg(F.count("*").alias("orders"))
     return joins.ladder_ranges(_ladder(spark), ["grp"], "threshold").drop("low").join(counts, "grp")

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import functions as F
 
 from playlens.functions.cleanse import valid_orders
 from playlens.operators import promoters
-from playlens.plans import plan
+from playlens.plans import plan, within_query
 from playlens.session import write_stage
 from playlens.sources import roles
 
@@ -30,14 +28,9 @@ def account_map(spark, sf):
     return promoters.account_owner_map(roles.account_regs(spark, sf), roles.promoters(spark, sf), roles.ledger(spark, sf))
 
 
-@lru_cache(maxsize=None)
-def _stored_map(spark, app: str, sf: str):
-    return write_stage(account_map(spark, sf), "account-map")
-
-
 def base(spark, sf):
-    """The account map is a detail table: written once per session, read by all reports."""
-    return _stored_map(spark, spark.sparkContext.applicationId, sf), roles.ledger(spark, sf), roles.promoters(spark, sf)
+    """The account map is a detail table: written once per query."""
+    return within_query("account-map", lambda: write_stage(account_map(spark, sf), "account-map")), roles.ledger(spark, sf), roles.promoters(spark, sf)
 
 
 def logins(spark, sf):
@@ -178,14 +171,14 @@ def _tier_values():
     return ", ".join(f"({', '.join('NULL' if v is None else str(v) for v in t)})" for t in TIERS)
 
 
-@plan("rebate_detail", f"""WITH {DETAIL}, tier AS (SELECT *, lead(min_number, 1, 999999999) OVER (PARTITION BY kind, recharge_type ORDER BY min_number) AS max_number FROM (VALUES {_tier_values()}) t(kind, group_num, recharge_type, min_number, scale, ex)),
+@plan("rebate_detail", f"""WITH {DETAIL}, tier AS (SELECT *, lead(min_number) OVER (PARTITION BY kind, recharge_type ORDER BY min_number) AS max_number FROM (VALUES {_tier_values()}) t(kind, group_num, recharge_type, min_number, scale, ex)),
  bs AS MATERIALIZED (SELECT d.ym, d.member_id, d.game_id, d.recharge_type, d.discount, sum(d.cents) AS cents, p.username, p.status + 1 AS user_type FROM det d JOIN l_promoters p USING (member_id) WHERE p.member_grade = 1 AND d.channel_id <> 6 GROUP BY ALL),
  ap AS MATERIALIZED (SELECT *, 20 AS scale, 3 AS rebate_type FROM (SELECT ym, member_id, game_id, recharge_type, username, user_type, sum(cents) AS cents FROM bs WHERE discount <> 9 GROUP BY ALL) WHERE game_id IN (3, 7) AND member_id % 10 = 2 AND cents < 15000000),
  sp AS (SELECT a.*, t.scale, 2 AS rebate_type FROM (SELECT ym, member_id, game_id, recharge_type, username, user_type, sum(cents) AS cents FROM bs WHERE discount <> 10 GROUP BY ALL) a
-   JOIN tier t ON t.kind = 1 AND t.recharge_type = a.recharge_type AND a.cents >= t.min_number AND a.cents < t.max_number WHERE a.game_id IN (3, 5) AND NOT EXISTS (SELECT 1 FROM ap WHERE ap.member_id = a.member_id AND ap.game_id = a.game_id)),
+   JOIN tier t ON t.kind = 1 AND t.recharge_type = a.recharge_type AND a.cents >= t.min_number AND (t.max_number IS NULL OR a.cents < t.max_number) WHERE a.game_id IN (3, 5) AND NOT EXISTS (SELECT 1 FROM ap WHERE ap.member_id = a.member_id AND ap.game_id = a.game_id)),
  rs AS (SELECT *, sum(cents) OVER (PARTITION BY ym, member_id, recharge_type) AS mon FROM (SELECT ym, member_id, game_id, recharge_type, username, user_type, sum(cents) AS cents FROM bs GROUP BY ALL) a
    WHERE game_id NOT IN (3, 5) AND NOT EXISTS (SELECT 1 FROM ap WHERE ap.member_id = a.member_id AND ap.game_id = a.game_id)),
- fx AS (SELECT r.* EXCLUDE (mon), t.scale, 1 AS rebate_type FROM rs r JOIN tier t ON t.kind = 0 AND t.recharge_type = r.recharge_type AND r.mon >= t.min_number AND r.mon < t.max_number)
+ fx AS (SELECT r.* EXCLUDE (mon), t.scale, 1 AS rebate_type FROM rs r JOIN tier t ON t.kind = 0 AND t.recharge_type = r.recharge_type AND r.mon >= t.min_number AND (t.max_number IS NULL OR r.mon < t.max_number))
  SELECT ym, member_id, game_id, recharge_type, username, user_type, CAST(cents AS BIGINT) AS cents, rebate_type, scale, CAST(round(cents * scale / 100) AS BIGINT) AS rebate_cents FROM (SELECT * FROM ap UNION ALL BY NAME SELECT * FROM sp UNION ALL BY NAME SELECT * FROM fx)""")
 def rebate_detail(spark, sf):
     excluded = spark.createDataFrame([(6,)], "channel_id int")

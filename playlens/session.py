@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -33,12 +33,15 @@ def build_session(master: str | None = None, app: str = "playlens", **extra: str
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder under the folder the cluster shares between its machines.
 
-    ``spark.checkpoint.dir`` names it. Only a session without that setting (tests, one machine)
-    falls back to a local temporary folder.
+    ``spark.checkpoint.dir`` names it. Only a session whose tasks all run in this process sets its own; a cluster
+    without the setting is an error, since its machines do not share temporary folders.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = os.path.join(tempfile.gettempdir(), "playlens-work")
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        base = tempfile.mkdtemp(prefix="playlens-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -1,4 +1,4 @@
-"""Results of micro-batches, each in its own partition: a replayed batch replaces itself.
+"""Results of micro-batches, each in its own partition: a replayed batch replaces itself, also by no rows.
 
 Readers combine the batches by key. So sums stay right when a batch runs twice, and no batch rewrites the table.
 """
@@ -8,13 +8,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.sinks.tables import ADD, GREATEST, REPLACE, exists, folders, overwrite_partitions
+from playlens.sinks.tables import ADD, GREATEST, REPLACE, exists, folders
 
 BATCH = "batch_id"
 
 
 def write_delta(df: DataFrame, path: str, batch_id: int) -> None:
-    overwrite_partitions(df.withColumn(BATCH, F.lit(batch_id).cast("long")), path, [BATCH])
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{BATCH}={batch_id}")
 
 
 def read_deltas(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

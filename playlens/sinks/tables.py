@@ -78,7 +78,7 @@ def combined(old: DataFrame, new: DataFrame, keys: list[str], rules: dict[str, s
 
     New rows of one key are ordered by ``version`` where that matters.
     """
-    stamp = lambda df, age: df.withColumn("_v", F.struct(F.lit(age).alias("age"), (F.col(version) if version else F.lit(0)).cast("string").alias("at")))
+    stamp = lambda df, age: df.withColumn("_v", F.struct(F.lit(age).alias("age"), (F.col(version) if version else F.lit(0)).alias("at")))
     for column, rule in rules.items():
         if rule.startswith("add_if:"):  # what is older than the stored date adds nothing
             date = rule.split(":", 1)[1]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,9 +32,13 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, s
     return reader.load()
 
 
+def _day_after(day: str) -> str:
+    return (date.fromisoformat(day[:10]) + timedelta(days=1)).isoformat()
+
+
 def read_jdbc_between(spark: SparkSession, url: str, table: str, day_column: str, start: str, end: str,
                       properties: dict[str, str], partitions: int = 16) -> DataFrame:
-    """Facts of a date range, one range of days per task."""
-    where = f"SELECT * FROM {table} WHERE {day_column} >= '{start}' AND {day_column} <= '{end}'"
+    """Facts of a date range, its last day whole, one range of days per task."""
+    where = f"SELECT * FROM {table} WHERE {day_column} >= '{start}' AND {day_column} < '{_day_after(end)}'"
     return read_jdbc(spark, url, table, properties, query=where, partition_column=day_column,
                      bounds=(start, end), partitions=partitions)

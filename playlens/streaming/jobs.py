@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from playlens.operators.attribution import attribute_activation
+from playlens.session import write_stage
 from playlens.sinks.deltas import BATCH, read_deltas, write_delta
 from playlens.sources.logs import parse_tagged
 
@@ -160,16 +161,15 @@ def attribution(path: str, days: int, click_schema: str, active_schema: str) ->
 def late_dimension(path: str, read_dim: Callable[[SparkSession], DataFrame], key: str, schema: str) -> Callable[[DataFrame, int], None]:
     """Batch job: rows meet the dimension as it is now; rows it does not know yet wait for a later batch.
 
-    The dimension is read anew for each batch. Waiting rows are those that the batch before left.
+    The dimension is read anew, and once, for each batch. Waiting rows are those that the batch before left.
     """
     def each(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
         waiting = read_deltas(spark, f"{path}/waiting", schema).filter(F.col(BATCH) == batch_id - 1).drop(BATCH)
-        every = rows.unionByName(waiting).persist()
-        dim = read_dim(spark)
-        write_delta(every.join(dim, key), f"{path}/known", batch_id)
-        write_delta(every.join(dim.select(key), key, "left_anti"), f"{path}/waiting", batch_id)
-        every.unpersist()
+        every = rows.unionByName(waiting)
+        met = write_stage(every.join(read_dim(spark).withColumn("_known", F.lit(True)), key, "left"), "late-dimension")
+        write_delta(met.filter("_known").drop("_known"), f"{path}/known", batch_id)
+        write_delta(met.filter("_known IS NULL").select(*every.columns), f"{path}/waiting", batch_id)
     return each
 
 

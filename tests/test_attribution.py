@@ -28,8 +28,9 @@ def test_window_of_seven_days(spark):
 
 def test_device_activates_once_per_game(spark):
     rows = [(1, T(0, 1), 1, "x"), (2, T(1, 1), 1, "x"), (3, T(1, 1), 2, "x"), (4, T(1, 1), 1, "0000000"), (5, T(1, 1), 1, "")]
-    df = spark.createDataFrame(rows, "active_id int, active_ts timestamp, game_id int, device string")
-    assert sorted(r.active_id for r in attribution.first_activations(df).collect()) == [1, 3]
+    android = [(6, T(1, 2), 1, "", 1, "A"), (7, T(1, 3), 1, None, 1, "A"), (8, T(1, 2), 1, "", 2, "A"), (9, T(1, 2), 1, "", 1, "")]
+    df = spark.createDataFrame([(*r, 1, "") for r in rows] + android, "active_id int, active_ts timestamp, game_id int, device string, os int, android_id string")
+    assert sorted(r.active_id for r in attribution.first_activations(df).collect()) == [1, 3, 6]
 
 
 def test_registration_by_device_then_android_id(spark):

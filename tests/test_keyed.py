@@ -134,3 +134,16 @@ def test_top_k_limits_before_the_shuffle(spark):
     got = keyed.top_k(df, ["k"], [F.desc("v")], 2)
     assert got.count() == 6
     assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_asof_ties_by_number(spark):
+    t = dt.datetime(2024, 1, 1, 5)
+    l = spark.createDataFrame([(1, "k", t)], "lid int, k string, t timestamp")
+    r = spark.createDataFrame([(9, "k", t), (10, "k", t)], "rid int, k string, u timestamp")
+    assert [x.rid for x in keyed.asof_latest(l, r, ["k"], "t", "u", ["rid"], ["rid"]).collect()] == [10]
+
+
+def test_last_tier_has_no_end(spark):
+    ladder = spark.createDataFrame([("a", 0, 1), ("a", 100, 2)], "grp string, threshold long, rate int")
+    facts = spark.createDataFrame([("a", 99), ("a", 100), ("a", 10**15)], "grp string, cents long")
+    assert sorted(x.rate for x in joins.ladder_rate(facts, ladder, ["grp"], "cents", "threshold").collect()) == [1, 2, 2]

@@ -74,3 +74,26 @@ def test_detail_keeps_first_row_of_key(spark):
     tables.append_detail(df(spark, [(1, 5, "late"), (1, 2, "first")], shape), path, ["k"], ["t"])
     tables.append_detail(df(spark, [(1, 1, "earlier but after"), (2, 9, "new")], shape), path, ["k"], ["t"])
     assert rows(spark.read.parquet(path)) == [(1, 2, "first"), (2, 9, "new")]
+
+
+def test_empty_rerun_clears_the_batch(spark):
+    path = work_folder(spark, "e")
+    deltas.write_delta(df(spark, [(1, 5)], "k int, v long"), path, 0)
+    deltas.write_delta(df(spark, [], "k int, v long"), path, 0)
+    assert deltas.read_deltas(spark, path, "k int, v long").count() == 0
+
+
+def test_version_order_is_that_of_its_type(spark):
+    old, new = df(spark, [(D(0), 1, 1)]), df(spark, [(D(0), 1, 9), (D(0), 1, 10)])
+    assert rows(tables.combined(old, new, ["day", "k"], {"v": tables.REPLACE}, version="v")) == [(D(0), 1, 10)]
+
+
+def test_waiting_rows_of_a_rerun_batch(spark):
+    from playlens.streaming.jobs import late_dimension
+
+    path = work_folder(spark, "late")
+    dims = [df(spark, [], "k int, name string"), df(spark, [(1, "n")], "k int, name string")]
+    row, none = df(spark, [(1, 7)], "k int, v int"), df(spark, [], "k int, v int")
+    for batch, dim, new in ((0, 0, row), (0, 1, row), (1, 1, none)):
+        late_dimension(path, lambda s: dims[dim], "k", "k int, v int")(new, batch)
+    assert [(r.k, r.v, r.name) for r in deltas.read_deltas(spark, f"{path}/known").collect()] == [(1, 7, "n")]
