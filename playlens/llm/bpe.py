@@ -29,7 +29,7 @@ from playlens.llm.stages import map_arrow, small_batches, table
 
 BLOCK_BYTES = 24 << 20  # of text
 BUCKETS = 64  # lists a block's words are dealt to; each holds some thousand words
-MEMO = 500_000  # words a task remembers
+MEMO = 150_000  # words a task remembers
 MOST_VOCABULARY = 64 << 20  # bytes of a rank file that may be broadcast
 ORDER, WORDS = -1, 0  # kinds of rows: a block's positions (first in sort order), a list of its words
 ROW = "key long, block long, bucket int, ids array<long>, sizes array<int>, body binary, lengths binary"
@@ -177,11 +177,17 @@ def _assemble(batches: Iterator[pa.RecordBatch], shared: Broadcast, columns: lis
         written = [",".join(map(str, ids)) for ids in ids_of]
         count = np.fromiter(map(len, ids_of), np.int64, len(ids_of))
         ends = np.cumsum(sizes)
-        for a, b in rolling.groups_of_rows(np.array(sizes), rolling.CHUNK):
+        flat = np.fromiter((i for ids in ids_of for i in ids), np.int32, int(count.sum())) if "ids" in columns else None
+        first = np.cumsum(count) - count
+        for a, b in rolling.groups_of_rows(np.array(sizes), rolling.CHUNK // 4):
             spans = [places[e - n: e].tolist() for e, n in zip(ends[a:b].tolist(), sizes[a:b])]
             out = {"doc_id": pa.array(doc_ids[a:b], pa.int64()), "n_tokens": pa.array([int(count[s].sum()) for s in spans], pa.int64())}
             if "ids" in columns:
-                out["ids"] = pa.array([[i for w in s for i in ids_of[w]] for s in spans], pa.list_(pa.int32()))
+                words = places[ends[a] - sizes[a]: ends[b - 1]]
+                n = count[words]
+                values = flat[np.arange(n.sum()) + np.repeat(first[words] - (np.cumsum(n) - n), n)]
+                edges = np.cumsum([0, *(int(count[s].sum()) for s in spans)])
+                out["ids"] = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(values, pa.int32()))
             if "ids_sha256" in columns:
                 out["ids_sha256"] = pa.array([hashlib.sha256(",".join([written[w] for w in s]).encode()).hexdigest() for s in spans])
             if "decoded" in columns or "decoded_sha256" in columns:

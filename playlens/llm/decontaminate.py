@@ -33,7 +33,7 @@ dollar dollars cent cents euro euros percent degree degrees kmh mph hz khz mhz w
 # kinds of tokens, in the lowest bits of a token's code
 PLAIN, TITLE, NUMBER, UNIT, STOP, KINDS = 0, 1, 2, 3, 4, 7
 NAME_SLOT, NUMBER_SLOT, UNIT_SLOT = (U64(xxhash.xxh3_64_intdigest(x) & ~KINDS) for x in (b"<name>", b"<number>", b"<unit>"))
-MEMO = 500_000
+MEMO = 100_000  # tokens a worker remembers
 
 
 class _Codes(dict):

@@ -280,7 +280,7 @@ def recognised(docs: DataFrame, id_column: str = "doc_id", text: str = "text", l
             names, scores = _judge(shared.value, batch.column(text))
             yield batch.filter(pa.array((names != UNKNOWN) & (scores >= least)))
 
-    return docs.mapInArrow(work, docs.schema)
+    return map_arrow(docs, work, docs.schema)
 
 
 def predicted(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -9,6 +11,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from playlens.session import write_stage
 
@@ -58,8 +61,23 @@ def with_text(docs: DataFrame, texts: DataFrame, id_column: str = "doc_id", text
     return joined.select(*(F.col("new_text").alias(text) if c == text else F.col(f"row.`{c}`") for c in docs.columns))
 
 
-def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(work, schema)
+def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` whose workers, which Spark uses again, give freed memory back when a task is done."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            release_memory()
+
+    return df.mapInArrow(task, schema)
+
+
+def release_memory() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
 
 
 def array_column(batch: pa.RecordBatch, name: str) -> np.ndarray:
