@@ -16,14 +16,15 @@ from pyspark.sql.types import StructType
 from playlens.session import write_stage
 
 NO_ID = -(1 << 63)  # stands for a null id inside an operator; sorts before all others
-BATCH_ROWS = 1_000
+BATCH_ROWS, BATCH_BYTES = 1_000, 4 << 20
 
 __all__ = ["write_stage", "keyed", "key_columns", "small_batches", "without", "with_text", "map_arrow", "array_column", "table", "hash_bitmap", "in_bitmap", "likely_in", "original_id"]
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Rows a Python worker gets at once: few, since one text can be long."""
+    """What a Python worker gets at once: some megabytes, since texts can be long; one text is never split."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def keyed(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
