@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from playlens.functions.cleanse import time_bucket, valid_device, zero_ratio
@@ -75,17 +76,23 @@ def active_users(logins: DataFrame, keys: list[str], grain: str) -> DataFrame:
 def trailing_users(logins: DataFrame, keys: list[str], start: str, end: str, days: int = 30) -> DataFrame:
     """For each day of the range, distinct accounts and devices of that day and the ``days`` before it.
 
-    Distinct (entity, day) rows are spread over the days that count them, cut to the range.
+    A seen day counts up to the day before the next one, so an entity counts once on each day: a step up where
+    that span begins and one down after it. The steps are summed per key and day, then run up over the calendar.
     """
     lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
-    def distinct(column, name):
-        seen = logins.filter(F.col(column) != "").select(*keys, column, F.col("day").alias("_seen")).distinct()
-        first, last = F.greatest(F.col("_seen"), lo), F.least(F.date_add("_seen", days), hi)
-        spread = seen.withColumn("_first", first).withColumn("_last", last).filter("_first <= _last").select(
-            *keys, column, F.explode(F.sequence("_first", "_last", F.expr("interval 1 day"))).alias("day")).distinct()
-        return spread.groupBy(*keys, "day").agg(F.count("*").alias(name))
-    return zero_filled_union([distinct("account", "mau_accounts"), distinct("imei", "mau_devices")],
-                             [*keys, "day"], ["mau_accounts", "mau_devices"])
+    reaching = logins.filter(F.col("day").between(F.date_sub(lo, days), hi))
+    def steps(column, name):
+        seen = reaching.filter(F.col(column) != "").select(*keys, column, F.col("day").alias("_seen")).distinct()
+        following = F.lead("_seen").over(W.partitionBy(*keys, column).orderBy("_seen"))
+        spans = seen.select(*keys, F.greatest("_seen", lo).alias("_first"), F.least(F.date_add("_seen", days), hi, F.date_sub(following, 1)).alias("_last"))
+        up, down = F.struct(F.col("_first").alias("day"), F.lit(1).alias("step")), F.struct(F.date_add("_last", 1).alias("day"), F.lit(-1).alias("step"))
+        return spans.filter("_first <= _last").select(*keys, F.inline(F.array(up, down))).groupBy(*keys, "day").agg(F.sum("step").alias(name))
+    names = ["mau_accounts", "mau_devices"]
+    changes = zero_filled_union([steps("account", names[0]), steps("imei", names[1])], [*keys, "day"], names)
+    spine = calendar(changes.select(*keys).distinct(), lo, hi).withColumns({n: F.lit(0).cast("long") for n in names})
+    dense = zero_filled_union([spine, changes.filter(F.col("day") <= hi)], [*keys, "day"], names)
+    upto = W.partitionBy(*keys).orderBy("day").rowsBetween(W.unboundedPreceding, 0)
+    return dense.select(*keys, "day", *[F.sum(n).over(upto).alias(n) for n in names]).filter(" or ".join(f"{n} > 0" for n in names))
 
 
 def new_login(regs: DataFrame, logins: DataFrame, keys: list[str]) -> DataFrame:

@@ -29,6 +29,18 @@ PAY_WATCH_DAYS = 15
 # ------------------------------------------------------------------------------------------------
 
 
+def between_days(df: DataFrame, day: str, start: str | None = None, end: str | None = None, reach: int = 0) -> DataFrame:
+    """Rows of the days from ``start`` to ``reach`` days after ``end``, both included; None is no bound.
+
+    The bare column is compared with constants, so the filter reaches the scan and prunes day partitions.
+    """
+    if start is not None:
+        df = df.filter(F.col(day) >= F.lit(start).cast("date"))
+    if end is not None:
+        df = df.filter(F.col(day) <= F.date_add(F.lit(end).cast("date"), reach))
+    return df
+
+
 def cohort_days(cohort: DataFrame, events: DataFrame, on: list[str], keys: list[str], entity: list[str],
                 cohort_day: str, event_day: str, offsets: Sequence[int] | None = None,
                 how: str = "inner") -> DataFrame:
@@ -44,11 +56,12 @@ def cohort_days(cohort: DataFrame, events: DataFrame, on: list[str], keys: list[
 
 def retention(cohort: DataFrame, events: DataFrame, on: list[str], keys: list[str], entity: list[str],
               cohort_day: str = "reg_day", event_day: str = "day", offsets: Sequence[int] = RETENTION_OFFSETS,
-              name: str = "retained_{}") -> DataFrame:
-    """Members seen again n days later, one column per n.
+              name: str = "retained_{}", start: str | None = None, end: str | None = None) -> DataFrame:
+    """Members seen again n days later, one column per n; ``start`` and ``end`` bound the cohort days.
 
     Member rows and event days are distinct, so each joined row is a distinct (member, day): no third distinct.
     """
+    cohort, events = between_days(cohort, cohort_day, start, end), between_days(events, event_day, start, end, max(offsets))
     pairs = cohort_days(cohort, events, on, keys, entity, cohort_day, event_day, offsets)
     return pivot_offsets(pairs, [*keys, cohort_day], "dur", list(offsets), F.lit(1), name)
 
@@ -62,8 +75,14 @@ def _within(n: int, allow_pre_reg: bool) -> Column:
 
 def cohort_value(cohort: DataFrame, orders: DataFrame, on: list[str], keys: list[str], cohort_day: str = "reg_day",
                  days: Sequence[int] = LTV_DAYS, allow_pre_reg: bool = False, measure: str = "cents",
-                 name: str = "ltv_{}", total: str | None = None, how: str = "left") -> DataFrame:
-    """Cumulative order value n days after registration, in cents."""
+                 name: str = "ltv_{}", total: str | None = None, how: str = "left", start: str | None = None, end: str | None = None) -> DataFrame:
+    """Cumulative order value n days after registration, in cents; ``start`` and ``end`` bound the cohort days.
+
+    A ``total`` sums all orders of a member, so then orders are not bounded.
+    """
+    cohort = between_days(cohort, cohort_day, start, end)
+    if not total:
+        orders = between_days(orders, "day", None if allow_pre_reg else start, end, max(days) - 1)
     members = cohort.select(*dict.fromkeys([*keys, cohort_day, *on])).distinct()
     spent = orders.groupBy(*on, "day").agg(F.sum(measure).alias("_spent"))
     pairs = members.join(spent, on, how).withColumn("dur", F.datediff("day", cohort_day))
@@ -74,8 +93,9 @@ def cohort_value(cohort: DataFrame, orders: DataFrame, on: list[str], keys: list
 
 
 def payers_by_cohort_day(cohort: DataFrame, orders: DataFrame, on: list[str], keys: list[str], cohort_day: str = "reg_day",
-                         offsets: Sequence[int] = RETENTION_OFFSETS) -> DataFrame:
+                         offsets: Sequence[int] = RETENTION_OFFSETS, start: str | None = None, end: str | None = None) -> DataFrame:
     """Members who paid on each day after registration; cohorts without payers stay with zeros."""
+    cohort, orders = between_days(cohort, cohort_day, start, end), between_days(orders, "day", start, end, max(offsets))
     pairs = cohort_days(cohort, orders, on, keys, on, cohort_day, "day", how="left")
     return pivot_offsets(pairs, [*keys, cohort_day], "dur", list(offsets), F.lit(1), "payers_{}")
 
@@ -123,8 +143,9 @@ def ltv_net(cohort: DataFrame, orders: DataFrame, proxy: DataFrame, shares: Data
     value = cohort_sum(paid.groupBy(game, cohort_day, "dur", "_month").agg(F.sum("cents").alias("cents")).join(rate, [game, "_month"], "left"), "cents", "v_")
     size = members.groupBy(game, cohort_day).agg(F.count("*").alias("accounts"))
     booked = proxy.groupBy(game, "day").agg(F.sum("proxy_cents").alias("proxy_cents")).withColumn("_month", month("day")).join(rate, [game, "_month"], "left")
-    # cohort days x later booking days of the same game within the longest span
-    spread = size.select(game, cohort_day).join(booked, game).withColumn("dur", F.datediff("day", cohort_day)).filter(F.col("dur").between(0, max(days) - 1))
+    # a booking day counts for the cohort days of the longest span before it: an equi-join, not all days of a game by all
+    serves = F.sequence(F.date_sub("day", max(days) - 1), F.col("day"), F.expr("interval 1 day"))
+    spread = booked.withColumn(cohort_day, F.explode(serves)).join(size.select(game, cohort_day), [game, cohort_day]).withColumn("dur", F.datediff("day", cohort_day))
     less = cohort_sum(spread, "proxy_cents", "p_")
     cost = costs.groupBy(game, F.col("day").alias(cohort_day)).agg(F.sum("cost_cents").alias("publish_cost"))
     dev = devices.groupBy(game, cohort_day).agg(F.sum("devices").alias("devices"))

@@ -299,22 +299,29 @@ def device_ownership(logins: DataFrame, regs: DataFrame, orders: DataFrame, devi
 
 
 def sub_package_stats(actives: DataFrame, regs: DataFrame, logins: DataFrame, orders: DataFrame, keys: list[str]) -> DataFrame:
-    """Devices, addresses, accounts, payments and new payers per day and promotion package."""
+    """Devices, addresses, accounts, payments and new payers per day and promotion package.
+
+    Each input is read once: its rows name their entities by kind, one aggregate makes them distinct, one counts them.
+    """
     by = [*keys, "day"]
-    born = regs.select("account", F.col("reg_day").alias("day")).distinct()
-    paid = orders.filter("status = 4")
-    on_reg = regs.withColumn("day", F.col("reg_day"))
-    real = lambda df: df.filter(valid_device("imei"))
-    new = paid.join(born, ["account", "day"], "left_semi")
-    parts = [
-        count_distinct(real(actives), by, ["imei"], "active_devices"), count_distinct(actives, by, ["ip"], "active_ips"),
-        count_distinct(on_reg, by, ["account"], "regi_accounts"), count_distinct(real(on_reg), by, ["imei"], "regi_devices"),
-        count_distinct(logins, by, ["account"], "login_accounts"), count_distinct(real(logins), by, ["imei"], "login_devices"),
-        paid.groupBy(*by).agg(F.sum("cents").alias("pay_cents"), F.count("*").alias("orders")), count_distinct(real(paid), by, ["imei"], "pay_devices"),
-        new.groupBy(*by).agg(F.sum("cents").alias("new_pay_cents")), count_distinct(new, by, ["account"], "new_pay_accounts"),
-    ]
-    return zero_filled_union(parts, by, ["active_devices", "active_ips", "regi_accounts", "regi_devices", "login_accounts", "login_devices",
-                                         "pay_cents", "orders", "pay_devices", "new_pay_cents", "new_pay_accounts"])
+    device, account = F.when(valid_device("imei"), F.col("imei")), F.col("account")
+    born = regs.select("account", F.col("reg_day").alias("day"), F.lit(True).alias("_new")).distinct()
+    paid = orders.filter("status = 4").join(born, ["account", "day"], "left")
+    def named(df, cents=None, **kinds):
+        entities = F.array(*[F.struct(F.lit(kind).alias("kind"), entity.cast("string").alias("entity")) for kind, entity in kinds.items()])
+        return df.select(*by, (F.lit(0) if cents is None else F.col(cents)).cast("long").alias("cents"), F.inline(entities))
+    rows = (
+        named(actives, active_devices=device, active_ips=F.col("ip"))
+        .unionByName(named(regs.withColumn("day", F.col("reg_day")), regi_accounts=account, regi_devices=device))
+        .unionByName(named(logins, login_accounts=account, login_devices=device))
+        .unionByName(named(paid, "cents", pay_accounts=account, pay_devices=device, new_pay_accounts=F.when(F.col("_new"), account)))
+    )
+    per = rows.groupBy(*by, "kind", "entity").agg(F.sum("cents").alias("cents"), F.count("*").alias("n"))
+    distinct = lambda kind: F.count_if((F.col("kind") == kind) & F.col("entity").isNotNull()).alias(kind)
+    total = lambda measure, which, name: F.coalesce(F.sum(F.when(which, F.col(measure))), F.lit(0)).alias(name)
+    paying, new = F.col("kind") == "pay_accounts", (F.col("kind") == "new_pay_accounts") & F.col("entity").isNotNull()
+    kinds = ["active_devices", "active_ips", "regi_accounts", "regi_devices", "login_accounts", "login_devices", "pay_devices", "new_pay_accounts"]
+    return per.groupBy(*by).agg(*map(distinct, kinds), total("cents", paying, "pay_cents"), total("n", paying, "orders"), total("cents", new, "new_pay_cents"))
 
 
 def common_sdk_daily(accounts: DataFrame, logins: DataFrame, orders: DataFrame) -> DataFrame:
