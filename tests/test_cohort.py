@@ -75,3 +75,39 @@ def test_sessions_with_overlapping_reports(spark):
     online = spark.createDataFrame([("a", t(0), t(5)), ("a", t(0), t(9)), ("a", t(0), t(7)), ("a", t(20), t(21))], "account string, start_ts timestamp, end_ts timestamp")
     r = activity.online_time(online, ["account"]).first()
     assert (r.online_seconds, r.sessions) == (600, 2)
+
+
+def test_bounds_of_cohorts_change_no_row_within_them(spark, sf):
+    regs, logins, orders = roles.regs(spark, sf), roles.logins(spark, sf), roles.game_orders(spark, sf)
+    start, end = D(5), D(9)
+    inside = lambda df: sorted(r for r in df.collect() if start <= r.reg_day <= end)
+    bounds = {"start": str(start), "end": str(end)}
+    by = (["account"], ["game_id"])
+    assert inside(cohort.retention(regs, logins, *by, ["account"])) == sorted(cohort.retention(regs, logins, *by, ["account"], **bounds).collect())
+    for pre in (False, True):
+        assert inside(cohort.cohort_value(regs, orders, *by, allow_pre_reg=pre)) == sorted(cohort.cohort_value(regs, orders, *by, allow_pre_reg=pre, **bounds).collect())
+    assert inside(cohort.cohort_value(regs, orders, *by, total="t")) == sorted(cohort.cohort_value(regs, orders, *by, total="t", **bounds).collect())
+    assert inside(cohort.payers_by_cohort_day(regs, orders, *by)) == sorted(cohort.payers_by_cohort_day(regs, orders, *by, **bounds).collect())
+
+
+def test_bounds_reach_the_scan(spark, tmp_path, capsys):
+    regs, logins = frames(spark)
+    regs.write.parquet(f"{tmp_path}/regs")
+    logins.write.parquet(f"{tmp_path}/logins")
+    read = lambda name: spark.read.parquet(f"{tmp_path}/{name}")
+    cohort.retention(read("regs"), read("logins"), ["account"], ["game_id"], ["account"], offsets=[1, 29], start="2024-01-02", end="2024-01-04").explain("formatted")
+    plan = capsys.readouterr().out
+    assert "GreaterThanOrEqual(reg_day,2024-01-02), LessThanOrEqual(reg_day,2024-01-04)" in plan
+    assert "GreaterThanOrEqual(day,2024-01-02), LessThanOrEqual(day,2024-02-02)" in plan
+
+
+def test_trailing_users_count_once_a_day(spark):
+    rows = [("a", "d1", D(-40)), ("a", "d1", D(-3)), ("a", "d1", D(1)), ("a", "", D(2)), ("b", "d1", D(2)), ("c", "d2", D(99))]
+    logins = spark.createDataFrame([(1, *r) for r in rows], "game_id int, account string, imei string, day date")
+    got = {(r.day - D(0)).days: (r.mau_accounts, r.mau_devices) for r in activity.trailing_users(logins, ["game_id"], "2024-01-01", "2024-01-06", days=3).collect()}
+    want = {}
+    for n in range(6):
+        near = [r for r in rows if D(n - 3) <= r[2] <= D(n)]
+        if near:
+            want[n] = len({r[0] for r in near}), len({r[1] for r in near if r[1]})
+    assert got == want
