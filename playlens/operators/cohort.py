@@ -13,8 +13,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from playlens.functions.cleanse import zero_ratio
-from playlens.operators.aggregates import pivot_offsets
+from playlens.operators.activity import activation_kpi
+from playlens.operators.aggregates import count_distinct, pivot_offsets, zero_filled_union
 from playlens.operators.joins import band_expand, calendar
+from playlens.operators.payments import new_pay_kpi
 
 # --- fixed values: days after registration that the reports show --------------------------------
 RETENTION_OFFSETS = [*range(15), 29, 44, 59, 89, 119, 149, 179]
@@ -25,6 +27,7 @@ CARD_OFFSETS = [1, 2, 3, 4, 5, 6, 14, 29]
 COMMON_SDK_OFFSETS = [1, 2, 6, 14, 29]
 LTV_DAYS = [*range(1, 16), 30, 45, 60, 90, 180]
 AD_LTV_DAYS = [1, 2, 3, 7, 30]
+ALLIANCE_LTV_DAYS = [1, 3, 7, 30]
 PAY_WATCH_DAYS = 15
 # ------------------------------------------------------------------------------------------------
 
@@ -165,5 +168,30 @@ def dense_retention(first_days: DataFrame, events: DataFrame, on: list[str], key
     return spine.join(got, [*keys, "first_day"], "left").fillna(0, [f"retained_{n}" for n in offsets])
 
 
+ALLIANCE_MEASURES = [
+    "regi_accounts", "active_devices", "pay_cents", "new_pay_accounts", "new_pay_cents", "new_pay_devices", "dau_accounts",
+    *(f"retained_{n}" for n in REALTIME_OFFSETS), *(f"ltv_{n}" for n in ALLIANCE_LTV_DAYS),
+]
+
+
+def alliance_kpi(actives: DataFrame, regs: DataFrame, logins: DataFrame, orders: DataFrame, keys: list[str]) -> DataFrame:
+    """Registrations, activations, payments, active accounts, retention and value per day and ``keys`` (game and bag).
+
+    Payments belong to where the account registered. Retention and value stand at the day of registration.
+    """
+    by = [*keys, "day"]
+    spent = orders.groupBy("account", "day").agg(F.sum("cents").alias("pay_cents"))
+    parts = [
+        count_distinct(regs.withColumn("day", F.col("reg_day")), by, ["account"], "regi_accounts"),
+        activation_kpi(actives, keys, "day"),
+        spent.join(regs.select(*keys, "account").distinct(), "account").groupBy(*by).agg(F.sum("pay_cents").alias("pay_cents")),
+        new_pay_kpi(orders, regs, keys),
+        count_distinct(logins, by, ["account"], "dau_accounts"),
+        retention(regs, logins, ["account"], keys, ["account"], offsets=REALTIME_OFFSETS).withColumnRenamed("reg_day", "day"),
+        cohort_value(regs, orders, ["account"], keys, days=ALLIANCE_LTV_DAYS, how="inner").withColumnRenamed("reg_day", "day"),
+    ]
+    return zero_filled_union(parts, by, ALLIANCE_MEASURES)
+
+
 def retention_rates(df: DataFrame, base: str, offsets: Sequence[int]) -> DataFrame:
     return df.withColumns({f"rate_{n}": zero_ratio(f"retained_{n}", base) for n in offsets})

@@ -50,6 +50,16 @@ def new_device_kpi_package(spark, sf):
     return activity.new_device_kpi(roles.regs(spark, sf), PACKAGE, "day")
 
 
+@plan("new_device_kpi_game", f"SELECT game_id, day, count(*) AS new_devices FROM {NEW_DEV.format(k='game_id')} GROUP BY ALL")
+def new_device_kpi_game(spark, sf):
+    return activity.new_device_kpi(roles.regs(spark, sf), ["game_id"], "day")
+
+
+@plan("new_device_kpi_package_hour", f"SELECT {PK}, {HOUR.format('first_ts')}, count(*) AS new_devices FROM {NEW_DEV.format(k=PK)} GROUP BY ALL")
+def new_device_kpi_package_hour(spark, sf):
+    return _text_hour(activity.new_device_kpi(roles.regs(spark, sf), PACKAGE, "hour"))
+
+
 @plan("new_device_kpi_game_hour", f"SELECT game_id, {HOUR.format('first_ts')}, count(*) AS new_devices FROM {NEW_DEV.format(k='game_id')} GROUP BY ALL")
 def new_device_kpi_game_hour(spark, sf):
     return _text_hour(activity.new_device_kpi(roles.regs(spark, sf), ["game_id"], "hour"))
@@ -80,6 +90,16 @@ def dau_hour_game(spark, sf):
     return _text_hour(activity.active_users(roles.logins(spark, sf), ["game_id"], "hour"))
 
 
+@plan("dau_day_game", "SELECT game_id, day, count(DISTINCT account) AS dau_accounts, count(DISTINCT CASE WHEN imei <> '' THEN imei END) AS dau_devices FROM g_logins GROUP BY ALL")
+def dau_day_game(spark, sf):
+    return activity.active_users(roles.logins(spark, sf), ["game_id"], "day")
+
+
+@plan("dau_hour_package", f"SELECT {PK}, {HOUR.format('ts')}, count(DISTINCT account) AS dau_accounts, count(DISTINCT CASE WHEN imei <> '' THEN imei END) AS dau_devices FROM g_logins GROUP BY ALL")
+def dau_hour_package(spark, sf):
+    return _text_hour(activity.active_users(roles.logins(spark, sf), PACKAGE, "hour"))
+
+
 @plan("mau", """SELECT l.game_id, d.day, count(DISTINCT l.account) AS mau_accounts, count(DISTINCT CASE WHEN l.imei <> '' THEN l.imei END) AS mau_devices
  FROM (SELECT CAST(x AS DATE) AS day FROM generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY) t(x)) d
  JOIN g_logins l ON l.day <= d.day AND l.day >= d.day - 30 GROUP BY ALL""")

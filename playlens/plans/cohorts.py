@@ -170,18 +170,25 @@ def payers_by_cohort_day(spark, sf):
 
 
 def _alliance_sql():
-    reg = "SELECT game_id, medium, day, count(DISTINCT account) AS regi_accounts, 0 AS active_devices, 0 AS pay_cents, 0 AS new_pay_accounts, 0 AS dau_accounts, 0 AS retained_1, 0 AS ltv_7 FROM g_regs GROUP BY ALL"
-    zeros = lambda expr: ", ".join(expr.get(c, "0") + f" AS {c}" for c in ["regi_accounts", "active_devices", "pay_cents", "new_pay_accounts", "dau_accounts", "retained_1", "ltv_7"])
-    act = f"SELECT game_id, medium, CAST(first_ts AS DATE) AS day, {zeros({'active_devices': 'count(*)'})} FROM (SELECT game_id, medium, imei, min(ts) AS first_ts FROM g_actives WHERE imei <> '' GROUP BY ALL) GROUP BY game_id, medium, CAST(first_ts AS DATE)"
-    homes = "(SELECT DISTINCT game_id, medium, account FROM g_regs)"
+    given = lambda expr: ", ".join(f"{expr.get(c, '0')} AS {c}" for c in cohort.ALLIANCE_MEASURES)
+    group = "GROUP BY game_id, medium, day"
     live = "(SELECT * FROM g_paid WHERE order_no NOT IN (SELECT order_no FROM g_receipts WHERE sandbox = 1 AND state = 3))"
-    pay = f"SELECT h.game_id, h.medium, o.day, {zeros({'pay_cents': 'sum(o.cents)'})} FROM {homes} h JOIN {live} o USING (account) GROUP BY h.game_id, h.medium, o.day"
-    new = f"SELECT r.game_id, r.medium, r.day, {zeros({'new_pay_accounts': 'count(DISTINCT r.account)'})} FROM g_regs r JOIN {live} o ON o.account = r.account AND o.day = r.day AND o.status = 4 GROUP BY r.game_id, r.medium, r.day"
-    dau = f"SELECT game_id, medium, day, {zeros({'dau_accounts': 'count(DISTINCT account)'})} FROM g_logins GROUP BY game_id, medium, day"
-    ret = f"SELECT game_id, medium, reg_day AS day, {zeros({'retained_1': 'count(*)'})} FROM (SELECT DISTINCT r.game_id, r.medium, r.reg_day, r.account FROM g_regs r JOIN g_logins l ON l.account = r.account AND l.day = r.reg_day + 1) GROUP BY game_id, medium, reg_day"
-    ltv7 = f"SELECT r.game_id, r.medium, r.reg_day AS day, {zeros({'ltv_7': 'sum(o.cents)'})} FROM (SELECT DISTINCT game_id, medium, reg_day, account FROM g_regs) r JOIN {live} o ON o.account = r.account AND date_diff('day', r.reg_day, o.day) BETWEEN 0 AND 6 GROUP BY r.game_id, r.medium, r.reg_day"
-    whole = " UNION ALL ".join([reg, act, pay, new, dau, ret, ltv7])
-    sums = ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in ["regi_accounts", "active_devices", "pay_cents", "new_pay_accounts", "dau_accounts", "retained_1", "ltv_7"])
+    sold = f"(SELECT account, day, sum(cents) AS cents FROM {live} WHERE status = 4 GROUP BY ALL)"
+    born = "(SELECT DISTINCT game_id, medium, day AS reg_day, account FROM g_regs)"
+    dur = "date_diff('day', r.reg_day, x.day)"
+    ret = {f"retained_{n}": f"count(DISTINCT CASE WHEN dur = {n} THEN account END)" for n in cohort.REALTIME_OFFSETS}
+    ltv = {f"ltv_{n}": f"sum(CASE WHEN dur BETWEEN 0 AND {n - 1} THEN cents ELSE 0 END)" for n in cohort.ALLIANCE_LTV_DAYS}
+    whole = " UNION ALL ".join([
+        f"SELECT game_id, medium, day, {given({'regi_accounts': 'count(DISTINCT account)'})} FROM g_regs {group}",
+        f"SELECT game_id, medium, day, {given({'active_devices': 'count(*)'})} FROM (SELECT game_id, medium, CAST(min(ts) AS DATE) AS day FROM g_actives WHERE imei <> '' GROUP BY game_id, medium, imei) {group}",
+        f"SELECT game_id, medium, day, {given({'pay_cents': 'sum(cents)'})} FROM (SELECT DISTINCT game_id, medium, account FROM g_regs) h JOIN (SELECT account, day, cents FROM {live}) o USING (account) {group}",
+        f"SELECT game_id, medium, day, {given({'new_pay_accounts': 'count(*)', 'new_pay_cents': 'sum(cents)'})} FROM (SELECT DISTINCT game_id, medium, day, account FROM g_regs) r JOIN {sold} s USING (account, day) {group}",
+        f"SELECT game_id, medium, day, {given({'new_pay_devices': 'count(DISTINCT imei)'})} FROM (SELECT * FROM g_regs WHERE imei <> '') r JOIN {sold} s USING (account, day) {group}",
+        f"SELECT game_id, medium, day, {given({'dau_accounts': 'count(DISTINCT account)'})} FROM g_logins {group}",
+        f"SELECT game_id, medium, day, {given(ret)} FROM (SELECT r.game_id, r.medium, r.reg_day AS day, r.account, {dur} AS dur FROM {born} r JOIN g_logins x ON x.account = r.account) {group}",
+        f"SELECT game_id, medium, day, {given(ltv)} FROM (SELECT r.game_id, r.medium, r.reg_day AS day, x.cents, {dur} AS dur FROM {born} r JOIN {live} x ON x.account = r.account) {group}",
+    ])
+    sums = ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in cohort.ALLIANCE_MEASURES)
     return f"""SELECT a.*, coalesce(n.parent_game_id, 0) AS parent_game_id FROM (SELECT game_id, medium, day, {sums} FROM ({whole}) GROUP BY ALL) a
      LEFT JOIN g_games n ON n.child_game_id = a.game_id AND n.state = 0"""
 
@@ -189,21 +196,7 @@ def _alliance_sql():
 @plan("alliance_kpi", _alliance_sql())
 def alliance_kpi(spark, sf):
     from playlens.functions.cleanse import drop_sandbox
-    from playlens.operators import payments
-    from playlens.operators.aggregates import count_distinct, zero_filled_union
-    keys = ["game_id", "medium"]
-    regs, logins, actives = roles.regs(spark, sf), roles.logins(spark, sf), roles.actives(spark, sf)
     orders = drop_sandbox(paid(spark, sf), roles.receipts(spark, sf))
-    spent = orders.groupBy("account", "day").agg(F.sum("cents").alias("pay_cents"))
-    parts = [
-        count_distinct(regs.withColumn("day", F.col("reg_day")), [*keys, "day"], ["account"], "regi_accounts"),
-        activity.activation_kpi(actives, keys, "day"),
-        spent.join(regs.select(*keys, "account").distinct(), "account").groupBy(*keys, "day").agg(F.sum("pay_cents").alias("pay_cents")),
-        payments.new_pay_kpi(orders, regs, keys).filter("new_pay_accounts > 0").select(*keys, "day", "new_pay_accounts"),
-        count_distinct(logins, [*keys, "day"], ["account"], "dau_accounts"),
-        cohort.retention(regs, logins, ["account"], keys, ["account"], offsets=[1]).withColumnRenamed("reg_day", "day"),
-        cohort.cohort_value(regs, orders, ["account"], keys, days=[7], how="inner").withColumnRenamed("reg_day", "day"),
-    ]
-    kpi = zero_filled_union(parts, [*keys, "day"], ["regi_accounts", "active_devices", "pay_cents", "new_pay_accounts", "dau_accounts", "retained_1", "ltv_7"])
+    kpi = cohort.alliance_kpi(roles.actives(spark, sf), roles.regs(spark, sf), roles.logins(spark, sf), orders, ["game_id", "medium"])
     games = roles.games(spark, sf).filter("state = 0").select(F.col("child_game_id").alias("game_id"), "parent_game_id")
     return kpi.join(games, "game_id", "left").fillna(0, ["parent_game_id"])

@@ -28,6 +28,11 @@ def pay_kpi_day_package(spark, sf):
     return payments.pay_kpi(paid(spark, sf), PACKAGE, "day")
 
 
+@plan("pay_kpi_hour_game", f"SELECT game_id, {HOUR.format('ts')}, {PAY} FROM g_paid GROUP BY ALL")
+def pay_kpi_hour_game(spark, sf):
+    return _text_hour(payments.pay_kpi(paid(spark, sf), ["game_id"], "hour"))
+
+
 @plan("pay_kpi_day_game", f"SELECT game_id, day, {PAY} FROM g_paid GROUP BY ALL")
 def pay_kpi_day_game(spark, sf):
     return payments.pay_kpi(paid(spark, sf), ["game_id"], "day")
