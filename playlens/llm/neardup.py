@@ -230,7 +230,7 @@ def components(links: DataFrame, name: str) -> DataFrame:
     labels = write_stage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("label")), f"{name}-labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        spread = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        spread = write_stage(labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label")), f"{name}-spread")
         up = spread.select(F.col("node").alias("label"), F.col("label").alias("up"))
         new = write_stage(spread.join(up, "label", "left").select("node", "old", F.coalesce("up", "label").alias("label")), f"{name}-labels")
         labels = new.select("node", "label")
