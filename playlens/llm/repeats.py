@@ -242,8 +242,8 @@ def requested(docs: DataFrame, requests: DataFrame, spec: Windows, name: str) ->
 def resolve(pieces: DataFrame, spec: Windows, shard: Callable[[list[list[tuple]]], Iterator[tuple]], shard_bytes: int) -> DataFrame:
     """Ranges (doc_key, rid, start, end) of repeated windows among requested pieces.
 
-    Pieces of one key are sorted and handed to ``shard`` in whole groups of some ``shard_bytes`` together. Keys with more
-    than HOT_KEY pieces take another way to the same result: one row per window and a grouping that adds up before the shuffle.
+    Pieces of one key are sorted and handed to ``shard`` in whole groups of some ``shard_bytes`` together; with
+    ``keep_first``, the pieces of a repeated row of the table are handed on once. Keys with more than HOT_KEY pieces take another way to the same result: one row per window and a grouping that adds up before the shuffle.
     """
     ranges = "doc_key long, rid long, start int, end int"
     counts = pieces.groupBy("key").agg(F.count(F.lit(1)).alias("many")).filter("many > 1")
@@ -258,6 +258,7 @@ def resolve(pieces: DataFrame, spec: Windows, shard: Callable[[list[list[tuple]]
 
         groups: list[list[tuple]] = []
         size, last = 0, None
+        before: tuple | None = None
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("key", "doc_key", "rid", "start", "n", "ahead", "settled", "content"))):
                 if row[0] != last:
@@ -266,6 +267,9 @@ def resolve(pieces: DataFrame, spec: Windows, shard: Callable[[list[list[tuple]]
                         groups, size = [], 0
                     groups.append([])
                     last = row[0]
+                if spec.keep_first and row[:4] == before:
+                    continue
+                before = row[:4]
                 groups[-1].append(row[1:])
                 size += len(row[7])
         if groups:

@@ -71,6 +71,18 @@ def test_ids_null_and_repeated(spark):
     assert {r.n_removed for r in suffixes.strip_repeats(docs, width=20).collect() if r.n_bytes > 50} == {len(text)}
 
 
+@pytest.mark.parametrize("hot", [20_000, 1])
+def test_repeated_rows_keep_what_shares_an_anchor(spark, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT_KEY", hot)
+    common = [f"c{i}" for i in range(12)]
+    words = [" ".join([f"{x}{i}" for i in range(12)] + common + [f"{x}z{i}" for i in range(12)]) for x in "ab"]
+    docs = spark.createDataFrame([(1, words[0]), (1, words[0]), (2, words[1])], "doc_id long, text string")
+    assert {r.n_removed for r in substrings.strip_substrings(docs).collect()} == {0}
+    texts = ["\n".join([f"{x}1", "c1", "c2", f"{x}2"]) for x in "ab"]
+    docs = spark.createDataFrame([(1, texts[0]), (1, texts[0]), (2, texts[1])], "doc_id long, text string")
+    assert {(r.n_removed, r.kept) for r in lines.strip_lines(docs).collect()} == {(0, t) for t in texts}
+
+
 def test_empty_tables(spark):
     none = odd_docs(spark, [])
     assert not substrings.strip_substrings(none).count() + suffixes.strip_repeats(none).count() + lines.strip_lines(none).count()
