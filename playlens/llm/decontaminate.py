@@ -129,7 +129,10 @@ def consistent(pairs: list[tuple[str, str]]) -> bool:
 
 
 def _leak(hits: list[tuple[int, str, str]], length: int, window: int, run: int, literals: int) -> int:
-    """Tokens of the longest consistent run of hits (benchmark position, slots, benchmark slots) on one alignment, or 0."""
+    """Tokens of the longest consistent run of hits (benchmark position, slots, benchmark slots) on one alignment, or 0.
+
+    A slot whose value is that of the benchmark text counts as a literal, so an exact copy always has enough of them.
+    """
     best, first = 0, 0
     hits = sorted(set(hits))
     window = min(window, length)
@@ -139,8 +142,8 @@ def _leak(hits: list[tuple[int, str, str]], length: int, window: int, run: int,
         part = hits[first:i]
         first = i
         size = len(part) - 1 + window
-        held = {int(s.split(":", 1)[0]) + at for at, _, item in part for s in item.split("\x1f") if s}
-        if size >= min(run, length) and size - len(held) >= min(literals, length) and consistent([(d, b) for _, d, b in part]):
+        changed = {int(d.split(":", 1)[0]) + at for at, doc, item in part for d, b in zip(doc.split("\x1f"), item.split("\x1f")) if d != b}
+        if size >= min(run, length) and size - len(changed) >= min(literals, length) and consistent([(d, b) for _, d, b in part]):
             best = max(best, size)
     return best
 

@@ -176,3 +176,10 @@ def test_slots_must_be_consistent(spark):
     got = {r.doc_id: r.kept for r in decontaminate.judged(odd_docs(spark, texts), items, run=16, literals=6).collect()}
     assert got == {0: False, 1: True, 2: True}
     assert decontaminate.clean(odd_docs(spark, texts), items.limit(0)).count() == 3
+
+
+def test_exact_copies_with_few_literals(spark):
+    items = spark.createDataFrame([(1, "What is 12 plus 7"), (2, "3 4 5 6 7 8 9 10 11 12 13 14 15 16")], "item_id long, text string")
+    texts = ["so. What is 12 plus 7", "of 3 4 5 6 7 8 9 10 11 12 13 14 15 16 they", "What is 15 plus 8", " ".join(map(str, range(101, 115)))]
+    got = {r.doc_id: (r.item_id, r.kept) for r in decontaminate.judged(odd_docs(spark, texts), items).collect()}
+    assert got == {0: (1, False), 1: (2, False), 2: (None, True), 3: (None, True)}
