@@ -2,7 +2,8 @@
 
 Texts become template tokens: numbers, names and units are replaced by typed placeholders whose values are the slots.
 Windows of template tokens meet in a hash join; hits on one alignment of document and benchmark text form runs, and within
-a run the slots must be consistent: one benchmark value always stands for one document value of its type, and back.
+a run the longest part counts whose slots are consistent: one benchmark value always stands for one document value of its
+type, and back.
 """
 
 from __future__ import annotations
@@ -58,8 +59,12 @@ class _Codes(dict):
 _codes = _Codes()
 
 
-def template(text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """(symbols, slot kinds, tokens) of a text: slot kind 0 for literal tokens, else 1 name, 2 number, 3 unit."""
+def template(text: str) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[str]]:
+    """Two views (symbols, slot kinds) of a text, and its tokens: slot kind 0 for literal tokens, else 1 name, 2 number, 3 unit.
+
+    In the first view a capital at the start of a sentence says nothing, in the second it makes a slot too: a name if
+    the token is a name inside the text as well, else kind 4, which stands for its own value only.
+    """
     tokens = TOKEN.findall(text)
     codes = np.fromiter(map(_codes.__getitem__, tokens), U64, len(tokens))
     kind = codes & U64(KINDS)
@@ -67,13 +72,18 @@ def template(text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
     before = np.full(len(tokens), STOP, U64)
     before[1:] = kind[:-1]
     kind, before, symbols = kind[word], before[word], codes[word] & ~U64(KINDS)
+    values = symbols.copy()
     slots = np.zeros(len(word), np.int8)
     slots[(kind == TITLE) & (before != STOP)] = 1
     slots[kind == NUMBER] = 2
     slots[(kind == UNIT) & (before == NUMBER)] = 3
     for slot, value in ((1, NAME_SLOT), (2, NUMBER_SLOT), (3, UNIT_SLOT)):
         symbols[slots == slot] = value
-    return symbols, slots, [tokens[i] for i in word]
+    first = np.flatnonzero((kind == TITLE) & (before == STOP))
+    symbols_too, slots_too = symbols.copy(), slots.copy()
+    symbols_too[first] = NAME_SLOT
+    slots_too[first] = np.where(np.isin(values[first], values[slots == 1]), 1, 4)
+    return [(symbols, slots), (symbols_too, slots_too)], [tokens[i] for i in word]
 
 
 def _windows(symbols: np.ndarray, window: int) -> np.ndarray:
@@ -101,13 +111,19 @@ def _window_rows(docs: DataFrame, key: list[str], text: str, window: int, sizes:
             keys = [array_column(batch, k) for k in key]
             out: list[tuple] = []
             for i, value in enumerate(batch.column(text)):
-                symbols, slots, tokens = template(value.as_py() or "")
-                for n in {min(window, len(symbols)) if bits is None else window, *sizes}:
-                    if not 0 < n <= len(symbols):
+                views, tokens = template(value.as_py() or "")
+                for n in {min(window, len(tokens)) if bits is None else window, *sizes}:
+                    if not 0 < n <= len(tokens):
                         continue
-                    hashes = _windows(symbols[:], n)
-                    for at in (np.flatnonzero(in_bitmap(hashes, bits)) if bits is not None else np.arange(len(hashes))).tolist():
-                        out.append((*(k[i] for k in keys), at, len(symbols), int(hashes[at].view(np.int64)), _values(slots, tokens, at, n)))
+                    done = None
+                    for symbols, slots in views:
+                        hashes = _windows(symbols, n)
+                        wanted = in_bitmap(hashes, bits) if bits is not None else np.ones(len(hashes), bool)
+                        if done is not None:  # windows without a capital at a sentence's start are the same in both views
+                            wanted &= hashes != done
+                        done = hashes
+                        for at in np.flatnonzero(wanted).tolist():
+                            out.append((*(k[i] for k in keys), at, len(tokens), int(hashes[at].view(np.int64)), _values(slots, tokens, at, n)))
             if out:
                 cols = list(zip(*out))
                 kinds = [pa.int64()] * len(key) + [pa.int32(), pa.int32(), pa.int64(), pa.string()]
@@ -116,20 +132,47 @@ def _window_rows(docs: DataFrame, key: list[str], text: str, window: int, sizes:
     return map_arrow(docs, work, schema)
 
 
-def consistent(pairs: list[tuple[str, str]]) -> bool:
-    """Whether windows' slots map one to one: (document slots, benchmark slots) of each window."""
-    there: dict[str, str] = {}
-    back: dict[str, str] = {}
-    for doc, item in pairs:
-        for d, b in zip(doc.split("\x1f"), item.split("\x1f")) if doc else ():
-            d, b = d.split(":", 1)[1], b.split(":", 1)[1]
-            if there.setdefault(b, d) != d or back.setdefault(d, b) != b:
-                return False
-    return True
+def _slots(held: str, at: int) -> Iterator[tuple[int, str, str]]:
+    """(position, kind, value) of the slots of a window that starts at ``at``."""
+    for part in held.split("\x1f") if held else ():
+        i, kind, value = part.split(":", 2)
+        yield at + int(i), kind, value
+
+
+def consistent(pairs: dict[int, tuple[str, str, str]], begin: int, end: int) -> Iterator[tuple[int, int]]:
+    """The longest ranges of ``begin`` to ``end`` whose slots map one to one; ``pairs``: position -> (kind, document's value, benchmark's)."""
+    there: dict[tuple, list] = {}  # value -> [value it stands for, times in the range]
+    back: dict[tuple, list] = {}
+    order = sorted(pairs)
+    low, oldest = begin, 0
+
+    def fits(kind: str, d: str, b: str) -> bool:
+        return there.get((kind, b), (d,))[0] == d and back.get((kind, d), (b,))[0] == b
+
+    for i, at in enumerate(order):
+        kind, d, b = pairs[at]
+        own, kind = kind == "4", "1" if kind == "4" else kind
+        if own and d != b or not fits(kind, d, b):
+            yield low, at
+            while oldest < i and (own and d != b or not fits(kind, d, b)):
+                k, x, y = pairs[order[oldest]]
+                k = "1" if k == "4" else k
+                for held, key in ((there, (k, y)), (back, (k, x))):
+                    held[key][1] -= 1
+                    if not held[key][1]:
+                        del held[key]
+                low = order[oldest] + 1
+                oldest += 1
+            if own and d != b:
+                low, oldest = at + 1, i + 1
+                continue
+        there.setdefault((kind, b), [d, 0])[1] += 1
+        back.setdefault((kind, d), [b, 0])[1] += 1
+    yield low, end
 
 
 def _leak(hits: list[tuple[int, str, str]], length: int, window: int, run: int, literals: int) -> int:
-    """Tokens of the longest consistent run of hits (benchmark position, slots, benchmark slots) on one alignment, or 0.
+    """Tokens of the longest consistent part of a run of hits (benchmark position, slots, benchmark slots) on one alignment, or 0.
 
     A slot whose value is that of the benchmark text counts as a literal, so an exact copy always has enough of them.
     """
@@ -137,14 +180,19 @@ def _leak(hits: list[tuple[int, str, str]], length: int, window: int, run: int,
     hits = sorted(set(hits))
     window = min(window, length)
     for i in range(1, len(hits) + 1):
-        if i < len(hits) and hits[i][0] == hits[i - 1][0] + 1:
+        if i < len(hits) and hits[i][0] <= hits[i - 1][0] + 1:
             continue
         part = hits[first:i]
         first = i
-        size = len(part) - 1 + window
-        changed = {int(d.split(":", 1)[0]) + at for at, doc, item in part for d, b in zip(doc.split("\x1f"), item.split("\x1f")) if d != b}
-        if size >= min(run, length) and size - len(changed) >= min(literals, length) and consistent([(d, b) for _, d, b in part]):
-            best = max(best, size)
+        begin, end = part[0][0], part[-1][0] + window
+        if end - begin < min(run, length):
+            continue
+        pairs = {p: (kind, d, b) for at, doc, item in part for (p, _, d), (_, kind, b) in zip(_slots(doc, at), _slots(item, at))}
+        for low, high in consistent(pairs, begin, end):
+            size = high - low
+            changed = sum(d != b for p, (_, d, b) in pairs.items() if low <= p < high)
+            if size >= min(run, length) and size - changed >= min(literals, length):
+                best = max(best, size)
     return best
 
 

@@ -183,3 +183,30 @@ def test_exact_copies_with_few_literals(spark):
     texts = ["so. What is 12 plus 7", "of 3 4 5 6 7 8 9 10 11 12 13 14 15 16 they", "What is 15 plus 8", " ".join(map(str, range(101, 115)))]
     got = {r.doc_id: (r.item_id, r.kept) for r in decontaminate.judged(odd_docs(spark, texts), items).collect()}
     assert got == {0: (1, False), 1: (2, False), 2: (None, True), 3: (None, True)}
+
+
+TOM = "Tom has 5 red apples. Then Tom buys 3 more. Later his sister asks Tom for 2 of them. Tom agrees. How many are left?"
+
+
+def test_consistent_part_of_a_run_and_names_at_sentence_starts(spark):
+    item = "take 5 apples and 5 pears then add 5 plums and 8 figs to the large round basket that stands near the old door"
+    items = spark.createDataFrame([(1, item), (2, TOM)], "item_id long, text string")
+    texts = [item.replace("5 pears", "6 pears"), TOM.replace("Tom", "Anna"), "so: " + TOM, TOM.replace("Tom has", "Ina has").replace("Tom agrees", "Eva agrees")]
+    got = {r.doc_id: (r.item_id, r.n_tokens) for r in decontaminate.judged(odd_docs(spark, texts), items).collect()}
+    n = len(decontaminate.template(TOM)[1])
+    assert got == {0: (1, 19), 1: (2, n), 2: (2, n), 3: (2, 18)}
+
+
+def test_longest_consistent_ranges():
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        pairs = {int(p): (str(rng.integers(1, 5)), *(str(x) for x in rng.integers(0, 3, 2))) for p in rng.choice(12, 6, replace=False)}
+
+        def fits(low, high):
+            held = {("1" if k == "4" else k, d, b) for p, (k, d, b) in pairs.items() if low <= p < high}
+            own = all(d == b for p, (k, d, b) in pairs.items() if low <= p < high and k == "4")
+            return own and len(held) == len({(k, d) for k, d, _ in held}) == len({(k, b) for k, _, b in held})
+
+        got = list(decontaminate.consistent(pairs, 0, 12))
+        assert all(fits(*r) for r in got)
+        assert max(b - a for a, b in got) == max(b - a for a in range(13) for b in range(a, 13) if fits(a, b))
