@@ -210,3 +210,16 @@ def test_longest_consistent_ranges():
         got = list(decontaminate.consistent(pairs, 0, 12))
         assert all(fits(*r) for r in got)
         assert max(b - a for a, b in got) == max(b - a for a in range(13) for b in range(a, 13) if fits(a, b))
+
+
+@pytest.mark.parametrize(("page", "want"), [
+    ("<article class='post has-sidebar'><p>text</article>", "text"),
+    ("<main class='site-main no-sidebar'><p>text</main>", "text"),
+    ("<article class='post comments-open category-ads tag-social'><p>text</article>", "text"),
+    ("<article id=related><p>text<div class='comments'>no</div></article>", "text"),
+    ("<div class='with-sidebar nav-open'><article><div class='elementor-widget elementor-widget-container'>text</div></article></div>", "text"),
+    ("<section class='comments-closed'><article>text<div class='modal modal-open'>no</div><div class='widget-area'>no</div></article></section>", "text"),
+    ("<div class='page sidebar'><article>no</article></div><article class=post>text<ul class='share-links'><li>no</ul></article>", "text"),
+])
+def test_layout_words_are_no_chrome(page, want):
+    assert html._main_text(page) == want
