@@ -223,3 +223,26 @@ def test_longest_consistent_ranges():
 ])
 def test_layout_words_are_no_chrome(page, want):
     assert html._main_text(page) == want
+
+
+def test_texts_of_other_letter_order_leave_the_band(spark):
+    rng = np.random.default_rng(3)
+    texts = []
+    for script in ("abcdefghijklmnop", "абвгдежзийклмноп", "漢字仮名交文日本語学校生先大小中"):
+        known = ["".join(rng.choice(list(script), 6)) for _ in range(40)]
+        texts += [(script[0], " ".join(rng.choice(known, 150))) for _ in range(60)]
+        shuffled = ["".join(rng.permutation(list(w))) for w in rng.choice(known, 150)]
+        texts.append((script[0], " ".join(shuffled)))
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(texts)], "doc_id long, text string, lang string")
+    gone = {r.doc_id for r in quality.judged(docs).collect() if not r.kept}
+    assert {60, 121, 182} <= gone and len(gone) <= 8
+
+
+def test_symbols_are_those_of_single_characters():
+    import pyarrow as pa
+
+    texts = ["aÉ é—z", None, "", "漢字 🙂х", "plain", "日"]
+    symbols, offsets = quality.symbols_of(pa.array(texts))
+    assert np.diff(offsets).tolist() == [len(t or "") for t in texts] and symbols.max() < 32
+    alone = [quality.symbols_of(pa.array([c]))[0].tolist() for t in texts for c in t or ""]
+    assert symbols.tolist() == sum(alone, []) and symbols[1] == symbols[3]
