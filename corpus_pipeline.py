@@ -31,8 +31,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids."""
-    return bpe.encoded(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN, columns=("doc_id", "n_tokens", "ids"))
+    """doc_id, n_tokens, ids, and the digest of what the ids decode to."""
+    return bpe.encoded(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN, columns=("doc_id", "n_tokens", "ids", "decoded_sha256"))
 
 
 STAGES = [

@@ -1,5 +1,7 @@
 """The stages in order, each on what its predecessor kept."""
 
+import hashlib
+
 import corpus_pipeline
 import __spark_entry__
 from tests.llm.test_neardup import brute
@@ -37,6 +39,12 @@ def test_stages(spark, sf):
     assert {r.doc_id for r in last} == set(after) and all(r.n_tokens == len(r.ids) for r in last)
 
 
+def test_last_stage_tells_what_its_ids_decode_to(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(20)
+    want = {r.doc_id: hashlib.sha256(r.text.encode()).hexdigest() for r in docs.collect()}
+    assert {r.doc_id: r.decoded_sha256 for r in corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()} == want
+
+
 def test_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
