@@ -153,3 +153,36 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
     from playlens.llm.langid import predicted
 
     return predicted(read(spark, folder, "documents"))
+
+
+def _clusters_sql(k: int = 16, rounds: int = 3) -> str:
+    """The rounds of centroid clustering spelled out; sums are exact, floors are taken by the remainder."""
+    steps = ["""v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: cast(floor(64 * x::DOUBLE) AS BIGINT)) AS x FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+)""", f"c0 AS (SELECT row_number() OVER (ORDER BY h) - 1 AS cluster, x AS c FROM (SELECT sha256('1:' || vec_id) AS h, x FROM v ORDER BY h LIMIT {k}))"]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS (
+    SELECT vec_id, x, cluster, distance FROM (
+        SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) AS n FROM (
+            SELECT vec_id, x, cluster, list_sum(list_transform(range(1, 65), lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT AS distance FROM v, c{i}))
+    WHERE n = 1
+)""")
+        if i < rounds:
+            steps.append(f"""s{i} AS (
+    SELECT cluster, i, sum(x[i])::BIGINT AS s, count(*) AS n FROM a{i}, (SELECT unnest(range(1, 65)) AS i) GROUP BY 1, 2
+), c{i + 1} AS (
+    SELECT cluster, coalesce(m.c, c{i}.c) AS c FROM c{i} LEFT JOIN (
+        SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM s{i} GROUP BY 1) m USING (cluster)
+)""")
+    return "WITH " + ", ".join(steps) + f"""
+SELECT vec_id, cluster::INTEGER AS cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+    sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (cluster)"""
+
+
+@query("op12_centroid_clustering", _clusters_sql())
+def centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    from playlens.llm.centroids import clusters
+
+    return clusters(read(spark, folder, "embeddings"))
