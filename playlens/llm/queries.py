@@ -186,3 +186,46 @@ def centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
     from playlens.llm.centroids import clusters
 
     return clusters(read(spark, folder, "embeddings"))
+
+
+@query("op11_conversation_prefix_trie", """
+WITH ids AS (
+    SELECT DISTINCT conv_id AS conv, conv_id - conv_id % 5 AS base, xor(list_reduce(
+        [4294967295::BIGINT] || flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda x: [ascii(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+        lambda crc, byte: xor(xor(crc, byte) >> 1, 3988292384 * (xor(crc, byte) & 1))), 4294967295) % 9 AS head
+    FROM conversations WHERE conv_id IS NOT NULL
+), t AS (
+    SELECT conv_id AS conv, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS item, strlen(coalesce(text, '')) AS bytes,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), taken AS (
+    SELECT ids.conv, head, count(t.pos) AS taken FROM ids LEFT JOIN t ON t.conv = ids.base AND t.pos <= ids.head GROUP BY 1, 2
+), turns AS (
+    SELECT ids.conv, t.pos AS depth, item, bytes FROM ids JOIN t ON t.conv = ids.base AND t.pos <= ids.head
+    UNION ALL SELECT t.conv, pos - head + taken, item, bytes FROM t JOIN taken USING (conv) WHERE pos > head
+), prefix AS (
+    SELECT conv, depth, bytes, sha256(string_agg(item, '') OVER (PARTITION BY conv ORDER BY depth)) AS k FROM turns
+    UNION ALL SELECT conv, 0, 0, '' FROM ids
+), node AS (
+    SELECT k, depth, min(conv) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes FROM prefix GROUP BY 1, 2
+), member AS (
+    SELECT conv, prefix.depth, conv_id FROM prefix JOIN node USING (k, depth)
+), child AS (
+    SELECT node.*, member.conv_id AS parent FROM node LEFT JOIN member ON member.conv = node.conv_id AND member.depth = node.depth - 1
+), kids AS (
+    SELECT parent AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM child WHERE parent IS NOT NULL GROUP BY 1, 2
+), below AS (
+    SELECT member.conv_id, member.depth, sum((node.n_convs - 1) * node.bytes) AS saved, count(*) FILTER (kids.n_children IS NULL) AS n_leaves
+    FROM node LEFT JOIN kids USING (conv_id, depth) JOIN member ON member.conv = node.conv_id AND member.depth <= node.depth GROUP BY 1, 2
+), tips AS (
+    SELECT conv_id, depth, string_agg(conv::VARCHAR, ',' ORDER BY conv) AS list
+    FROM member JOIN (SELECT conv, max(depth) AS depth FROM prefix GROUP BY 1) USING (conv, depth) GROUP BY 1, 2
+)
+SELECT conv_id, depth::BIGINT AS depth, parent AS parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+    saved::BIGINT AS saved_tokens, sha256(coalesce(list, '')) AS ends_sha256
+FROM child LEFT JOIN kids USING (conv_id, depth) JOIN below USING (conv_id, depth) LEFT JOIN tips USING (conv_id, depth)
+""")
+def conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    from playlens.llm.trie import prefix_trie
+
+    return prefix_trie(read(spark, folder, "conversations"))
