@@ -229,3 +229,10 @@ def conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     from playlens.llm.trie import prefix_trie
 
     return prefix_trie(read(spark, folder, "conversations"))
+
+
+@query("op13_lm_scoring")
+def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    from playlens.llm.lm import scored
+
+    return scored(read(spark, folder, "documents"))

@@ -246,7 +246,7 @@ def _with_received(nodes: DataFrame, sent: DataFrame) -> DataFrame:
     return nodes.join(sent, ["conv", "depth"], "left").fillna(0, ["children", "leaves", "saved"])
 
 
-def ends(rows: DataFrame, convs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def ends(rows: DataFrame, convs: DataFrame, block_bytes: int) -> DataFrame:
     """(key, ends_sha256) of the nodes where conversations end.
 
     Ids are sorted by ranges, so many tasks join the ids of one node; the digest then reads these blocks in order.
@@ -315,7 +315,7 @@ def prefix_trie(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
         known = known.unionByName(part)
     plain: Column = F.when(F.col("depth") < F.col("length"), 1).otherwise(0).cast("long")
     every = nodes.select(*KEY, "conv", "parent", "n_convs", plain.alias("plain")).unionByName(root.drop("own").withColumn("plain", F.lit(0).cast("long")))
-    out = every.join(known, ["conv", "depth"], "left").join(ends(rows, convs), KEY, "left")
+    out = every.join(known, ["conv", "depth"], "left").join(ends(rows, convs, BLOCK_BYTES), KEY, "left")
     return out.select(
         F.col("conv").alias("conv_id"), "depth", F.col("parent").alias("parent_conv_id"), "n_convs", F.coalesce("children", "plain").alias("n_children"),
         F.coalesce("leaves", F.lit(1).cast("long")).alias("n_leaves"), F.coalesce("saved", F.lit(0).cast("long")).alias("saved_tokens"),
