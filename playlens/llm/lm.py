@@ -4,13 +4,16 @@ Nothing is pruned, and nothing that grows with the corpus is broadcast or passes
 Texts are read once. Each task cuts its texts into *blocks* of about ``BLOCK_TOKENS`` tokens and writes them as numbers of the block's
 own dictionary (columns of bytes, compressed). From then on blocks ask, and get back what they asked for:
 
-1. Words: the dictionaries are counted together; the words of training texts get ids, frequent ones small ids.
+1. Words: a block sends its words to *word shards*, which add them up and give the words of training texts ids, frequent ones small ids.
 2. Pairs: a block asks each *shard* for the distinct pairs of neighbours it holds, and says how often they occur in its training
    texts. The shard adds up the counts of all blocks into one array of sorted pair hashes and one of counts, which the
    worker writes to a file and memory-maps; every block's pairs are looked up there by binary search. A pair is dealt out by its
    first word, and a frequent first word by both, so that no word fills a shard.
-3. Contexts and continuations: the shards' sums per word (distinct neighbours, followers seen once, twice, more often) are
-   added up, and come back with the words.
+3. Contexts and continuations: sums per word (distinct neighbours, followers seen once, twice, more often) go from the shards
+   to the word shards, are added up there, and come back to the blocks that hold the word.
+
+What is sent is packed, some rows per block and shard, not rows of words or pairs. ``BLOCK_TOKENS`` and ``SHARD_PAIRS`` bound what a
+task holds; for corpora of many thousand shards both should be raised together, so that packets stay large.
 
 Discounts are those of the modified Kneser-Ney method, estimated from counts of counts: of pair counts for bigrams, of distinct left
 neighbours for words. Below the words all V known ones and one unknown word are alike. Scores are base-10 logarithms.
@@ -19,7 +22,9 @@ neighbours for words. Below the words all V known ones and one unknown word are
 from __future__ import annotations
 
 import contextlib
+import itertools
 import math
+import operator
 import struct
 import tempfile
 import zlib
@@ -27,16 +32,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlens.llm.rolling import U64, mix
-from playlens.llm.stages import array_column, map_arrow, small_batches, table, write_stage
+from playlens.llm.stages import map_arrow, small_batches, table, write_stage
 
 BLOCK_TOKENS = 1 << 20
 SLICE_BYTES = 1 << 22  # of a text that are cut into words at once
 SHARD_PAIRS = 1_500_000  # tokens per shard; each has one pair, and equal pairs of a block are one
+BUCKET_BITS = 20  # of a word's hash; ranges of buckets are the word shards
 MODULUS, HELD_OUT = 7, 2
 START, END = b"\t", b"\n"  # no word holds white space
 
@@ -109,18 +116,25 @@ class Block:
         for column, value in zip((self.rid, self.doc, self.known, self.held, self.size, self.opens), (rid, doc or 0, doc is not None, held, len(ids), before == START)):
             column.append(value)
 
-    def rows(self, block: int) -> Iterator[pa.RecordBatch]:
-        """The payload (kind 0), then the dictionary (kind 1) with the number of training tokens of each word."""
+    def row(self, block: int) -> pa.RecordBatch:
+        """The texts as numbers, the dictionary, and the words' buckets and numbers of training tokens."""
         flat, size = np.concatenate(self.tokens), np.array(self.size)
         start = np.cumsum(size) - size
         counted = np.repeat(~np.array(self.held, bool), size)
         counted[start] &= np.array(self.opens, bool)  # what stands before a part is no token of it, but a start stands for its text
-        n = np.bincount(flat[counted], minlength=len(self.numbers))
+        counts = np.bincount(flat[counted], minlength=len(self.numbers))
         data = pack(np.array(self.rid, np.int64), np.array(self.doc, np.int64), np.array(self.known, np.uint8), np.array(self.held, np.uint8), size, flat)
-        yield table(kind=np.zeros(1, np.int32), block=[block], local=[0], word=pa.array([None], pa.string()), n=[self.n], data=[data])
-        m = len(self.numbers)
-        words = pa.array(list(self.numbers), pa.binary()).cast(pa.string())
-        yield table(kind=np.ones(m, np.int32), block=np.full(m, block), local=np.arange(m), word=words, n=n, data=pa.nulls(m, pa.binary()))
+        buckets = np.array([xxhash.xxh3_64_intdigest(w) >> (64 - BUCKET_BITS) for w in self.numbers])
+        return table(block=[block], n=[self.n], data=[data], buckets=[pack(buckets)], words=[join_words(list(self.numbers))], counts=[pack(counts)])
+
+
+def join_words(words: list[bytes]) -> bytes:
+    text = b" ".join(words)
+    return struct.pack("<q", len(text)) + _CODEC.compress(text, asbytes=True)
+
+
+def split_words(data: bytes) -> list[bytes]:
+    return _CODEC.decompress(data[8:], struct.unpack_from("<q", data)[0], asbytes=True).split(b" ")
 
 
 def held_out(doc: int | None) -> bool:
@@ -144,70 +158,128 @@ def blocks(docs: DataFrame) -> DataFrame:
                         before = words[-1]
                     words = after
                     if block.n >= BLOCK_TOKENS:
-                        yield from block.rows(part << 32 | number)
+                        yield block.row(part << 32 | number)
                         block, number = Block(), number + 1
                 rid += 1
         if block.n:
-            yield from block.rows(part << 32 | number)
-
-    return write_stage(map_arrow(docs, work, "kind int, block long, local long, word string, n long, data binary"), "lm-blocks")
-
-
-def vocabulary(parts: DataFrame) -> DataFrame:
-    """(word, c, id) of the training texts, the start among them; ids are small where words are frequent."""
-    spark = parts.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counted = parts.filter("kind = 1 AND n > 0").repartition(n, "word").groupBy("word").agg(F.sum("n").alias("c")).sortWithinPartitions(F.desc("c"), "word")
-    row = F.monotonically_increasing_id()  # partition << 33 | row
-    held = write_stage(counted.select("word", "c", F.shiftright(row, 33).alias("part"), row.bitwiseAND(F.lit((1 << 33) - 1)).alias("row")), "lm-words")
-    width = (held.agg(F.max("part")).first()[0] or 0) + 1
-    return held.select("word", "c", (F.col("row") * width + F.col("part")).alias("id"))
-
-
-def assembled(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple[int, dict[str, np.ndarray], list[bytes], bytes]]:
-    """Blocks of rows sorted by (block, kind descending, place): word columns, answers, payload."""
-    block, words, answers = None, [], []
-    for batch in batches:
-        of, kind = array_column(batch, "block"), array_column(batch, "kind")
-        edges = np.flatnonzero((of[1:] != of[:-1]) | (kind[1:] != kind[:-1])) + 1
-        for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(of)]):
-            if a == b:
+            yield block.row(part << 32 | number)
+
+    return write_stage(map_arrow(docs, work, "block long, n long, data binary, buckets binary, words binary, counts binary"), "lm-blocks")
+
+
+# What blocks and shards send each other. Rows of a block are read by kind, the payload last, and by place (the shard).
+PAYLOAD, PAIRS, SUMS, WORDS, STATS, TOTALS = range(6)
+SENT = "kind int, block long, place long, data binary, a long, b long"
+
+
+def sent(kind: int, block: int, place: int, data: bytes | None = None, a: int = 0, b: int = 0) -> pa.RecordBatch:
+    return table(kind=pa.array([kind], pa.int32()), block=[block], place=[place], data=pa.array([data], pa.binary()), a=[a], b=[b])
+
+
+def grouped(batches: Iterator[pa.RecordBatch], key: str, *columns: str) -> Iterator[tuple[int, Iterator[tuple]]]:
+    """Rows with one key after the other; the rows of a key must be read before the next key."""
+    rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in (key, *columns))))
+    for value, some in itertools.groupby(rows, operator.itemgetter(0)):
+        yield value, (row[1:] for row in some)
+
+
+def totals(rows: DataFrame) -> dict[int, int]:
+    return dict(rows.filter(F.col("kind") == TOTALS).groupBy("a").agg(F.sum("b")).collect())
+
+
+def shard_slices(of: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of each shard's members, shard by shard."""
+    order = np.argsort(of, kind="stable")
+    yield from np.split(order, np.flatnonzero(np.diff(of[order])) + 1) if len(of) else ()
+
+
+def word_shard(buckets: np.ndarray, shards: int) -> np.ndarray:
+    return buckets.astype(np.int64) * shards >> BUCKET_BITS
+
+
+def word_ids(parts: DataFrame, shards: int) -> DataFrame:
+    """For each block and word shard: ids of the block's words there, and their numbers of training tokens; both 0 where there are none.
+
+    The ids of a shard are dealt out by number of tokens, so frequent words have small ids. TOTALS: tokens (0), words (1).
+    """
+
+    def asks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, buckets, words, counts in zip(*(batch.column(c).to_pylist() for c in ("block", "buckets", "words", "counts"))):
+                of, words, counts = word_shard(unpack(buckets)[0], shards), split_words(words), unpack(counts)[0]
+                for at in shard_slices(of):
+                    yield table(place=[int(of[at[0]])], block=[block], words=[join_words([words[i] for i in at.tolist()])], counts=[pack(counts[at])])
+
+    def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for place, rows in grouped(batches, "place", "block", "words", "counts"):
+            numbers, asked, some = Numbers(), [], []
+            for block, words, counts in rows:
+                asked.append((block, np.array([numbers[w] for w in split_words(words)], np.uint32)))
+                some.append(unpack(counts)[0].astype(np.int64))
+            total = np.zeros(len(numbers), np.int64)
+            for (_, at), n in zip(asked, some):
+                total[at] += n  # a block names each word once
+            order = np.argsort(-total, kind="stable")
+            ids = np.empty(len(total), np.int64)
+            ids[order] = np.arange(len(total)) * shards + place + 1
+            ids[total == 0] = 0
+            for block, at in asked:
+                yield sent(WORDS, block, place, pack(ids[at], total[at]))
+            start = total[numbers[START]] if START in numbers else 0
+            yield sent(TOTALS, 0, 0, a=0, b=int(total.sum() - start))
+            yield sent(TOTALS, 0, 0, a=1, b=int((total > 0).sum() - (start > 0)))
+
+    asked = map_arrow(parts.select("block", "buckets", "words", "counts"), asks, "place long, block long, words binary, counts binary")
+    return write_stage(map_arrow(asked.repartition("place").sortWithinPartitions("place", "block"), answers, SENT), "lm-words")
+
+
+def assembled(parts: DataFrame, *others: DataFrame) -> DataFrame:
+    """The payloads, each after what was sent to its block."""
+    rows = parts.select(F.lit(PAYLOAD).alias("kind"), "block", F.lit(0).cast("long").alias("place"), "data", "buckets")
+    for other in others:
+        rows = rows.unionByName(other.select("kind", "block", "place", "data"), allowMissingColumns=True)
+    return rows.repartition("block").sortWithinPartitions("block", F.desc("kind"), "place")
+
+
+def assembled_blocks(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[tuple[int, dict[int, list[np.ndarray]], bytes]]:
+    """(block, what was sent by kind, payload). What was sent about words comes in the order of the block's own numbers."""
+    for block, rows in grouped(batches, "block", "kind", "data", "buckets"):
+        got: dict[int, list] = {}
+        for kind, data, buckets in rows:
+            if kind != PAYLOAD:
+                got.setdefault(kind, []).append(unpack(data))
                 continue
-            if of[a] != block:
-                block, words, answers = int(of[a]), [], []
-            part = batch.slice(a, b - a)
-            if kind[a] == 2:
-                words.append([array_column(part, c) for c in columns])
-            elif kind[a] == 1:
-                answers += part.column("data").to_pylist()
-            else:
-                joined = [np.concatenate(c) for c in zip(*words)]
-                yield block, dict(zip(columns, joined)), answers, part.column("data")[0].as_py()
+            own = np.argsort(word_shard(unpack(buckets)[0], shards), kind="stable")
+            columns = {k: [np.concatenate(c) for c in zip(*v)] for k, v in got.items()}
+            for k in (WORDS, SUMS):
+                for i, column in enumerate(columns.get(k, ())):
+                    columns[k][i] = np.empty(len(own), np.int64)
+                    columns[k][i][own] = column
+            yield block, columns, data
 
 
 class Asked:
     """The distinct pairs of a block's known neighbours, in the order in which shards are asked for them."""
 
-    def __init__(self, words: dict[str, np.ndarray], payload: bytes, shards: int, tokens: int):
+    def __init__(self, ids: np.ndarray, c: np.ndarray, payload: bytes, shards: int, tokens: int):
         self.rid, self.doc, self.known, self.held, self.size, flat = unpack(payload)
         flat, size = flat.astype(np.int64), self.size.astype(np.int64)
         self.part = np.repeat(np.arange(len(size)), size - 1)
         first = np.zeros(len(flat), bool)
         first[np.cumsum(size) - size] = True
         here = np.flatnonzero(~first)
-        width = len(words["id"])
-        pairs, self.inverse = np.unique(flat[here - 1] * width + flat[here], return_inverse=True)
-        self.v, self.w = pairs // width, pairs % width  # local numbers
+        pairs, self.inverse = np.unique(flat[here - 1] * len(ids) + flat[here], return_inverse=True)
+        self.v, self.w = pairs // len(ids), pairs % len(ids)  # the block's numbers
         self.n = np.bincount(self.inverse, 1 - self.held.astype(np.int64)[self.part], len(pairs)).astype(np.int64)
-        v, w = words["id"][self.v], words["id"][self.w]
-        shard = shard_of(v, w, words["c"][self.v], shards, tokens)
-        known = np.flatnonzero((v >= 0) & (w >= 0))
-        self.order = known[np.lexsort((w[known], v[known], shard[known]))]
-        self.shard, self.v_id, self.w_id = shard[self.order], v[self.order], w[self.order]
+        v, w = ids[self.v], ids[self.w]
+        known = np.flatnonzero((v > 0) & (w > 0))
+        shard = shard_of(v[known], w[known], c[self.v[known]], shards, tokens)
+        by = np.lexsort((w[known], v[known], shard))
+        self.order, self.shard = known[by], shard[by]
+        self.v_id, self.w_id = v[self.order], w[self.order]
 
     def by_shard(self) -> Iterator[tuple[int, bytes]]:
-        cut = np.flatnonzero(np.diff(self.shard)) + 1
-        for part in np.split(np.arange(len(self.order)), cut) if len(self.order) else ():
+        for part in shard_slices(self.shard):
             v = self.v_id[part]
             yield int(self.shard[part[0]]), pack(np.diff(v, prepend=0), self.w_id[part], self.n[self.order[part]])
 
@@ -257,45 +329,57 @@ class PairCounts:
         self.file.close()
 
 
-ANSWERS = "kind int, block long, place long, data binary, id long, neighbours long, n1 long, n2 long, n3 long"
-
-
-def answered(asks: DataFrame) -> DataFrame:
-    """Counts of the asked pairs (kind 1, by block and shard), sums per word (kind 2), counts of counts 1 to 4 (kind 3)."""
-
-    def shard_rows(shard: int, asked: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
-        decoded = [unpack(data) for _, data in asked]
-        columns = [np.cumsum(d[0].astype(np.int64)) for d in decoded], [d[1].astype(np.int64) for d in decoded], [d[2].astype(np.int64) for d in decoded]
-        counts = PairCounts(*map(np.concatenate, columns))
-        zeros = lambda n: {c: np.zeros(n, np.int64) for c in ("id", "neighbours", "n1", "n2", "n3")}
-        for (block, _), v, w in zip(asked, *columns[:2]):
-            yield table(kind=np.ones(1, np.int32), block=[block], place=[shard], data=[pack(counts.of(v, w))], **zeros(1))
-        ids = np.unique(np.concatenate([counts.v, counts.w]))
-        sums = zeros(len(ids)) | {"id": ids, "neighbours": np.bincount(np.searchsorted(ids, counts.w), minlength=len(ids))}
-        classes = np.minimum(counts.n, 3)
-        for k in (1, 2, 3):
-            sums[f"n{k}"] = np.bincount(np.searchsorted(ids, counts.v[classes == k]), minlength=len(ids))
-        empty = lambda n: {"block": np.zeros(n, np.int64), "place": np.zeros(n, np.int64), "data": pa.nulls(n, pa.binary())}
-        yield table(kind=np.full(len(ids), 2, np.int32), **empty(len(ids)), **sums)
-        often = zeros(4) | {"id": np.arange(1, 5), "neighbours": np.array([(counts.n == k).sum() for k in (1, 2, 3, 4)])}
-        yield table(kind=np.full(4, 3, np.int32), **empty(4), **often)
-        counts.close()
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, asked = None, []
-        for batch in batches:
-            for shard, block, data in zip(*(batch.column(c).to_pylist() for c in ("shard", "block", "data"))):
-                if shard != now and asked:
-                    yield from shard_rows(now, asked)
-                    asked = []
-                now = shard
-                asked.append((block, data))
-        if asked:
-            yield from shard_rows(now, asked)
-
-    columns = [c.split()[0] for c in ANSWERS.split(", ")]
-    rows = map_arrow(asks.repartition("shard").sortWithinPartitions("shard", "block"), work, ANSWERS)
-    return write_stage(rows.select(*columns), "lm-answers")
+def pair_counts(asks: DataFrame, shards: int) -> DataFrame:
+    """For each block and pair shard the counts of the asked pairs; for word shards, STATS: ids with their numbers of distinct
+    left neighbours and of followers seen once, twice, more often. TOTALS: pairs seen 1 to 4 times."""
+
+    def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for place, rows in grouped(batches, "place", "block", "data"):
+            asked = [(block, *(a.astype(np.int64) for a in unpack(data))) for block, data in rows]
+            pairs = [(np.cumsum(steps), w, n) for _, steps, w, n in asked]
+            counts = PairCounts(*map(np.concatenate, zip(*pairs)))
+            for (block, *_), (v, w, _) in zip(asked, pairs):
+                yield sent(PAIRS, block, place, pack(counts.of(v, w)))
+            ids = np.unique(np.concatenate([counts.v, counts.w]))
+            classes = np.minimum(counts.n, 3)
+            sums = [np.bincount(np.searchsorted(ids, some), minlength=len(ids)) for some in (counts.w, *(counts.v[classes == k] for k in (1, 2, 3)))]
+            of = (ids - 1) % shards
+            for at in shard_slices(of):
+                yield sent(STATS, place, int(of[at[0]]), pack(np.diff(ids[at], prepend=0), *(s[at] for s in sums)))
+            for k in (1, 2, 3, 4):
+                yield sent(TOTALS, 0, 0, a=k, b=int((counts.n == k).sum()))
+            counts.close()
+
+    return write_stage(map_arrow(asks.repartition("place").sortWithinPartitions("place", "block"), answers, SENT), "lm-pairs")
+
+
+def word_sums(words: DataFrame, pairs: DataFrame, shards: int) -> DataFrame:
+    """For each block and word shard the sums of STATS of the block's words. TOTALS: words of 1 to 4 left neighbours, of 3 or more (5), all neighbours (6)."""
+
+    def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for place, rows in grouped(batches, "place", "kind", "block", "data"):
+            some, sums = [], None
+            for kind, block, data in rows:
+                columns = unpack(data)
+                if kind == STATS:  # these come first
+                    some.append([(np.cumsum(columns[0].astype(np.int64)) - 1) // shards, *columns[1:]])
+                    continue
+                if sums is None:
+                    sums = np.zeros((1 + max((int(s[0][-1]) + 1 for s in some), default=0), 4), np.int64)  # a row of zeros at the end
+                    for at, *values in some:
+                        sums[at] += np.stack(values, axis=1).astype(np.int64)
+                    some = []
+                ids = columns[0].astype(np.int64)
+                got = sums[np.where(ids > 0, (ids - 1) // shards, len(sums) - 1)]
+                yield sent(SUMS, block, place, pack(*got.T))
+            left = sums[:, 0]
+            for k in (1, 2, 3, 4):
+                yield sent(TOTALS, 0, 0, a=k, b=int((left == k).sum()))
+            yield sent(TOTALS, 0, 0, a=5, b=int((left > 2).sum()))
+            yield sent(TOTALS, 0, 0, a=6, b=int(left.sum()))
+
+    rows = words.filter(F.col("kind") == WORDS).unionByName(pairs.filter(F.col("kind") == STATS)).select("kind", "block", "place", "data")
+    return write_stage(map_arrow(rows.repartition("place").sortWithinPartitions("place", F.desc("kind"), "block"), answers, SENT), "lm-sums")
 
 
 def discounts(n: list[int]) -> np.ndarray:
@@ -329,48 +413,35 @@ def scored(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Da
     rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("string").alias("text"))
     with shuffles_dropped(spark):
         parts = blocks(rows)
-        known = vocabulary(parts)
-        tokens = parts.filter("kind = 0").agg(F.sum("n")).first()[0] or 0
-        total, size = known.filter(F.col("word") != START.decode()).agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-        shards = max(1, math.ceil(tokens / SHARD_PAIRS))
-        payload = parts.filter("kind = 0").select("block", "kind", F.col("local").alias("place"), "data")
-        words = parts.filter("kind = 1").select("block", F.col("local").alias("place"), "word")
-
-        def with_words(table_: DataFrame, columns: tuple[str, ...], *others: DataFrame) -> DataFrame:
-            ids = F.coalesce("id", F.lit(-1).cast("long")).alias("id")
-            asked = words.join(table_, "word", "left").select("block", F.lit(2).alias("kind"), "place", ids, *(F.coalesce(c, F.lit(0)).alias(c) for c in columns if c != "id"))
-            for other in (payload, *others):
-                asked = asked.unionByName(other, allowMissingColumns=True)
-            return asked.repartition("block").sortWithinPartitions("block", F.desc("kind"), "place")
+        tokens = parts.agg(F.sum("n")).first()[0] or 0
+        shards = max(1, min(math.ceil(tokens / SHARD_PAIRS), 1 << BUCKET_BITS))
+        words = word_ids(parts, shards)
 
         def asks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for block, columns, _, data in assembled(batches, ("id", "c")):
-                for shard, packed in Asked(columns, data, shards, tokens).by_shard():
-                    yield table(shard=[shard], block=[block], data=[packed])
-
-        answers = answered(map_arrow(with_words(known, ("id", "c")), asks, "shard long, block long, data binary"))
-        names = ("neighbours", "n1", "n2", "n3")
-        sums = write_stage(answers.filter("kind = 2").groupBy("id").agg(*(F.sum(c).alias(c) for c in names)), "lm-sums")
-        pairs = dict(answers.filter("kind = 3").groupBy("id").agg(F.sum("neighbours")).collect())
-        some = lambda k: F.count(F.when(F.col("neighbours") == k, 1))
-        *left, more, distinct = sums.agg(*(some(k) for k in (1, 2, 3, 4)), F.count(F.when(F.col("neighbours") > 2, 1)), F.coalesce(F.sum("neighbours"), F.lit(0))).first()
-        stats = write_stage(known.join(sums, "id"), "lm-stats")
-
-    off = discounts([pairs.get(k, 0) for k in (1, 2, 3, 4)])
-    off_left = discounts(left)
-    rest = float(off_left[1:] @ [left[0], left[1], more]) / distinct if distinct else 1.0
-    uniform = rest / (size + 1)
-    columns = ("id", "c", *names)
+            for block, got, data in assembled_blocks(batches, shards):
+                for place, packed in Asked(*got[WORDS], data, shards, tokens).by_shard():
+                    yield table(place=[place], block=[block], data=[packed])
+
+        of = lambda rows, kind: rows.filter(F.col("kind") == kind)
+        pairs = pair_counts(map_arrow(assembled(parts, of(words, WORDS)), asks, "place long, block long, data binary"), shards)
+        sums = word_sums(words, pairs, shards)
+        in_words, in_pairs, in_sums = totals(words), totals(pairs), totals(sums)
+
+    total, size, distinct = in_words.get(0, 0), in_words.get(1, 0), in_sums.get(6, 0)
+    off, off_left = (discounts([t.get(k, 0) for k in (1, 2, 3, 4)]) for t in (in_pairs, in_sums))
+    rest = sum(off_left[i] * in_sums[k] for i, k in ((1, 1), (2, 2), (3, 5))) / distinct if distinct else 1.0
+    uniform = float(rest) / (size + 1)
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, held, answers_, data in assembled(batches, columns):
-            asked = Asked(held, data, shards, tokens)
+        for _, got, data in assembled_blocks(batches, shards):
+            ids, c = got[WORDS]
+            near, n1, n2, n3 = got[SUMS]
+            asked = Asked(ids, c, data, shards, tokens)
             pair = np.zeros(len(asked.v), np.int64)
-            if answers_:
-                pair[asked.order] = np.concatenate([unpack(a)[0] for a in answers_])
-            c, near = held["c"].astype(np.float64), held["neighbours"]
+            if PAIRS in got:
+                pair[asked.order] = got[PAIRS][0]
             below = uniform + np.maximum(near - off_left[np.minimum(near, 3)], 0) / max(distinct, 1)
-            weight = np.where(c > 0, (off[1] * held["n1"] + off[2] * held["n2"] + off[3] * held["n3"]) / np.maximum(c, 1), 1.0)
+            weight = np.where(c > 0, (off[1] * n1 + off[2] * n2 + off[3] * n3) / np.maximum(c, 1), 1.0)
             seen = (pair - off[np.minimum(pair, 3)]) / np.maximum(c[asked.v], 1)
             logs = np.log10(seen + weight[asked.v] * below[asked.w])
             base = np.log10((c + 1) / (total + size + 1))[asked.w]
@@ -380,7 +451,7 @@ def scored(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Da
                 n_tokens=(asked.size.astype(np.int64) - 1), n_known=add((c > 0)[asked.w].astype(np.float64)).astype(np.int64), base_score=add(base), score=add(logs))
 
     schema = "rid long, doc long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    got = map_arrow(with_words(stats, columns, answers.filter("kind = 1").select("block", "kind", "place", "data")), scores, schema)
+    got = map_arrow(assembled(parts, of(words, WORDS), of(sums, SUMS), of(pairs, PAIRS)), scores, schema)
     whole = got.groupBy("rid").agg(  # a long text has several parts
         F.max("doc").alias(id_column), F.first("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
         F.sum("base_score").alias("base_score"), F.sum("score").alias("score"))
