@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import date, timedelta
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playlens.functions.cleanse import valid_device, zero_ratio
@@ -22,11 +24,15 @@ AD_MEASURES = ["clicks", "click_devices", "actives", "regis", "regi_devices", "n
 # ------------------------------------------------------------------------------------------------
 
 
-def first_activations(actives: DataFrame, device: str = "device") -> DataFrame:
-    """A device activates once per game, ever. An Android device without a usable ``device`` is known by its android id."""
-    known = F.when(valid_device(device), F.col(device)).when(
+def device_name(device: str = "device") -> Column:
+    """What a device is known by, or null. An Android device without a usable ``device`` is known by its android id."""
+    return F.when(valid_device(device), F.col(device)).when(
         (F.col("os") == ANDROID) & (F.col("android_id") != ""), F.concat(F.lit("android:"), F.col("android_id")))
-    rows = actives.withColumn("_known", known).filter(F.col("_known").isNotNull())
+
+
+def first_activations(actives: DataFrame, device: str = "device") -> DataFrame:
+    """A device activates once per game, ever."""
+    rows = actives.withColumn("_known", device_name(device)).filter(F.col("_known").isNotNull())
     return first_row(rows, ["game_id", "_known"], ["active_ts", "active_id"]).drop("_known")
 
 
@@ -37,31 +43,77 @@ def attribute_activation(actives: DataFrame, clicks: DataFrame, days: int = CLIC
     free click of the same game and the ``days`` before. What matched leaves both sides before the next rule.
     Both inputs carry game_id, os, the fields of the rules, an id and a time.
     """
-    fields = sorted({f for chain in chains.values() for rule in chain for f in rule})
-    narrow = lambda df, ident, ts: df.select("game_id", "os", *fields, ident, ts)
-    # all rules read these narrow columns
-    a = write_stage(narrow(actives, "active_id", "active_ts"), "attribution-actives")
-    c = write_stage(narrow(clicks, "click_id", "click_ts"), "attribution-clicks")
+    a, c = _narrow(actives, clicks, chains)
     found: DataFrame | None = None
-    for step in range(max(len(chain) for chain in chains.values())):
-        # the platforms' rules of one step go together; the evidence is one text, null when a part lacks
-        evidence = F.lit(None).cast("string")
-        for os, chain in chains.items():
-            if step < len(chain):
-                parts = [F.when(F.col(f) != "", F.col(f)) for f in chain[step]]
-                evidence = F.when(F.col("os") == os, F.concat(*[x for p in parts for x in (p, F.lit("\x1f"))])).otherwise(evidence)
-        usable = lambda df: df.withColumn("evidence", evidence).filter(F.col("evidence").isNotNull())
-        free_a, free_c = usable(a), usable(c)
-        if found is not None:
-            free_a = free_a.join(found.select("active_id"), "active_id", "left_anti")
-            free_c = free_c.join(found.select("click_id"), "click_id", "left_anti")
-        won = match_once(free_a, free_c, ["os", "game_id", "evidence"], ("active_ts", "active_id"), ("click_ts", "click_id"), days)
-        # written, as every later rule reads it twice
-        won = write_stage(won.withColumn("rule", F.lit(step + 1)), f"attribution-rule-{step + 1}")
+    for step in range(_steps(chains)):
+        won = _rule(a, c, found, step, days, chains)
         found = won if found is None else found.unionByName(won)
     return found
 
 
+def _steps(chains) -> int:
+    return max(len(chain) for chain in chains.values())
+
+
+def _narrow(actives: DataFrame, clicks: DataFrame, chains) -> tuple[DataFrame, DataFrame]:
+    """What all rules read, written once."""
+    fields = sorted({f for chain in chains.values() for rule in chain for f in rule})
+    narrow = lambda df, ident, ts: df.select("game_id", "os", *fields, ident, ts)
+    return write_stage(narrow(actives, "active_id", "active_ts"), "attribution-actives"), write_stage(narrow(clicks, "click_id", "click_ts"), "attribution-clicks")
+
+
+def _rule(actives: DataFrame, clicks: DataFrame, taken: DataFrame | None, step: int, days: int, chains) -> DataFrame:
+    """Matches of one step of the chains among what ``taken`` has not matched; the platforms' rules of a step go together."""
+    # the evidence is one text, null when a part lacks
+    evidence = F.lit(None).cast("string")
+    for os, chain in chains.items():
+        if step < len(chain):
+            parts = [F.when(F.col(f) != "", F.col(f)) for f in chain[step]]
+            evidence = F.when(F.col("os") == os, F.concat(*[x for p in parts for x in (p, F.lit("\x1f"))])).otherwise(evidence)
+    usable = lambda df: df.withColumn("evidence", evidence).filter(F.col("evidence").isNotNull())
+    free_a, free_c = usable(actives), usable(clicks)
+    if taken is not None:
+        free_a = free_a.join(taken.select("active_id"), "active_id", "left_anti")
+        free_c = free_c.join(taken.select("click_id"), "click_id", "left_anti")
+    won = match_once(free_a, free_c, ["os", "game_id", "evidence"], ("active_ts", "active_id"), ("click_ts", "click_id"), days)
+    # written, as every later rule reads it twice
+    return write_stage(won.withColumn("rule", F.lit(step + 1)), f"attribution-rule-{step + 1}")
+
+
+def first_changed_day(since: date, step: int, days: int) -> date:
+    """The first day whose matches by the rule of ``step`` (from 0) can change when events of ``since`` and later do.
+
+    Activations from ``since`` on take clicks of the ``days`` before, which the next rule then may or may not use.
+    """
+    return since - timedelta(days=days * step)
+
+
+def days_needed(since: date, days: int = CLICK_DAYS, chains=CHAINS) -> date:
+    """The first day of clicks, activations and matches that :func:`rematch` reads."""
+    return first_changed_day(since, _steps(chains), days)
+
+
+def rematch(actives: DataFrame, clicks: DataFrame, known: DataFrame, since: date, days: int = CLICK_DAYS, chains=CHAINS) -> DataFrame:
+    """Matches (active_id, click_id, rule, day) anew, after events of ``since`` and later days came or went.
+
+    ``known`` are the matches before, with the day of the activation. All inputs need only reach back to
+    :func:`days_needed`. What the rules matched before their first changed day stands, and its clicks are gone. A rule starts
+    there with the clicks of the ``days`` before that are still free: older ones could not be taken any more. So the
+    result equals :func:`attribute_activation` over everything, for activations since the last rule's first changed day.
+    """
+    a, c = _narrow(actives, clicks, chains)
+    old = write_stage(known.select("active_id", "click_id", "rule", "day"), "attribution-known")
+    steps, by_day = _steps(chains), a.select("active_id", F.to_date("active_ts").alias("day"))
+    final: DataFrame | None = None
+    for step in range(steps):
+        first = F.lit(first_changed_day(since, step, days))
+        stands = old.filter((F.col("rule") == step + 1) & (F.col("day") < first))
+        taken = stands if final is None else final.unionByName(stands)
+        won = _rule(a.filter(F.to_date("active_ts") >= first), c.filter(F.to_date("click_ts") >= F.date_sub(first, days)), taken.drop("day"), step, days, chains)
+        final = taken.unionByName(won.join(by_day, "active_id").select(*taken.columns))
+    return final.filter(F.col("day") >= F.lit(first_changed_day(since, steps - 1, days)))
+
+
 def attributed_activations(actives: DataFrame, clicks: DataFrame, matches: DataFrame, click_fields: list[str]) -> DataFrame:
     """Matched activations with the fields of their click."""
     won = matches.join(clicks.select("click_id", "click_ts", *[F.col(f).alias(f"click_{f}") for f in click_fields]), "click_id")

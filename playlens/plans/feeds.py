@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import time
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from playlens.functions.cleanse import norm_account, split_channel, split_device, valid_orders
 from playlens.operators import cohort
 from playlens.plans import plan
+from playlens.plans.attribution import CHAIN
 from playlens.session import work_folder
-from playlens.sinks import deltas, tables as sink
+from playlens.sinks import deltas, state, tables as sink
 from playlens.sources import logs, roles
 from playlens.streaming import jobs
 
@@ -275,15 +279,23 @@ def append_table(spark, sf):
 
 
 # --- streams -----------------------------------------------------------------------------------------------
-STREAM_FILES = 2
-
+def event_stream(spark, sf, files=("event_id % 3 = 1", "event_id % 3 = 0", "event_id % 3 = 2"), shifted=None):
+    """The event table as a stream of files, one file per micro-batch; each file holds the rows of one condition.
 
-def event_stream(spark, sf):
-    """The event table as a stream of files, one file per micro-batch."""
+    By default every file spans all days, so most rows come late. ``shifted`` changes the raw table first.
+    """
     path = work_folder(spark, "stream")
+    add_files(spark, sf, path, files, shifted)
+    return roles.as_events(logs.stream_folder(spark, path, roles.table(spark, sf, "events").schema, max_files=1))
+
+
+def add_files(spark, sf, path, files, shifted=None):
+    """More files for a stream that reads ``path``; the source takes files in order of their time."""
     ev = roles.table(spark, sf, "events")
-    ev.repartitionByRange(STREAM_FILES, "event_id").write.parquet(path)
-    return roles.as_events(logs.stream_folder(spark, path, ev.schema, max_files=1))
+    ev = shifted(ev) if shifted else ev
+    for condition in files:
+        time.sleep(1.1)  # times are in seconds
+        ev.filter(condition).coalesce(1).write.mode("append").parquet(path)
 
 
 def run(stream, each, spark):
@@ -308,28 +320,46 @@ def stream_demultiplex(spark, sf):
     return whole.groupBy("kind").agg(F.sum("n").alias("n"), F.sum("malformed").alias("malformed"))
 
 
-@plan("stream_dedup", "SELECT DISTINCT account, game_id, day FROM g_orders")
+DAYS = ("ts < DATE'2024-01-09'", "ts >= DATE'2024-01-09' AND ts < DATE'2024-01-21'", "ts >= DATE'2024-01-21'")
+
+
+@plan("stream_dedup", "SELECT event_id AS order_no, account, cents FROM g_orders")
 def stream_dedup(spark, sf):
-    orders = roles.as_game_orders(event_stream(spark, sf)).select("account", "game_id", "day", "ts")
-    return run_to_table(jobs.dedup_within(orders, ["account", "game_id", "day"], "ts", "40 days").drop("ts"), spark)
+    """Every order is reported again half an hour later; it is known for as long as the rule says."""
+    orders = roles.as_game_orders(event_stream(spark, sf, DAYS)).select("order_no", "account", "cents", "ts")
+    twice = orders.withColumn("late", F.explode(F.array(F.lit(0), F.lit(30)))).select("order_no", "account", "cents", (F.col("ts") + F.make_dt_interval(mins="late")).alias("ts"))
+    return run_to_table(jobs.dedup_within(twice, ["order_no"], "ts", jobs.ORDER_TTL).drop("ts"), spark)
 
 
 @plan("stream_dau", "SELECT game_id, day, count(DISTINCT account) AS dau_accounts FROM g_logins GROUP BY ALL")
 def stream_dau(spark, sf):
-    """State is one entry per account, game and day; the counts of the batches add up."""
-    logins = event_stream(spark, sf).filter("event_type = 'view'").select("account", "game_id", "day", "ts")
-    out = work_folder(spark, "dau")
-    run(jobs.dedup_within(logins, ["account", "game_id", "day"], "ts", "40 days"), jobs.distinct_kpi(f"{out}/deltas", ["game_id", "day"], "dau_accounts"), spark)
+    """What was seen is stored by day; the counts of the batches add up."""
+    return _dau(spark, event_stream(spark, sf))
+
+
+def _dau(spark, events):
+    logins = events.filter("event_type = 'view'").select("account", "game_id", "day")
+    out, keys = work_folder(spark, "dau"), ["game_id", "day"]
+    run(logins, jobs.distinct_counts(out, keys, ["account"], "day", "dau_accounts"), spark)
     rules = {"dau_accounts": sink.ADD}
-    deltas.fold(spark, out, ["game_id", "day"], rules, 0)  # the first batch as base
-    return deltas.read_merged(spark, out, ["game_id", "day"], rules)
+    deltas.fold(spark, out, keys, rules, 0)  # the first batch as base
+    return deltas.read_merged(spark, out, keys, rules)
+
+
+@plan("stream_dau_late", "SELECT game_id, CAST(CASE WHEN event_id % 7 = 0 THEN day - 60 ELSE day END AS DATE) AS day, count(DISTINCT account) AS dau_accounts FROM g_logins GROUP BY ALL")
+def stream_dau_late(spark, sf):
+    """A seventh of the rows is 60 days old and comes after all others, and again after that."""
+    old = lambda ev: ev.withColumn("ts", F.when(F.col("event_id") % 7 == 0, F.col("ts") - F.expr("INTERVAL 60 DAYS")).otherwise(F.col("ts")))
+    return _dau(spark, event_stream(spark, sf, ("event_id % 7 <> 0", "event_id % 7 = 0", "event_id % 7 = 0 OR event_id % 5 = 0"), old))
 
 
 @plan("stream_first_seen", "SELECT game_id, strftime(date_trunc('hour', f), '%Y-%m-%d %H') AS hour, count(*) AS active_devices FROM (SELECT game_id, imei, min(ts) AS f FROM g_actives WHERE imei <> '' GROUP BY ALL) GROUP BY ALL")
 def stream_first_seen(spark, sf):
     """Files arrive in any order; the signed changes still sum to the batch result."""
     actives = event_stream(spark, sf).filter("event_type = 'view' and imei <> ''").select("game_id", "imei", "ts")
-    changes = run_to_table(jobs.first_seen_changes(actives, ["game_id", "imei"], "ts"), spark)
+    out = work_folder(spark, "first-seen")
+    run(actives, jobs.first_seen(out, ["game_id", "imei"], "ts"), spark)
+    changes = deltas.read_deltas(spark, f"{out}/changes")
     return changes.groupBy("game_id", F.date_format("hour", "yyyy-MM-dd HH").alias("hour")).agg(F.sum("change").alias("active_devices")).filter("active_devices <> 0")
 
 
@@ -346,12 +376,13 @@ def stream_cohort_pay(spark, sf):
       + " FROM (SELECT DISTINCT game_id, account, reg_day FROM g_regs) r JOIN g_logins l ON l.account = r.account WHERE date_diff('day', r.reg_day, l.day) IN (1, 2, 6, 29) GROUP BY ALL")
 def stream_realtime_retention(spark, sf):
     from playlens.operators.aggregates import pivot_offsets
-    logins = event_stream(spark, sf).filter("event_type = 'view'").select("account", "day", "ts")
-    once = jobs.dedup_within(logins, ["account", "day"], "ts", "40 days")
-    back = jobs.realtime_retention(once, roles.regs(spark, sf), ["game_id"], cohort.REALTIME_OFFSETS)
+    logins = event_stream(spark, sf).filter("event_type = 'view'").select("account", "day")
     out = work_folder(spark, "retention")
-    each = lambda df, batch: deltas.add_batch(pivot_offsets(df, ["game_id", "reg_day"], "dur", cohort.REALTIME_OFFSETS, F.lit(1), "retained_{}"), out, batch)
-    run(back, each, spark)
+    def each(rows, batch):
+        once = state.advance(rows, f"{out}/seen", batch, ["account"], F.lit(1), "max", F.col("day")).withColumnRenamed(state.PART, "day")
+        back = jobs.realtime_retention(once, roles.regs(spark, sf), ["game_id"], cohort.REALTIME_OFFSETS)
+        deltas.add_batch(pivot_offsets(back, ["game_id", "reg_day"], "dur", cohort.REALTIME_OFFSETS, F.lit(1), "retained_{}"), out, batch)
+    run(logins, each, spark)
     return deltas.read_merged(spark, out, ["game_id", "reg_day"], {f"retained_{n}": sink.ADD for n in cohort.REALTIME_OFFSETS})
 
 
@@ -362,25 +393,40 @@ def stream_registration_match(spark, sf):
     return run_to_table(joined.select("reg_id", "active_id"), spark)
 
 
-FIELDS = "game_id int, os int, device string, ip string, dev_type string, sys_version string, android_id string"
+def _attributed(spark, sf):
+    """Matches after a stream of clicks and activations, the first batches folded on the way."""
+    from playlens.plans.attribution import _traits
+    ev = _traits(event_stream(spark, sf)).filter("event_type in ('view', 'click')").withColumn("is_click", F.col("event_type") == "click")
+    out = work_folder(spark, "attribution")
+    each = jobs.attribution(out)
+    def folded(rows, batch):
+        each(rows, batch)
+        if batch == 1:
+            jobs.fold_matches(spark, out, 1)
+    run(ev, folded, spark)
+    return out
 
 
-@plan("stream_attribution")
+@plan("stream_attribution", CHAIN + "SELECT active_id, click_id, rule FROM ad_m")
 def stream_attribution(spark, sf):
-    """No SQL form: which click is free depends on the batches before. Tests check it against a step-by-step run."""
-    from playlens.plans.attribution import _traits
-    ev = _traits(event_stream(spark, sf)).filter("event_type in ('view', 'click') and imei <> ''").withColumn("is_click", F.col("event_type") == "click")
-    once = jobs.dedup_within(ev.withColumn("_once", F.when(F.col("is_click"), F.col("event_id").cast("string")).otherwise(F.concat_ws("|", "game_id", "device"))), ["_once"], "ts", "40 days").drop("_once")
-    out = work_folder(spark, "attribution")
-    run(once, jobs.attribution(out, 6, f"click_id long, click_ts timestamp, {FIELDS}", f"active_id long, active_ts timestamp, {FIELDS}"), spark)
-    return deltas.read_deltas(spark, f"{out}/matches", "active_id long, click_id long, rule int").drop("batch_id")
+    """Whatever comes in which batch, the end is that of the batch operator."""
+    return jobs.read_matches(spark, _attributed(spark, sf)).drop("day")
+
+
+@plan("stream_attribution_changes", CHAIN + "SELECT m.rule, a.day, count(*) AS matches FROM ad_m m JOIN ad_a a USING (active_id) GROUP BY ALL")
+def stream_attribution_changes(spark, sf):
+    """What batches added and took back sums up to the matches."""
+    changes = deltas.read_deltas(spark, f"{_attributed(spark, sf)}/changes")
+    return changes.groupBy("rule", "day").agg(F.sum("sign").alias("matches")).filter("matches <> 0")
 
 
 @plan("stream_session_time", """SELECT account, CAST(start_ts AS DATE) AS day, CAST(sum(epoch(date_trunc('second', e)) - epoch(start_ts)) AS BIGINT) AS online_seconds, count(*) AS sessions FROM
   (SELECT account, date_trunc('hour', ts) AS start_ts, max(ts) AS e FROM ev WHERE event_type IN ('view', 'click') GROUP BY ALL) GROUP BY ALL""")
 def stream_session_time(spark, sf):
     online = event_stream(spark, sf).filter("event_type in ('view', 'click')").select("account", F.date_trunc("hour", "ts").alias("start_ts"), F.col("ts").alias("end_ts"))
-    changes = run_to_table(jobs.session_changes(online, ["account"], "40 days"), spark)
+    out = work_folder(spark, "sessions")
+    run(online, jobs.session_time(out, ["account"]), spark)
+    changes = deltas.read_deltas(spark, f"{out}/changes")
     return changes.groupBy("account", F.to_date("start_ts").alias("day")).agg(F.sum("seconds").alias("online_seconds"), F.sum("sessions").cast("long").alias("sessions"))
 
 
@@ -398,14 +444,37 @@ def stream_late_dimension(spark, sf):
     return deltas.read_deltas(spark, f"{out}/known").select("event_id", "s_name")
 
 
-@plan("stream_published", "SELECT event_id, game_id FROM g_logins WHERE game_id IN (SELECT game_id FROM g_published)")
+@plan("stream_published", """WITH f AS (SELECT *, CASE WHEN day < DATE '2024-01-09' THEN 0 WHEN day < DATE '2024-01-21' THEN 1 ELSE 2 END AS batch FROM ev),
+  a AS (SELECT game_id, min(batch) AS batch FROM f WHERE event_type = 'error' AND event_id % 97 = 1 GROUP BY ALL)
+  SELECT event_id, game_id FROM f WHERE event_type = 'view' AND (game_id IN (SELECT game_id FROM g_published WHERE game_id % 2 = 0) OR EXISTS (SELECT 1 FROM a WHERE a.game_id = f.game_id AND a.batch <= f.batch))""")
 def stream_published(spark, sf):
-    logins = event_stream(spark, sf).filter("event_type = 'view'").select("event_id", "game_id").withColumn("is_announcement", F.lit(False))
+    """Games of even number are known from the start; some reports in the stream announce others."""
+    ev = event_stream(spark, sf, DAYS).withColumn("is_announcement", F.col("event_type") == "error").filter("event_type = 'view' OR event_type = 'error' AND event_id % 97 = 1")
     out = work_folder(spark, "published")
-    run(logins, jobs.published_in_stream(out, lambda s: roles.published(s, sf)), spark)
+    run(ev.select("event_id", "game_id", "is_announcement"), jobs.published_in_stream(out, lambda s: roles.published(s, sf).filter("game_id % 2 = 0")), spark)
     return deltas.read_deltas(spark, f"{out}/facts").select("event_id", "game_id")
 
 
+@plan("stream_recovered", "SELECT game_id, strftime(date_trunc('hour', f), '%Y-%m-%d %H') AS hour, count(*) AS active_devices FROM (SELECT game_id, imei, min(ts) AS f FROM g_actives WHERE imei <> '' GROUP BY ALL) GROUP BY ALL")
+def stream_recovered(spark, sf):
+    """A stream that fails after it wrote a batch, before that counted as done, and goes on from its checkpoint with more files."""
+    path, out, checkpoint = work_folder(spark, "stream"), work_folder(spark, "recovered"), work_folder(spark, "checkpoint")
+    add_files(spark, sf, path, ("event_id % 2 = 1", "event_id % 4 = 0"))
+    stream = lambda: roles.as_events(logs.stream_folder(spark, path, roles.table(spark, sf, "events").schema, max_files=1)).filter("event_type = 'view' and imei <> ''").select("game_id", "imei", "ts")
+    each = jobs.first_seen(out, ["game_id", "imei"], "ts")
+    def failing(rows, batch):
+        each(rows, batch)
+        if batch == 1:
+            raise RuntimeError("the machine is lost")
+    try:
+        jobs.start(stream(), failing, checkpoint).awaitTermination()
+    except StreamingQueryException:
+        add_files(spark, sf, path, ("event_id % 4 = 2",))
+        jobs.start(stream(), each, checkpoint).awaitTermination()
+    changes = deltas.read_deltas(spark, f"{out}/changes")
+    return changes.groupBy("game_id", F.date_format("hour", "yyyy-MM-dd HH").alias("hour")).agg(F.sum("change").alias("active_devices")).filter("active_devices <> 0")
+
+
 @plan("stream_replayed_batch", "SELECT game_id, count(*) AS n FROM g_clicks GROUP BY game_id")
 def stream_replayed_batch(spark, sf):
     """Every batch is written twice, as after a restart: it must count once."""

@@ -1,22 +1,23 @@
-"""Streaming jobs: the batch operators on micro-batches, and the few that need state of their own."""
+"""Streaming jobs: the batch operators on micro-batches. What they remember are tables (``sinks/state.py``)."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from datetime import date
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from playlens.operators.attribution import attribute_activation
+from playlens.operators.attribution import CHAINS, CLICK_DAYS, days_needed, device_name, first_changed_day, rematch
 from playlens.session import write_stage
-from playlens.sinks.deltas import BATCH, read_deltas, write_delta
+from playlens.sinks import state
+from playlens.sinks.deltas import BATCH, _latest_base, read_deltas, write_delta
 from playlens.sources.logs import parse_tagged
 
 # --- fixed values: how long a repeated record is recognised --------------------------------------
-ORDER_TTL, ATTRIBUTED_ORDER_TTL, LOGIN_TTL, SESSION_TTL = "1 hour", "48 hours", "50 hours", "25 hours"
+ORDER_TTL, ATTRIBUTED_ORDER_TTL, LOGIN_TTL = "1 hour", "48 hours", "50 hours"
 # --------------------------------------------------------------------------------------------------
 
 
@@ -49,73 +50,45 @@ def dedup_within(stream: DataFrame, keys: list[str], ts: str, ttl: str) -> DataF
     return stream.withWatermark(ts, ttl).dropDuplicatesWithinWatermark(keys)
 
 
-def distinct_kpi(path: str, keys: list[str], name: str) -> Callable[[DataFrame, int], None]:
-    """Batch job behind :func:`dedup_within`: first-seen rows counted; the counts of batches add up."""
-    def each(firsts: DataFrame, batch_id: int) -> None:
-        write_delta(firsts.groupBy(*keys).agg(F.count("*").alias(name)), path, batch_id)
-    return each
-
+def distinct_counts(path: str, keys: list[str], member: list[str], day: str, name: str) -> Callable[[DataFrame, int], None]:
+    """Batch job: distinct ``member`` per ``keys`` (``day`` among them), whenever a row arrives; the counts of batches add up.
 
-def _combine_batches(stream: DataFrame, keys: list[str], column: str, how: str) -> DataFrame:
-    """One row per key and Arrow batch before the shuffle, so that a hot key sends few rows."""
-    def combine(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield frame.groupby(keys, as_index=False, dropna=False)[column].agg(how)
-    narrow = stream.select(*keys, column)
-    return narrow.mapInPandas(combine, narrow.schema)
+    What was seen is a table by day, so a batch reads the days it has rows for, and no row is too late.
+    """
+    def each(rows: DataFrame, batch_id: int) -> None:
+        who = [k for k in dict.fromkeys([*keys, *member]) if k != day]
+        changes = state.advance(rows, f"{path}/seen", batch_id, who, F.lit(1), "max", F.col(day)).withColumnRenamed(state.PART, day)
+        write_delta(changes.groupBy(*keys).agg(F.count("*").alias(name)), f"{path}/deltas", batch_id)
+    return each
 
 
-def first_seen_changes(actives: DataFrame, keys: list[str], ts: str) -> DataFrame:
-    """Signed changes (+1/-1) of first-seen counts per hour.
+def first_seen(path: str, keys: list[str], ts: str) -> Callable[[DataFrame, int], None]:
+    """Batch job: signed changes (+1/-1) of first-seen counts per hour, in ``changes``.
 
     The first time of a key is its earliest, whenever it arrives: a late earlier record takes back the hour counted
-    before. State is one time per key, without time limit, as the rule has none.
+    before. Times are kept in a table by hash buckets, one per key, without time limit, as the rule has none.
     """
-    kinds = dict(actives.dtypes)
-    shape = ", ".join(f"{k} {kinds[k]}" for k in keys)
-
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        earliest = min(frame[ts].min() for frame in frames)
-        known = state.get[0] if state.exists else None
-        micros = earliest.value // 1000
-        if known is not None and known <= micros:
-            return
-        state.update((micros,))
-        hour = lambda m: pd.Timestamp(m, unit="us").floor("h")
-        changes = [(*key, hour(micros), 1)] + ([(*key, hour(known), -1)] if known is not None else [])
-        if known is None or hour(known) != hour(micros):
-            yield pd.DataFrame(changes, columns=[*keys, "hour", "change"])
-
-    return _combine_batches(actives, keys, ts, "min").groupBy(*keys).applyInPandasWithState(
-        step, f"{shape}, hour timestamp, change int", "first_us long", "append", GroupStateTimeout.NoTimeout)
+    def each(rows: DataFrame, batch_id: int) -> None:
+        moved = state.advance(rows, f"{path}/first", batch_id, keys, F.col(ts), "min", state.bucket(keys))
+        hours = moved.select(*keys, F.date_trunc("hour", "new").alias("new"), F.date_trunc("hour", "old").alias("old")).filter(~F.col("new").eqNullSafe(F.col("old")))
+        signed = F.array(F.struct(F.col("new").alias("hour"), F.lit(1).alias("change")), F.struct(F.col("old").alias("hour"), F.lit(-1).alias("change")))
+        write_delta(hours.select(*keys, F.inline(signed)).filter("hour IS NOT NULL"), f"{path}/changes", batch_id)
+    return each
 
 
-def session_changes(online: DataFrame, keys: list[str], late: str = SESSION_TTL, ttl_hours: int = 25) -> DataFrame:
-    """Seconds to add per session report: the whole length at first, then what the end moved on; sessions +1 at first.
+def session_time(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
+    """Batch job: seconds to add per session report, in ``changes``: the whole length at first, then what the end moved on;
+    sessions +1 at first.
 
-    A session is forgotten ``ttl_hours`` of event time after its last report. (A timeout in processing time would keep
-    an ``availableNow`` run from ending.)
+    A session is known by ``keys`` and its start; ends are kept in a table by the day of the start, so late reports count too.
     """
-    kinds = dict(online.dtypes)
-    by = [*keys, "start_ts"]
-    shape = ", ".join(f"{k} {kinds[k]}" for k in keys)
-
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        end = max(frame["end_ts"].max() for frame in frames)
-        seconds = int(end.floor("s").timestamp())
-        began = int(pd.Timestamp(key[-1]).timestamp())
-        known = state.get[0] if state.exists else None
-        if known is None or seconds > known:
-            yield pd.DataFrame([(*key, seconds - (began if known is None else known), 1 if known is None else 0)], columns=[*by, "seconds", "sessions"])
-        last = max(seconds, known or 0)
-        state.update((last,))
-        state.setTimeoutTimestamp(max(last * 1000, state.getCurrentWatermarkMs()) + ttl_hours * 3_600_000)
-
-    return _combine_batches(online, by, "end_ts", "max").withWatermark("end_ts", late).groupBy(*by).applyInPandasWithState(
-        step, f"{shape}, start_ts timestamp, seconds long, sessions int", "end_s long", "append", GroupStateTimeout.EventTimeTimeout)
+    def each(rows: DataFrame, batch_id: int) -> None:
+        by = [*keys, "start_ts"]
+        moved = state.advance(rows, f"{path}/ends", batch_id, by, F.unix_timestamp("end_ts"), "max", F.to_date("start_ts"))
+        known = F.col("old").isNotNull()
+        seconds = F.col("new") - F.when(known, F.col("old")).otherwise(F.unix_timestamp("start_ts"))
+        write_delta(moved.select(*by, seconds.alias("seconds"), F.when(known, 0).otherwise(1).alias("sessions")), f"{path}/changes", batch_id)
+    return each
 
 
 def with_cohort(orders: DataFrame, regs: DataFrame, keys: list[str]) -> DataFrame:
@@ -133,31 +106,73 @@ def join_within(left: DataFrame, right: DataFrame, on: list[str], left_ts: str,
     return l.join(r, cond).select("l.*", *[F.col(f"r.{c}") for c in right.columns if c not in on])
 
 
-def attribution(path: str, days: int, click_schema: str, active_schema: str) -> Callable[[DataFrame, int], None]:
-    """Batch job: new clicks and activations are stored, then free activations meet free clicks of the window.
+TRAITS = "game_id int, os int, device string, ip string, dev_type string, sys_version string, android_id string"
+
+
+def attribution(path: str, days: int = CLICK_DAYS, chains=CHAINS) -> Callable[[DataFrame, int], None]:
+    """Batch job: after each batch, the matches are those of :func:`attribute_activation` over all events so far.
 
-    The stream carries both, told apart by ``is_click``. What earlier batches matched stays matched; an activation whose
-    click comes later is met by a later batch.
+    The stream carries clicks and activations, told apart by ``is_click``, in any order and however late. They are stored by day. A
+    device's first activation is kept by hash buckets; an earlier one that comes later replaces it. Only the days that
+    a batch can change are matched anew: from its earliest event back as far as a change can spread through the rules. Matches
+    are stored by day of the activation; what a batch matched holds until a later batch matches that day again.
+    ``changes`` holds what a batch added (+1) and took back (-1).
     """
+    fields = [f.split()[0] for f in TRAITS.split(", ")]
+
     def each(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
-        rows.persist()
-        clicks, actives = f"{path}/clicks", f"{path}/actives"
-        write_delta(rows.filter("is_click").select(F.col("event_id").alias("click_id"), F.col("ts").alias("click_ts"), "game_id", "os", "device", "ip", "dev_type", "sys_version", "android_id"), clicks, batch_id)
-        write_delta(rows.filter("not is_click").select(F.col("event_id").alias("active_id"), F.col("ts").alias("active_ts"), "game_id", "os", "device", "ip", "dev_type", "sys_version", "android_id"), actives, batch_id)
-        newest = rows.agg(F.max("ts").alias("t"), F.min("ts").alias("f")).first()
-        rows.unpersist()
-        if newest["t"] is None:
+        rows = write_stage(rows.select("event_id", "ts", "is_click", *fields), "attribution-batch")
+        clicks = rows.filter("is_click").select(F.col("event_id").alias("click_id"), F.col("ts").alias("click_ts"), *fields, F.to_date("ts").alias("day"))
+        state.write_parts(clicks, f"{path}/clicks", batch_id, "day")
+        known = rows.filter("not is_click").withColumn("known", device_name()).filter("known IS NOT NULL")
+        row = F.struct(F.col("ts").alias("active_ts"), F.col("event_id").alias("active_id"), *[f for f in fields if f != "game_id"])
+        moved = state.advance(known, f"{path}/first", batch_id, ["game_id", "known"], row, "min", state.bucket(["game_id", "known"]))
+        signed = F.array(F.struct(F.lit(1).alias("sign"), F.col("new").alias("row")), F.struct(F.lit(-1).alias("sign"), F.col("old").alias("row")))
+        actives = moved.select("game_id", F.inline(signed)).filter("row IS NOT NULL").select("game_id", "row.*", "sign", F.to_date("row.active_ts").alias("day"))
+        state.write_parts(actives, f"{path}/actives", batch_id, "day")
+        since = clicks.select("day").union(actives.select("day")).agg(F.min("day")).first()[0]
+        if since is None:
             return
-        done = read_deltas(spark, f"{path}/matches", "active_id long, click_id long, rule int").filter(F.col(BATCH) < batch_id)
-        since = F.date_sub(F.lit(newest["f"]).cast("date"), days)
-        window = lambda p, schema, ts: read_deltas(spark, p, schema).filter((F.col(BATCH) <= batch_id) & (F.col(ts) >= since.cast("timestamp"))).drop(BATCH)
-        free_c = window(clicks, click_schema, "click_ts").join(done.select("click_id"), "click_id", "left_anti")
-        free_a = window(actives, active_schema, "active_ts").join(done.select("active_id"), "active_id", "left_anti")
-        write_delta(attribute_activation(free_a, free_c, days), f"{path}/matches", batch_id)
+        first = days_needed(since, days, chains)
+        upto = F.col(BATCH) <= batch_id
+        stored = lambda name, shape: state.read_parts(spark, f"{path}/{name}", f"{shape}, {TRAITS}, day date, {BATCH} long", "day", lambda day: day >= str(first)).filter(upto)
+        signs = stored("actives", "active_id long, active_ts timestamp, sign int")
+        actives = signs.filter("sign > 0").join(signs.filter("sign < 0").select("active_id"), "active_id", "left_anti")
+        before = read_matches(spark, path, batch_id, first)
+        after = write_stage(rematch(actives, stored("clicks", "click_id long, click_ts timestamp"), before, since, days, chains), "attribution-after")
+        state.write_parts(after, f"{path}/matches", batch_id, "day")
+        from_day = first_changed_day(since, max(map(len, chains.values())) - 1, days)
+        write_delta(spark.createDataFrame([(from_day,)], "since date"), f"{path}/matched", batch_id)
+        pair = ["active_id", "click_id", "rule", "day"]
+        gone = before.filter(F.col("day") >= F.lit(from_day)).join(after, pair, "left_anti").withColumn("sign", F.lit(-1))
+        write_delta(after.join(before, pair, "left_anti").withColumn("sign", F.lit(1)).unionByName(gone), f"{path}/changes", batch_id)
     return each
 
 
+MATCH = "active_id long, click_id long, rule int, day date"
+
+
+def read_matches(spark: SparkSession, path: str, before: int | None = None, first: date | None = None) -> DataFrame:
+    """Matches that hold (before a batch; of activations from a day on): active_id, click_id, rule, day."""
+    upto = F.col(BATCH) < (1 << 62 if before is None else before)
+    base, folded = _latest_base(spark, f"{path}/folded")
+    wanted = None if first is None else lambda day: day >= str(first)
+    rows = state.read_parts(spark, f"{path}/matches", f"{MATCH}, {BATCH} long", "day", wanted).filter(upto & (F.col(BATCH) > folded))
+    if base is not None:
+        rows = rows.unionByName(state.read_parts(spark, f"{path}/folded/base/upto={folded}", MATCH, "day", wanted).withColumn(BATCH, F.lit(folded).cast("long")))
+    matched = read_deltas(spark, f"{path}/matched", "since date").filter(upto & (F.col(BATCH) >= folded))
+    again = W.orderBy(BATCH).rowsBetween(1, W.unboundedFollowing)  # one row per batch since the last fold
+    until = matched.select(BATCH, F.min("since").over(again).alias("until"))
+    return rows.join(until, BATCH).filter(F.col("until").isNull() | (F.col("day") < F.col("until"))).drop(BATCH, "until")
+
+
+def fold_matches(spark: SparkSession, path: str, upto: int) -> None:
+    """Keep what holds after batch ``upto`` as a new base by day; readers use the old one until it is complete."""
+    rows = read_matches(spark, path, upto + 1)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("day").parquet(f"{path}/folded/base/upto={upto}")
+
+
 def late_dimension(path: str, read_dim: Callable[[SparkSession], DataFrame], key: str, schema: str) -> Callable[[DataFrame, int], None]:
     """Batch job: rows meet the dimension as it is now; rows it does not know yet wait for a later batch.
 

@@ -1,11 +1,13 @@
 """Streams in several batches give what one batch gives."""
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
+from playlens.operators import attribution
 from playlens.session import work_folder
-from playlens.sinks import deltas
+from playlens.sinks import deltas, state
 from playlens.sources import logs
 from playlens.streaming import jobs
 
@@ -22,21 +24,21 @@ def stream_of(spark, batches, shape):
     return logs.stream_folder(spark, path, spark.createDataFrame([], shape).schema, max_files=1)
 
 
-def collect(spark, stream):
+def changes(spark, stream, job):
     out = work_folder(spark, "out")
-    jobs.write_stream(stream, out, work_folder(spark, "cp")).awaitTermination()
-    return spark.read.parquet(out)
+    jobs.start(stream, job(out), work_folder(spark, "cp")).awaitTermination()
+    return deltas.read_deltas(spark, f"{out}/changes").collect()
 
 
 def test_late_earlier_activation_takes_back_its_hour(spark):
     s = stream_of(spark, [[(1, "x", T(10)), (1, "y", T(10))], [(1, "x", T(8, 30)), (1, "x", T(9))], [(1, "y", T(10, 5)), (1, "y", T(9))]], "game_id int, imei string, ts timestamp")
-    rows = collect(spark, jobs.first_seen_changes(s, ["game_id", "imei"], "ts")).collect()
+    rows = changes(spark, s, lambda out: jobs.first_seen(out, ["game_id", "imei"], "ts"))
     assert sorted((r.imei, r.hour.hour, r.change) for r in rows) == [("x", 8, 1), ("x", 10, -1), ("x", 10, 1), ("y", 9, 1), ("y", 10, -1), ("y", 10, 1)]
 
 
 def test_session_adds_only_what_the_end_moved(spark):
     s = stream_of(spark, [[("a", T(10), T(10, 5))], [("a", T(10), T(10, 3)), ("a", T(10), T(10, 9))], [("a", T(11), T(11, 1))]], "account string, start_ts timestamp, end_ts timestamp")
-    rows = collect(spark, jobs.session_changes(s, ["account"], "10 days")).collect()
+    rows = changes(spark, s, lambda out: jobs.session_time(out, ["account"]))
     assert sorted((r.start_ts.hour, r.seconds, r.sessions) for r in rows) == [(10, 240, 0), (10, 300, 1), (11, 60, 1)]
 
 
@@ -63,10 +65,86 @@ def test_streamed_attribution_matches_a_click_of_a_later_batch_and_uses_it_once(
     row = lambda i, h, click, dev: (i, T(h), click, 1, 2, dev, "", "", "", "")
     s = stream_of(spark, [[row(1, 1, True, "x"), row(2, 2, False, "x"), row(3, 3, False, "y")], [row(4, 1, True, "y"), row(5, 4, False, "x")]], shape)
     out = work_folder(spark, "attr")
-    fields = "game_id int, os int, device string, ip string, dev_type string, sys_version string, android_id string"
-    jobs.start(s, jobs.attribution(out, 6, f"click_id long, click_ts timestamp, {fields}", f"active_id long, active_ts timestamp, {fields}"), work_folder(spark, "cp")).awaitTermination()
-    got = deltas.read_deltas(spark, f"{out}/matches", "active_id long, click_id long, rule int")
-    assert sorted((r.active_id, r.click_id) for r in got.collect()) == [(2, 1), (3, 4)]
+    jobs.start(s, jobs.attribution(out), work_folder(spark, "cp")).awaitTermination()
+    assert sorted((r.active_id, r.click_id) for r in jobs.read_matches(spark, out).collect()) == [(2, 1), (3, 4)]
+
+
+SHORT = {2: [["device"], ["ip"]], 1: [["device"], ["android_id"]]}
+
+
+def events_of_days(seed, n, days):
+    rng = random.Random(seed)
+    return [(i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=rng.randrange(days * 24 * 60)), rng.random() < 0.6, rng.randint(1, 2), rng.randint(1, 2),
+             rng.choice(["", *"ABCDEFGH"]), rng.choice(["", "1.1", "1.2", "1.3"]), "t", "v", rng.choice(["", "a", "b"])) for i in range(n)]
+
+
+SHAPE = "event_id long, ts timestamp, is_click boolean, game_id int, os int, device string, ip string, dev_type string, sys_version string, android_id string"
+
+
+def whole(spark, rows, days, chains):
+    df = spark.createDataFrame(rows, SHAPE)
+    clicks = df.filter("is_click").withColumnsRenamed({"event_id": "click_id", "ts": "click_ts"})
+    actives = attribution.first_activations(df.filter("not is_click").withColumnsRenamed({"event_id": "active_id", "ts": "active_ts"}))
+    return sorted((r.active_id, r.click_id, r.rule) for r in attribution.attribute_activation(actives, clicks, days, chains).collect())
+
+
+def test_any_split_into_batches_ends_at_the_batch_result(spark):
+    """Late clicks take over activations, late activations replace later ones, and batches reach back beyond the window of the one before."""
+    rows = events_of_days(5, 400, 40)
+    rng = random.Random(9)
+    recent = sorted(rows, key=lambda r: r[1] + dt.timedelta(days=rng.random() * 4))  # mostly in order, up to four days late
+    late = [r for r in recent if r[0] % 23 == 0]
+    orderly = [r for r in recent if r[0] % 23]
+    batches = [orderly[:150], orderly[150:260], orderly[260:330], orderly[330:], late]
+    out = work_folder(spark, "split")
+    each, seen = jobs.attribution(out, 1, SHORT), []
+    for i, batch in enumerate(batches):
+        each(spark.createDataFrame(batch, SHAPE), i)
+        if i == 2:
+            each(spark.createDataFrame(batch, SHAPE), i)  # a batch that runs twice
+            jobs.fold_matches(spark, out, 1)
+        seen += batch
+        assert sorted((r.active_id, r.click_id, r.rule) for r in jobs.read_matches(spark, out).collect()) == whole(spark, seen, 1, SHORT)
+    signed = deltas.read_deltas(spark, f"{out}/changes").groupBy("active_id", "click_id", "rule").agg(F.sum("sign").alias("n")).filter("n <> 0").collect()
+    assert sorted((r.active_id, r.click_id, r.rule) for r in signed) == whole(spark, rows, 1, SHORT) and {r.n for r in signed} == {1}
+
+
+def test_a_batch_reads_the_days_of_its_window_only(spark, monkeypatch):
+    out = work_folder(spark, "window")
+    each = jobs.attribution(out, 1, SHORT)
+    rows = sorted(events_of_days(6, 200, 30), key=lambda r: r[1])
+    each(spark.createDataFrame(rows[:150], SHAPE), 0)
+    read, plain = [], state.read_parts
+    def watched(spark, path, schema, part, wanted=None):
+        got = plain(spark, path, schema, part, wanted)
+        read.extend((path.rsplit("/", 1)[1], f.split(f"{part}=")[1].split("/")[0]) for f in got.inputFiles())
+        return got
+    monkeypatch.setattr(state, "read_parts", watched)
+    batch = [r for r in rows[150:] if r[1] > dt.datetime(2024, 1, 27)]
+    each(spark.createDataFrame(batch, SHAPE), 1)
+    since = min(r[1] for r in batch).date()  # or a day before, where a device's activation was replaced: none here
+    days = {day for table, day in read if table in ("clicks", "actives", "matches")}
+    assert days and min(days) >= str(attribution.days_needed(since, 1, SHORT)) == str(since - dt.timedelta(days=2))
+
+
+def test_state_is_merged_by_touched_parts_and_folded(spark):
+    path, shape = work_folder(spark, "state"), "k int, v int"
+    step = lambda rows, i: sorted(tuple(r) for r in state.advance(spark.createDataFrame(rows, shape), path, i, ["k"], F.col("v"), "min", F.col("k") % 2).select("k", "old", "new").collect())
+    assert step([(1, 5), (1, 7), (2, 3), (None, 1), (4, None)], 0) == [(1, None, 5), (2, None, 3)]
+    assert step([(1, 6), (2, 1), (3, 9)], 1) == [(2, 3, 1), (3, None, 9)] == step([(1, 6), (2, 1), (3, 9)], 1)  # the same when it runs again
+    state.fold_state(spark, path, ["k"], "min", 1)
+    assert step([(1, 4), (2, 2)], 2) == [(1, 5, 4)]
+    assert sorted((r.k, r.value) for r in state.read_state(spark, path, ["k"], "min").collect()) == [(1, 4), (2, 1), (3, 9)]
+
+
+def test_counts_of_days_long_past(spark):
+    out = work_folder(spark, "dau")
+    each = jobs.distinct_counts(out, ["game", "day"], ["account"], "day", "n")
+    day = lambda n: dt.date(2024, 3, 1) - dt.timedelta(days=n)
+    for i, rows in enumerate([[("a", 1, day(0)), ("b", 1, day(0))], [("a", 1, day(60)), ("a", 1, day(0))], [("a", 1, day(60)), ("c", 1, day(60))]]):
+        each(spark.createDataFrame(rows, "account string, game int, day date"), i)
+    got = deltas.read_deltas(spark, f"{out}/deltas").groupBy("day").agg(F.sum("n").alias("n")).collect()
+    assert {r.day: r.n for r in got} == {day(0): 2, day(60): 2}
 
 
 def test_malformed_lines_are_kept_apart(spark):
