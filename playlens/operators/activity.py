@@ -1,4 +1,8 @@
-"""Activity: activations, new devices and accounts, active users, clicks, funnel, sessions."""
+"""Activity: activations, new devices and accounts, active users, clicks, funnel, sessions.
+
+``start`` and ``end`` bound the days of a report, both included; the bounds reach the scans of its events. What is first ever needs all
+history, unless ``firsts`` gives it: keys with ``first_ts`` and ``first_day``, as ``bounds.firsts_between`` reads them for these days.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +12,7 @@ from pyspark.sql import functions as F
 
 from playlens.functions.cleanse import time_bucket, valid_device, zero_ratio
 from playlens.operators.aggregates import histogram, zero_filled_union
+from playlens.operators.bounds import between_days
 from playlens.operators.joins import calendar
 
 # --- fixed values: report buckets ---------------------------------------------------------------
@@ -27,44 +32,57 @@ def first_seen(events: DataFrame, keys: list[str], ts: str, name: str = "first_t
     return events.groupBy(*keys).agg(F.min(ts).alias(name))
 
 
-def activation_kpi(actives: DataFrame, keys: list[str], grain: str, device: str = "imei") -> DataFrame:
+def _firsts(events: DataFrame, keys: list[str], ts: str, start: str | None, end: str | None, firsts: DataFrame | None) -> DataFrame:
+    """Keys with ``first_ts`` and its ``day``, of the days."""
+    found = first_seen(events, keys, ts) if firsts is None else firsts.select(*keys, "first_ts")
+    return between_days(found.withColumn("day", F.to_date("first_ts")), "day", start, end)
+
+
+def activation_kpi(actives: DataFrame, keys: list[str], grain: str, device: str = "imei",
+                   start: str | None = None, end: str | None = None, firsts: DataFrame | None = None) -> DataFrame:
     """Devices by the bucket of their first activation for the key."""
-    first = first_seen(actives.filter(valid_device(device)), [*keys, device], "active_ts")
+    first = _firsts(actives.filter(valid_device(device)), [*keys, device], "active_ts", start, end, firsts)
     return first.groupBy(*keys, time_bucket("first_ts", grain).alias(grain)).agg(F.count("*").alias("active_devices"))
 
 
-def new_devices(regs: DataFrame, keys: list[str], device: str = "imei") -> DataFrame:
+def new_devices(regs: DataFrame, keys: list[str], device: str = "imei",
+                start: str | None = None, end: str | None = None, firsts: DataFrame | None = None) -> DataFrame:
     """Devices with the time of their first registration for the key: new on that day, never again."""
-    return first_seen(regs.filter(valid_device(device)), [*keys, device], "reg_ts").withColumn("day", F.to_date("first_ts"))
+    return _firsts(regs.filter(valid_device(device)), [*keys, device], "reg_ts", start, end, firsts)
 
 
-def new_device_kpi(regs: DataFrame, keys: list[str], grain: str, device: str = "imei") -> DataFrame:
-    new = new_devices(regs, keys, device)
+def new_device_kpi(regs: DataFrame, keys: list[str], grain: str, device: str = "imei",
+                   start: str | None = None, end: str | None = None, firsts: DataFrame | None = None) -> DataFrame:
+    new = new_devices(regs, keys, device, start, end, firsts)
     return new.groupBy(*keys, time_bucket("first_ts", grain).alias(grain)).agg(F.count("*").alias("new_devices"))
 
 
-def new_account_kpi(regs: DataFrame, keys: list[str], device: str = "imei") -> DataFrame:
+def new_account_kpi(regs: DataFrame, keys: list[str], device: str = "imei",
+                    start: str | None = None, end: str | None = None, firsts: DataFrame | None = None) -> DataFrame:
     """Accounts registered on devices that are new that day."""
-    new = new_devices(regs, keys, device).select(*keys, device, "day")
-    same_day = regs.withColumn("day", F.col("reg_day")).join(new, [*keys, device, "day"], "left_semi")
+    new = new_devices(regs, keys, device, start, end, firsts).select(*keys, device, "day")
+    same_day = between_days(regs, "reg_day", start, end).withColumn("day", F.col("reg_day")).join(new, [*keys, device, "day"], "left_semi")
     accounts = same_day.select(*keys, "day", "account").distinct()
     return accounts.groupBy(*keys, "day").agg(F.count("*").alias("new_accounts"))
 
 
-def registered_device_kpi(regs: DataFrame, keys: list[str], device: str = "imei") -> DataFrame:
+def registered_device_kpi(regs: DataFrame, keys: list[str], device: str = "imei", start: str | None = None, end: str | None = None) -> DataFrame:
+    regs = between_days(regs, "reg_day", start, end)
     seen = regs.filter(valid_device(device)).select(*keys, F.col("reg_day").alias("day"), device).distinct()
     return seen.groupBy(*keys, "day").agg(F.count("*").alias("registered_devices"))
 
 
-def active_and_registered(regs: DataFrame, actives: DataFrame, keys: list[str], device: str = "imei") -> DataFrame:
+def active_and_registered(regs: DataFrame, actives: DataFrame, keys: list[str], device: str = "imei",
+                          start: str | None = None, end: str | None = None, firsts: DataFrame | None = None) -> DataFrame:
     """New devices that also activated on their day."""
-    new = new_devices(regs, keys, device).select(*keys, device, "day")
-    both = new.join(actives.select(*keys, device, "day"), [*keys, device, "day"], "left_semi")
+    new = new_devices(regs, keys, device, start, end, firsts).select(*keys, device, "day")
+    both = new.join(between_days(actives, "day", start, end).select(*keys, device, "day"), [*keys, device, "day"], "left_semi")
     return both.groupBy(*keys, "day").agg(F.count("*").alias("active_registered"))
 
 
-def active_users(logins: DataFrame, keys: list[str], grain: str) -> DataFrame:
+def active_users(logins: DataFrame, keys: list[str], grain: str, start: str | None = None, end: str | None = None) -> DataFrame:
     """Distinct accounts and devices per bucket."""
+    logins = between_days(logins, "day", start, end)
     bucket = time_bucket("login_ts", grain).alias(grain)
     def distinct(column, name):
         kept = logins.filter(F.col(column) != "").select(*keys, bucket, column).distinct()
@@ -95,33 +113,41 @@ def trailing_users(logins: DataFrame, keys: list[str], start: str, end: str, day
     return dense.select(*keys, "day", *[F.sum(n).over(upto).alias(n) for n in names]).filter(" or ".join(f"{n} > 0" for n in names))
 
 
-def new_login(regs: DataFrame, logins: DataFrame, keys: list[str]) -> DataFrame:
-    """New devices and accounts that logged in on their first day."""
+def new_login(regs: DataFrame, logins: DataFrame, keys: list[str], start: str | None = None, end: str | None = None,
+              firsts: dict[str, DataFrame] | None = None) -> DataFrame:
+    """New devices and accounts that logged in on their first day; ``firsts`` by entity (``imei``, ``account``)."""
+    logins = between_days(logins, "day", start, end)
     def count(entity, name):
-        first = first_seen(regs.filter(F.col(entity) != ""), [*keys, entity], "reg_ts").select(*keys, entity, F.to_date("first_ts").alias("day"))
+        known = firsts[entity] if firsts else None
+        first = _firsts(regs.filter(F.col(entity) != ""), [*keys, entity], "reg_ts", start, end, known).select(*keys, entity, "day")
         seen = first.join(logins.select(*keys, entity, "day"), [*keys, entity, "day"], "left_semi")
         return seen.groupBy(*keys, "day").agg(F.count("*").alias(name))
     return zero_filled_union([count("imei", "new_login_devices"), count("account", "new_login_accounts")],
                              [*keys, "day"], ["new_login_devices", "new_login_accounts"])
 
 
-def second_login_device(regs: DataFrame, logins: DataFrame, keys: list[str], device: str = "imei") -> DataFrame:
+def second_login_device(regs: DataFrame, logins: DataFrame, keys: list[str], device: str = "imei",
+                        start: str | None = None, end: str | None = None, firsts: DataFrame | None = None) -> DataFrame:
     """New devices with at least two logins on their day."""
+    logins = between_days(logins, "day", start, end)
     times = logins.filter(valid_device(device)).groupBy(*keys, device, "day").agg(F.count("*").alias("times")).filter("times >= 2")
-    new = new_devices(regs, keys, device).select(*keys, device, "day")
+    new = new_devices(regs, keys, device, start, end, firsts).select(*keys, device, "day")
     return times.join(new, [*keys, device, "day"], "left_semi").groupBy(*keys, "day").agg(F.count("*").alias("second_login_devices"))
 
 
-def login_frequency_hist(logins: DataFrame, keys: list[str], regs: DataFrame | None = None, device: str = "imei") -> DataFrame:
+def login_frequency_hist(logins: DataFrame, keys: list[str], regs: DataFrame | None = None, device: str = "imei",
+                         start: str | None = None, end: str | None = None, firsts: DataFrame | None = None) -> DataFrame:
     """Devices by logins of the day; with ``regs`` only devices that are new that day."""
-    times = logins.groupBy(*keys, "day", device).agg(F.count("*").alias("times"))
+    times = between_days(logins, "day", start, end).groupBy(*keys, "day", device).agg(F.count("*").alias("times"))
     if regs is not None:
-        times = times.join(new_devices(regs, keys, device).select(*keys, device, "day"), [*keys, device, "day"], "left_semi")
+        new = new_devices(regs, keys, device, start, end, firsts).select(*keys, device, "day")
+        times = times.join(new, [*keys, device, "day"], "left_semi")
     return histogram(times, [*keys, "day"], "times", LOGIN_TIMES_EDGES, LOGIN_TIMES_NAMES)
 
 
-def accounts_per_device_hist(regs: DataFrame, keys: list[str], device: str = "imei") -> DataFrame:
+def accounts_per_device_hist(regs: DataFrame, keys: list[str], device: str = "imei", start: str | None = None, end: str | None = None) -> DataFrame:
     """Devices by accounts registered on a day; accounts without a usable device id beside them."""
+    regs = between_days(regs, "reg_day", start, end)
     usable = F.when(valid_device(device), F.col(device)).otherwise("")
     rows = regs.select(*keys, F.col("reg_day").alias("day"), usable.alias("_dev"), "account").distinct()
     # the group without an id may be huge, but it is only counted
@@ -132,12 +158,13 @@ def accounts_per_device_hist(regs: DataFrame, keys: list[str], device: str = "im
     return hist.join(none, [*keys, "day"])
 
 
-def age_split(facts: DataFrame, regs: DataFrame, keys: list[str], measure: str | None = None) -> DataFrame:
+def age_split(facts: DataFrame, regs: DataFrame, keys: list[str], measure: str | None = None, start: str | None = None, end: str | None = None) -> DataFrame:
     """Accounts (or the sum of ``measure``) per day by days since the account registered for the game.
 
     ``facts`` (keys, account, day[, measure]). Several registrations of one account each count in
     their own bucket, as in the report.
     """
+    facts = between_days(facts, "day", start, end)
     born = regs.select(*keys, "account", "reg_day").distinct()
     if measure:
         daily = facts.groupBy(*keys, "account", "day").agg(F.sum(measure).alias("_m"))
@@ -156,16 +183,20 @@ def age_split(facts: DataFrame, regs: DataFrame, keys: list[str], measure: str |
     return labelled.groupBy(*keys, "day").agg(*[F.sum(F.when(F.col("_bucket") == n, F.col("_m")).otherwise(0)).cast("long").alias(n) for n in names])
 
 
-def online_time(online: DataFrame, keys: list[str]) -> DataFrame:
+def online_time(online: DataFrame, keys: list[str], start: str | None = None, end: str | None = None) -> DataFrame:
     """Seconds online and sessions per day. Reports with one start are one session up to the latest end."""
+    if start is not None:
+        online = online.filter(F.col("start_ts") >= F.lit(start).cast("timestamp"))
+    if end is not None:
+        online = online.filter(F.col("start_ts") < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp"))
     sessions = online.groupBy(*keys, "start_ts").agg(F.max("end_ts").alias("end_ts"))
     seconds = F.unix_timestamp("end_ts") - F.unix_timestamp("start_ts")
     return sessions.groupBy(*keys, F.to_date("start_ts").alias("day")).agg(F.sum(seconds).alias("online_seconds"), F.count("*").alias("sessions"))
 
 
-def click_kpi(clicks: DataFrame, keys: list[str]) -> DataFrame:
+def click_kpi(clicks: DataFrame, keys: list[str], start: str | None = None, end: str | None = None) -> DataFrame:
     """Views and distinct addresses per kind of click. Distinct rows are formed once for all kinds."""
-    per_ip = clicks.groupBy(*keys, "day", "type", "ip").agg(F.count("*").alias("pv"))
+    per_ip = between_days(clicks, "day", start, end).groupBy(*keys, "day", "type", "ip").agg(F.count("*").alias("pv"))
     columns = []
     for code, kind in CLICK_KINDS.items():
         hit = F.col("type") == code
@@ -173,17 +204,25 @@ def click_kpi(clicks: DataFrame, keys: list[str]) -> DataFrame:
     return per_ip.groupBy(*keys, "day").agg(*columns)
 
 
-def publish_funnel(clicks: DataFrame, actives: DataFrame, regs: DataFrame, orders: DataFrame, keys: list[str]) -> DataFrame:
+def publish_funnel(clicks: DataFrame, actives: DataFrame, regs: DataFrame, orders: DataFrame, keys: list[str],
+                   start: str | None = None, end: str | None = None, owned: bool = False) -> DataFrame:
     """Show, download, page, request, activation, registration and payment in one table per day.
 
-    Payments belong to the channel where the account registered.
+    Payments belong to every channel where the account registered; with ``owned`` to the one that owns the order
+    (``payments.owned_orders``), so that the channels' sums are the revenue.
     """
-    kinds = clicks.groupBy(*keys, "day").agg(*[F.count(F.when(F.col("type") == c, 1)).alias(f"{k}s") for c, k in CLICK_KINDS.items()])
-    active = actives.groupBy(*keys, "day").agg(F.count("*").alias("activations"))
-    reg = regs.groupBy(*keys, F.col("reg_day").alias("day")).agg(F.count("*").alias("registrations"))
-    home = regs.select(*keys, "account").distinct()
-    daily = orders.groupBy("account", "day").agg(F.sum("cents").alias("cents"), F.max(F.when(F.col("status") == 4, 1).otherwise(0)).alias("paid"))
-    pay = daily.join(home, "account").groupBy(*keys, "day").agg(F.sum("cents").alias("pay_cents"), F.sum("paid").alias("payers"))
+    on_day = lambda df, day="day": between_days(df, day, start, end)
+    kinds = on_day(clicks).groupBy(*keys, "day").agg(*[F.count(F.when(F.col("type") == c, 1)).alias(f"{k}s") for c, k in CLICK_KINDS.items()])
+    active = on_day(actives).groupBy(*keys, "day").agg(F.count("*").alias("activations"))
+    reg = on_day(regs, "reg_day").groupBy(*keys, F.col("reg_day").alias("day")).agg(F.count("*").alias("registrations"))
+    paid = F.max(F.when(F.col("status") == 4, 1).otherwise(0)).alias("paid")
+    if owned:
+        from playlens.operators.payments import owned_orders
+        daily = owned_orders(on_day(orders), regs, keys).groupBy(*keys, "account", "day").agg(F.sum("cents").alias("cents"), paid)
+    else:
+        home = regs.select(*keys, "account").distinct()
+        daily = on_day(orders).groupBy("account", "day").agg(F.sum("cents").alias("cents"), paid).join(home, "account")
+    pay = daily.groupBy(*keys, "day").agg(F.sum("cents").alias("pay_cents"), F.sum("paid").alias("payers"))
     measures = [*[f"{k}s" for k in CLICK_KINDS.values()], "activations", "registrations", "pay_cents", "payers"]
     return zero_filled_union([kinds, active, reg, pay], [*keys, "day"], measures)
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from playlens.functions.cleanse import zero_ratio
 from playlens.operators.activity import activation_kpi
 from playlens.operators.aggregates import count_distinct, pivot_offsets, zero_filled_union
+from playlens.operators.bounds import between_days
 from playlens.operators.joins import band_expand, calendar
 from playlens.operators.payments import new_pay_kpi
 
@@ -32,18 +33,6 @@ PAY_WATCH_DAYS = 15
 # ------------------------------------------------------------------------------------------------
 
 
-def between_days(df: DataFrame, day: str, start: str | None = None, end: str | None = None, reach: int = 0) -> DataFrame:
-    """Rows of the days from ``start`` to ``reach`` days after ``end``, both included; None is no bound.
-
-    The bare column is compared with constants, so the filter reaches the scan and prunes day partitions.
-    """
-    if start is not None:
-        df = df.filter(F.col(day) >= F.lit(start).cast("date"))
-    if end is not None:
-        df = df.filter(F.col(day) <= F.date_add(F.lit(end).cast("date"), reach))
-    return df
-
-
 def cohort_days(cohort: DataFrame, events: DataFrame, on: list[str], keys: list[str], entity: list[str],
                 cohort_day: str, event_day: str, offsets: Sequence[int] | None = None,
                 how: str = "inner") -> DataFrame:

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from playlens.functions.cleanse import time_bucket
 from playlens.operators.aggregates import histogram, zero_filled_union
+from playlens.operators.bounds import between_days
 from playlens.operators.joins import epoch_ranges
+from playlens.operators.keyed import asof_latest, first_row
 
 # --- fixed values: report buckets in cents, and days --------------------------------------------
 AMOUNT_EDGES = [None, 100, 5_000, 10_000, 30_000, 50_000, 100_000, 200_000, 300_000, 500_000, 1_000_000, 3_000_000]
@@ -19,9 +21,23 @@ PAY_DAYS_NAMES = ["days_1", "days_2", "days_3", "days_4", "days_5", "days_6_10",
 # ------------------------------------------------------------------------------------------------
 
 
-def pay_kpi(orders: DataFrame, keys: list[str], grain: str) -> DataFrame:
+def owned_orders(orders: DataFrame, regs: DataFrame, keys: list[str], ident: str = "event_id") -> DataFrame:
+    """Orders with ``keys`` of the registration that owns them, one row each, so sums over the owners are the revenue.
+
+    The owner is the account's latest registration not after the order; of an order before all of them the first one. Orders
+    of accounts that never registered have null keys. ``ident`` orders registrations of one time. Accounts must not be null.
+    """
+    plain = orders.drop(*[k for k in keys if k in orders.columns])
+    own = regs.select("account", "reg_ts", F.col(ident).alias("_reg"), *keys)
+    timely = asof_latest(plain, own, ["account"], "order_ts", "reg_ts", [*keys, "_reg"], ["_reg"]).drop("reg_ts", "_reg")
+    firsts = first_row(own, ["account"], ["reg_ts", "_reg"]).withColumnRenamed("reg_ts", "_first").drop("_reg")
+    early = plain.join(firsts, "account", "left").filter(F.col("_first").isNull() | (F.col("order_ts") < F.col("_first"))).drop("_first")
+    return timely.unionByName(early)
+
+
+def pay_kpi(orders: DataFrame, keys: list[str], grain: str, start: str | None = None, end: str | None = None) -> DataFrame:
     """Money, paying accounts, paying devices per bucket."""
-    bucketed = orders.withColumn(grain, time_bucket("order_ts", grain))
+    bucketed = between_days(orders, "day", start, end).withColumn(grain, time_bucket("order_ts", grain))
     def payers(column, name):
         return bucketed.filter((F.col("status") == 4) & (F.col(column) != "")).select(*keys, grain, column).distinct().groupBy(*keys, grain).agg(F.count("*").alias(name))
     money = bucketed.groupBy(*keys, grain).agg(F.sum("cents").alias("pay_cents"))
@@ -29,30 +45,42 @@ def pay_kpi(orders: DataFrame, keys: list[str], grain: str) -> DataFrame:
                              [*keys, grain], ["pay_cents", "pay_accounts", "pay_devices"])
 
 
-def new_pay_kpi(orders: DataFrame, regs: DataFrame, keys: list[str]) -> DataFrame:
-    """Accounts that paid on the day they registered, at the place where they registered."""
-    born = regs.select(*keys, "account", "imei", F.col("reg_day").alias("day")).distinct()
-    spent = orders.filter(F.col("status") == 4).groupBy("account", "day").agg(F.sum("cents").alias("cents"))
-    paid = spent.join(born, ["account", "day"])
+def new_pay_kpi(orders: DataFrame, regs: DataFrame, keys: list[str], start: str | None = None, end: str | None = None, owned: bool = False) -> DataFrame:
+    """Accounts that paid on the day they registered, at every place where they registered that day; with ``owned`` each
+    order counts at its owner only, if that registration is of the same day."""
+    orders, regs_ = between_days(orders, "day", start, end), between_days(regs, "reg_day", start, end)
+    paid_ = orders.filter(F.col("status") == 4)
+    born = regs_.select(*keys, "account", "imei", F.col("reg_day").alias("day")).distinct()
+    if owned:
+        by_owner = owned_orders(paid_.drop("reg_day"), regs, [*keys, "reg_day"]).filter(F.col("reg_day") == F.col("day"))
+        spent = by_owner.groupBy(*keys, "account", "day").agg(F.sum("cents").alias("cents"))
+        paid = spent.join(born, [*keys, "account", "day"])
+    else:
+        spent = paid_.groupBy("account", "day").agg(F.sum("cents").alias("cents"))
+        paid = spent.join(born, ["account", "day"])
     per_account = paid.groupBy(*keys, "day", "account").agg(F.max("cents").alias("cents"))
     accounts = per_account.groupBy(*keys, "day").agg(F.count("*").alias("new_pay_accounts"), F.sum("cents").alias("new_pay_cents"))
     devices = paid.filter(F.col("imei") != "").select(*keys, "day", "imei").distinct().groupBy(*keys, "day").agg(F.count("*").alias("new_pay_devices"))
     return zero_filled_union([accounts, devices], [*keys, "day"], ["new_pay_accounts", "new_pay_cents", "new_pay_devices"])
 
 
-def payer_totals(orders: DataFrame, regs: DataFrame, keys: list[str]) -> DataFrame:
-    """Amount and paid days per paying account and registration."""
-    born = regs.select(*keys, "reg_day", "account").distinct()
-    spent = orders.groupBy("account", "day").agg(F.sum("cents").alias("cents"))
-    return spent.join(born, "account").groupBy(*keys, "reg_day", "account").agg(F.sum("cents").alias("cents"), F.count("*").alias("pay_days"))
+def payer_totals(orders: DataFrame, regs: DataFrame, keys: list[str], start: str | None = None, end: str | None = None, owned: bool = False) -> DataFrame:
+    """Amount and paid days per paying account and registration (of the days); with ``owned`` each order counts at its owner only."""
+    if owned:
+        by_owner = between_days(owned_orders(orders.drop("reg_day"), regs, [*keys, "reg_day"]).filter(F.col("reg_day").isNotNull()), "reg_day", start, end)
+        daily = by_owner.groupBy(*keys, "reg_day", "account", "day").agg(F.sum("cents").alias("cents"))
+    else:
+        born = between_days(regs, "reg_day", start, end).select(*keys, "reg_day", "account").distinct()
+        daily = orders.groupBy("account", "day").agg(F.sum("cents").alias("cents")).join(born, "account")
+    return daily.groupBy(*keys, "reg_day", "account").agg(F.sum("cents").alias("cents"), F.count("*").alias("pay_days"))
 
 
-def pay_amount_hist(orders: DataFrame, regs: DataFrame, keys: list[str]) -> DataFrame:
-    return histogram(payer_totals(orders, regs, keys), [*keys, "reg_day"], "cents", AMOUNT_EDGES, AMOUNT_NAMES)
+def pay_amount_hist(orders: DataFrame, regs: DataFrame, keys: list[str], start: str | None = None, end: str | None = None, owned: bool = False) -> DataFrame:
+    return histogram(payer_totals(orders, regs, keys, start, end, owned), [*keys, "reg_day"], "cents", AMOUNT_EDGES, AMOUNT_NAMES)
 
 
-def pay_days_hist(orders: DataFrame, regs: DataFrame, keys: list[str]) -> DataFrame:
-    return histogram(payer_totals(orders, regs, keys), [*keys, "reg_day"], "pay_days", PAY_DAYS_EDGES, PAY_DAYS_NAMES)
+def pay_days_hist(orders: DataFrame, regs: DataFrame, keys: list[str], start: str | None = None, end: str | None = None, owned: bool = False) -> DataFrame:
+    return histogram(payer_totals(orders, regs, keys, start, end, owned), [*keys, "reg_day"], "pay_days", PAY_DAYS_EDGES, PAY_DAYS_NAMES)
 
 
 def member_spend(orders: DataFrame, bindings: DataFrame) -> DataFrame:

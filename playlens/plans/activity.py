@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from playlens.functions.cleanse import valid_orders
-from playlens.operators import activity
+from playlens.operators import activity, bounds
 from playlens.operators.aggregates import roll_up
 from playlens.plans import plan
+from playlens.session import work_folder
 from playlens.sources import roles
 
 PACKAGE = ["game_id", "medium", "site", "package"]
@@ -246,3 +247,64 @@ def _funnel_part(select, **given):
     ]) + ") GROUP BY ALL")
 def publish_funnel(spark, sf):
     return activity.publish_funnel(roles.clicks(spark, sf), roles.actives(spark, sf), roles.regs(spark, sf), valid_orders(roles.game_orders(spark, sf)), ["game_id", "medium"])
+
+
+# --- reports of some days, from the index of first times ----------------------------------------------------
+LOADS = ["day < DATE'2024-01-10'", "day >= DATE'2024-01-08' AND day < DATE'2024-01-21'", "day >= DATE'2024-01-20' OR day < DATE'2024-01-04'"]
+WEEK = ("2024-01-08", "2024-01-21")
+IN_WEEK = "day BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'"
+
+
+def _index(spark, rows, keys, ts, kind, payload=()):
+    """Loads that overlap, the middle of the month first: an earlier row that comes later replaces the first one."""
+    path = work_folder(spark, "firsts")
+    for i, load in enumerate([LOADS[1], LOADS[0], LOADS[2]]):
+        bounds.update_firsts(rows.filter(load).withColumn("first_ts", F.col(ts)), path, i, keys, ["first_ts", *payload[:1]], list(payload[1:]))
+    return bounds.firsts_between(spark, path, f"{kind}, first_ts timestamp" + "".join(f", {p} {dict(rows.dtypes)[p]}" for p in payload), *WEEK)
+
+
+PACKAGE_KIND = "game_id int, medium string, site string, package string, imei string"
+
+
+@plan("activation_kpi_indexed", f"SELECT {PK}, day, count(*) AS active_devices FROM (SELECT {PK}, imei, CAST(min(ts) AS DATE) AS day FROM g_actives WHERE imei <> '' GROUP BY ALL) WHERE {IN_WEEK} GROUP BY ALL")
+def activation_kpi_indexed(spark, sf):
+    actives = roles.actives(spark, sf).filter("imei <> ''")
+    return activity.activation_kpi(actives, PACKAGE, "day", start=WEEK[0], end=WEEK[1], firsts=_index(spark, actives, [*PACKAGE, "imei"], "active_ts", PACKAGE_KIND))
+
+
+@plan("new_device_kpi_indexed", f"SELECT * FROM (SELECT {PK}, day, count(*) AS new_devices FROM {NEW_DEV.format(k=PK)} GROUP BY ALL) WHERE {IN_WEEK}")
+def new_device_kpi_indexed(spark, sf):
+    regs = roles.regs(spark, sf).filter("imei <> ''")
+    firsts = _index(spark, regs.withColumn("day", F.col("reg_day")), [*PACKAGE, "imei"], "reg_ts", PACKAGE_KIND)
+    return activity.new_device_kpi(regs, PACKAGE, "day", start=WEEK[0], end=WEEK[1], firsts=firsts)
+
+
+@plan("second_login_device_indexed", f"""SELECT n.medium, n.day, count(*) AS second_login_devices FROM {NEW_DEV.format(k='medium')} n
+ JOIN (SELECT medium, imei, day FROM g_logins GROUP BY ALL HAVING count(*) >= 2) t ON t.medium = n.medium AND t.imei = n.imei AND t.day = n.day WHERE n.{IN_WEEK} GROUP BY ALL""")
+def second_login_device_indexed(spark, sf):
+    regs = roles.regs(spark, sf).filter("imei <> ''")
+    firsts = _index(spark, regs.withColumn("day", F.col("reg_day")), ["medium", "imei"], "reg_ts", "medium string, imei string")
+    return activity.second_login_device(regs, roles.logins(spark, sf), ["medium"], start=WEEK[0], end=WEEK[1], firsts=firsts)
+
+
+@plan("first_login_new_users_indexed", f"SELECT * FROM (SELECT day, medium, count(*) AS new_users FROM (SELECT account, arg_min(medium, (ts, event_id)) AS medium, min(day) AS day FROM g_logins GROUP BY account) GROUP BY ALL) WHERE {IN_WEEK}")
+def first_login_new_users_indexed(spark, sf):
+    firsts = _index(spark, roles.logins(spark, sf), ["account"], "login_ts", "account string", ("event_id", "medium"))
+    return firsts.groupBy(F.col("first_day").alias("day"), "medium").agg(F.count("*").alias("new_users"))
+
+
+# --- money at the owner of an order -----------------------------------------------------------------------
+OWNED = """own AS (SELECT o.*, f.game_id AS own_game, f.medium AS own_medium, f.reg_day AS own_day, f.event_id AS own_reg FROM g_paid o LEFT JOIN LATERAL (
+  SELECT r.game_id, r.medium, r.reg_day, r.event_id FROM g_regs r WHERE r.account = o.account
+  ORDER BY r.ts > o.ts, CASE WHEN r.ts <= o.ts THEN -epoch_us(r.ts) ELSE epoch_us(r.ts) END, CASE WHEN r.ts <= o.ts THEN -r.event_id ELSE r.event_id END LIMIT 1) f ON TRUE)"""
+
+
+@plan("publish_funnel_owned", f"WITH {OWNED} SELECT game_id, medium, day, {', '.join(f'CAST(sum({m}) AS BIGINT) AS {m}' for m in FUNNEL)} FROM ("
+    + " UNION ALL ".join([
+        _funnel_part("game_id, medium, day", shows="count(CASE WHEN type = 1 THEN 1 END)", downloads="count(CASE WHEN type = 2 THEN 1 END)", pages="count(CASE WHEN type = 3 THEN 1 END)", requests="count(CASE WHEN type = 4 THEN 1 END)") + " FROM g_clicks GROUP BY game_id, medium, day",
+        _funnel_part("game_id, medium, day", activations="count(*)") + " FROM g_actives GROUP BY game_id, medium, day",
+        _funnel_part("game_id, medium, day", registrations="count(*)") + " FROM g_regs GROUP BY game_id, medium, day",
+        _funnel_part("own_game, own_medium, day", pay_cents="sum(cents)", payers="count(DISTINCT CASE WHEN status = 4 THEN account END)") + " FROM own GROUP BY own_game, own_medium, day",
+    ]) + ") GROUP BY ALL")
+def publish_funnel_owned(spark, sf):
+    return activity.publish_funnel(roles.clicks(spark, sf), roles.actives(spark, sf), roles.regs(spark, sf), valid_orders(roles.game_orders(spark, sf)), ["game_id", "medium"], owned=True)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from playlens.functions.cleanse import mark_sandbox, valid_orders
 from playlens.operators import payments
 from playlens.plans import plan
-from playlens.plans.activity import HOUR, PACKAGE, PK, _text_hour
+from playlens.plans.activity import HOUR, OWNED, PACKAGE, PK, _text_hour
 from playlens.sources import roles
 
 
@@ -67,6 +67,20 @@ def pay_days_hist(spark, sf):
     return payments.pay_days_hist(paid(spark, sf), roles.regs(spark, sf), ["game_id", "medium"])
 
 
+@plan("new_pay_kpi_owned", f"""WITH {OWNED}, s AS (SELECT own_game AS game_id, account, day, sum(cents) AS cents FROM own WHERE status = 4 AND own_day = day GROUP BY ALL),
+ j AS (SELECT s.*, b.imei FROM s JOIN (SELECT DISTINCT game_id, account, imei, reg_day AS day FROM g_regs) b USING (game_id, account, day))
+ SELECT game_id, day, count(DISTINCT account) AS new_pay_accounts, CAST((SELECT sum(cents) FROM s WHERE s.game_id = j.game_id AND s.day = j.day) AS BIGINT) AS new_pay_cents,
+  count(DISTINCT CASE WHEN imei <> '' THEN imei END) AS new_pay_devices FROM j GROUP BY game_id, day""")
+def new_pay_kpi_owned(spark, sf):
+    return payments.new_pay_kpi(paid(spark, sf), roles.regs(spark, sf), ["game_id"], owned=True)
+
+
+@plan("pay_amount_hist_owned", f"""WITH {OWNED} SELECT game_id, medium, reg_day, {_hist_cols(AMOUNTS, payments.AMOUNT_NAMES)} FROM (
+  SELECT own_game AS game_id, own_medium AS medium, own_day AS reg_day, account, sum(cents) AS c FROM own WHERE own_day IS NOT NULL GROUP BY ALL) GROUP BY ALL""")
+def pay_amount_hist_owned(spark, sf):
+    return payments.pay_amount_hist(paid(spark, sf), roles.regs(spark, sf), ["game_id", "medium"], owned=True)
+
+
 @plan("member_spend", """WITH s AS (SELECT member_id, count(CASE WHEN status = 4 THEN 1 END) AS orders, CAST(sum(CASE WHEN status = 4 THEN cents ELSE 0 END) AS BIGINT) AS recharge_cents,
    CAST(sum(CASE WHEN status = 8 THEN -cents ELSE cents END) AS BIGINT) AS paid_cents, max(CASE WHEN status = 4 THEN day END) AS last_pay_day FROM l_orders WHERE status IN (4, 8) GROUP BY ALL),
  b AS (SELECT member_id, CAST(sum(CASE WHEN order_no % 4 = 3 THEN -1 ELSE 1 END) AS BIGINT) AS accounts FROM l_orders WHERE status = 0 GROUP BY ALL)
