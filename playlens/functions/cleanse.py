@@ -103,6 +103,13 @@ def device_hash(col, network=None, os=None) -> Column:
     return F.when(sent_hashed, value).when(os == ANDROID, raw_android).otherwise(hashed)
 
 
+def split_agent(col) -> Column:
+    """``iPhone 10.3.3``: device type and system version; both empty unless the text is two words parted by one space."""
+    value = F.coalesce(_c(col), F.lit(""))
+    pattern = r"^([^ ]*) ([^ ]+) *$"
+    return F.struct(F.regexp_extract(value, pattern, 1).alias("dev_type"), F.regexp_extract(value, pattern, 2).alias("sys_version"))
+
+
 def order_cents(ori, total) -> Column:
     """List price plus total amount, nulls as zero, in cents."""
     zero = F.lit(0).cast("decimal(18,2)")

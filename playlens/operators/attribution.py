@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -153,23 +154,24 @@ def refresh_clicks(clicks: DataFrame, used: DataFrame, keys: list[str]) -> DataF
 
 
 def ad_channel_stats(clicks: DataFrame, activations: DataFrame, regs: DataFrame, orders: DataFrame, keys: list[str]) -> DataFrame:
-    """All stages of attributed traffic per day and ``keys`` (game, package, creative levels). Inputs carry ``day``."""
+    """All stages of attributed traffic per day and ``keys`` (game, package, creative levels). Inputs carry ``day``.
+
+    One cube: every source is read once, summed per (keys, day, stage, entity), and these rows once more per (keys, day).
+    """
     by = [*keys, "day"]
-    def distinct(df, column, name):
-        return df.select(*by, column).distinct().groupBy(*by).agg(F.count("*").alias(name))
-    new = F.col("new_payer")
-    parts = [
-        clicks.groupBy(*by).agg(F.count("*").alias("clicks")),
-        distinct(clicks.filter(valid_device("device")), "device", "click_devices"),
-        activations.groupBy(*by).agg(F.count("*").alias("actives")),
-        regs.groupBy(*by).agg(F.count("*").alias("regis")),
-        distinct(regs.filter(valid_device("device")), "device", "regi_devices"),
-        distinct(regs.filter(valid_device("device") & F.col("new_device")), "device", "new_regi_devices"),
-        orders.groupBy(*by).agg(F.sum("cents").alias("pay_cents"), F.sum(F.when(new, F.col("cents")).otherwise(0)).alias("new_pay_cents")),
-        distinct(orders, "account", "payers"),
-        distinct(orders.filter(new), "account", "new_payers"),
-    ]
-    return zero_filled_union(parts, by, AD_MEASURES)
+    none, device = F.lit(None).cast("string"), F.when(valid_device("device"), F.col("device"))
+    def facts(df, stage, entity=none, new=F.lit(False), cents=F.lit(0).cast("long")):
+        return df.select(*by, F.lit(stage).alias("stage"), entity.alias("entity"), new.alias("new"), cents.alias("cents"))
+    whole = facts(clicks, "click", device).unionByName(facts(activations, "active")).unionByName(
+        facts(regs, "regi", device, F.col("new_device"))).unionByName(facts(orders, "pay", F.col("account"), F.col("new_payer"), F.col("cents")))
+    new_cents = F.sum(F.when(F.col("new"), F.col("cents")).otherwise(0))
+    entities = whole.groupBy(*by, "stage", "entity").agg(F.count(F.lit(1)).alias("n"), F.max("new").alias("new"), F.sum("cents").alias("cents"), new_cents.alias("new_cents"))
+    at = lambda stage, value=F.lit(1), cond=F.lit(True): F.coalesce(F.sum(F.when((F.col("stage") == stage) & cond, value)), F.lit(0)).cast("long")
+    known, new = F.col("entity").isNotNull(), F.col("new")
+    return entities.groupBy(*by).agg(
+        at("click", F.col("n")).alias("clicks"), at("click", cond=known).alias("click_devices"), at("active", F.col("n")).alias("actives"),
+        at("regi", F.col("n")).alias("regis"), at("regi", cond=known).alias("regi_devices"), at("regi", cond=known & new).alias("new_regi_devices"),
+        at("pay", F.col("cents")).alias("pay_cents"), at("pay").alias("payers"), at("pay", cond=new).alias("new_payers"), at("pay", F.col("new_cents")).alias("new_pay_cents"))
 
 
 def natural_kpi(total: DataFrame, attributed: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
@@ -185,6 +187,111 @@ def merged_ad_kpi(total: DataFrame, attributed: DataFrame, keys: list[str], spli
     return attributed.select(*keys, *split, *measures, F.lit(False).alias("is_natural")).unionByName(natural)
 
 
+# --- fixed values: measures of the merged table ---------------------------------------------------
+MERGED_DEVICES = ["actives", "active_regi_devices", "second_login_devices", "regi_devices", "new_regi_devices", "pay_devices", "new_pay_devices",
+                  "retained_1", "retained_3", "retained_7"]
+MERGED_SUMS = ["requests", "downloads", "pay_cents", "new_pay_cents"]
+MERGED_VIEWERS = {"requests": "request_uv", "downloads": "download_uv"}
+MERGED_OFFSETS = {1: "retained_1", 2: "retained_3", 6: "retained_7"}  # days after registration
+MERGED = [*MERGED_SUMS, *MERGED_VIEWERS.values(), *MERGED_DEVICES]
+# --------------------------------------------------------------------------------------------------
+
+
+def merged_ad_facts(scope: str, landings: DataFrame, actives: DataFrame, regs: DataFrame, orders: DataFrame, logins: DataFrame, new_regs: DataFrame) -> DataFrame:
+    """Facts of the merged table for one scope (``ad`` or ``all``): scope, game_id, day, package, measure, entity, cents.
+
+    ``landings`` (type, ip), ``actives``, ``regs`` and ``orders`` carry game_id, package, day and device; ``orders`` also
+    new_payer and cents; ``logins`` (game_id, device, day); ``new_regs`` (game_id, device, day): the first registration of a device for a game.
+    """
+    place = ["game_id", "day", "package"]
+    def facts(df, measure, entity, cents=F.lit(0).cast("long")):
+        return df.select(F.lit(scope).alias("scope"), *place, F.lit(measure).alias("measure"), entity.cast("string").alias("entity"), cents.alias("cents"))
+    device = F.col("device")
+    has = valid_device("device")
+    reg_days = regs.filter(has).select(*place, "device").distinct()
+    first = reg_days.join(new_regs, ["game_id", "day", "device"], "left_semi")
+    per_day = logins.filter(has).groupBy("game_id", "device", F.col("day").alias("login_day")).agg(F.count(F.lit(1)).alias("times"))
+    back = first.join(per_day, ["game_id", "device"]).withColumn("dur", F.datediff("login_day", "day"))
+    kinds = F.when(F.col("type") == 4, "requests").when(F.col("type") == 2, "downloads")
+    landed = landings.withColumn("measure", kinds).filter("measure IS NOT NULL")
+    paid = orders.withColumn("known", F.when(has, device))
+    parts = [
+        landed.select(F.lit(scope).alias("scope"), *place, "measure", F.col("ip").alias("entity"), F.lit(1).cast("long").alias("cents")),
+        facts(actives, "actives", F.col("active_id")),
+        facts(actives.filter(has).join(reg_days.select("game_id", "day", "device").distinct(), ["game_id", "day", "device"], "left_semi"), "active_regi_devices", device),
+        facts(reg_days, "regi_devices", device), facts(first, "new_regi_devices", device),
+        facts(back.filter("dur = 0 AND times >= 2"), "second_login_devices", device),
+        *[facts(back.filter(F.col("dur") == n), name, device) for n, name in MERGED_OFFSETS.items()],
+        facts(paid, "pay_cents", F.col("known"), F.col("cents")), facts(paid.filter("known IS NOT NULL"), "pay_devices", F.col("known")),
+        facts(paid.filter("new_payer"), "new_pay_cents", F.col("known"), F.col("cents")),
+        facts(paid.filter("new_payer AND known IS NOT NULL"), "new_pay_devices", F.col("known")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def merged_ad_table(ad: DataFrame, every: DataFrame) -> DataFrame:
+    """Attributed rows per package, and a natural row per game and day: all less attributed, in the same two aggregates.
+
+    Rows without any measure are left out.
+    """
+    place = ["scope", "game_id", "day", "package"]
+    facts = ad.unionByName(every.withColumn("package", F.lit("")))
+    entities = facts.groupBy(*place, "measure", "entity").agg(F.sum("cents").alias("cents"))
+    at = lambda name, value: F.coalesce(F.sum(F.when(F.col("measure") == name, value)), F.lit(0)).cast("long")
+    columns = [at(m, F.col("cents")).alias(m) for m in MERGED_SUMS] + [at(m, F.lit(1)).alias(uv) for m, uv in MERGED_VIEWERS.items()] + [at(m, F.lit(1)).alias(m) for m in MERGED_DEVICES]
+    sums = entities.groupBy(*place).agg(*columns)
+    # an attributed row is itself, and taken off its game's natural row
+    rows = F.array(F.struct(F.col("package").alias("of"), F.lit(False).alias("is_natural"), F.lit(1).alias("sign")), F.struct(F.lit("").alias("of"), F.lit(True).alias("is_natural"), F.lit(-1).alias("sign")))
+    natural = F.array(F.struct(F.lit("").alias("of"), F.lit(True).alias("is_natural"), F.lit(1).alias("sign")))
+    both = sums.select("*", F.inline(F.when(F.col("scope") == "ad", rows).otherwise(natural)))
+    return both.groupBy("game_id", "day", F.col("of").alias("package"), "is_natural").agg(
+        *[F.sum(F.col(m) * F.col("sign")).alias(m) for m in MERGED]).filter(" or ".join(f"{m} <> 0" for m in MERGED))
+
+
+def ad_device_cohorts(regs: DataFrame, logins: DataFrame, orders: DataFrame, keys: list[str], offsets=(1, 2, 6, 29), days=(1, 2, 3, 7)) -> DataFrame:
+    """Attributed devices by the day of their first registration under the keys: who came back under the same keys, and
+    what they paid there since: ``ltv_n`` over n days, all (``total_cents``), and paying devices.
+
+    ``regs`` (keys, device, reg_day), ``logins`` (keys, device, day), ``orders`` (keys, device, day, cents).
+    """
+    from playlens.operators.cohort import cohort_days  # cohorts build on activity, and activity on matching
+    on = [*keys, "device"]
+    known = valid_device("device")
+    members = regs.filter(known).groupBy(*on).agg(F.min("reg_day").alias("reg_day"))
+    back = cohort_days(members, logins, on, keys, ["device"], "reg_day", "day", offsets)
+    spent = orders.filter(known).groupBy(*on, "day").agg(F.sum("cents").alias("cents"))
+    paid = members.join(spent, on).withColumn("dur", F.datediff("day", "reg_day")).filter("dur >= 0")
+    by = [*keys, "reg_day"]
+    come = back.groupBy(*by).agg(*[F.count(F.when(F.col("dur") == n, 1)).alias(f"retained_{n}") for n in offsets])
+    per_device = paid.groupBy(*by, "device").agg(*[F.sum(F.when(F.col("dur") < n, F.col("cents")).otherwise(0)).alias(f"ltv_{n}") for n in days], F.sum("cents").alias("total_cents"))
+    value = per_device.groupBy(*by).agg(*[F.sum(f"ltv_{n}").alias(f"ltv_{n}") for n in days], F.sum("total_cents").alias("total_cents"), F.count(F.lit(1)).alias("paying_devices"))
+    size = members.groupBy(*by).agg(F.count(F.lit(1)).alias("devices"))
+    measures = ["devices", *[f"retained_{n}" for n in offsets], *[f"ltv_{n}" for n in days], "total_cents", "paying_devices"]
+    return zero_filled_union([size, come, value], by, measures)
+
+
+def natural_cohorts(every: DataFrame, attributed: DataFrame, logins: DataFrame, orders: DataFrame, keys: list[str], days=(1, 7, 30)) -> DataFrame:
+    """Retention, value, all money and paying accounts of the cohorts of ``every``, less those of ``attributed``.
+
+    Both (keys, account, reg_day). An account's share of either is its own, so one pass over logins and orders serves both: each
+    cohort row carries +1 where it is one of all, -1 where it is attributed.
+    """
+    from playlens.operators.cohort import REALTIME_OFFSETS, cohort_days
+    member = ["account", *keys, "reg_day"]
+    signed = every.select(*member).distinct().withColumn("sign", F.lit(1)).unionByName(attributed.select(*member).distinct().withColumn("sign", F.lit(-1)))
+    by = [*keys, "reg_day"]
+    natural = signed.groupBy(*member).agg(F.sum("sign").alias("sign"))
+    back = natural.join(cohort_days(natural, logins, ["account"], by, ["account"], "reg_day", "day", REALTIME_OFFSETS), ["account", *by])
+    come = back.groupBy(*by).agg(*[F.sum(F.when(F.col("dur") == n, F.col("sign")).otherwise(0)).alias(f"retained_{n}") for n in REALTIME_OFFSETS])
+    spent = orders.groupBy("account", "day").agg(F.sum("cents").alias("cents"))
+    paid = natural.join(spent, "account").withColumn("dur", F.datediff("day", "reg_day"))
+    worth = F.col("cents") * F.col("sign")
+    each = paid.groupBy(*member, "sign").agg(*[F.sum(F.when(F.col("dur").between(0, n - 1), worth).otherwise(0)).alias(f"recharge_{n}") for n in days], F.sum(worth).alias("recharge_total"))
+    value = each.groupBy(*by).agg(*[F.sum(f"recharge_{n}").alias(f"recharge_{n}") for n in days], F.sum("recharge_total").alias("recharge_total"), F.sum("sign").alias("recharge_accounts"))
+    cohorts = every.select(*by).distinct()
+    return zero_filled_union([cohorts, come, value], by, [*[f"retained_{n}" for n in REALTIME_OFFSETS], *[f"recharge_{n}" for n in days], "recharge_total", "recharge_accounts"])
+
+
 def reward_network_audit(reports: DataFrame, actives: DataFrame, regs: DataFrame) -> DataFrame:
     """Activations a reward network reports, checked against our own logs, per game and day.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from playlens.functions.cleanse import drop_sandbox, zero_ratio
 from playlens.operators.aggregates import zero_filled_union
-from playlens.operators.joins import co_usage
+from playlens.operators.joins import co_usage_top
 from playlens.operators.keyed import last_row, top_k
 
 # --- fixed values: wording of the exported reports ----------------------------------------------
@@ -124,8 +124,7 @@ def source_reconcile(log: DataFrame, ledger: DataFrame, bucket: str, ratio: floa
 
 def co_download_recommend(downloads: DataFrame, device: str, game: str, k: int = CO_DOWNLOADS) -> DataFrame:
     """For each game the ``k`` games most often downloaded on the same devices, as one text."""
-    pairs = co_usage(downloads, device, game)
-    best = top_k(pairs, ["item"], [F.desc("n"), F.asc("other")], k)
+    best = co_usage_top(downloads, device, game, k)
     text = F.array_join(F.sort_array(F.collect_set(F.col("other").cast("string"))), "|")  # at most k values
     return best.groupBy(F.col("item").alias(game)).agg(text.alias("recommended"))
 

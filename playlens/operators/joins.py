@@ -10,6 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from playlens.operators.keyed import top_k
+from playlens.session import write_stage
+
+BLOCK_ITEMS = 512  # items of a block of the product
+BAND_STEP = 4
+
 
 def left_fill(left: DataFrame, right: DataFrame, on: list[str], defaults: dict) -> DataFrame:
     """Left join where columns of the right side get a default."""
@@ -137,3 +143,68 @@ def co_usage(df: DataFrame, entity: str, item: str, blocks: int | None = None, c
 
     parts = sent.groupBy("c", "lo", "hi").applyInPandas(product, f"item {kind}, other {kind}, n long")
     return parts.groupBy("item", "other").agg(F.sum("n").alias("n"))
+
+
+def _products(left: DataFrame, right: DataFrame, blocks: int | None, chunk: int) -> DataFrame:
+    """(item, other, n) per chunk of entities: items of ``left`` beside other items of ``right``. Both are distinct (e, i)."""
+    sizes = left.unionByName(right).agg(F.approx_count_distinct("e").alias("e"), F.approx_count_distinct("i").alias("i")).first()
+    blocks = blocks or max(1, math.ceil(sizes["i"] / BLOCK_ITEMS))
+    chunks = max(1, math.ceil(sizes["e"] / chunk))
+    part, block = F.pmod(F.xxhash64("e"), F.lit(chunks)).alias("c"), F.pmod(F.xxhash64("i"), F.lit(blocks)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    own = [F.col("e").alias("e"), F.col("i").alias("i")]  # both sides may be one table
+    rows = left.select(part, *own, block.alias("l"), every.alias("r"))
+    columns = right.select(part, *own, block.alias("r"), every.alias("l"))
+    kind = dict(left.dtypes)["i"]
+
+    def product(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        entities = pd.Index(a["e"]).intersection(pd.Index(b["e"])).unique()
+        def incidence(rows):
+            at = entities.get_indexer(rows["e"])
+            cols, items = pd.factorize(rows["i"])
+            out = np.zeros((len(entities), len(items)), dtype=np.float32)
+            out[at[at >= 0], cols[at >= 0]] = 1.0
+            return out, items
+        (x, items), (y, others) = incidence(a), incidence(b)
+        # float32 holds counts exactly up to 2**24, far above the entities of a chunk
+        counts = x.T @ y
+        i, j = np.nonzero(counts)
+        out = pd.DataFrame({"item": items[i], "other": others[j], "n": counts[i, j].astype("int64")})
+        return out[out["item"] != out["other"]]
+
+    by = ["c", "l", "r"]
+    return rows.groupBy(*by).cogroup(columns.groupBy(*by)).applyInPandas(product, f"item {kind}, other {kind}, n long")
+
+
+def co_usage_top(df: DataFrame, entity: str, item: str, k: int, blocks: int | None = None, chunk: int = 4_096, step: int | None = None) -> DataFrame:
+    """For each item the ``k`` others most often used by the same entities: item, other, n, rank; ties to the smaller other.
+
+    A pair cannot have more users than the rarer item of the two. So others are tried from the most used down, in bands of
+    support that end at a ``step``-th of where they begin (one band where all items fit one block, unless given). An item that
+    already has ``k`` others with more common users than it and the next band allow is done. Exact, and the pairs of
+    much used items with the long tail of rare ones are never formed.
+    """
+    used = write_stage(df.select(F.col(entity).alias("e"), F.col(item).alias("i")).distinct(), "co-usage")
+    support = write_stage(used.groupBy("i").agg(F.count(F.lit(1)).alias("s")), "co-usage-support")
+    most, items = support.agg(F.max("s"), F.count(F.lit(1))).first()
+    if not items:
+        return used.select(F.col("i").alias("item"), F.col("i").alias("other"), F.lit(0).cast("long").alias("n"), F.lit(0).alias("rank"))
+    step = step or (BAND_STEP if items > BLOCK_ITEMS else most + 1)
+    best: DataFrame | None = None
+    high = most
+    while high:
+        low = high // step
+        if best is None:
+            active = support
+        else:
+            worst = best.groupBy(F.col("item").alias("i")).agg(F.count(F.lit(1)).alias("have"), F.min("n").alias("worst")).filter(F.col("have") >= k)
+            active = support.join(worst, "i", "left").filter(F.col("worst").isNull() | (F.col("worst") <= F.least("s", F.lit(high)))).select("i")
+            if active.isEmpty():
+                break
+        band = support.filter(F.col("s").between(low + 1, high))
+        counts = _products(used.join(active, "i", "left_semi"), used.join(band, "i", "left_semi"), blocks, chunk)
+        counts = counts.groupBy("item", "other").agg(F.sum("n").alias("n"))
+        both = counts if best is None else counts.unionByName(best.drop("rank"))
+        best = write_stage(top_k(both, ["item"], [F.desc("n"), F.asc("other")], k), "co-usage-best")
+        high = low
+    return best

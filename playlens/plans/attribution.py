@@ -21,7 +21,8 @@ def _traits(df):
 
 def ad_clicks(spark, sf):
     c = _traits(roles.clicks(spark, sf)).withColumnRenamed("event_id", "click_id")
-    return c.withColumn("network", (F.col("k") % 4 + 1).cast("int")).withColumn("idea_id", F.concat(F.lit("i"), F.col("k") % 6))
+    return c.withColumns({"network": (F.col("k") % 4 + 1).cast("int"), "idea_id": F.concat(F.lit("i"), F.col("k") % 6),
+                          "level1": F.concat(F.lit("a"), F.col("k") % 3), "level2": F.concat(F.lit("b"), F.col("k") % 5)})
 
 
 def ad_actives(spark, sf):
@@ -38,7 +39,7 @@ def _written(kind: str, spark, sf: str):
     if kind == "matches":
         return attribution.attribute_activation(ad_actives(spark, sf), ad_clicks(spark, sf))
     if kind == "activations":
-        found = attribution.attributed_activations(ad_actives(spark, sf), ad_clicks(spark, sf), matches(spark, sf), ["package", "network", "idea_id"])
+        found = attribution.attributed_activations(ad_actives(spark, sf), ad_clicks(spark, sf), matches(spark, sf), CLICK_FIELDS)
     else:
         regs = _traits(roles.regs(spark, sf)).withColumnRenamed("event_id", "reg_id")
         found = attribution.attribute_registration(regs, activations(spark, sf), CARRIED)
@@ -53,7 +54,8 @@ def activations(spark, sf):
     return _detail("activations", spark, sf)
 
 
-CARRIED = ["click_package", "click_network", "click_idea_id"]
+CLICK_FIELDS = ["package", "network", "idea_id", "level1", "level2"]
+CARRIED = [f"click_{f}" for f in CLICK_FIELDS]
 
 
 def registrations(spark, sf):
@@ -79,9 +81,11 @@ def _rule_sql(os: int, step: int, fields: list[str], earlier: list[str]) -> str:
  {n} AS MATERIALIZED (SELECT id AS active_id, pid AS click_id, {step} AS rule FROM {n}_p WHERE kind = 1 AND pk = 0 AND date_diff('day', pday, day) <= 6)"""
 
 
-def _chain_sql() -> str:
+def chain_sql(clicks: str | None = None) -> str:
+    """The chain from clicks to orders; ``clicks`` is another SELECT for its clicks."""
     traits = "CASE WHEN imei = '' THEN '' ELSE upper(md5(upper(imei))) END AS device, 't' || (user_id % 5) AS dev_type, 'v' || (user_id % 3) AS sys_version"
-    parts = [f"""ad_c AS MATERIALIZED (SELECT *, event_id AS click_id, {traits}, CAST(k % 4 + 1 AS INT) AS network, 'i' || (k % 6) AS idea_id FROM g_clicks),
+    clicks = clicks or f"SELECT *, event_id AS click_id, {traits}, CAST(k % 4 + 1 AS INT) AS network, 'i' || (k % 6) AS idea_id, 'a' || (k % 3) AS level1, 'b' || (k % 5) AS level2 FROM g_clicks"
+    parts = [f"""ad_c AS MATERIALIZED ({clicks}),
  ad_a AS MATERIALIZED (SELECT * FROM (SELECT *, event_id AS active_id, {traits}, row_number() OVER (PARTITION BY game_id, CASE WHEN imei <> '' THEN imei ELSE 'android:' || android_id END ORDER BY ts, event_id) AS rn FROM g_actives WHERE imei <> '' OR (os = 1 AND android_id <> '')) WHERE rn = 1)"""]
     names = []
     for os, chain in attribution.CHAINS.items():
@@ -91,20 +95,20 @@ def _chain_sql() -> str:
             earlier.append(f"m{os}_{i}")
         names += earlier
     parts.append("ad_m AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM {n}" for n in names) + ")")
-    parts.append("""ad_x AS MATERIALIZED (SELECT a.*, m.click_id, m.rule, c.package AS click_package, c.network AS click_network, c.idea_id AS click_idea_id
+    parts.append("""ad_x AS MATERIALIZED (SELECT a.*, m.click_id, m.rule, c.package AS click_package, c.network AS click_network, c.idea_id AS click_idea_id, c.level1 AS click_level1, c.level2 AS click_level2
    FROM ad_a a JOIN ad_m m USING (active_id) JOIN ad_c c ON c.click_id = m.click_id),
  ad_acc AS (SELECT * FROM (SELECT *, event_id AS reg_id, """ + traits + """, row_number() OVER (PARTITION BY account ORDER BY ts, event_id) AS rn FROM g_regs) WHERE rn = 1),
- ad_r1 AS (SELECT r.account, r.game_id, r.device, r.reg_ts, r.reg_id, x.active_id, x.active_ts, x.click_package, x.click_network, x.click_idea_id, 1 AS rule
+ ad_r1 AS (SELECT r.account, r.game_id, r.device, r.reg_ts, r.reg_id, x.active_id, x.active_ts, x.click_package, x.click_network, x.click_idea_id, x.click_level1, x.click_level2, 1 AS rule
    FROM ad_acc r JOIN ad_x x USING (game_id, device) WHERE r.device <> '' AND r.reg_ts >= x.active_ts AND date_diff('day', x.day, r.day) <= 30),
- ad_r2 AS (SELECT r.account, r.game_id, r.device, r.reg_ts, r.reg_id, x.active_id, x.active_ts, x.click_package, x.click_network, x.click_idea_id, 2 AS rule
+ ad_r2 AS (SELECT r.account, r.game_id, r.device, r.reg_ts, r.reg_id, x.active_id, x.active_ts, x.click_package, x.click_network, x.click_idea_id, x.click_level1, x.click_level2, 2 AS rule
    FROM ad_acc r JOIN ad_x x USING (game_id, android_id) WHERE r.android_id <> '' AND x.active_ts <= r.reg_ts AND r.account NOT IN (SELECT account FROM ad_r1)
    QUALIFY row_number() OVER (PARTITION BY r.account ORDER BY x.active_ts DESC, x.active_id DESC) = 1 AND date_diff('day', x.day, r.day) <= 30),
  ad_r AS MATERIALIZED (SELECT *, CAST(reg_ts AS DATE) = CAST(active_ts AS DATE) AS new_device FROM (SELECT * FROM ad_r1 UNION ALL SELECT * FROM ad_r2)),
- ad_o AS MATERIALIZED (SELECT o.*, r.click_package, r.click_network, r.click_idea_id, CAST(r.reg_ts AS DATE) AS reg_day, CAST(r.reg_ts AS DATE) = o.day AS new_payer FROM g_paid o JOIN ad_r r USING (account))""")
+ ad_o AS MATERIALIZED (SELECT o.*, r.click_package, r.click_network, r.click_idea_id, r.click_level1, r.click_level2, CAST(r.reg_ts AS DATE) AS reg_day, CAST(r.reg_ts AS DATE) = o.day AS new_payer FROM g_paid o JOIN ad_r r USING (account))""")
     return "WITH " + ",\n ".join(parts) + "\n"
 
 
-CHAIN = _chain_sql()
+CHAIN = chain_sql()
 
 
 @plan("attribute_activation", CHAIN + "SELECT active_id, click_id, rule FROM ad_m")
@@ -133,8 +137,7 @@ def _stats_sql(keys: str) -> str:
     m = attribution.AD_MEASURES
     def part(select, source, **given):
         return f"SELECT {select}, " + ", ".join(f"{given.get(x, '0')} AS {x}" for x in m) + f" FROM {source} GROUP BY ALL"
-    cols = {"game_id": "game_id", "package": "package", "network": "network", "idea_id": "idea_id"}
-    plain = ", ".join(cols[k] for k in keys.split(", "))
+    plain = keys
     won = ", ".join(k if k == "game_id" else f"click_{k} AS {k}" for k in keys.split(", "))
     parts = [
         part(plain + ", day", "ad_c", clicks="count(*)", click_devices="count(DISTINCT CASE WHEN device <> '' THEN device END)"),
@@ -149,8 +152,7 @@ def _stats_sql(keys: str) -> str:
 
 def _renamed(df):
     """The package, network and creative of the click are those of all that follows from it."""
-    df = df.drop("package", "network", "idea_id")
-    return df.withColumnsRenamed({"click_package": "package", "click_network": "network", "click_idea_id": "idea_id"})
+    return df.drop(*CLICK_FIELDS).withColumnsRenamed(dict(zip(CARRIED, CLICK_FIELDS)))
 
 
 def stats(spark, sf, keys):
@@ -163,6 +165,15 @@ def ad_channel_stats(spark, sf):
     return stats(spark, sf, ["game_id", "package", "network", "idea_id"])
 
 
+LEVELS = "game_id, package, network, idea_id, level1, level2"
+
+
+@plan("ad_channel_stats_levels", CHAIN + _stats_sql(LEVELS))
+def ad_channel_stats_levels(spark, sf):
+    """Down to the third creative level."""
+    return stats(spark, sf, LEVELS.split(", "))
+
+
 @plan("ad_conversion", CHAIN + f"""SELECT *, CASE WHEN clicks = 0 THEN 0 ELSE round(actives / clicks, 6) END AS active_rate, CASE WHEN actives = 0 THEN 0 ELSE round(regis / actives, 6) END AS regi_rate,
   CASE WHEN regis = 0 THEN 0 ELSE round(payers / regis, 6) END AS pay_rate FROM ({_stats_sql('network')})""")
 def ad_conversion(spark, sf):
@@ -221,6 +232,105 @@ def ad_retention_ltv(spark, sf):
     return value.join(back, [*keys, "reg_day"], "left").fillna(0, [f"retained_{n}" for n in cohort.REALTIME_OFFSETS])
 
 
+def _device_cohort_sql():
+    back = ", ".join(f"CAST(sum(CASE WHEN d = {n} THEN 1 ELSE 0 END) AS BIGINT) AS retained_{n}" for n in cohort.REALTIME_OFFSETS)
+    value = ", ".join(f"CAST(sum(CASE WHEN d < {n} THEN cents ELSE 0 END) AS BIGINT) AS ltv_{n}" for n in (1, 2, 3, 7))
+    names = [*(f"retained_{n}" for n in cohort.REALTIME_OFFSETS), *(f"ltv_{n}" for n in (1, 2, 3, 7)), "total_cents", "paying_devices"]
+    return f"""SELECT game_id, package, reg_day, devices, {', '.join(f'CAST(coalesce({n}, 0) AS BIGINT) AS {n}' for n in names)} FROM (SELECT game_id, package, reg_day, count(*) AS devices FROM dev GROUP BY ALL)
+  LEFT JOIN (SELECT game_id, package, reg_day, {back} FROM (SELECT DISTINCT dev.*, date_diff('day', reg_day, l.day) AS d FROM dev JOIN (SELECT game_id, package, day, upper(md5(upper(imei))) AS device FROM g_logins WHERE imei <> '') l USING (game_id, package, device)) GROUP BY ALL) USING (game_id, package, reg_day)
+  LEFT JOIN (SELECT game_id, package, reg_day, {value}, CAST(sum(cents) AS BIGINT) AS total_cents, count(DISTINCT device) AS paying_devices FROM (
+    SELECT dev.*, o.cents, date_diff('day', reg_day, o.day) AS d FROM dev JOIN (SELECT game_id, click_package AS package, day, cents, CASE WHEN imei = '' THEN '' ELSE upper(md5(upper(imei))) END AS device FROM ad_o) o USING (game_id, package, device)) WHERE d >= 0 GROUP BY ALL) USING (game_id, package, reg_day)"""
+
+
+@plan("ad_device_retention_ltv", CHAIN.rstrip() + ",\n dev AS MATERIALIZED (SELECT game_id, click_package AS package, device, CAST(min(reg_ts) AS DATE) AS reg_day FROM ad_r WHERE device <> '' GROUP BY ALL)\n" + _device_cohort_sql())
+def ad_device_retention_ltv(spark, sf):
+    """Devices count where they registered, and come back under the channel of their own login."""
+    regs = _renamed(registrations(spark, sf)).withColumn("reg_day", F.to_date("reg_ts"))
+    logins = _traits(roles.logins(spark, sf)).select("game_id", "package", "device", "day")
+    bought = _renamed(_traits(orders(spark, sf)))
+    return attribution.ad_device_cohorts(regs, logins, bought, ["game_id", "package"])
+
+
+def _merged_sql():
+    m = attribution.MERGED
+    def part(scope, package, source, **given):
+        return f"SELECT '{scope}' AS scope, game_id, day, {package} AS package, " + ", ".join(f"{given.get(x, '0')} AS {x}" for x in m) + f" FROM {source} GROUP BY ALL"
+    count = lambda cond: f"count(CASE WHEN {cond} THEN 1 END)"
+    dev = lambda cond="TRUE": f"count(DISTINCT CASE WHEN device <> '' AND {cond} THEN device END)"
+    parts = []
+    for scope, pk, landings, act, reg, pay in (("ad", "package", "(SELECT * FROM g_clicks WHERE package <> '')", "mk_act", "mk_reg", "mk_pay"), ("all", "''", "g_clicks", "mk_act_all", "mk_reg_all", "mk_pay_all")):
+        parts += [
+            part(scope, pk, landings, requests=count("type = 4"), downloads=count("type = 2"), request_uv="count(DISTINCT CASE WHEN type = 4 THEN ip END)", download_uv="count(DISTINCT CASE WHEN type = 2 THEN ip END)"),
+            part(scope, pk, act, actives="count(*)", active_regi_devices=dev(f"(game_id, day, device) IN (SELECT (game_id, day, device) FROM {reg})")),
+            part(scope, pk, reg, regi_devices=dev(), new_regi_devices=dev("is_first"), second_login_devices=dev("is_first AND times >= 2"),
+                 **{name: dev(f"is_first AND back_{n}") for n, name in attribution.MERGED_OFFSETS.items()}),
+            part(scope, pk, pay, pay_cents="sum(cents)", new_pay_cents="sum(CASE WHEN new_payer THEN cents ELSE 0 END)", pay_devices=dev(), new_pay_devices=dev("new_payer")),
+        ]
+    hashed = "CASE WHEN imei = '' THEN '' ELSE upper(md5(upper(imei))) END"
+    backs = ", ".join(f"EXISTS (SELECT 1 FROM mk_l l WHERE l.game_id = r.game_id AND l.device = r.device AND l.day = r.day + {n}) AS back_{n}" for n in attribution.MERGED_OFFSETS)
+    marks = f"(r.game_id, r.device, r.day) IN (SELECT (game_id, device, day) FROM mk_first) AS is_first, coalesce((SELECT l.n FROM mk_l l WHERE l.game_id = r.game_id AND l.device = r.device AND l.day = r.day), 0) AS times, {backs}"
+    head = f""",
+ mk_first AS MATERIALIZED (SELECT game_id, {hashed} AS device, min(day) AS day FROM g_regs WHERE imei <> '' GROUP BY ALL), mk_l AS MATERIALIZED (SELECT game_id, {hashed} AS device, day, count(*) AS n FROM g_logins WHERE imei <> '' GROUP BY ALL),
+ mk_act AS (SELECT *, click_package AS package FROM (SELECT * EXCLUDE (package) FROM ad_x)), mk_act_all AS (SELECT * FROM ad_a),
+ mk_reg AS MATERIALIZED (SELECT r.*, {marks} FROM (SELECT game_id, click_package AS package, device, CAST(reg_ts AS DATE) AS day FROM ad_r) r),
+ mk_reg_all AS MATERIALIZED (SELECT r.*, {marks} FROM (SELECT game_id, device, day FROM ad_acc) r),
+ mk_pay AS (SELECT game_id, click_package AS package, day, cents, new_payer, {hashed} AS device FROM ad_o),
+ mk_pay_all AS (SELECT o.game_id, o.day, o.cents, coalesce(a.day = o.day, FALSE) AS new_payer, {hashed.replace('imei', 'o.imei')} AS device FROM g_paid o LEFT JOIN ad_acc a USING (account)),
+ mk AS MATERIALIZED ({' UNION ALL '.join(parts)})
+"""
+    sums = ", ".join(f"CAST(sum({x}) AS BIGINT) AS {x}" for x in m)
+    rest = ", ".join(f"CAST(sum(CASE WHEN scope = 'all' THEN {x} ELSE -{x} END) AS BIGINT) AS {x}" for x in m)
+    both = f"SELECT game_id, day, package, FALSE AS is_natural, {sums} FROM mk WHERE scope = 'ad' GROUP BY ALL UNION ALL SELECT game_id, day, '', TRUE, {rest} FROM mk GROUP BY ALL"
+    return CHAIN.rstrip() + head + f"SELECT * FROM ({both}) WHERE {' OR '.join(f'{x} <> 0' for x in m)}"
+
+
+@plan("merged_ad_kpi_full", _merged_sql())
+def merged_ad_kpi_full(spark, sf):
+    """All measures; landings count for a package where it is known."""
+    from playlens.operators.keyed import first_row
+    landings = roles.clicks(spark, sf)
+    own_regs = _traits(roles.regs(spark, sf)).withColumn("day", F.col("reg_day"))
+    new_regs = own_regs.filter("device <> ''").groupBy("game_id", "device").agg(F.min("day").alias("day"))
+    accounts = first_row(own_regs.select("account", "game_id", "device", "day", "reg_ts", F.col("event_id").alias("reg_id")), ["account"], ["reg_ts", "reg_id"])
+    logins = _traits(roles.logins(spark, sf)).select("game_id", "device", "day")
+    paid = _traits(valid_orders(roles.game_orders(spark, sf)))
+    born = accounts.select("account", F.col("day").alias("born"))
+    every = attribution.merged_ad_facts(
+        "all", landings, ad_actives(spark, sf).withColumn("package", F.lit("")), accounts.withColumn("package", F.lit("")),
+        paid.join(born, "account", "left").withColumn("new_payer", F.coalesce(F.col("born") == F.col("day"), F.lit(False))), logins, new_regs)
+    ad = attribution.merged_ad_facts(
+        "ad", landings.filter("package <> ''"), _renamed(activations(spark, sf)), _renamed(registrations(spark, sf)).withColumn("day", F.to_date("reg_ts")),
+        _renamed(_traits(orders(spark, sf))), logins, new_regs)
+    return attribution.merged_ad_table(ad, every)
+
+
+NATURAL = {f"retained_{n}": n for n in cohort.REALTIME_OFFSETS}
+NATURAL_DAYS = (1, 7, 30)
+
+
+def _natural_cohort_sql():
+    back = ", ".join(f"count(DISTINCT CASE WHEN d = {n} THEN account END) AS {m}" for m, n in NATURAL.items())
+    value = ", ".join(f"sum(CASE WHEN {'d = 0' if n == 1 else f'd BETWEEN 0 AND {n - 1}'} THEN cents ELSE 0 END) AS recharge_{n}" for n in NATURAL_DAYS)
+    names = [*NATURAL, *(f"recharge_{n}" for n in NATURAL_DAYS), "recharge_total", "recharge_accounts"]
+    def of(source):
+        return f"""(SELECT game_id, reg_day, {', '.join(f'coalesce({n}, 0) AS {n}' for n in names)} FROM (SELECT DISTINCT game_id, reg_day FROM {source})
+  LEFT JOIN (SELECT game_id, reg_day, {back} FROM (SELECT r.*, date_diff('day', r.reg_day, l.day) AS d FROM {source} r JOIN g_logins l USING (account)) GROUP BY ALL) USING (game_id, reg_day)
+  LEFT JOIN (SELECT game_id, reg_day, {value}, sum(cents) AS recharge_total, count(DISTINCT account) AS recharge_accounts FROM (SELECT r.*, o.cents, date_diff('day', r.reg_day, o.day) AS d FROM {source} r JOIN g_paid o USING (account)) GROUP BY ALL) USING (game_id, reg_day))"""
+    rest = ", ".join(f"CAST(t.{n} - coalesce(x.{n}, 0) AS BIGINT) AS {n}" for n in names)
+    return CHAIN.rstrip() + f""",
+ n_all AS MATERIALIZED (SELECT game_id, account, day AS reg_day FROM ad_acc), n_ad AS MATERIALIZED (SELECT game_id, account, CAST(reg_ts AS DATE) AS reg_day FROM ad_r)
+ SELECT game_id, reg_day, {rest} FROM {of('n_all')} t LEFT JOIN {of('n_ad')} x USING (game_id, reg_day)"""
+
+
+@plan("natural_retention", _natural_cohort_sql())
+def natural_retention(spark, sf):
+    """Retention and value of accounts that no advertisement brought: all first registrations less the attributed ones."""
+    from playlens.operators.keyed import first_row
+    every = first_row(roles.regs(spark, sf).select("account", "game_id", "reg_day", "reg_ts", F.col("event_id").alias("reg_id")), ["account"], ["reg_ts", "reg_id"])
+    won = registrations(spark, sf).withColumn("reg_day", F.to_date("reg_ts")).select("account", "game_id", "reg_day")
+    return attribution.natural_cohorts(every, won, roles.logins(spark, sf), valid_orders(roles.game_orders(spark, sf)), ["game_id"], NATURAL_DAYS)
+
+
 @plan("reward_network_audit", """WITH rep AS (SELECT game_id, imei, day FROM g_clicks WHERE type IN (1, 2) AND imei <> ''), d AS (SELECT game_id, imei, day, count(*) AS n FROM rep GROUP BY ALL),
  own AS (SELECT DISTINCT game_id, imei, day FROM g_actives WHERE imei <> ''), reg AS (SELECT DISTINCT game_id, imei, day FROM g_regs WHERE imei <> ''),
  f AS (SELECT d.*, EXISTS (SELECT 1 FROM own o WHERE o.game_id = d.game_id AND o.imei = d.imei AND o.day = d.day) AS mt,

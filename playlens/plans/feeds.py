@@ -7,10 +7,10 @@ import time
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from playlens.functions.cleanse import norm_account, split_channel, split_device, valid_orders
+from playlens.functions.cleanse import ANDROID_RAW_NETWORKS, IOS_HASHED_NETWORKS, norm_account, split_channel, split_device, valid_orders
 from playlens.operators import cohort
 from playlens.plans import plan
-from playlens.plans.attribution import CHAIN
+from playlens.plans.attribution import CHAIN, chain_sql
 from playlens.session import work_folder
 from playlens.sinks import deltas, state, tables as sink
 from playlens.sources import logs, roles
@@ -96,20 +96,23 @@ def malformed_lines(spark, sf):
     return reduce(lambda a, b: a.unionByName(b), bad).groupBy("kind").agg(F.count("*").alias("n"))
 
 
-def ad_lines(spark, sf):
+def ad_lines(spark, sf, package=None, agent=None, device=None):
     """Click reports in the dialect of each network; some are no JSON at all."""
     c = roles.clicks(spark, sf)
+    package = F.concat("game_id", F.lit("000M19006")) if package is None else package
+    agent = F.lit("ua") if agent is None else agent
+    sent = device or (lambda code: F.col("imei"))
     js = None
     n = F.col("event_id") % 13
     second, milli = F.unix_timestamp("ts").cast("string"), F.unix_millis(F.date_trunc("second", "ts")).cast("string")
     for i, net in enumerate(logs.AD_NETWORKS):
         code = F.when(F.col("os") == 1, net["android"][0]).otherwise(net["ios"][0])
-        fields = {"pkg_id": F.concat("game_id", F.lit("000M19006")), ("app_type" if net["code"] == 6 else "os"): code, net["device"]: F.col("imei"), net["time"]: second if i % 2 else milli}
+        fields = {"pkg_id": package, ("app_type" if net["code"] == 6 else "os"): code, net["device"]: sent(net["code"]), net["time"]: second if i % 2 else milli}
         if net["code"] == 17:
-            fields["idfa"] = F.col("imei")
+            fields["idfa"] = sent(net["code"])
         if net["adv_id"] is not None:
             fields["adv_id"] = F.lit(str(net["adv_id"]))
-        for role, value in {"callback": F.lit("cb"), "idea": F.lit("idea"), "level1": F.lit("l1"), "level2": F.lit("l2"), "ip": F.col("ip"), "ua": F.lit("ua")}.items():
+        for role, value in {"callback": F.lit("cb"), "idea": F.lit("idea"), "level1": F.lit("l1"), "level2": F.lit("l2"), "ip": F.col("ip"), "ua": agent}.items():
             if net[role]:
                 fields[net[role]] = value
         text = F.concat(F.lit(net["tag"]), F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()])))
@@ -129,6 +132,27 @@ def parse_ad_clicks(spark, sf):
     return clicks.select("network", "os", "device_id", _text("click_ts").alias("click_ts"), "pkg_id", "ip")
 
 
+_WITH_AGENT = ", ".join(str(net["code"]) for net in logs.AD_NETWORKS if net["ua"])
+PARSED_CLICKS = f"""SELECT event_id AS click_id, game_id, os, day, date_trunc('second', ts) AS click_ts, '' AS android_id, package, CAST(k % 4 + 1 AS INT) AS network, 'i' || (k % 6) AS idea_id,
+  CASE WHEN imei = '' THEN '' WHEN os = 1 AND net IN (17, 18) THEN upper(md5(imei)) ELSE upper(md5(upper(imei))) END AS device, CASE WHEN net IN ({_WITH_AGENT}) THEN ip ELSE '' END AS ip,
+  CASE WHEN net IN ({_WITH_AGENT}) THEN 't' || (user_id % 5) ELSE '' END AS dev_type, CASE WHEN net IN ({_WITH_AGENT}) THEN 'v' || (user_id % 3) ELSE '' END AS sys_version
+  FROM (SELECT *, [{', '.join(map(str, CODES))}][event_id % 13 + 1] AS net FROM g_clicks WHERE event_id % 13 <> 12)"""
+
+
+@plan("attribute_parsed_clicks", chain_sql(PARSED_CLICKS) + "SELECT active_id, click_id, rule FROM ad_m")
+def attribute_parsed_clicks(spark, sf):
+    """From the networks' JSON lines to matches: ids hashed as each network does, devices told by their user agent."""
+    from playlens.operators.attribution import attribute_activation
+    from playlens.plans.attribution import ad_actives
+    hashing = lambda code: F.when((F.col("os") == 2) & F.lit(code in IOS_HASHED_NETWORKS) | (F.col("os") == 1) & F.lit(code not in ANDROID_RAW_NETWORKS), F.when(F.col("imei") == "", "").otherwise(F.md5(F.upper("imei")))).otherwise(F.col("imei"))
+    agent = F.concat(F.lit("t"), F.col("user_id") % 5, F.lit(" v"), F.col("user_id") % 3)
+    path = work_folder(spark, "ad-lines")
+    ad_lines(spark, sf, F.concat(1_000 + F.col("game_id"), F.lit("M"), 1_000_000 + F.col("event_id")), agent, hashing).write.text(path)
+    parsed = logs.clicks_to_match(logs.parse_ad_clicks(logs.read_lines(spark, path)))
+    clicks = parsed.withColumns({"game_id": F.col("game_id") - 1_000, "click_id": F.substring_index("pkg_id", "M", -1).cast("long") - 1_000_000})
+    return attribute_activation(ad_actives(spark, sf), clicks)
+
+
 @plan("parse_landing_requests", f"SELECT 'm' || (k % 4) AS medium, 's' || (k % 3) AS site, 'p' || (k % 20) AS package, game_id, {SECOND} AS click_ts, ip FROM g_clicks WHERE event_id % 5 <> 0")
 def parse_landing_requests(spark, sf):
     status = F.when(F.col("event_id") % 5 == 0, '404').otherwise('200')

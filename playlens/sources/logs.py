@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playlens.functions.cleanse import epoch_any, is_number, split_channel
+from playlens.functions.cleanse import device_hash, epoch_any, is_number, package_id_parts, split_agent, split_channel
 
 # --- fixed values: 0-based positions of the fields of each log tag ------------------------------
 LAYOUTS: dict[str, dict[str, tuple[int, str]]] = {
@@ -99,13 +99,16 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def stream_kafka(spark: SparkSession, servers: str, topics: str, max_per_trigger: int | None = None) -> DataFrame:
-    """All tags of the event topics as column ``value`` (needs the Kafka connector on the class path)."""
+def stream_kafka(spark: SparkSession, servers: str, topics: str, max_per_trigger: int | None = None, fail_on_data_loss: bool = True) -> DataFrame:
+    """All tags of the event topics as column ``value`` (needs the Kafka connector on the class path).
+
+    Records that expired before they were read stop the stream, unless told otherwise.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topics)
-        .option("failOnDataLoss", "false")
+        .option("failOnDataLoss", "true" if fail_on_data_loss else "false")
     )
     if max_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
@@ -226,6 +229,20 @@ def parse_ad_clicks(lines: DataFrame, line: str = "value") -> DataFrame:
     )
 
 
+def clicks_to_match(parsed: DataFrame) -> DataFrame:
+    """Parsed click reports with the fields that ad attribution goes by: game_id, os (1, 2), device, dev_type, sys_version.
+
+    The game is that of the package id; reports with another id are left out. The device is the common hash of what the
+    network sent, empty where it sent none.
+    """
+    package, agent = package_id_parts("pkg_id"), split_agent("ua")
+    os = F.when(F.col("os") == "ios", 2).otherwise(1)
+    return parsed.filter("is_valid").withColumns({"_p": package, "_a": agent, "os": os}).filter("_p.is_valid").select(
+        *[c for c in parsed.columns if c not in ("android_id", "os")], "os", F.col("_p.game_id").alias("game_id"),
+        F.when(F.col("device_id") == "", "").otherwise(device_hash("device_id", "network", "os")).alias("device"),
+        F.col("_a.dev_type").alias("dev_type"), F.col("_a.sys_version").alias("sys_version"), F.when(F.col("os") == 1, F.col("android_id")).otherwise("").alias("android_id"))
+
+
 def parse_landing_requests(lines: DataFrame, line: str = "value") -> DataFrame:
     """Landing-page loads of an access log; failed requests (404) are dropped."""
     value = F.col(line)

@@ -107,3 +107,10 @@ def test_ratio_without_base(spark):
 def test_unknown_grain_is_refused():
     with pytest.raises(ValueError):
         c.time_bucket("x", "week")
+
+
+def test_user_agents_of_two_words(spark):
+    from playlens.functions.cleanse import split_agent
+    cases = {"iPhone 10.3.3": ("iPhone", "10.3.3"), "a b ": ("a", "b"), " x": ("", "x"), "one": ("", ""), "a b c": ("", ""), "": ("", ""), "a  b": ("", "")}
+    rows = spark.createDataFrame([(k,) for k in cases] + [(None,)], "ua string").select("ua", split_agent("ua").alias("a")).collect()
+    assert {r.ua: (r.a.dev_type, r.a.sys_version) for r in rows} == {**cases, None: ("", "")}

@@ -111,3 +111,65 @@ def test_trailing_users_count_once_a_day(spark):
         if near:
             want[n] = len({r[0] for r in near}), len({r[1] for r in near if r[1]})
     assert got == want
+
+
+def test_bounds_give_the_days_of_the_whole_report_and_reach_the_scan(spark, sf, tmp_path):
+    start, end = "2024-01-09", "2024-01-17"
+    tables = {}
+    for name, day in (("regs", "reg_day"), ("logins", "day"), ("clicks", "day"), ("orders", "day"), ("actives", "day")):
+        rows = roles.game_orders(spark, sf).filter("status in (4, 8)") if name == "orders" else getattr(roles, name)(spark, sf)
+        rows.withColumn("folder", rows[day]).drop(day).withColumnRenamed("folder", day).repartition(1).write.partitionBy(day).parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    regs, logins, clicks, orders, actives = (tables[n] for n in ("regs", "logins", "clicks", "orders", "actives"))
+    key = ["game_id"]
+    reports = {
+        "registered_device_kpi": (lambda **b: activity.registered_device_kpi(regs, key, **b), "day"),
+        "active_users": (lambda **b: activity.active_users(logins, key, "day", **b), "day"),
+        "new_account_kpi": (lambda **b: activity.new_account_kpi(regs, key, **b), "day"),
+        "active_and_registered": (lambda **b: activity.active_and_registered(regs, actives, key, **b), "day"),
+        "new_login": (lambda **b: activity.new_login(regs, logins, key, **b), "day"),
+        "second_login_device": (lambda **b: activity.second_login_device(regs, logins, ["medium"], **b), "day"),
+        "login_frequency_hist": (lambda **b: activity.login_frequency_hist(logins, key, **b), "day"),
+        "accounts_per_device_hist": (lambda **b: activity.accounts_per_device_hist(regs, key, **b), "day"),
+        "age_split": (lambda **b: activity.age_split(logins, regs, key, **b), "day"),
+        "click_kpi": (lambda **b: activity.click_kpi(clicks, key, **b), "day"),
+        "publish_funnel": (lambda **b: activity.publish_funnel(clicks, actives, regs, orders, key, **b), "day"),
+        "publish_funnel_owned": (lambda **b: activity.publish_funnel(clicks, actives, regs, orders, key, owned=True, **b), "day"),
+        "pay_kpi": (lambda **b: payments.pay_kpi(orders, key, "day", **b), "day"),
+        "new_pay_kpi": (lambda **b: payments.new_pay_kpi(orders, regs, key, **b), "day"),
+        "pay_amount_hist": (lambda **b: payments.pay_amount_hist(orders, regs, key, **b), "reg_day"),
+    }
+    for name, (report, day) in reports.items():
+        whole = report().filter(f"{day} between date'{start}' and date'{end}'")
+        some = report(start=start, end=end)
+        assert sorted(map(repr, some.collect())) == sorted(map(repr, whole.select(*some.columns).collect())), name
+        plan = some._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(" in plan and "2024-01-09" in plan, name
+
+
+def test_first_times_by_loads_equal_those_from_scratch(spark, sf):
+    from playlens.operators import bounds
+    from playlens.session import work_folder
+    regs = roles.regs(spark, sf).filter("imei <> ''").withColumnRenamed("reg_ts", "first_ts")
+    keys, shape = ["game_id", "imei"], "game_id int, imei string, first_ts timestamp, event_id long"
+    loads = ["reg_day >= date'2024-01-11'", "reg_day < date'2024-01-15'", "event_id % 2 = 0", "event_id % 2 = 0"]
+    pieces, scratch = work_folder(spark, "pieces"), work_folder(spark, "scratch")
+    for i, load in enumerate(loads):
+        bounds.update_firsts(regs.filter(load), pieces, i, keys, ["first_ts", "event_id"])
+    bounds.update_firsts(regs, scratch, 0, keys, ["first_ts", "event_id"])
+    rows = lambda path, *days: sorted(map(tuple, bounds.firsts_between(spark, path, shape, *days).collect()))
+    assert rows(pieces) == rows(scratch) and len(rows(pieces)) == regs.select(*keys).distinct().count()
+    week = bounds.firsts_between(spark, pieces, shape, "2024-01-03", "2024-01-05")
+    assert sorted(map(tuple, week.collect())) == [r for r in rows(scratch) if dt.date(2024, 1, 3) <= r[-1] <= dt.date(2024, 1, 5)]
+    assert {f.split("first_day=")[1][:10] for f in week.inputFiles()} <= {"2024-01-03", "2024-01-04", "2024-01-05"}
+
+
+def test_owned_money_adds_up_to_the_revenue(spark):
+    t = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    regs = spark.createDataFrame([("a", 1, "m", t(1), D(1), 1), ("a", 1, "m", t(1), D(1), 2), ("a", 2, "n", t(5), D(5), 3), ("b", 1, "m", t(2), D(2), 4)],
+                                 "account string, game_id int, medium string, reg_ts timestamp, reg_day date, event_id long")
+    orders = spark.createDataFrame([("a", t(0), 1, 4), ("a", t(1), 10, 4), ("a", t(4), 100, 4), ("a", t(5), 1000, 4), ("b", t(9), -7, 8), ("x", t(3), 5, 4)],
+                                   "account string, order_ts timestamp, cents long, status int")
+    got = payments.owned_orders(orders, regs, ["game_id", "medium"])
+    assert sorted((r.account, r.cents, r.game_id, r.medium) for r in got.collect()) == [
+        ("a", 1, 1, "m"), ("a", 10, 1, "m"), ("a", 100, 1, "m"), ("a", 1000, 2, "n"), ("b", -7, 1, "m"), ("x", 5, None, None)]

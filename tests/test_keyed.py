@@ -147,3 +147,42 @@ def test_last_tier_has_no_end(spark):
     ladder = spark.createDataFrame([("a", 0, 1), ("a", 100, 2)], "grp string, threshold long, rate int")
     facts = spark.createDataFrame([("a", 99), ("a", 100), ("a", 10**15)], "grp string, cents long")
     assert sorted(x.rate for x in joins.ladder_rate(facts, ladder, ["grp"], "cents", "threshold").collect()) == [1, 2, 2]
+
+
+def co_counts(rows):
+    from collections import Counter, defaultdict
+    by = defaultdict(set)
+    for e, i in rows:
+        by[e].add(i)
+    return Counter((a, b) for items in by.values() for a in items for b in items if a != b)
+
+
+def test_best_co_used_items_without_all_pairs(spark, monkeypatch):
+    """Exact with ties, in bands and blocks, and far fewer pairs where use is skewed."""
+    import random
+
+    from playlens.operators import joins
+    rng = random.Random(4)
+    weights = [1 / (i + 1) for i in range(300)]
+    rows = {(e, i) for e in range(250) for i in rng.choices(range(300), weights, k=25)}
+    df = spark.createDataFrame([*rows, *list(rows)[:50]], "e int, i int")
+    counts = co_counts(rows)
+    want = {}
+    for (a, b), n in counts.items():
+        want.setdefault(a, []).append((-n, b))
+    want = {a: [(b, -n) for n, b in sorted(best)[:3]] for a, best in want.items()}
+    formed, plain = [], joins._products
+    def counted(*args):
+        parts = plain(*args).cache()
+        formed.append(parts.groupBy("item", "other").count().count())
+        return parts
+    monkeypatch.setattr(joins, "_products", counted)
+    def best(**how):
+        formed.clear()
+        got = {}
+        for r in sorted(joins.co_usage_top(df, "e", "i", 3, **how).collect(), key=lambda r: r["rank"]):
+            got.setdefault(r.item, []).append((r.other, r.n))
+        return got
+    assert best() == want and sum(formed) == len(counts)
+    assert best(step=2, blocks=3, chunk=60) == want and len(formed) > 2 and sum(formed) < 0.8 * len(counts)
+    assert joins.co_usage_top(df.limit(0), "e", "i", 3).count() == 0
