@@ -5,7 +5,7 @@ leftmost at a tie. Equal windows own equal anchors at equal offsets, so only occ
 Consecutive windows with one anchor form a *piece*; a document of n symbols has about 2n / (width - gram + 2) of them, and
 only these are shuffled:
 
-1. Pieces are hashed where they are cut. Each task first settles the copies it has seen itself, so a passage in a third of
+1. Pieces are hashed by their whole content where they are cut. Each task first settles the copies it has seen itself, so a passage in a third of
    all rows sends one row per task and not one per document.
 2. The rest is sorted by (anchor, piece hash) and streamed. In a class of equal pieces all windows repeat. An anchor with
    several classes (the edges of copied passages) leaves one *request* per class.
@@ -31,7 +31,8 @@ from playlens.llm import rolling
 from playlens.llm.rolling import U64, PrefixHash, mix
 from playlens.llm.stages import array_column, likely_in, map_arrow, table, write_stage
 
-COMBINE_ROWS = 400_000
+COMBINE_ROWS = 200_000
+OUT_BYTES = 1 << 20  # of contents that a task gathers before it hands them on
 OCCURRENCE = "anchor long, piece long, doc_key long, rid long, at long"
 FOUND = "kind int, doc_key long, rid long, start int, n int, ahead int, settled boolean"
 PIECE = "key long, doc_key long, rid long, start int, n int, ahead int, settled boolean, content binary"
@@ -60,6 +61,13 @@ class Windows:
         return self.width - self.gram + 1
 
 
+def _content_hashes(symbols: np.ndarray, start: np.ndarray, end: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """XXH3 hash of the content of each slice. Pieces count as equal by it and their anchor, of 64 bits each."""
+    view, size = memoryview(np.ascontiguousarray(symbols).view(np.uint8)), symbols.itemsize
+    digest = xxhash.xxh3_64_intdigest
+    return np.fromiter((digest(view[a:b], seed=s) for a, b, s in zip((start * size).tolist(), (end * size).tolist(), seeds.tolist())), U64, len(start))
+
+
 def cut_pieces(symbols: np.ndarray, rows: np.ndarray, spec: Windows) -> Iterator[tuple[np.ndarray, ...]]:
     """(row, start, windows, anchor position, anchor hash, piece hash) of all pieces, chunk by chunk."""
     values = rolling.BYTE_VALUES if symbols.dtype == np.uint8 else None
@@ -88,7 +96,7 @@ def cut_pieces(symbols: np.ndarray, rows: np.ndarray, spec: Windows) -> Iterator
             begin = np.flatnonzero(new)
             n = np.diff(np.append(begin, len(starts)))
             s0, pos = starts[begin], anchor_at[begin]
-            piece = mix(sums.slices(s0, s0 + n - 1 + spec.width) + (n + (pos - s0) * 65_536).astype(U64))
+            piece = _content_hashes(part, s0, s0 + n - 1 + spec.width, n + (pos - s0) * 65_536)
             row = np.searchsorted(rows[first: last + 1], s0 + at, "right") - 1 + first
             yield row, s0 + at - rows[row], n, pos - s0, grams[pos], piece
 
@@ -222,18 +230,26 @@ def sub_pieces(units, start: int, n: int, ahead: int, spec: Windows) -> Iterator
 def requested(docs: DataFrame, requests: DataFrame, spec: Windows, name: str) -> DataFrame:
     """The requested pieces with their contents, written to the shared folder; only keys that pieces share."""
 
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        size = 0
+        pack = lambda: table(**{c.split()[0]: pa.array(v, k) for c, v, k in zip(PIECE.split(", "), zip(*out), kinds)})
         for batch in batches:
-            out: list[tuple] = []
             for doc, rid, text, asked in zip(*(batch.column(c) for c in ("doc_key", "rid", "text", "asked"))):
                 units = spec.units(text.as_buffer().to_pybytes() if text.is_valid else b"")
-                for ask in asked.as_py():
+                doc, rid = doc.as_py(), rid.as_py()
+                for ask in asked:
+                    ask = ask.as_py()
                     for key, start, n, ahead, content in sub_pieces(units, ask["start"], ask["n"], ask["ahead"], spec):
-                        out.append((key, doc.as_py(), rid.as_py(), start, n, ahead, ask["settled"], content))
-            if out:
-                cols = list(zip(*out))
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
-                yield table(**{c.split()[0]: pa.array(v, k) for c, v, k in zip(PIECE.split(", "), cols, kinds)})
+                        out.append((key, doc, rid, start, n, ahead, ask["settled"], content))
+                        size += len(content)
+                    if size >= OUT_BYTES:
+                        yield pack()
+                        out, size = [], 0
+        if out:
+            yield pack()
 
     asked = per_document(requests, ["start", "n", "ahead", "settled"], "asked")
     return write_stage(map_arrow(likely_in(docs, requests).join(asked, ["doc_key", "rid"]), work, PIECE), name)

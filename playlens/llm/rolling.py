@@ -10,8 +10,8 @@ import xxhash
 
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-POSITION_BITS = 21
-CHUNK = 1 << POSITION_BITS  # symbols worked on at once
+POSITION_BITS = 18
+CHUNK = 1 << POSITION_BITS  # symbols worked on at once: some arrays of 2 MB each
 
 _powers: dict[str, np.ndarray] = {}
 
@@ -97,31 +97,47 @@ def groups_of_rows(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         yield first, len(sizes)
 
 
-_SEPARATOR = np.zeros(256, bool)
-_SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_BLANKS = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
+SLICE_BYTES = 1 << 22  # of a text that are cut into words at once
+MEMO = 200_000  # words a worker remembers
 
 
-def _word_bounds(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the words; a row's end ends a word."""
-    inside = np.zeros(len(flat) + 2, bool)
-    inside[1:-1] = ~_SEPARATOR[flat]
-    starts = inside[1:-1] & ~inside[:-2]
-    ends = inside[1:-1] & ~inside[2:]
-    cuts = offsets[(offsets > 0) & (offsets < len(flat))]
-    starts[cuts] = inside[1:-1][cuts]
-    ends[cuts - 1] = inside[1:-1][cuts - 1]
-    return np.flatnonzero(starts), np.flatnonzero(ends) + 1
+class _WordHashes(dict):
+    """Word -> XXH3 hash of its bytes; forgets all when large. (Polynomials modulo 2**64 collide on patterned words.)"""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= MEMO:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+_word_hashes = _WordHashes()
+
+
+def words_of(data: bytes) -> Iterator[list[bytes]]:
+    """The words (bytes between ASCII white space) of a text, some megabytes at a time."""
+    if len(data) <= SLICE_BYTES:
+        yield data.split()
+        return
+    data, at = data.translate(_BLANKS), 0
+    while at < len(data):
+        end = data.find(b" ", at + SLICE_BYTES)
+        end = len(data) if end < 0 else end
+        yield data[at:end].split()
+        at = end
 
 
 def word_symbols(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A hash for each word (bytes between ASCII white space) and the offsets of the rows in words."""
-    starts, ends = _word_bounds(flat, offsets)
-    hashes = np.empty(len(starts), U64)
-    for a, b in groups_of_rows(np.diff(np.append(starts, len(flat))), CHUNK):
-        low = starts[a]
-        part = PrefixHash(BYTE_VALUES[flat[low: ends[b - 1]]])
-        hashes[a:b] = mix(part.slices(starts[a:b] - low, ends[a:b] - low) + (ends[a:b] - starts[a:b]).astype(U64))
-    return hashes, np.searchsorted(starts, offsets)
+    """A hash for each word and the offsets of the rows in words."""
+    parts, counts, data = [], [0], flat.tobytes()
+    total = 0
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+        for words in words_of(data[a:b]):
+            parts.append(np.fromiter(map(_word_hashes.__getitem__, words), U64, len(words)))
+            total += len(words)
+        counts.append(total)
+    return np.concatenate(parts) if parts else np.empty(0, U64), np.array(counts)
 
 
 def byte_symbols(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -59,3 +59,9 @@ def test_one_of_each_and_null_ids(spark):
 def test_empty(spark):
     assert near_duplicates(odd_docs(spark, [])).count() == 0
     assert {r.component_id for r in near_duplicates(odd_docs(spark, [None, ""])).collect()} == {0, 1}
+
+
+def test_patterned_words_are_told_apart(spark):
+    from tests.llm.test_repeats import thue_morse
+
+    assert [r.component_id for r in sorted(near_duplicates(odd_docs(spark, list(thue_morse(1_024, "a", "b")))).collect())] == [0, 1]

@@ -5,7 +5,7 @@ from collections import Counter
 
 import pytest
 
-from playlens.llm import lines, repeats, substrings, suffixes
+from playlens.llm import lines, quality, repeats, rolling, substrings, suffixes
 from tests.llm.common import odd_docs, passages
 
 
@@ -111,3 +111,50 @@ def test_suffix_order_sorts_and_verifies():
     got = order.sort(starts, np.zeros(11, int))
     assert [bytes(data[i: i + 4]) for i in starts[got]] == sorted(bytes(data[i: i + 4]) for i in range(11))
     assert order.verified(np.array([0, 1]), np.array([6, 2])).tolist() == [True, False]
+
+
+def thue_morse(n, a, b):
+    """Two words on which every polynomial hash modulo 2**64 collides once n >= 1024."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join(b if x else a for x in bits), "".join(a if x else b for x in bits)
+
+
+def test_patterned_words_are_told_apart(spark):
+    x, y = thue_morse(1_024, "a", "b")
+    near = [f"w{i}" for i in range(20)]
+    texts = [" ".join([*near[:10], w, *near[10:]]) for w in (x, y)]
+    assert {r.n_removed for r in substrings.strip_substrings(odd_docs(spark, texts)).collect()} == {0}
+    texts = [f"{x} c d {y} c d", f"{x} c d {x} c d"]
+    assert [r.n_repeat_words for r in sorted(quality.judged(odd_docs(spark, texts)).collect())] == [0, 6]
+
+
+def test_suffixes_at_the_real_width_and_over_chunk_edges(spark):
+    import random
+
+    rng = random.Random(8)
+    noise = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    shared, copy = noise(300), noise(3 * rolling.CHUNK // 2)  # a copy longer than what is worked on at once
+    texts = [noise(rolling.CHUNK - 150) + shared + noise(500), shared[:200] + "x", shared[:199] + "y", "q" + shared[40:], copy, noise(50) + copy + noise(50), thue_morse(2_048, "a", "b")[0]]
+    data = [t.encode() for t in texts]
+    times = Counter(hash(d[i: i + 200]) for d in data for i in range(len(d) - 199))
+    got = sorted(suffixes.strip_repeats(odd_docs(spark, texts)).collect())
+    for row, d in zip(got, data):
+        mark, until = bytearray(len(d)), 0
+        for i in range(len(d) - 199):
+            if times[hash(d[i: i + 200])] > 1:
+                mark[max(i, until): i + 200] = b"\1" * (i + 200 - max(i, until))
+                until = i + 200
+        kept = bytes(b for b, m in zip(d, mark) if not m)
+        assert (row.n_bytes, row.n_removed, bytes(row.kept)) == (len(d), sum(mark), kept)
+
+
+def test_substrings_over_chunk_edges(spark):
+    import random
+
+    rng = random.Random(9)
+    words = [f"{rng.randrange(50_000)}" for _ in range(rolling.CHUNK + 400)]
+    middle = words[rolling.CHUNK - 30: rolling.CHUNK + 30]  # around the edge
+    texts = [" ".join(words), " ".join(["p", *middle, "q"])]
+    cut = [t.split() for t in texts]
+    got = sorted(substrings.strip_substrings(odd_docs(spark, texts)).collect())
+    assert [r.n_removed for r in got] == [sum(g) for g in first_occurrence_kept(cut, 20)] == [0, 60]
