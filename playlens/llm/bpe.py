@@ -84,9 +84,35 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
 
 
-def _cut(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[pa.RecordBatch]:
+#: Classes of the pattern that depend on a Unicode version, each with a character that all versions have in it.
+CLASSES = {r"\s": "\u3000", r"\p{N}": "\u0661", r"\p{L}": "\u4e00"}
+OTHER = "\u00a7"  # in none of them
+
+
+def unlike_characters() -> dict[int, str]:
+    """Code points that the tokenizer library and this process's ``regex`` put in different classes, with one that both put
+    where the library has it. The library drops what a pattern does not match, so one text of all code points shows a class."""
+    every = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
+    single = {bytes([i]): i for i in range(256)}
+    theirs, ours = {}, {}
+    for name in CLASSES:
+        probe = tiktoken.Encoding("probe", pat_str=name, mergeable_ranks=single, special_tokens={})
+        theirs[name] = set(bytes(probe.encode_ordinary(every)).decode())
+        ours[name] = set(regex.findall(name, every))
+    unlike = set().union(*(theirs[name] ^ ours[name] for name in CLASSES))
+    return {ord(c): next((like for name, like in CLASSES.items() if c in theirs[name]), OTHER) for c in unlike}
+
+
+def pieces(text: str, pattern: regex.Pattern, unlike: dict[int, str], characters: frozenset[str]) -> list[str]:
+    """The matches of the pattern as the library sees its classes."""
+    if text.isascii() or characters.isdisjoint(text):
+        return pattern.findall(text)
+    return [text[m.start(): m.end()] for m in pattern.finditer(text.translate(unlike))]
+
+
+def _cut(batches: Iterator[pa.RecordBatch], pattern: str, unlike: dict[int, str]) -> Iterator[pa.RecordBatch]:
     """Blocks of documents as one row of positions and rows of words by hash bucket."""
-    find = regex.compile(pattern).findall
+    compiled, characters = regex.compile(pattern), frozenset(map(chr, unlike))
     task, number = TaskContext.get().partitionId(), 0
     words: dict[str, int] = {}
     order: list[np.ndarray] = []
@@ -120,7 +146,7 @@ def _cut(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[pa.RecordB
     for batch in batches:
         for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
             text = text.as_py() or ""
-            found = find(text)
+            found = pieces(text, compiled, unlike, characters)
             order.append(np.fromiter((words.setdefault(w, len(words)) for w in found), np.uint32, len(found)))
             ids.append(doc)
             sizes.append(len(found))
@@ -227,7 +253,8 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id",
     small_batches(spark)
     shared = share_vocabulary(spark, path, pattern)
     rows = docs.selectExpr(f"CAST(`{id_column}` AS long) AS doc_id", f"`{text}` AS text")
-    cut = map_arrow(rows, lambda it: _cut(it, pattern), ROW)
+    unlike = unlike_characters()
+    cut = map_arrow(rows, lambda it: _cut(it, pattern, unlike), ROW)
     lists = map_arrow(cut.repartition("key"), lambda it: _encode_lists(it, shared), ROW)
     blocks = lists.repartition("block").sortWithinPartitions("block", "bucket")
     names = list(columns)

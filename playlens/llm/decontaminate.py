@@ -1,6 +1,7 @@
 """Benchmark decontamination (operator 5): documents that hold a benchmark text go, re-parameterised or not.
 
-Texts become template tokens: numbers, names and units are replaced by typed placeholders whose values are the slots.
+Texts become template tokens: numbers, names and units are replaced by typed placeholders whose values are the slots. Beside the
+templates stand the plain lower-case tokens, so that copies in other capitals, whose names are no names, are found too.
 Windows of template tokens meet in a hash join; hits on one alignment of document and benchmark text form runs, and within
 a run the longest part counts whose slots are consistent: one benchmark value always stands for one document value of its
 type, and back.
@@ -60,10 +61,10 @@ _codes = _Codes()
 
 
 def template(text: str) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[str]]:
-    """Two views (symbols, slot kinds) of a text, and its tokens: slot kind 0 for literal tokens, else 1 name, 2 number, 3 unit.
+    """Three views (symbols, slot kinds) of a text, and its tokens: slot kind 0 for literal tokens, else 1 name, 2 number, 3 unit.
 
     In the first view a capital at the start of a sentence says nothing, in the second it makes a slot too: a name if
-    the token is a name inside the text as well, else kind 4, which stands for its own value only.
+    the token is a name inside the text as well, else kind 4, which stands for its own value only. The third has no slots.
     """
     tokens = TOKEN.findall(text)
     codes = np.fromiter(map(_codes.__getitem__, tokens), U64, len(tokens))
@@ -83,7 +84,7 @@ def template(text: str) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[str]]
     symbols_too, slots_too = symbols.copy(), slots.copy()
     symbols_too[first] = NAME_SLOT
     slots_too[first] = np.where(np.isin(values[first], values[slots == 1]), 1, 4)
-    return [(symbols, slots), (symbols_too, slots_too)], [tokens[i] for i in word]
+    return [(symbols, slots), (symbols_too, slots_too), (values, np.zeros(len(word), np.int8))], [tokens[i] for i in word]
 
 
 def _windows(symbols: np.ndarray, window: int) -> np.ndarray:
@@ -115,13 +116,17 @@ def _window_rows(docs: DataFrame, key: list[str], text: str, window: int, sizes:
                 for n in {min(window, len(tokens)) if bits is None else window, *sizes}:
                     if not 0 < n <= len(tokens):
                         continue
-                    done = None
+                    first = None
                     for symbols, slots in views:
                         hashes = _windows(symbols, n)
                         wanted = in_bitmap(hashes, bits) if bits is not None else np.ones(len(hashes), bool)
-                        if done is not None:  # windows without a capital at a sentence's start are the same in both views
-                            wanted &= hashes != done
-                        done = hashes
+                        if first is not None:  # windows without such tokens are the same in all views
+                            wanted &= hashes != first
+                        else:
+                            first = hashes
+                        if slots.any():  # windows of placeholders alone say nothing, their values do (third view)
+                            filled = np.cumsum(np.append(0, slots != 0))
+                            wanted &= filled[n:] - filled[:-n] < n
                         for at in np.flatnonzero(wanted).tolist():
                             out.append((*(k[i] for k in keys), at, len(tokens), int(hashes[at].view(np.int64)), _values(slots, tokens, at, n)))
             if out:
@@ -180,7 +185,7 @@ def _leak(hits: list[tuple[int, str, str]], length: int, window: int, run: int,
     hits = sorted(set(hits))
     window = min(window, length)
     for i in range(1, len(hits) + 1):
-        if i < len(hits) and hits[i][0] <= hits[i - 1][0] + 1:
+        if i < len(hits) and hits[i][0] <= hits[i - 1][0] + window:  # windows that touch leave no token between them
             continue
         part = hits[first:i]
         first = i

@@ -3,6 +3,9 @@
 Winnowing: of every ``run`` consecutive line hashes the smallest is a fingerprint, so any shared run of that length shares
 one. `repeats` joins the positions of equal fingerprints; each brings the lines it may belong to on both sides, and matches
 are extended from the fingerprint both ways. A later occurrence of a run goes whole, runs being judged on the input.
+
+A passage may stand on one line: a line of ``LONG`` or more words is a run by itself. Such lines need no windows; their hashes
+(128 bits) are grouped, and only the place of the first goes back to the others.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +22,7 @@ from playlens.llm import repeats, rolling
 from playlens.llm.stages import array_column, keyed, map_arrow, original_id, table, with_text
 
 RUN = 3
+LONG = 20  # words of a line that is a run by itself
 GRAM = 2  # lines of a fingerprint: a line that many documents share has other neighbours in most of them
 SHARD_BYTES = 1 << 20
 
@@ -44,14 +49,34 @@ def extended_in_shard(groups: list[list[tuple]], run: int) -> Iterator[tuple[int
                     seen.add((left, right))
 
 
-def earlier_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
+def earlier_long_lines(docs: DataFrame, words: int = LONG) -> DataFrame:
+    """(doc_key, rid, start, end): filled lines of ``words`` or more words that stand earlier."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for doc, rid, text in zip(batch.column("doc_key").to_pylist(), batch.column("rid").to_pylist(), batch.column("text")):
+                for at, line in enumerate(rolling.filled_lines(text.as_buffer().to_pybytes()) if text.is_valid else ()):
+                    if len(line) >= 2 * words - 1 and len(line.split()) >= words:
+                        out.append((xxhash.xxh3_128_digest(line), doc, rid, at))
+            if out:
+                yield table(**{c: pa.array(v, k) for c, v, k in zip(("line", "doc_key", "rid", "at"), zip(*out), (pa.binary(), pa.int64(), pa.int64(), pa.int32()))})
+
+    rows = map_arrow(docs, work, "line binary, doc_key long, rid long, at int")
+    place = F.struct("doc_key", "rid", "at")
+    firsts = rows.groupBy("line").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter(F.col("first") != F.col("last")).select("line", "first")
+    return rows.join(firsts, "line").filter(place > F.col("first")).select("doc_key", "rid", F.col("at").alias("start"), (F.col("at") + 1).alias("end")).distinct()
+
+
+def earlier_lines(docs: DataFrame, run: int = RUN, long_words: int = LONG) -> DataFrame:
     """(doc_key, rid, ranges) of the filled lines of keyed documents that earlier runs cover."""
-    return repeats.repeated_ranges(docs, line_windows(run), lambda groups: extended_in_shard(groups, run), SHARD_BYTES, "lines")
+    long_lines = earlier_long_lines(docs, long_words)
+    return repeats.repeated_ranges(docs, line_windows(run), lambda groups: extended_in_shard(groups, run), SHARD_BYTES, "lines", long_lines)
 
 
-def kept_lines(rows: DataFrame, run: int = RUN) -> DataFrame:
+def kept_lines(rows: DataFrame, run: int = RUN, long_words: int = LONG) -> DataFrame:
     """(doc_key, rid, n_lines, n_removed, new_text) of keyed documents."""
-    marked = rows.join(earlier_lines(rows, run), ["doc_key", "rid"], "left")
+    marked = rows.join(earlier_lines(rows, run, long_words), ["doc_key", "rid"], "left")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,23 +98,23 @@ def kept_lines(rows: DataFrame, run: int = RUN) -> DataFrame:
     return map_arrow(marked, work, "doc_key long, rid long, n_lines long, n_removed long, new_text string, sha256 string")
 
 
-def strip_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", run: int = RUN) -> DataFrame:
-    """Documents without the lines that earlier runs of ``run`` lines cover.
+def strip_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", run: int = RUN, long_words: int = LONG) -> DataFrame:
+    """Documents without the lines that earlier runs of ``run`` lines cover, or of one line with ``long_words`` words.
 
     Columns: the id, n_lines (lines with more than white space), n_removed, kept (text left), kept_sha256.
     Lines are compared without white space at their ends; blank lines neither match nor count nor go. A null text has
     no lines and stays null (its digest is that of an empty text). Order is (id, line), a null id before all others;
     rows that share an id are ordered by a hash of their text, and rows equal in both are one document.
     """
-    out = kept_lines(keyed(docs, id_column, text), run).withColumnRenamed("new_text", "kept").withColumnRenamed("sha256", "kept_sha256")
+    out = kept_lines(keyed(docs, id_column, text), run, long_words).withColumnRenamed("new_text", "kept").withColumnRenamed("sha256", "kept_sha256")
     return out.select(original_id().alias(id_column), "n_lines", "n_removed", "kept", "kept_sha256")
 
 
-def without_runs(docs: DataFrame, id_column: str = "doc_id", text: str = "text", run: int = RUN) -> DataFrame:
+def without_runs(docs: DataFrame, id_column: str = "doc_id", text: str = "text", run: int = RUN, long_words: int = LONG) -> DataFrame:
     """The rows of ``docs``, all columns, with the lines left; documents of which every filled line went are dropped.
 
     A column ``n_chars`` is counted anew.
     """
-    left = kept_lines(keyed(docs, id_column, text), run).filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines"))).select("doc_key", "rid", "new_text")
+    left = kept_lines(keyed(docs, id_column, text), run, long_words).filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines"))).select("doc_key", "rid", "new_text")
     out = with_text(docs, left, id_column, text)
     return out.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

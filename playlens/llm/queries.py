@@ -27,14 +27,45 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-@query("op9_suffix_array_dedup")
+@query("op9_suffix_array_dedup", """
+WITH b AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents
+), g AS (
+    SELECT doc_id, i, md5(array_slice(b, i, i + 199)) AS k FROM (SELECT doc_id, b, unnest(range(1, octet_length(b) - 198)) AS i FROM b WHERE octet_length(b) >= 200)
+), hit AS (
+    SELECT doc_id, i FROM g JOIN (SELECT k FROM g GROUP BY 1 HAVING count(*) > 1) USING (k)
+), run AS (  -- runs of window starts at most 200 apart are one span
+    SELECT doc_id, min(i) AS low, max(i) + 199 AS high FROM (
+        SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (
+            SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 200 THEN 0 ELSE 1 END AS new FROM hit)) GROUP BY doc_id, run
+), gap AS (
+    SELECT doc_id, high + 1 AS low, lead(low, 1, n + 1) OVER (PARTITION BY doc_id ORDER BY low) - 1 AS high FROM run JOIN (SELECT doc_id, octet_length(b) AS n FROM b) USING (doc_id)
+    UNION ALL SELECT doc_id, 1, coalesce(first - 1, octet_length(b)) FROM b LEFT JOIN (SELECT doc_id, min(low) AS first FROM run GROUP BY 1) USING (doc_id)
+), kept AS (
+    SELECT doc_id, string_agg(hex(array_slice(b, low, high)), '' ORDER BY low) AS kept FROM gap JOIN b USING (doc_id) WHERE high >= low GROUP BY 1
+)
+SELECT doc_id, octet_length(b) AS n_bytes, coalesce(r.n_removed, 0)::BIGINT AS n_removed, coalesce(r.n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM b LEFT JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, sum(high - low + 1) AS n_removed, count(*) AS n_spans FROM run GROUP BY 1) r USING (doc_id)
+""")
 def suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from playlens.llm.suffixes import strip_repeats
 
     return strip_repeats(read(spark, folder, "documents")).drop("kept")
 
 
-@query("op1_substring_dedup")
+@query("op1_substring_dedup", """
+WITH w AS (
+    SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM (
+        SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents)
+), g AS (
+    SELECT doc_id, i, md5(string_agg(word, ' ') OVER d) AS k, count(*) OVER d AS n FROM w WINDOW d AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)
+), later AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS n FROM g WHERE n = 20) WHERE n > 1
+), gone AS (SELECT DISTINCT doc_id, i + d AS i FROM later, range(20) t(d)
+), n AS (SELECT doc_id, count(*) AS n_words FROM w GROUP BY 1
+), k AS (SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY i) AS kept FROM w ANTI JOIN gone USING (doc_id, i) GROUP BY 1)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_words, 0) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)
+""")
 def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from playlens.llm.substrings import strip_substrings
 
@@ -51,8 +82,11 @@ WITH l AS (
     SELECT doc_id, pos, line || chr(10) || lead(line) OVER d || chr(10) || lead(line, 2) OVER d AS run FROM f WINDOW d AS (PARTITION BY doc_id ORDER BY pos)
 ), later AS (
     SELECT doc_id, pos FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS n FROM w WHERE run IS NOT NULL) WHERE n > 1
+), long AS (
+    SELECT doc_id, line_no FROM (SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS n FROM f
+        WHERE len(list_filter(string_split_regex(line, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) >= 20) WHERE n > 1
 ), gone AS (
-    SELECT DISTINCT f.doc_id, f.line_no FROM f JOIN later USING (doc_id) WHERE f.pos BETWEEN later.pos AND later.pos + 2
+    SELECT DISTINCT f.doc_id, f.line_no FROM f JOIN later USING (doc_id) WHERE f.pos BETWEEN later.pos AND later.pos + 2 UNION SELECT doc_id, line_no FROM long
 )
 SELECT d.doc_id, coalesce(n.n_lines, 0) AS n_lines, coalesce(g.n_removed, 0) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
 FROM documents d

@@ -316,12 +316,13 @@ def _by_window(pieces: DataFrame, spec: Windows) -> DataFrame:
     return again.select("doc_key", "rid", "start", (F.col("start") + spec.width).cast("int").alias("end"))
 
 
-def repeated_ranges(docs: DataFrame, spec: Windows, shard: Callable, shard_bytes: int, name: str) -> DataFrame:
-    """(doc_key, rid, ranges): half-open symbol ranges that repeated windows cover, of documents that have any."""
+def repeated_ranges(docs: DataFrame, spec: Windows, shard: Callable, shard_bytes: int, name: str, more: DataFrame | None = None) -> DataFrame:
+    """(doc_key, rid, ranges): half-open symbol ranges that repeated windows cover, of documents that have any; ``more`` are others besides."""
     pieces = found(docs, spec, f"{name}-found")
     asked = requested(docs, pieces.filter("kind = 1").drop("kind"), spec, f"{name}-pieces")
     whole = pieces.filter("kind = 0").select("doc_key", "rid", "start", (F.col("start") + F.col("n") - 1 + spec.width).cast("int").alias("end"))
-    return per_document(whole.unionByName(resolve(asked, spec, shard, shard_bytes)), ["start", "end"], "ranges")
+    whole = whole.unionByName(resolve(asked, spec, shard, shard_bytes))
+    return per_document(whole if more is None else whole.unionByName(more), ["start", "end"], "ranges")
 
 
 def covered(ranges: list, length: int) -> np.ndarray:

@@ -23,6 +23,17 @@ def first_occurrence_kept(sequences, width):
     return out
 
 
+def earlier_lines(sequences):
+    """Marks of lines that earlier runs of three cover, or that have twenty words and stand earlier."""
+    seen, out = set(), first_occurrence_kept(sequences, 3)
+    for s, mark in zip(sequences, out):
+        for i, line in enumerate(s):
+            if len(line.split()) >= 20:
+                mark[i] |= line in seen
+                seen.add(line)
+    return out
+
+
 @pytest.mark.parametrize(("width", "hot"), [(20, 20_000), (7, 2)])
 def test_substrings(spark, monkeypatch, width, hot):
     monkeypatch.setattr(repeats, "HOT_KEY", hot)
@@ -55,7 +66,7 @@ def test_lines(spark):
     texts = passages(3)
     cut = [[x.strip() for x in (t or "").split("\n") if x.strip()] for t in texts]
     got = sorted(lines.strip_lines(odd_docs(spark, texts)).collect())
-    for row, s, gone in zip(got, cut, first_occurrence_kept(cut, 3)):
+    for row, s, gone in zip(got, cut, earlier_lines(cut)):
         assert (row.n_lines, row.n_removed) == (len(s), sum(gone))
         left = [x.strip() for x in (row.kept or "").split("\n") if x.strip()]
         assert left == [x for x, g in zip(s, gone) if not g]
@@ -158,3 +169,12 @@ def test_substrings_over_chunk_edges(spark):
     cut = [t.split() for t in texts]
     got = sorted(substrings.strip_substrings(odd_docs(spark, texts)).collect())
     assert [r.n_removed for r in got] == [sum(g) for g in first_occurrence_kept(cut, 20)] == [0, 60]
+
+
+def test_a_long_line_is_a_run_by_itself(spark):
+    long_line, short = " ".join(f"w{i}" for i in range(60)), "eight words are not enough for this rule"
+    texts = [f"a\n{long_line}", f"  {long_line}\t\nb", long_line, short, short, f"{long_line}\n{long_line}\nc"]
+    got = sorted(lines.strip_lines(odd_docs(spark, texts)).collect())
+    assert [(r.n_lines, r.n_removed, r.kept) for r in got] == [(2, 0, texts[0]), (2, 1, "b"), (1, 1, ""), (1, 0, short), (1, 0, short), (3, 2, "c")]
+    docs = odd_docs(spark, [long_line]).unionByName(odd_docs(spark, [long_line]))  # one document twice
+    assert {r.n_removed for r in lines.strip_lines(docs).collect()} == {0}
