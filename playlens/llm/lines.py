@@ -68,13 +68,13 @@ def earlier_long_lines(docs: DataFrame, words: int = LONG) -> DataFrame:
     return rows.join(firsts, "line").filter(place > F.col("first")).select("doc_key", "rid", F.col("at").alias("start"), (F.col("at") + 1).alias("end")).distinct()
 
 
-def earlier_lines(docs: DataFrame, run: int = RUN, long_words: int = LONG) -> DataFrame:
+def earlier_lines(docs: DataFrame, run: int = RUN, long_words: int | None = LONG) -> DataFrame:
     """(doc_key, rid, ranges) of the filled lines of keyed documents that earlier runs cover."""
-    long_lines = earlier_long_lines(docs, long_words)
+    long_lines = earlier_long_lines(docs, long_words) if long_words else None
     return repeats.repeated_ranges(docs, line_windows(run), lambda groups: extended_in_shard(groups, run), SHARD_BYTES, "lines", long_lines)
 
 
-def kept_lines(rows: DataFrame, run: int = RUN, long_words: int = LONG) -> DataFrame:
+def kept_lines(rows: DataFrame, run: int = RUN, long_words: int | None = LONG) -> DataFrame:
     """(doc_key, rid, n_lines, n_removed, new_text) of keyed documents."""
     marked = rows.join(earlier_lines(rows, run, long_words), ["doc_key", "rid"], "left")
 
@@ -98,8 +98,8 @@ def kept_lines(rows: DataFrame, run: int = RUN, long_words: int = LONG) -> DataF
     return map_arrow(marked, work, "doc_key long, rid long, n_lines long, n_removed long, new_text string, sha256 string")
 
 
-def strip_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", run: int = RUN, long_words: int = LONG) -> DataFrame:
-    """Documents without the lines that earlier runs of ``run`` lines cover, or of one line with ``long_words`` words.
+def strip_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", run: int = RUN, long_words: int | None = LONG) -> DataFrame:
+    """Documents without the lines that earlier runs of ``run`` lines cover, or of one line with ``long_words`` words (None: no such rule).
 
     Columns: the id, n_lines (lines with more than white space), n_removed, kept (text left), kept_sha256.
     Lines are compared without white space at their ends; blank lines neither match nor count nor go. A null text has
@@ -110,7 +110,7 @@ def strip_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     return out.select(original_id().alias(id_column), "n_lines", "n_removed", "kept", "kept_sha256")
 
 
-def without_runs(docs: DataFrame, id_column: str = "doc_id", text: str = "text", run: int = RUN, long_words: int = LONG) -> DataFrame:
+def without_runs(docs: DataFrame, id_column: str = "doc_id", text: str = "text", run: int = RUN, long_words: int | None = LONG) -> DataFrame:
     """The rows of ``docs``, all columns, with the lines left; documents of which every filled line went are dropped.
 
     A column ``n_chars`` is counted anew.
