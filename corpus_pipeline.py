@@ -16,8 +16,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without runs of lines that stand earlier; those that consist of such runs go."""
-    return lines.without_runs(docs)
+    """Documents without runs of lines that stand earlier; those that consist of such runs go.
+
+    Single long lines stay: without them near copies would be remnants that near-dedup cannot recognise.
+    """
+    return lines.without_runs(docs, long_words=None)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
