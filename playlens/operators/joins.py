@@ -180,16 +180,18 @@ def co_usage_top(df: DataFrame, entity: str, item: str, k: int, blocks: int | No
     """For each item the ``k`` others most often used by the same entities: item, other, n, rank; ties to the smaller other.
 
     A pair cannot have more users than the rarer item of the two. So others are tried from the most used down, in bands of
-    support that end at a ``step``-th of where they begin (one band where all items fit one block, unless given). An item that
+    support that end at a ``step``-th of where they begin (no bands where all items fit one block, unless given). An item that
     already has ``k`` others with more common users than it and the next band allow is done. Exact, and the pairs of
     much used items with the long tail of rare ones are never formed.
     """
+    if step is None and df.agg(F.approx_count_distinct(item)).first()[0] <= BLOCK_ITEMS:
+        return top_k(co_usage(df, entity, item, blocks, chunk), ["item"], [F.desc("n"), F.asc("other")], k)
     used = write_stage(df.select(F.col(entity).alias("e"), F.col(item).alias("i")).distinct(), "co-usage")
     support = write_stage(used.groupBy("i").agg(F.count(F.lit(1)).alias("s")), "co-usage-support")
     most, items = support.agg(F.max("s"), F.count(F.lit(1))).first()
     if not items:
         return used.select(F.col("i").alias("item"), F.col("i").alias("other"), F.lit(0).cast("long").alias("n"), F.lit(0).alias("rank"))
-    step = step or (BAND_STEP if items > BLOCK_ITEMS else most + 1)
+    step = step or BAND_STEP
     best: DataFrame | None = None
     high = most
     while high:
