@@ -58,6 +58,16 @@ def set_text(df: DataFrame, keys: list[str], column: str, name: str, separator:
     return df.groupBy(*keys).agg(F.array_join(F.sort_array(F.collect_set(F.col(column).cast("string"))), separator).alias(name))
 
 
+def ladder_text(steps: DataFrame, keys: list[str], threshold: str, rate: str, name: str) -> DataFrame:
+    """The steps of each ladder in order of their threshold as one text, ``threshold=rate|…``, whatever the partitioning.
+
+    A ladder has as many steps as its contract, so a group is small.
+    """
+    step = F.concat_ws("=", F.col(threshold).cast("string"), F.col(rate).cast("string"))
+    ordered = steps.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col(threshold), step.alias("s")))).alias("_s"))
+    return ordered.select(*keys, F.array_join(F.col("_s.s"), "|").alias(name))
+
+
 def roll_up(df: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
     """A coarser grain of an already aggregated table."""
     return df.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])

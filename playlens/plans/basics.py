@@ -295,6 +295,25 @@ def ladder_text(spark, sf):
     return text.join(counts, "grp").select("grp", F.array_join(F.col("_s.s"), "|").alias("ladder"), "orders")
 
 
+CONTRACT_STEPS = "(SELECT p_brand AS contract, p_size * 1000 AS threshold, CAST(max(p_partkey % 90) AS INT) AS rate FROM part GROUP BY ALL)"
+
+
+def contract_steps(spark, sf):
+    """Ladders of contracts: a contract for each brand, a step for each of its sizes."""
+    p = roles.table(spark, sf, "part")
+    return p.groupBy(F.col("p_brand").alias("contract"), (F.col("p_size") * 1000).alias("threshold")).agg(F.max(F.col("p_partkey") % 90).cast("int").alias("rate"))
+
+
+@plan("contract_ladder_text", f"SELECT contract, string_agg(threshold || '=' || rate, '|' ORDER BY threshold) AS ladder FROM {CONTRACT_STEPS} GROUP BY contract")
+def contract_ladder_text(spark, sf):
+    return aggregates.ladder_text(contract_steps(spark, sf), ["contract"], "threshold", "rate", "ladder")
+
+
+@plan("contract_next_bound", f"SELECT contract, threshold, rate, lead(threshold) OVER (PARTITION BY contract ORDER BY threshold) AS high FROM {CONTRACT_STEPS}")
+def contract_next_bound(spark, sf):
+    return joins.ladder_ranges(contract_steps(spark, sf), ["contract"], "threshold").drop("low")
+
+
 @plan("zero_ratio", "SELECT s_suppkey, CASE WHEN coalesce(n, 0) = 0 THEN 0 ELSE round(r / n, 6) END AS return_rate FROM supplier LEFT JOIN (SELECT l_suppkey, count(*) AS n, count(CASE WHEN l_returnflag = 'R' THEN 1 END) AS r FROM lineitem GROUP BY l_suppkey) ON l_suppkey = s_suppkey")
 def zero_ratio(spark, sf):
     n = roles.table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(F.count("*").alias("n"), F.count(F.when(F.col("l_returnflag") == "R", 1)).alias("r"))
