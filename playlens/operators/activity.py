@@ -212,9 +212,10 @@ def publish_funnel(clicks: DataFrame, actives: DataFrame, regs: DataFrame, order
     (``payments.owned_orders``), so that the channels' sums are the revenue.
     """
     on_day = lambda df, day="day": between_days(df, day, start, end)
-    kinds = on_day(clicks).groupBy(*keys, "day").agg(*[F.count(F.when(F.col("type") == c, 1)).alias(f"{k}s") for c, k in CLICK_KINDS.items()])
-    active = on_day(actives).groupBy(*keys, "day").agg(F.count("*").alias("activations"))
-    reg = on_day(regs, "reg_day").groupBy(*keys, F.col("reg_day").alias("day")).agg(F.count("*").alias("registrations"))
+    one = F.lit(1).cast("long")
+    kinds = on_day(clicks).select(*keys, "day", *[F.when(F.col("type") == c, one).alias(f"{k}s") for c, k in CLICK_KINDS.items()])
+    active = on_day(actives).select(*keys, "day", one.alias("activations"))
+    reg = on_day(regs, "reg_day").select(*keys, F.col("reg_day").alias("day"), one.alias("registrations"))
     paid = F.max(F.when(F.col("status") == 4, 1).otherwise(0)).alias("paid")
     if owned:
         from playlens.operators.payments import owned_orders
@@ -222,8 +223,9 @@ def publish_funnel(clicks: DataFrame, actives: DataFrame, regs: DataFrame, order
     else:
         home = regs.select(*keys, "account").distinct()
         daily = on_day(orders).groupBy("account", "day").agg(F.sum("cents").alias("cents"), paid).join(home, "account")
-    pay = daily.groupBy(*keys, "day").agg(F.sum("cents").alias("pay_cents"), F.sum("paid").alias("payers"))
+    pay = daily.select(*keys, "day", F.col("cents").alias("pay_cents"), F.col("paid").cast("long").alias("payers"))
     measures = [*[f"{k}s" for k in CLICK_KINDS.values()], "activations", "registrations", "pay_cents", "payers"]
+    # rows of all sources are added up together, in each task first: one shuffle instead of one a source and another
     return zero_filled_union([kinds, active, reg, pay], [*keys, "day"], measures)
 
 
