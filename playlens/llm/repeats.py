@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from playlens.llm import rolling
 from playlens.llm.rolling import U64, PrefixHash, mix
-from playlens.llm.stages import array_column, likely_in, map_arrow, table, write_stage
+from playlens.llm.stages import array_column, likely_in, map_arrow, table, write_full
 
 COMBINE_ROWS = 200_000
 OUT_BYTES = 1 << 20  # of contents that a task gathers before it hands them on
@@ -206,7 +206,7 @@ def _settled(rows: list[np.ndarray], multi_before: bool, spec: Windows, last: bo
 def found(docs: DataFrame, spec: Windows, name: str) -> DataFrame:
     """Removed pieces and requests of keyed documents, written to the shared folder."""
     dealt = occurrences(docs, spec).repartition("anchor").sortWithinPartitions("anchor", "piece", "doc_key", "rid", "at")
-    return write_stage(settle(dealt, spec), name)
+    return write_full(settle(dealt, spec), name)
 
 
 def per_document(ranges: DataFrame, columns: list[str], name: str) -> DataFrame:
@@ -252,7 +252,7 @@ def requested(docs: DataFrame, requests: DataFrame, spec: Windows, name: str) ->
             yield pack()
 
     asked = per_document(requests, ["start", "n", "ahead", "settled"], "asked")
-    return write_stage(map_arrow(likely_in(docs, requests).join(asked, ["doc_key", "rid"]), work, PIECE), name)
+    return write_full(map_arrow(likely_in(docs, requests).join(asked, ["doc_key", "rid"]), work, PIECE), name)
 
 
 def resolve(pieces: DataFrame, spec: Windows, shard: Callable[[list[list[tuple]]], Iterator[tuple]], shard_bytes: int) -> DataFrame:

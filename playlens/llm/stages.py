@@ -18,7 +18,7 @@ from playlens.session import write_stage
 NO_ID = -(1 << 63)  # stands for a null id inside an operator; sorts before all others
 BATCH_ROWS, BATCH_BYTES = 1_000, 4 << 20
 
-__all__ = ["write_stage", "keyed", "key_columns", "small_batches", "without", "with_text", "map_arrow", "array_column", "table", "hash_bitmap", "in_bitmap", "likely_in", "original_id"]
+__all__ = ["write_stage", "write_full", "keyed", "key_columns", "small_batches", "without", "with_text", "map_arrow", "array_column", "table", "hash_bitmap", "in_bitmap", "likely_in", "original_id"]
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -27,6 +27,20 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+FULL = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+
+
+def write_full(df: DataFrame, name: str) -> DataFrame:
+    """`write_stage` with partitions of the advised size after a shuffle, not small ones for all cores: fewer and fuller files."""
+    spark = df.sparkSession
+    before = spark.conf.get(FULL)
+    spark.conf.set(FULL, "false")
+    try:
+        return write_stage(df, name)
+    finally:
+        spark.conf.set(FULL, before)
+
+
 def keyed(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_key, rid, text): an id without nulls, and a second key where ids are not unique.
 
