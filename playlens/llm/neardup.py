@@ -5,9 +5,11 @@
 * For the estimate the hash range is cut into ``BINS``; of each bin's minimum ``BITS`` low bits are kept (0 for an empty bin),
   packed in longs. Equal fields are counted by bit operations and corrected for the chance that two fields agree by accident.
 * Round 1 links each class to the most central class of its bands (the one that shares most bands with others), best
-  estimate first. Round 2 takes up whatever shares a band and is still in different components: between small components
-  every pair above the estimate's lower margin, with a large one every such class against all members of it. So no pair of
-  a band is lost, and a group of n near copies costs n links instead of n² pairs.
+  estimate first. Round 2 takes up whatever shares a band and is still in different components, by one rule for all sizes: a
+  class whose estimate with a member of a larger component reaches the lower margin is held against all members of that component.
+  So no pair of a band is lost, and a group of n near copies costs n links instead of n² pairs. Estimates of a band
+  are made in blocks of packed bits, of which only (class, component) comes out; members of the component that has most of a
+  band are not held against each other.
 * All links are confirmed on full sets.
 
 With 32 bands of 5 rows a pair at 0.8 meets in no band once in 300,000; the margin is four standard errors of long texts wide,
@@ -31,8 +33,9 @@ from playlens.llm.stages import NO_ID, array_column, keyed, likely_in, map_arrow
 BANDS, ROWS = 32, 5
 BINS, BITS = 512, 4
 MARGIN = 0.08  # below the threshold an estimate may lie
-SHARE = 256  # members of a group that meets in one task
-LARGE = 16  # members of a component that is compared as a whole
+SHARE = 256  # members of a group whose texts meet in one task
+BLOCK = 1_024  # members of a band whose bits meet in one task
+PAIRS = 1 << 14  # estimates made at once
 SHINGLE, THRESHOLD = 5, 80  # words, per cent
 
 _HASHES = BANDS * ROWS
@@ -215,13 +218,112 @@ def of_pairs(pairs: DataFrame) -> DataFrame:
     return asking.unionByName(held)
 
 
-def of_components(asks: DataFrame, label: DataFrame) -> DataFrame:
-    """Roles that hold each ``node`` of (node, pivot) against all members of component ``pivot``, dealt over groups."""
-    parts = label.groupBy(F.col("label").alias("pivot")).agg(F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("groups")).join(asks.select("pivot").distinct(), "pivot")
-    held = label.select("node", F.col("label").alias("pivot")).join(parts, "pivot").select(
-        "node", "pivot", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int").alias("part"), F.lit(0).alias("role"))
-    asking = asks.join(parts, "pivot").select("node", "pivot", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"), F.lit(1).alias("role"))
-    return held.unionByName(asking)
+def of_components(asks: DataFrame, members: DataFrame) -> DataFrame:
+    """Roles that hold each ``node`` of (node, pivot) against all members (node, label) of component ``pivot``, both dealt over groups."""
+    count = F.ceil(F.count(F.lit(1)) / SHARE)
+    dealt = members.groupBy(F.col("label").alias("pivot")).agg(count.alias("cells")).join(asks.groupBy("pivot").agg(count.alias("parts")), "pivot")
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    held = members.select("node", F.col("label").alias("pivot")).join(dealt, "pivot").select("node", "pivot", "parts", own("cells").alias("cell"), each("parts").alias("part"), F.lit(0).alias("role"))
+    asking = asks.join(dealt, "pivot").select("node", "pivot", "parts", each("cells").alias("cell"), own("parts").alias("part"), F.lit(1).alias("role"))
+    return held.unionByName(asking).select("node", "pivot", (F.col("cell") * F.col("parts") + F.col("part")).alias("part"), "role")
+
+
+def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """`estimate` of rows of packed bits."""
+    fields = BINS // FIELDS
+    count = lambda x: np.bitwise_count(x).sum(axis=1, dtype=np.int64)
+    x = a[:, :fields] ^ b[:, :fields]
+    x |= x >> U64(1)
+    x |= x >> U64(2)
+    differs = count(x & U64(0x1111111111111111))
+    both, either = count(a[:, fields:] & b[:, fields:]), count(a[:, fields:] | b[:, fields:])
+    chance = 1 / ((1 << BITS) - 1)
+    return (either - differs - both * chance) / ((1 - chance) * either)
+
+
+HELD, ASKS, BOTH = range(3)  # roles of a class in a block
+_BLOCKED = ("band", "cell", "part", "role", "major", "size", "label_key", "label_rid", "node_key", "node_rid")
+
+
+def in_blocks(still: DataFrame) -> DataFrame:
+    """Rows (band, node, label, size, bits) dealt out to blocks (band, cell, part) in which any two classes of a band meet, but
+    two of its ``major`` component. A band of one block has each class once; else classes outside the major one ask in all cells."""
+    by_label = still.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
+    bands = by_label.groupBy("band").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"))
+    bands = bands.select("band", F.col("top.label").alias("top"), F.ceil(F.col("n") / BLOCK).alias("cells"), F.ceil((F.col("n") - F.col("top.n")) / BLOCK).alias("parts"))
+    rows = still.join(bands, "band").withColumn("major", F.col("label") == F.col("top"))
+    one = (F.col("cells") == 1) & (F.col("parts") == 1)
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    own = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n))
+    about = ["major", "size", "label", "node", "bits"]
+    held = rows.select("band", own("cells", 0).alias("cell"), each("parts").alias("part"), F.when(one & ~F.col("major"), BOTH).otherwise(HELD).alias("role"), *about)
+    asking = rows.filter(~F.col("major") & ~one).select("band", each("cells").alias("cell"), own("parts", 1).alias("part"), F.lit(ASKS).alias("role"), *about)
+    flat = [F.col(f"{c}.{k}").alias(f"{c}_{short}") for c in ("label", "node") for k, short in (("doc_key", "key"), ("rid", "rid"))]
+    return held.unionByName(asking).select("band", "cell", "part", "role", "major", "size", *flat, "bits")
+
+
+def asking(still: DataFrame, floor: float) -> DataFrame:
+    """(node, pivot): classes and the components, larger than their own, with a member of which a band and an estimate of ``floor`` are shared."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carry: list[np.ndarray] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = [array_column(batch, c) for c in _BLOCKED] + [batch.column("bits").flatten().to_numpy(zero_copy_only=False).view(U64).reshape(-1, LONGS)]
+            if carry:
+                rows = [np.concatenate(c) for c in zip(carry, rows)]
+            edges = _edges(rows)
+            yield from _asked(rows, edges, floor)
+            carry = [c[edges[-1]:].copy() for c in rows]  # a block may go on
+        if carry:
+            yield from _asked(carry, [0, len(carry[0])], floor)
+
+    blocks = in_blocks(still).repartition("band", "cell", "part").sortWithinPartitions("band", "cell", "part")
+    found = map_arrow(blocks, work, "node_key long, node_rid long, label_key long, label_rid long").distinct()
+    return found.select(*(F.struct(F.col(f"{c}_key").alias("doc_key"), F.col(f"{c}_rid").alias("rid")).alias(n) for c, n in (("node", "node"), ("label", "pivot"))))
+
+
+def _edges(rows: list[np.ndarray]) -> list[int]:
+    new = np.zeros(len(rows[0]), bool)
+    for c in rows[:3]:
+        new[1:] |= c[1:] != c[:-1]
+    return [0, *np.flatnonzero(new).tolist()]
+
+
+def _asked(rows: list[np.ndarray], edges: list[int], floor: float) -> Iterator[pa.RecordBatch]:
+    """What asks whom in the blocks between ``edges``."""
+    *_, role, major, size, label_key, label_rid, node_key, node_rid, bits = rows
+    order = np.lexsort((label_rid, label_key, size))
+    new = (label_key[order][1:] != label_key[order][:-1]) | (label_rid[order][1:] != label_rid[order][:-1])
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.cumsum(np.append(0, new))  # equal for members of one component
+    some: list[tuple[np.ndarray, np.ndarray]] = []
+    waiting = 0
+
+    def rated() -> Iterator[pa.RecordBatch]:
+        a, b = (np.concatenate(c) for c in zip(*some))
+        hits = [at + np.flatnonzero(alike(bits[a[at: at + PAIRS]], bits[b[at: at + PAIRS]]) >= floor) for at in range(0, len(a), PAIRS)]
+        a, b = (c[np.concatenate(hits)] for c in (a, b))
+        swap = rank[a] > rank[b]
+        a, b = np.where(swap, b, a), np.where(swap, a, b)
+        if len(a):
+            yield table(node_key=node_key[a], node_rid=node_rid[a], label_key=label_key[b], label_rid=label_rid[b])
+
+    for low, high in zip(edges, edges[1:]):
+        held = low + np.flatnonzero(role[low:high] != ASKS)
+        asks = low + np.flatnonzero(role[low:high] != HELD)
+        for a in np.array_split(asks, max(1, len(asks) * len(held) >> 18)):
+            meets = (rank[a][:, None] != rank[held]) & (major[held] | (rank[a][:, None] < rank[held]))
+            i, j = np.nonzero(meets)
+            some.append((a[i], held[j]))
+            waiting += len(i)
+            if waiting >= PAIRS:
+                yield from rated()
+                some, waiting = [], 0
+    if waiting:
+        yield from rated()
 
 
 def components(links: DataFrame, name: str) -> DataFrame:
@@ -262,19 +364,14 @@ def linked(rows: DataFrame, size: int, percent: int) -> DataFrame:
     first_links = write_stage(meet(rows, of_pairs(first_pairs), size, percent), "near-confirmed")
     label = components(first_links, "near-first")
 
-    # what shares a band and is in different components now: small ones by pairs, a large one as a whole
+    # what shares a band and is in different components now
     sized = label.join(label.groupBy("label").agg(F.count(F.lit(1)).alias("size")), "label")
-    grouped = shared.select("node", "band").join(sized, "node", "left").withColumns({"label": F.coalesce("label", "node"), "size": F.coalesce("size", F.lit(1))})
+    grouped = shared.select("node", "band").join(sized, "node", "left").withColumns({"label": F.coalesce("label", "node"), "size": F.coalesce("size", F.lit(1).cast("long"))})
     open_bands = grouped.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter(F.col("low") != F.col("high")).select("band")
     still = write_stage(grouped.join(open_bands, "band").join(bits, "node"), "near-open")
-    small = still.filter(F.col("size") < LARGE)
-    a, b = (bit_columns(small, side, "band", F.col("node").alias(f"node_{side}"), F.col("label").alias(f"label_{side}")).alias(side) for side in "xy")
-    near = a.join(b, (F.col("x.band") == F.col("y.band")) & (F.col("node_x") > F.col("node_y")) & (F.col("label_x") != F.col("label_y")) & (estimate("x", "y") >= floor))
-    second_pairs = near.select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct().join(first_pairs, ["a", "b"], "left_anti")
-    large = still.filter(F.col("size") >= LARGE).select("band", F.col("label").alias("pivot"), F.col("size").alias("pivot_size")).distinct()
-    rank = F.struct("size", "label") < F.struct(F.col("pivot_size").alias("size"), F.col("pivot").alias("label"))
-    asks = write_stage(still.select("node", "band", "label", "size").join(large, "band").filter(rank).select("node", "pivot").distinct(), "near-asks")
-    roles = write_stage(of_pairs(second_pairs).unionByName(of_components(asks, label)), "near-roles")
+    asks = write_stage(asking(still, floor), "near-asks")
+    members = label.select("node", "label").unionByName(still.filter("size = 1").select("node", "label").distinct())
+    roles = write_stage(of_components(asks, members), "near-roles")
     if roles.limit(1).count():
         label = components(write_stage(first_links.unionByName(meet(rows, roles, size, percent)), "near-confirmed"), "near-all")
 
