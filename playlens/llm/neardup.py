@@ -34,7 +34,7 @@ BANDS, ROWS = 32, 5
 BINS, BITS = 512, 4
 MARGIN = 0.08  # below the threshold an estimate may lie
 SHARE = 256  # members of a group whose texts meet in one task
-BLOCK = 1_024  # members of a band whose bits meet in one task
+BLOCK = 256  # members of a band whose bits meet in one task
 PAIRS = 1 << 14  # estimates made at once
 SHINGLE, THRESHOLD = 5, 80  # words, per cent
 
@@ -308,6 +308,8 @@ def _asked(rows: list[np.ndarray], edges: list[int], floor: float) -> Iterator[p
         a, b = (c[np.concatenate(hits)] for c in (a, b))
         swap = rank[a] > rank[b]
         a, b = np.where(swap, b, a), np.where(swap, a, b)
+        first = np.unique(a * len(rank) + rank[b], return_index=True)[1]  # a class asks a component once, however many of its members look alike
+        a, b = a[first], b[first]
         if len(a):
             yield table(node_key=node_key[a], node_rid=node_rid[a], label_key=label_key[b], label_rid=label_rid[b])
 
