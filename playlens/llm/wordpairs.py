@@ -1,0 +1,200 @@
+"""The language model of operator 4: interpolated modified Kneser-Ney over pairs of words, one model a language, broadcast as sorted arrays.
+
+Words are those of the base counts, unchanged. Spark counts all words of all documents, added up per task before the shuffle; the
+``VOCABULARY`` most frequent of a language get a number, the others count as one word, ``RARE``, and are predicted as such. Spark
+then counts all pairs of a word and the one before it (``START`` before the first). Discounts, the number of distinct left
+neighbours and the sums of each context are taken over all pairs. A model keeps the ``MOST_PAIRS`` most frequent pairs at most: the
+mass of those it leaves out goes to the shorter order, so the chances after a word still add up to one, and what is
+broadcast is bounded: 2**16 words and 2**20 pairs a language, 14 MB, whatever the corpus. Look-ups are binary searches.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from playlens.llm import rolling
+from playlens.llm.stages import map_arrow, table, write_stage
+
+START, RARE, FIRST = 0, 1, 2  # the first word of a vocabulary is number FIRST
+WORD_BITS = 16
+VOCABULARY = (1 << WORD_BITS) - FIRST
+MOST_PAIRS = 1 << 20
+HELD = 1 << 22  # words that a task counts before it sends the counts on
+
+
+def _words_by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """(language, hashes of its words, row of each word) of some megabytes of text at a time."""
+    flat, offsets = rolling.text_bytes(batch.column("text"))
+    langs = np.array(batch.column("lang").to_pylist(), object)
+    for a, b in rolling.groups_of_rows(np.diff(offsets), rolling.CHUNK):
+        words, rows = rolling.word_symbols(flat[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
+        row = np.repeat(np.arange(a, b), np.diff(rows))
+        for lang in set(langs[a:b]):
+            mine = np.flatnonzero((langs == lang)[row])
+            yield lang, words[mine], row[mine]
+
+
+class _Counts:
+    """Counts of keys by language, of as many keys at a time as a task holds."""
+
+    def __init__(self):
+        self.keys: dict[str, list[np.ndarray]] = {}
+        self.size = 0
+
+    def add(self, lang: str, keys: np.ndarray) -> None:
+        self.keys.setdefault(lang, []).append(keys)
+        self.size += len(keys)
+
+    def rows(self) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+        for lang, parts in self.keys.items():
+            keys, n = np.unique(np.concatenate(parts), return_counts=True)
+            for at in range(0, len(keys), 1 << 16):
+                yield lang, keys[at: at + (1 << 16)], n[at: at + (1 << 16)]
+        self.keys, self.size = {}, 0
+
+
+def _counted(docs: DataFrame, keys: Callable[[str, np.ndarray, np.ndarray], np.ndarray], row: Callable[..., pa.RecordBatch], schema: str) -> DataFrame:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = _Counts()
+        for batch in batches:
+            for lang, words, rows in _words_by_lang(batch):
+                counts.add(lang, keys(lang, words, rows))
+            if counts.size >= HELD:
+                yield from (row(*part) for part in counts.rows())
+        yield from (row(*part) for part in counts.rows())
+
+    return map_arrow(docs, work, schema)
+
+
+def vocabularies(docs: DataFrame, size: int = VOCABULARY) -> DataFrame:
+    """(lang, word, place): hashes of the most frequent words of each language, by falling count; ties by the hash."""
+    def row(lang: str, words: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return table(lang=pa.array([lang] * len(words), pa.string()), word=words.view(np.int64), n=n)
+
+    counts = _counted(docs, lambda lang, words, rows: words, row, "lang string, word long, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    place = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    return counts.withColumn("place", place).filter(F.col("place") <= size).select("lang", "word", "place")
+
+
+@dataclass
+class Vocabulary:
+    """Sorted hashes of words and their numbers."""
+
+    hashes: np.ndarray
+    numbers: np.ndarray
+
+    @classmethod
+    def of(cls, by_place: np.ndarray) -> Vocabulary:
+        hashes = by_place.astype(np.int64).view(rolling.U64)
+        order = np.argsort(hashes)
+        return cls(hashes[order], (order + FIRST).astype(np.uint32))
+
+    def ids(self, words: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.full(len(words), RARE, np.uint32)
+        at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == words, self.numbers[at], np.uint32(RARE))
+
+    def pairs(self, words: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Each word behind the one before it in its row, as one number."""
+        ids = self.ids(words)
+        before = np.empty_like(ids)
+        before[1:] = ids[:-1]
+        before[np.flatnonzero(np.diff(rows, prepend=-1))] = START
+        return before << np.uint32(WORD_BITS) | ids
+
+
+def count_pairs(docs: DataFrame, words: dict[str, Vocabulary]) -> DataFrame:
+    """(pair, n) over all texts; the language's place in ``words`` stands above the pair's bits."""
+    shared = docs.sparkSession.sparkContext.broadcast((words, {lang: i for i, lang in enumerate(words)}))
+
+    def keys(lang: str, hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        return shared.value[0][lang].pairs(hashes, rows)
+
+    def row(lang: str, pairs: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return table(pair=pairs.astype(np.int64) | shared.value[1][lang] << 2 * WORD_BITS, n=n.astype(np.int32))
+
+    # most pairs of a task are distinct, so they are added up behind the shuffle only
+    return _counted(docs, keys, row, "pair long, n int").repartition("pair").groupBy("pair").agg(F.sum("n").alias("n"))
+
+
+def discounts(n1: float, n2: float, n3: float, n4: float) -> list[float]:
+    y = n1 / (n1 + 2 * n2) if n1 else 0.5
+    steps = [1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5]
+    return [min(max(d, 0.01), 0.95 * (i + 1)) for i, d in enumerate(steps)]
+
+
+@dataclass
+class PairModel:
+    """Log-chances of the kept pairs (sorted) and of single words, and the log of what each context leaves to the latter."""
+
+    words: Vocabulary
+    pairs: np.ndarray
+    logs: np.ndarray
+    single: np.ndarray
+    left: np.ndarray
+
+    @classmethod
+    def of(cls, words: Vocabulary, followers: np.ndarray, neighbours: np.ndarray, contexts: np.ndarray, totals: np.ndarray, kept: np.ndarray, pairs: np.ndarray, discounted: np.ndarray) -> PairModel:
+        """``neighbours``: distinct left neighbours of each of ``followers``; ``contexts``, ``totals``, ``kept``: of each word before others the count, and
+        the discounted count of the pairs that are kept; ``pairs``, ``discounted``: those pairs."""
+        size = len(words.hashes) + FIRST  # START is never predicted, RARE always may be
+        level = np.zeros(size)
+        level[followers] = neighbours
+        steps = np.array([0.0, *discounts(*(float((level == i).sum()) for i in (1, 2, 3, 4)))])
+        own = steps[np.minimum(level, 3).astype(int)]
+        total = max(level.sum(), 1.0)
+        chance = (level - own) / total + (own.sum() / total if level.any() else 1.0) / (size - 1)
+        left = np.ones(size)
+        left[contexts] = 1 - kept / totals
+        total_of = np.ones(size)
+        total_of[contexts] = totals
+        order = np.argsort(pairs)
+        pairs, discounted = pairs[order].astype(np.uint32), discounted[order]
+        before, word = pairs >> np.uint32(WORD_BITS), pairs & np.uint32((1 << WORD_BITS) - 1)
+        logs = np.log(discounted / total_of[before] + left[before] * chance[word])
+        return cls(words, pairs, logs.astype(np.float32), np.log(chance), np.log(np.maximum(left, 1e-300)))
+
+    def scores(self, pairs: np.ndarray) -> np.ndarray:
+        """Log-chance of each pair's word behind the one before it."""
+        out = self.left[pairs >> np.uint32(WORD_BITS)] + self.single[pairs & np.uint32((1 << WORD_BITS) - 1)]
+        if len(self.pairs):
+            at = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
+            hit = self.pairs[at] == pairs
+            out[hit] = self.logs[at[hit]]
+        return out
+
+
+def models(docs: DataFrame, words: dict[str, Vocabulary], most: int = MOST_PAIRS) -> dict[str, PairModel]:
+    """A model of each language of ``words`` from all of its documents. The driver gets bounded tables, one language at a time."""
+    spark = docs.sparkSession
+    low = lambda column, bits: column.bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
+    place = F.shiftright("pair", 2 * WORD_BITS).cast("int")
+    context, word = low(F.shiftright("pair", WORD_BITS), WORD_BITS).cast("int"), low(F.col("pair"), WORD_BITS).cast("int")
+    counts = write_stage(count_pairs(docs, words), "quality-pairs")
+    kinds = counts.groupBy(place.alias("place"), "n").agg(F.count(F.lit(1)).alias("k"))  # a row for each count that occurs
+    upto = kinds.withColumn("upto", F.sum("k").over(W.partitionBy("place").orderBy(F.desc("n"))))
+    of = lambda i: F.sum(F.when(F.col("n") == i, F.col("k")).otherwise(0)).alias(f"n{i}")
+    known = upto.groupBy("place").agg(F.coalesce(F.min(F.when(F.col("upto") <= most, F.col("n"))), F.max("n") + 1).alias("least"), *[of(i) for i in (1, 2, 3, 4)]).collect()
+    steps = {r["place"]: (r["least"], discounts(r["n1"], r["n2"], r["n3"], r["n4"])) for r in known}
+    if not steps:
+        none = np.empty(0, np.int64)
+        return {lang: PairModel.of(v, *[none] * 7) for lang, v in words.items()}
+    rules = F.broadcast(spark.createDataFrame([(p, least, *map(float, d)) for p, (least, d) in steps.items()], "place int, least long, d1 double, d2 double, d3 double"))
+    cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+    held = counts.withColumn("place", place).join(rules, "place").withColumn("worth", F.when(F.col("n") >= F.col("least"), F.col("n") - cut))
+    before = write_stage(held.groupBy("place", context.alias("context")).agg(F.sum("n").alias("total"), F.coalesce(F.sum("worth"), F.lit(0.0)).alias("kept")), "quality-contexts")
+    left = write_stage(counts.groupBy(place.alias("place"), word.alias("word")).agg(F.count(F.lit(1)).alias("n")), "quality-words")
+    pairs = write_stage(held.filter("worth IS NOT NULL").select("place", low(F.col("pair"), 2 * WORD_BITS).alias("pair"), "worth"), "quality-kept")
+    out = {}
+    for i, (lang, vocabulary) in enumerate(words.items()):
+        own = lambda df, *columns: [c.to_numpy() for c in df.filter(F.col("place") == i).select(*columns).toArrow().columns]
+        out[lang] = PairModel.of(vocabulary, *own(left, "word", "n"), *own(before, "context", "total", "kept"), *own(pairs, "pair", "worth"))
+    return out
