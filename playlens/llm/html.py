@@ -1,7 +1,9 @@
 """HTML extraction (operator 8): the main text of pages.
 
-Where a page says what its parts are, its structure decides: blocks of an ``article`` (or ``main``) are text, and navigation,
-headers, footers, forms, adverts, notices and comments inside or outside are not. Pages without such a part are decided by
+Where a page says what its parts are, its structure comes first: blocks of an ``article`` (or ``main``) are text, and navigation,
+headers, footers, forms, adverts, notices and comments inside or outside are not. Then the page's host decides over the blocks of
+the article: one that is covered by a stretch which most pages of the host hold is a notice that nothing marks as such, and goes.
+These stretches are found among the suffixes of the host's token streams that start where a block starts. Pages without such a part are decided by
 their host: the token streams of all of a host's pages are taken together, and stretches of ``WINDOW`` or more tokens that
 stand on distinct pages are boilerplate. That is the part of the host's suffix array where neighbours share that many
 tokens; suffixes are therefore grouped by the hash of their first ``WINDOW`` tokens, added up before the shuffle, and no
@@ -22,10 +24,11 @@ from pyspark.sql import functions as F
 
 from playlens.llm import repeats
 from playlens.llm.rolling import U64, PrefixHash
-from playlens.llm.stages import array_column, key_columns, map_arrow, original_id, small_batches, table, write_stage
+from playlens.llm.stages import array_column, hash_bitmap, in_bitmap, key_columns, map_arrow, original_id, small_batches, table, write_stage
 from playlens.llm.urls import host_and_path
 
 WINDOW = 8
+LEAST_PAGES = 5  # of a host, that hold a stretch of their articles which is no text
 
 PIECES = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)|([^<]+|<)""", re.S)
 ATTRIBUTES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I | re.S)
@@ -157,7 +160,8 @@ def extracted(pages: DataFrame, id_column: str = "page_id", url: str = "url", ht
     Character references are decoded, white space and line breaks inside a block become one space, blocks are joined by a line break.
     A null or empty page has an empty text. Rows are pages of their own, also where ids repeat or are null; a page repeated
     under one id is one page for the question whether a stretch stands on distinct pages. An article beside which
-    far more text stands outside than in it is a teaser: then the host decides over all blocks.
+    far more text stands outside than in it is a teaser: then the host decides over all blocks. A block of an article goes where
+    more than half of the host's pages (``LEAST_PAGES`` at least) hold it, unless that is all of the article.
     """
     small_batches(pages.sparkSession)
     rows = pages.select(F.col(id_column).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html).alias("html"))
@@ -169,7 +173,7 @@ def extracted(pages: DataFrame, id_column: str = "page_id", url: str = "url", ht
 
     # every page is parsed once
     parsed = write_stage(map_arrow(rows, parse, "page_id long, url string, text string, blocks string"), "html-parsed")
-    by_structure = parsed.filter("blocks IS NULL").select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    by_structure = _without_notices(parsed.filter("blocks IS NULL").select("page_id", "url", "text"), window).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
     rest = parsed.filter("blocks IS NOT NULL").select("page_id", "url", "blocks")
     out = by_structure.unionByName(_by_host(rest, window, "page_id long, url string, text string, n_chars long"))
     return out.select(F.col("page_id").alias(id_column), F.col("url").alias(url), "text", "n_chars")
@@ -179,6 +183,67 @@ def _tokens(page: str) -> list[list[str]]:
     return [b.split(" ") for b in page.split("\n")]
 
 
+def _block_grams(text: str, window: int, host: int) -> list[int | None]:
+    """Of each block the hash of the stretch that starts with it: the whole block, and ``window`` tokens at least (else None)."""
+    blocks = _tokens(text)
+    tokens, at, out = [t for b in blocks for t in b], 0, []
+    for block in blocks:
+        stretch = tokens[at: at + max(window, len(block))]
+        out.append(xxhash.xxh3_64_intdigest(" ".join(stretch), seed=host) if len(stretch) >= window else None)
+        at += len(block)
+    return out
+
+
+def _without_notices(pages: DataFrame, window: int) -> DataFrame:
+    """(page_id, url, text) of pages with an article, without the blocks that most pages of their host hold."""
+    host, _ = host_and_path("url")
+    key, rid = key_columns(pages, "page_id", "text")
+    rows = pages.select(key.alias("doc_key"), rid.alias("rid"), "url", "text", F.xxhash64(F.coalesce(host, F.lit(""))).alias("host"))
+    page = ["doc_key", "rid"]
+
+    def starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, rid, hosts = (array_column(batch, c) for c in ("doc_key", "rid", "host"))
+            at, grams, places = [], [], []
+            for i, text in enumerate(batch.column("text")):
+                for place, gram in enumerate(_block_grams(text.as_py() or "", window, int(hosts[i]) % (1 << 64))):
+                    if gram is not None:
+                        at.append(i)
+                        grams.append(gram)
+                        places.append(place)
+            yield table(host=hosts[at], gram=np.array(grams, U64).view(np.int64), doc_key=doc[at], rid=rid[at], place=np.array(places, np.int32))
+
+    shape = "host long, gram long, doc_key long, rid long, place int"
+    held = map_arrow(rows.select(*page, "host", "text"), starts, shape).groupBy("host", "gram").agg(F.countDistinct(*page).alias("n")).filter(F.col("n") >= LEAST_PAGES)
+    sizes = rows.groupBy("host").agg(F.countDistinct(*page).alias("pages"))
+    common = write_stage(held.join(sizes, "host").filter(2 * F.col("n") > F.col("pages")).select("host", "gram"), "html-notices")
+    if not common.limit(1).count():
+        return pages
+    bitmap = hash_bitmap(common, "gram")  # keeps pages without such blocks out of the join
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams = [[g for g in _block_grams(text.as_py() or "", window, h % (1 << 64)) if g is not None] for text, h in zip(batch.column("text"), batch.column("host").to_pylist())]
+            likely = [bool(len(g)) and bool(in_bitmap(np.array(g, U64), bitmap.value).any()) for g in grams]
+            yield table(**{c: batch.column(c) for c in (*page, "url", "text", "host")}, likely=pa.array(likely, pa.bool_()))
+
+    every = map_arrow(rows.select(*page, "url", "text", "host"), marked, "doc_key long, rid long, url string, text string, host long, likely boolean")
+    likely = every.filter("likely")
+    gone = map_arrow(likely.select(*page, "host", "text"), starts, shape).join(common, ["host", "gram"]).groupBy(*page).agg(F.collect_set("place").alias("gone"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for text, places in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist()):
+                left = [b for i, b in enumerate(text.split("\n")) if i not in set(places or ())]
+                texts.append("\n".join(left) or text)
+            yield table(doc_key=batch.column("doc_key"), url=batch.column("url"), text=pa.array(texts, pa.string()))
+
+    some = map_arrow(likely.join(gone, page, "left").select("doc_key", "url", "text", "gone"), cut, "doc_key long, url string, text string")
+    out = some.unionByName(every.filter("not likely").select("doc_key", "url", "text"))
+    return out.select(original_id("doc_key").alias("page_id"), "url", "text")
+
+
 def _by_host(pages: DataFrame, window: int, shape: str) -> DataFrame:
     """Pages without an article: tokens outside stretches that other pages of their host hold too."""
     host, _ = host_and_path("url")

@@ -310,3 +310,20 @@ def test_symbols_are_those_of_single_characters():
     assert np.diff(offsets).tolist() == [len(t or "") for t in texts] and symbols.max() < 32
     alone = [quality.symbols_of(pa.array([c]))[0].tolist() for t in texts for c in t or ""]
     assert symbols.tolist() == sum(alone, []) and symbols[1] == symbols[3]
+
+
+def test_notices_that_most_pages_of_a_host_hold_in_their_articles(spark):
+    """Nothing marks them; a stretch that few pages share, a whole shared article and small hosts stay."""
+    notice, quote = "sign up now to read all of our stories first", "these nine words stand in two articles and stay"
+    own = lambda i: " ".join(f"{i}{c}" for c in "abcdefghij")
+    article = lambda *parts: "<article>" + "".join(f"<p>{p}</p>" for p in parts) + "</article>"
+    rows = [(i, f"http://h.org/{i}", article(own(i), notice, quote if i < 2 else "x", own(i + 100))) for i in range(9)]
+    rows += [rows[0], (20, "http://h.org/20", article(notice)), (None, "http://h.org/21", article(notice, own(21)))]
+    rows += [(i, f"http://small.org/{i}", article(own(i), notice)) for i in range(30, 34)]
+    rows += [(i, f"http://one.org/{i % 2}", article(notice, own(40))) for i in (40, 40, 40, 40, 40, 40)]
+    rows += [(i, f"http://half.org/{i}", article(own(i), notice if i < 55 else "y")) for i in range(50, 60)]
+    got = sorted(((r.page_id or 0, r.text, r.n_chars) for r in html.extracted(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()))
+    want = [(i, "\n".join([own(i), quote if i < 2 else "x", own(i + 100)])) for i in [0, *range(9)]] + [(0, own(21)), (20, notice)]
+    want += [(i, f"{own(i)}\n{notice}") for i in range(30, 34)] + [(40, f"{notice}\n{own(40)}")] * 6
+    want += [(i, f"{own(i)}\n{notice if i < 55 else 'y'}") for i in range(50, 60)]
+    assert got == sorted((i, t, len(t)) for i, t in want)
