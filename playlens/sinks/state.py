@@ -24,8 +24,12 @@ def bucket(keys: list[str], n: int = BUCKETS) -> Column:
 
 
 def write_parts(df: DataFrame, path: str, batch_id: int, part: str = PART) -> None:
-    """Append rows to the folders of their parts; the folders of the same batch are replaced."""
-    out = df.withColumn(BATCH, F.lit(batch_id).cast("long"))
+    """Append rows to the folders of their parts; the folders of the same batch are replaced.
+
+    Rows of a part meet before they are written, large parts in several tasks, so the files are as many as the parts
+    and the data need, not as tasks times parts.
+    """
+    out = df.hint("rebalance", part).withColumn(BATCH, F.lit(batch_id).cast("long"))
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part, BATCH).parquet(path)
 
 
@@ -61,8 +65,9 @@ def advance(rows: DataFrame, path: str, batch_id: int, keys: list[str], value: C
     change nothing.
     """
     spark, merge = rows.sparkSession, _merge(how)
-    named = rows.select(*keys, value.alias("value"), part.alias(PART)).dropna(subset=[*keys, "value", PART])
-    fresh = write_stage(named.groupBy(PART, *keys).agg(merge("value").alias("value")), "state-batch")
+    named = rows.select(*keys, value.alias("value"), part.alias(PART))
+    # nulls go behind the written table: before it, Spark would compute every key once more for each check
+    fresh = write_stage(named.groupBy(PART, *keys).agg(merge("value").alias("value")), "state-batch").dropna(subset=[*keys, "value", PART])
     touched = {str(r[0]) for r in fresh.select(F.col(PART).cast("string")).distinct().collect()}  # buckets, or days of a batch
     schema = _schema(fresh, keys)
     stored = _stored(spark, path, schema, batch_id, lambda name: name in touched)
