@@ -303,23 +303,35 @@ def append_table(spark, sf):
 
 
 # --- streams -----------------------------------------------------------------------------------------------
+FILE_ROWS = 500_000  # of the event table to a file of a micro-batch
+
+
+def batch_files(spark, sf):
+    """Files that a micro-batch consists of: one, or as many as keep the tasks of a large table's batches busy."""
+    return max(1, roles.table(spark, sf, "events").count() // (3 * FILE_ROWS))
+
+
 def event_stream(spark, sf, files=("event_id % 3 = 1", "event_id % 3 = 0", "event_id % 3 = 2"), shifted=None):
-    """The event table as a stream of files, one file per micro-batch; each file holds the rows of one condition.
+    """The event table as a stream of files; the files of a micro-batch hold the rows of one condition.
 
-    By default every file spans all days, so most rows come late. ``shifted`` changes the raw table first.
+    By default every batch spans all days, so most rows come late. ``shifted`` changes the raw table first.
     """
     path = work_folder(spark, "stream")
     add_files(spark, sf, path, files, shifted)
-    return roles.as_events(logs.stream_folder(spark, path, roles.table(spark, sf, "events").schema, max_files=1))
+    return roles.as_events(logs.stream_folder(spark, path, roles.table(spark, sf, "events").schema, max_files=batch_files(spark, sf)))
 
 
 def add_files(spark, sf, path, files, shifted=None):
-    """More files for a stream that reads ``path``; the source takes files in order of their time."""
-    ev = roles.table(spark, sf, "events")
+    """More files for a stream that reads ``path``; the source takes files in order of their time.
+
+    Rows are dealt out evenly, so a condition with many rows fills all files of its batch.
+    """
+    ev, n = roles.table(spark, sf, "events"), batch_files(spark, sf)
     ev = shifted(ev) if shifted else ev
     for condition in files:
         time.sleep(1.1)  # times are in seconds
-        ev.filter(condition).coalesce(1).write.mode("append").parquet(path)
+        rows = ev.filter(condition)
+        (rows.coalesce(1) if n == 1 else rows.repartition(n)).write.mode("append").parquet(path)
 
 
 def run(stream, each, spark):
