@@ -155,3 +155,32 @@ def test_malformed_lines_are_kept_apart(spark):
     assert sorted((r.is_valid, r.game_id) for r in got.collect() if r.is_valid) == [(True, 12)]
     assert got.filter(~F.col("is_valid")).count() == 2
     assert [r.is_valid for r in logs.parse_tagged(df, "bi_login").collect()] == [False]
+
+
+def test_micro_batches_of_large_tables_are_several_files(spark, sf, monkeypatch):
+    from playlens.plans import feeds
+    from playlens.sources import roles
+
+    rows = roles.table(spark, sf, "events").count()
+    assert feeds.batch_files(spark, sf) == 1
+    monkeypatch.setattr(feeds, "FILE_ROWS", rows // 12)
+    n = feeds.batch_files(spark, sf)
+    assert n >= 4
+    seen = {}
+    feeds.run(feeds.event_stream(spark, sf), lambda df, batch: seen.update({batch: ([r.event_id for r in df.select("event_id").collect()], len(df.inputFiles()))}), spark)
+    assert [{i % 3 for i in ids} for ids, _ in (seen[b] for b in sorted(seen))] == [{1}, {0}, {2}]
+    assert sum(len(ids) for ids, _ in seen.values()) == rows
+
+
+def test_a_part_is_written_by_few_tasks_and_null_keys_change_nothing(spark):
+    import os
+
+    rows = spark.createDataFrame([(i % 3, f"k{i % 50}", i) for i in range(400)] + [(1, None, -5), (None, "k1", -6), (2, "k2", None)], "d int, k string, v int").repartition(8)
+    path = work_folder(spark, "parts")
+    state.write_parts(rows.filter("d IS NOT NULL").withColumnRenamed("d", "part"), path, 0)
+    assert {sum(f.endswith(".parquet") for f in os.listdir(f"{path}/part={p}/batch_id=0")) for p in range(3)} == {1}
+    moved = state.advance(rows, work_folder(spark, "state"), 0, ["k"], F.col("v"), "min", F.col("d")).collect()
+    want = {}
+    for i in range(400):
+        want.setdefault((i % 3, f"k{i % 50}"), i)
+    assert {(r.part, r.k): r.new for r in moved} == want
