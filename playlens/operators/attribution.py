@@ -197,45 +197,47 @@ MERGED = [*MERGED_SUMS, *MERGED_VIEWERS.values(), *MERGED_DEVICES]
 # --------------------------------------------------------------------------------------------------
 
 
-def merged_ad_facts(scope: str, landings: DataFrame, actives: DataFrame, regs: DataFrame, orders: DataFrame, logins: DataFrame, new_regs: DataFrame) -> DataFrame:
-    """Facts of the merged table for one scope (``ad`` or ``all``): scope, game_id, day, package, measure, entity, cents.
+def merged_ad_facts(landings: DataFrame, actives: DataFrame, regs: DataFrame, orders: DataFrame, logins: DataFrame, new_regs: DataFrame) -> DataFrame:
+    """Facts of the merged table: scope, game_id, day, package, measure, entity, cents.
 
-    ``landings`` (type, ip), ``actives``, ``regs`` and ``orders`` carry game_id, package, day and device; ``orders`` also
-    new_payer and cents; ``logins`` (game_id, device, day); ``new_regs`` (game_id, device, day): the first registration of a device for a game.
+    ``landings`` (type, ip), ``actives`` (active_id, device), ``regs`` (device) and ``orders`` (device, new_payer, cents) carry scope
+    (``ad``, or ``all`` without a package), game_id, day and package, so that both scopes meet logins and first registrations in one pass;
+    ``logins`` (game_id, device, day); ``new_regs`` (game_id, device, day): the first registration of a device for a game.
     """
-    place = ["game_id", "day", "package"]
-    def facts(df, measure, entity, cents=F.lit(0).cast("long")):
-        return df.select(F.lit(scope).alias("scope"), *place, F.lit(measure).alias("measure"), entity.cast("string").alias("entity"), cents.alias("cents"))
-    device = F.col("device")
+    place = ["scope", "game_id", "day", "package"]
+    def facts(df, *measures):
+        """One row per measure whose condition holds, from one reading of ``df``: (measure, condition, entity, cents)."""
+        held = [F.when(cond, F.struct(F.lit(m).alias("measure"), entity.cast("string").alias("entity"), cents.alias("cents"))) for m, cond, entity, cents in measures]
+        return df.select(*place, F.inline(F.array(*held))).filter("measure IS NOT NULL")
+    device, always, one, none = F.col("device"), F.lit(True), F.lit(1).cast("long"), F.lit(0).cast("long")
     has = valid_device("device")
     reg_days = regs.filter(has).select(*place, "device").distinct()
-    first = reg_days.join(new_regs, ["game_id", "day", "device"], "left_semi")
+    born = new_regs.select("game_id", "device", F.col("day").alias("born"))
+    known = reg_days.join(born, ["game_id", "device"], "left").withColumn("is_first", F.coalesce(F.col("born") == F.col("day"), F.lit(False)))
     per_day = logins.filter(has).groupBy("game_id", "device", F.col("day").alias("login_day")).agg(F.count(F.lit(1)).alias("times"))
-    back = first.join(per_day, ["game_id", "device"]).withColumn("dur", F.datediff("login_day", "day"))
-    kinds = F.when(F.col("type") == 4, "requests").when(F.col("type") == 2, "downloads")
-    landed = landings.withColumn("measure", kinds).filter("measure IS NOT NULL")
-    paid = orders.withColumn("known", F.when(has, device))
+    # only the days that count meet the logins
+    looked = known.filter("is_first").withColumn("dur", F.explode(F.array(*map(F.lit, (0, *MERGED_OFFSETS)))))
+    back = looked.withColumn("login_day", F.date_add("day", F.col("dur"))).join(per_day, ["game_id", "device", "login_day"])
+    come_back = reg_days.select("scope", "game_id", "day", "device").distinct()
+    payer = F.when(has, device)
     parts = [
-        landed.select(F.lit(scope).alias("scope"), *place, "measure", F.col("ip").alias("entity"), F.lit(1).cast("long").alias("cents")),
-        facts(actives, "actives", F.col("active_id")),
-        facts(actives.filter(has).join(reg_days.select("game_id", "day", "device").distinct(), ["game_id", "day", "device"], "left_semi"), "active_regi_devices", device),
-        facts(reg_days, "regi_devices", device), facts(first, "new_regi_devices", device),
-        facts(back.filter("dur = 0 AND times >= 2"), "second_login_devices", device),
-        *[facts(back.filter(F.col("dur") == n), name, device) for n, name in MERGED_OFFSETS.items()],
-        facts(paid, "pay_cents", F.col("known"), F.col("cents")), facts(paid.filter("known IS NOT NULL"), "pay_devices", F.col("known")),
-        facts(paid.filter("new_payer"), "new_pay_cents", F.col("known"), F.col("cents")),
-        facts(paid.filter("new_payer AND known IS NOT NULL"), "new_pay_devices", F.col("known")),
+        facts(landings, ("requests", F.col("type") == 4, F.col("ip"), one), ("downloads", F.col("type") == 2, F.col("ip"), one)),
+        facts(actives, ("actives", always, F.col("active_id"), none)),
+        facts(actives.filter(has).join(come_back, ["scope", "game_id", "day", "device"], "left_semi"), ("active_regi_devices", always, device, none)),
+        facts(known, ("regi_devices", always, device, none), ("new_regi_devices", F.col("is_first"), device, none)),
+        facts(back, ("second_login_devices", (F.col("dur") == 0) & (F.col("times") >= 2), device, none), *[(name, F.col("dur") == n, device, none) for n, name in MERGED_OFFSETS.items()]),
+        facts(orders, ("pay_cents", always, payer, F.col("cents")), ("pay_devices", payer.isNotNull(), payer, none),
+              ("new_pay_cents", F.col("new_payer"), payer, F.col("cents")), ("new_pay_devices", F.col("new_payer") & payer.isNotNull(), payer, none)),
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
-def merged_ad_table(ad: DataFrame, every: DataFrame) -> DataFrame:
+def merged_ad_table(facts: DataFrame) -> DataFrame:
     """Attributed rows per package, and a natural row per game and day: all less attributed, in the same two aggregates.
 
     Rows without any measure are left out.
     """
     place = ["scope", "game_id", "day", "package"]
-    facts = ad.unionByName(every.withColumn("package", F.lit("")))
     entities = facts.groupBy(*place, "measure", "entity").agg(F.sum("cents").alias("cents"))
     at = lambda name, value: F.coalesce(F.sum(F.when(F.col("measure") == name, value)), F.lit(0)).cast("long")
     columns = [at(m, F.col("cents")).alias(m) for m in MERGED_SUMS] + [at(m, F.lit(1)).alias(uv) for m, uv in MERGED_VIEWERS.items()] + [at(m, F.lit(1)).alias(m) for m in MERGED_DEVICES]

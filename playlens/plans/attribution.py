@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from playlens.functions.cleanse import device_hash, valid_orders
 from playlens.operators import attribution, cohort
 from playlens.operators.aggregates import zero_filled_union
+from playlens.operators.keyed import first_row
 from playlens.plans import plan, within_query
 from playlens.session import write_stage
 from playlens.sources import roles
@@ -19,30 +20,57 @@ def _traits(df):
     })
 
 
+def event_log(spark, sf):
+    """The events of the four kinds with their traits, parsed once per query and kept by kind: a reader opens its own kind's files alone."""
+    def parsed():
+        rows = _traits(roles.events(spark, sf)).filter(F.col("event_type").isin("view", "click", "signup", "purchase"))
+        return write_stage(rows.drop("expand_channel", "medium", "site"), "ad-log", ["event_type"])
+    return within_query(f"ad-log {sf}", parsed)
+
+
+def logins(spark, sf):
+    return roles.as_logins(event_log(spark, sf))
+
+
+def own_regs(spark, sf):
+    return roles.as_regs(event_log(spark, sf)).withColumnRenamed("event_id", "reg_id")
+
+
+def accounts(spark, sf):
+    """First registrations."""
+    rows = own_regs(spark, sf).select("account", "game_id", "device", "reg_day", "reg_ts", "reg_id")
+    return within_query(f"ad-accounts {sf}", lambda: write_stage(first_row(rows, ["account"], ["reg_ts", "reg_id"]), "ad-accounts"))
+
+
+def paid(spark, sf):
+    return within_query(f"ad-paid {sf}", lambda: write_stage(valid_orders(roles.as_game_orders(event_log(spark, sf))), "ad-paid"))
+
+
 def ad_clicks(spark, sf):
-    c = _traits(roles.clicks(spark, sf)).withColumnRenamed("event_id", "click_id")
+    c = roles.as_clicks(event_log(spark, sf)).withColumnRenamed("event_id", "click_id")
     return c.withColumns({"network": (F.col("k") % 4 + 1).cast("int"), "idea_id": F.concat(F.lit("i"), F.col("k") % 6),
                           "level1": F.concat(F.lit("a"), F.col("k") % 3), "level2": F.concat(F.lit("b"), F.col("k") % 5)})
 
 
 def ad_actives(spark, sf):
-    rows = _traits(roles.actives(spark, sf)).withColumnRenamed("event_id", "active_id")
-    return attribution.first_activations(rows.select("active_id", "active_ts", "day", "game_id", "os", "device", "android_id", "ip", "dev_type", "sys_version"))
+    return _detail("actives", spark, sf)
 
 
 def _detail(kind: str, spark, sf: str):
     """The detail tables are written once per query, however many of its parts read them."""
-    return within_query(f"ad-{kind}", lambda: _written(kind, spark, sf))
+    return within_query(f"ad-{kind} {sf}", lambda: _written(kind, spark, sf))
 
 
 def _written(kind: str, spark, sf: str):
     if kind == "matches":
         return attribution.attribute_activation(ad_actives(spark, sf), ad_clicks(spark, sf))
-    if kind == "activations":
+    if kind == "actives":
+        rows = roles.as_actives(event_log(spark, sf)).withColumnRenamed("event_id", "active_id")
+        found = attribution.first_activations(rows.select("active_id", "active_ts", "day", "game_id", "os", "device", "android_id", "ip", "dev_type", "sys_version"))
+    elif kind == "activations":
         found = attribution.attributed_activations(ad_actives(spark, sf), ad_clicks(spark, sf), matches(spark, sf), CLICK_FIELDS)
     else:
-        regs = _traits(roles.regs(spark, sf)).withColumnRenamed("event_id", "reg_id")
-        found = attribution.attribute_registration(regs, activations(spark, sf), CARRIED)
+        found = attribution.attribute_registration(own_regs(spark, sf), activations(spark, sf), CARRIED)
     return write_stage(found, f"ad-{kind}")
 
 
@@ -63,7 +91,7 @@ def registrations(spark, sf):
 
 
 def orders(spark, sf):
-    return attribution.attribute_order(valid_orders(roles.game_orders(spark, sf)), registrations(spark, sf), CARRIED)
+    return attribution.attribute_order(paid(spark, sf), registrations(spark, sf), CARRIED)
 
 
 def _rule_sql(os: int, step: int, fields: list[str], earlier: list[str]) -> str:
@@ -190,12 +218,9 @@ REST = ", ".join(f"CAST(t.{m} - coalesce(x.{m}, 0) AS BIGINT) AS {m}" for m in M
 
 
 def totals(spark, sf):
-    firsts = roles.regs(spark, sf).withColumnRenamed("event_id", "reg_id")
-    from playlens.operators.keyed import first_row
-    accounts = first_row(firsts.select("account", "game_id", "reg_day", "reg_ts", "reg_id"), ["account"], ["reg_ts", "reg_id"])
     count = lambda df, name, day="day": df.groupBy("game_id", F.col(day).alias("day")).agg(F.count("*").alias(name))
-    pay = valid_orders(roles.game_orders(spark, sf)).groupBy("game_id", "day").agg(F.sum("cents").alias("pay_cents"))
-    return zero_filled_union([count(ad_actives(spark, sf), "actives"), count(accounts, "regis", "reg_day"), pay], ["game_id", "day"], MEASURES)
+    pay = paid(spark, sf).groupBy("game_id", "day").agg(F.sum("cents").alias("pay_cents"))
+    return zero_filled_union([count(ad_actives(spark, sf), "actives"), count(accounts(spark, sf), "regis", "reg_day"), pay], ["game_id", "day"], MEASURES)
 
 
 def by_package(spark, sf):
@@ -227,8 +252,8 @@ def _ad_cohort_sql():
 def ad_retention_ltv(spark, sf):
     keys = ["game_id", "package"]
     regs = _renamed(registrations(spark, sf)).withColumn("reg_day", F.to_date("reg_ts")).select(*keys, "account", "reg_day")
-    value = cohort.cohort_value(regs, valid_orders(roles.game_orders(spark, sf)), ["account"], keys, days=cohort.AD_LTV_DAYS, total="total_cents")
-    back = cohort.retention(regs, roles.logins(spark, sf), ["account"], keys, ["account"], offsets=cohort.REALTIME_OFFSETS)
+    value = cohort.cohort_value(regs, paid(spark, sf), ["account"], keys, days=cohort.AD_LTV_DAYS, total="total_cents")
+    back = cohort.retention(regs, logins(spark, sf), ["account"], keys, ["account"], offsets=cohort.REALTIME_OFFSETS)
     return value.join(back, [*keys, "reg_day"], "left").fillna(0, [f"retained_{n}" for n in cohort.REALTIME_OFFSETS])
 
 
@@ -246,9 +271,8 @@ def _device_cohort_sql():
 def ad_device_retention_ltv(spark, sf):
     """Devices count where they registered, and come back under the channel of their own login."""
     regs = _renamed(registrations(spark, sf)).withColumn("reg_day", F.to_date("reg_ts"))
-    logins = _traits(roles.logins(spark, sf)).select("game_id", "package", "device", "day")
-    bought = _renamed(_traits(orders(spark, sf)))
-    return attribution.ad_device_cohorts(regs, logins, bought, ["game_id", "package"])
+    back = logins(spark, sf).select("game_id", "package", "device", "day")
+    return attribution.ad_device_cohorts(regs, back, _renamed(orders(spark, sf)), ["game_id", "package"])
 
 
 def _merged_sql():
@@ -287,21 +311,18 @@ def _merged_sql():
 @plan("merged_ad_kpi_full", _merged_sql())
 def merged_ad_kpi_full(spark, sf):
     """All measures; landings count for a package where it is known."""
-    from playlens.operators.keyed import first_row
-    landings = roles.clicks(spark, sf)
-    own_regs = _traits(roles.regs(spark, sf)).withColumn("day", F.col("reg_day"))
-    new_regs = own_regs.filter("device <> ''").groupBy("game_id", "device").agg(F.min("day").alias("day"))
-    accounts = first_row(own_regs.select("account", "game_id", "device", "day", "reg_ts", F.col("event_id").alias("reg_id")), ["account"], ["reg_ts", "reg_id"])
-    logins = _traits(roles.logins(spark, sf)).select("game_id", "device", "day")
-    paid = _traits(valid_orders(roles.game_orders(spark, sf)))
-    born = accounts.select("account", F.col("day").alias("born"))
-    every = attribution.merged_ad_facts(
-        "all", landings, ad_actives(spark, sf).withColumn("package", F.lit("")), accounts.withColumn("package", F.lit("")),
-        paid.join(born, "account", "left").withColumn("new_payer", F.coalesce(F.col("born") == F.col("day"), F.lit(False))), logins, new_regs)
-    ad = attribution.merged_ad_facts(
-        "ad", landings.filter("package <> ''"), _renamed(activations(spark, sf)), _renamed(registrations(spark, sf)).withColumn("day", F.to_date("reg_ts")),
-        _renamed(_traits(orders(spark, sf))), logins, new_regs)
-    return attribution.merged_ad_table(ad, every)
+    def scoped(ad, every, *columns):
+        of = lambda df, scope, package: df.select(F.lit(scope).alias("scope"), "game_id", "day", package.alias("package"), *columns)
+        return of(ad, "ad", F.col("package")).unionByName(of(every, "all", F.lit("")))
+
+    landings, firsts = roles.as_clicks(event_log(spark, sf)), accounts(spark, sf).withColumnRenamed("reg_day", "day")
+    born = firsts.select("account", F.col("day").alias("born"))
+    every = paid(spark, sf).join(born, "account", "left").withColumn("new_payer", F.coalesce(F.col("born") == F.col("day"), F.lit(False)))
+    new_regs = own_regs(spark, sf).filter("device <> ''").groupBy("game_id", "device").agg(F.min("reg_day").alias("day"))
+    won = _renamed(registrations(spark, sf)).withColumn("day", F.to_date("reg_ts"))
+    return attribution.merged_ad_table(attribution.merged_ad_facts(
+        scoped(landings.filter("package <> ''"), landings, "type", "ip"), scoped(_renamed(activations(spark, sf)), ad_actives(spark, sf), "active_id", "device"),
+        scoped(won, firsts, "device"), scoped(_renamed(orders(spark, sf)), every, "device", "new_payer", "cents"), logins(spark, sf), new_regs))
 
 
 NATURAL = {f"retained_{n}": n for n in cohort.REALTIME_OFFSETS}
@@ -325,10 +346,8 @@ def _natural_cohort_sql():
 @plan("natural_retention", _natural_cohort_sql())
 def natural_retention(spark, sf):
     """Retention and value of accounts that no advertisement brought: all first registrations less the attributed ones."""
-    from playlens.operators.keyed import first_row
-    every = first_row(roles.regs(spark, sf).select("account", "game_id", "reg_day", "reg_ts", F.col("event_id").alias("reg_id")), ["account"], ["reg_ts", "reg_id"])
     won = registrations(spark, sf).withColumn("reg_day", F.to_date("reg_ts")).select("account", "game_id", "reg_day")
-    return attribution.natural_cohorts(every, won, roles.logins(spark, sf), valid_orders(roles.game_orders(spark, sf)), ["game_id"], NATURAL_DAYS)
+    return attribution.natural_cohorts(accounts(spark, sf), won, logins(spark, sf), paid(spark, sf), ["game_id"], NATURAL_DAYS)
 
 
 @plan("reward_network_audit", """WITH rep AS (SELECT game_id, imei, day FROM g_clicks WHERE type IN (1, 2) AND imei <> ''), d AS (SELECT game_id, imei, day, count(*) AS n FROM rep GROUP BY ALL),

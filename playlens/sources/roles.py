@@ -52,20 +52,36 @@ def _of_type(ev: DataFrame, kind: str, ts: str) -> DataFrame:
     return ev.filter(F.col("event_type") == kind).withColumn(ts, F.col("ts"))
 
 
+def as_regs(ev: DataFrame) -> DataFrame:
+    return _of_type(ev, "signup", "reg_ts").withColumnRenamed("day", "reg_day")
+
+
 def regs(spark, sf_dir) -> DataFrame:
-    return _of_type(events(spark, sf_dir), "signup", "reg_ts").withColumnRenamed("day", "reg_day")
+    return as_regs(events(spark, sf_dir))
+
+
+def as_logins(ev: DataFrame) -> DataFrame:
+    return _of_type(ev, "view", "login_ts")
 
 
 def logins(spark, sf_dir) -> DataFrame:
-    return _of_type(events(spark, sf_dir), "view", "login_ts")
+    return as_logins(events(spark, sf_dir))
+
+
+def as_actives(ev: DataFrame) -> DataFrame:
+    return _of_type(ev, "view", "active_ts")
 
 
 def actives(spark, sf_dir) -> DataFrame:
-    return _of_type(events(spark, sf_dir), "view", "active_ts")
+    return as_actives(events(spark, sf_dir))
+
+
+def as_clicks(ev: DataFrame) -> DataFrame:
+    return _of_type(ev, "click", "click_ts").withColumn("type", (F.col("event_id") % 4 + 1).cast("int"))
 
 
 def clicks(spark, sf_dir) -> DataFrame:
-    return _of_type(events(spark, sf_dir), "click", "click_ts").withColumn("type", (F.col("event_id") % 4 + 1).cast("int"))
+    return as_clicks(events(spark, sf_dir))
 
 
 def as_game_orders(ev: DataFrame) -> DataFrame:

@@ -1,7 +1,12 @@
 import datetime as dt
 
+import duckdb
+import pandas as pd
+
 from playlens.operators import attribution
+from playlens.plans import CHECKS, PLANS
 from playlens.plans import attribution as plans
+from playlens.sources import roles
 
 T = lambda d, h: dt.datetime(2024, 1, 1 + d, h)
 SHAPE = "game_id int, os int, device string, ip string, dev_type string, sys_version string, android_id string"
@@ -71,3 +76,31 @@ def test_reward_audit_classes(spark):
     regs = spark.createDataFrame([(1, "m", D(5)), (1, "r", D(5)), (1, "r", D(2))], "game_id int, imei string, reg_day date")
     r = {x.day: x for x in attribution.reward_network_audit(reports, actives, regs).collect()}[D(5)]
     assert (r.reported, r.unique_devices, r.matched, r.unmatched, r.repeat_own, r.repeat_both, r.registered, r.new_registered, r["natural"]) == (5, 4, 1, 1, 2, 1, 2, 1, 2)
+
+
+def events_at(folder, n, kinds):
+    """Own rows: users that come back, other kinds of events."""
+    rows = [{"event_id": i, "ts": dt.datetime(2024, 1, 1) + dt.timedelta(hours=i * 7 % 239, seconds=i), "user_id": i * 11 % 23, "event_type": kinds[i * 13 % 31 % len(kinds)],
+             "value": i / 8, "props": '{"k": %d}' % (i % 37)} for i in range(n)]
+    types = {"event_id": "int64", "user_id": "int64", "value": "float64", "props": "str", "event_type": "str", "ts": "datetime64[us]"}
+    pd.DataFrame(rows, columns=list(types)).astype(types).to_parquet(f"{folder}/events.parquet")
+    return str(folder)
+
+
+def test_merged_table_parses_events_once(spark, tmp_path, monkeypatch):
+    folder, parsed, parse = events_at(tmp_path, 1200, ["view", "click", "signup", "purchase", "error"]), [], roles.as_events
+    monkeypatch.setattr(roles, "as_events", lambda ev: parsed.append(1) or parse(ev))
+    got = PLANS["merged_ad_kpi_full"](spark, folder).toPandas()
+    assert len(parsed) == 1
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW events AS SELECT * FROM '{folder}/events.parquet'")
+    want = con.sql(CHECKS["merged_ad_kpi_full"]).df()
+    rows = lambda df: sorted((tuple(str(v)[:10] if c == "day" else None if pd.isna(v) else v for c, v in r.items()) for r in df[sorted(df.columns)].to_dict("records")), key=repr)
+    assert len(want) > 100 and (want.retained_1 != 0).any() and (want.new_pay_cents != 0).any() and rows(got) == rows(want)
+
+
+def test_merged_table_of_few_kinds(spark, tmp_path):
+    (tmp_path / "none").mkdir()
+    assert PLANS["merged_ad_kpi_full"](spark, events_at(tmp_path / "none", 60, ["error"])).count() == 0
+    got = PLANS["merged_ad_kpi_full"](spark, events_at(tmp_path, 60, ["click"])).selectExpr("sum(requests) AS requests", "sum(actives) AS actives").first()
+    assert got.requests > 0 and got.actives == 0
