@@ -253,6 +253,17 @@ def test_number_tables_and_empty_documents(spark):
     assert decontaminate.judged(odd_docs(spark, []), items).count() == 0 and decontaminate.clean(odd_docs(spark, []), items).count() == 0
 
 
+def test_texts_worked_on_together_are_as_alone():
+    """No window, sentence or name reaches from one text into the next."""
+    texts = ["", TOM, "Tom", "apples. Tom has 5", "kg are many. Anna 12", "kg", ITEM, "", "so Anna. 7 mm\n", ""]
+    views, tokens, owner = decontaminate.templates(texts)
+    alone = [decontaminate.template(t) for t in texts]
+    assert tokens == [x for _, some in alone for x in some] and owner.tolist() == [i for i, (_, some) in enumerate(alone) for _ in some]
+    for v, (symbols, slots) in enumerate(views):
+        assert symbols.tolist() == [x for some, _ in alone for x in some[v][0].tolist()]
+        assert slots.tolist() == [x for some, _ in alone for x in some[v][1].tolist()]
+
+
 LONG = " ".join(f"word{i}" for i in range(120))
 
 
