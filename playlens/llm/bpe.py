@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -30,6 +31,7 @@ from playlens.llm.stages import map_arrow, small_batches, table
 BLOCK_BYTES = 24 << 20  # of text
 BUCKETS = 64  # lists a block's words are dealt to; each holds some thousand words
 MEMO = 150_000  # words a task remembers
+WORDS_AT_ONCE = 1 << 14  # whose ids are made one by one
 MOST_VOCABULARY = 64 << 20  # bytes of a rank file that may be broadcast
 ORDER, WORDS = -1, 0  # kinds of rows: a block's positions (first in sort order), a list of its words
 ROW = "key long, block long, bucket int, ids array<long>, sizes array<int>, body binary, lengths binary"
@@ -39,10 +41,10 @@ class Vocabulary:
     """Ranks of byte strings, as read from a rank file of ``base64 rank`` lines."""
 
     def __init__(self, data: bytes, pattern: str):
-        self.ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in data.splitlines() if line)}
-        self.encoding = tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={})
-        self.token_bytes = [b""] * (max(self.ranks.values(), default=-1) + 1)
-        for token, rank in self.ranks.items():
+        ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in data.splitlines() if line)}
+        self.encoding = tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.token_bytes = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
             self.token_bytes[rank] = token
 
     def encode_word(self, word: str) -> list[int]:
@@ -75,13 +77,20 @@ def _row(key, block, bucket, body, lengths, ids=(), sizes=()) -> pa.RecordBatch:
 
 def _packed(numbers: np.ndarray) -> bytes:
     """Numbers, one byte plane after the other, compressed."""
-    numbers = np.ascontiguousarray(numbers, "<u4")
-    return zstandard.ZstdCompressor(level=3).compress(numbers.view(np.uint8).reshape(-1, 4).T.tobytes())
+    rows = np.ascontiguousarray(numbers, "<u4").view(np.uint8).reshape(-1, 4)
+    zipped = zstandard.ZstdCompressor(level=3).compressobj(size=rows.size)
+    parts = [zipped.compress(rows[a: a + rolling.CHUNK, plane].tobytes()) for plane in range(4) for a in range(0, len(rows), rolling.CHUNK)]
+    return b"".join(parts) + zipped.flush()
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+    rows = np.empty((zstandard.frame_content_size(data) // 4, 4), np.uint8)
+    with zstandard.ZstdDecompressor().stream_reader(data) as planes:
+        for plane in range(4):
+            for a in range(0, len(rows), rolling.CHUNK):
+                part = rows[a: a + rolling.CHUNK, plane]
+                part[:] = np.frombuffer(planes.read(len(part)), np.uint8)
+    return rows.view("<u4").ravel()
 
 
 #: Classes of the pattern that depend on a Unicode version, each with a character that all versions have in it.
@@ -115,7 +124,7 @@ def _cut(batches: Iterator[pa.RecordBatch], pattern: str, unlike: dict[int, str]
     compiled, characters = regex.compile(pattern), frozenset(map(chr, unlike))
     task, number = TaskContext.get().partitionId(), 0
     words: dict[str, int] = {}
-    order: list[np.ndarray] = []
+    order = array("I")
     ids: list = []
     sizes: list[int] = []
     size = 0
@@ -124,22 +133,29 @@ def _cut(batches: Iterator[pa.RecordBatch], pattern: str, unlike: dict[int, str]
         nonlocal number
         block = (task << 32) | number
         number += 1
-        text = [w.encode() for w in words]
+        text = list(words)
+        words.clear()  # the numbers are the places in the list now
         # words stand by bucket; frequent ones first in each, which keeps the packed numbers small
-        bucket = np.fromiter((xxhash.xxh3_64_intdigest(w) % BUCKETS for w in text), np.int64, len(text))
-        places = np.concatenate(order) if order else np.empty(0, np.uint32)
-        count = np.bincount(places, minlength=len(text))
+        bucket = np.fromiter((xxhash.xxh3_64_intdigest(w.encode()) % BUCKETS for w in text), np.int64, len(text))
+        # the positions are most of a block: counted and renumbered in place, some at a time
+        places = np.frombuffer(order, np.uint32)
+        parts = [places[a: a + rolling.CHUNK] for a in range(0, len(places), rolling.CHUNK)]
+        count = np.zeros(len(text), np.int64)
+        for part in parts:
+            count += np.bincount(part, minlength=len(text))
         ranked = np.argsort(-count, kind="stable")
         by_bucket = np.argsort(bucket, kind="stable")
         frequency = np.empty(len(text), np.uint32)
         frequency[ranked] = np.arange(len(text), dtype=np.uint32)
         # numbers in the order row follow frequency; `lengths` of a word row carry both length and number
-        yield _row(block, block, ORDER, _packed(frequency[places]), b"", ids, sizes)
+        for part in parts:
+            part[:] = frequency[part]
+        yield _row(block, block, ORDER, _packed(places), b"", ids, sizes)
         edges = np.searchsorted(bucket[by_bucket], np.arange(BUCKETS + 1))
         for b in range(BUCKETS):
             mine = by_bucket[edges[b]: edges[b + 1]]
             if len(mine):
-                held = [text[i] for i in mine.tolist()]
+                held = [text[i].encode() for i in mine.tolist()]
                 yield _row(
                     b, block, b, zstandard.ZstdCompressor(level=3).compress(b"".join(held)), _packed(np.concatenate([np.fromiter(map(len, held), np.uint32, len(held)), frequency[mine]])))
 
@@ -147,13 +163,13 @@ def _cut(batches: Iterator[pa.RecordBatch], pattern: str, unlike: dict[int, str]
         for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
             text = text.as_py() or ""
             found = pieces(text, compiled, unlike, characters)
-            order.append(np.fromiter((words.setdefault(w, len(words)) for w in found), np.uint32, len(found)))
+            order.extend(words.setdefault(w, len(words)) for w in found)
             ids.append(doc)
             sizes.append(len(found))
             size += len(text)
             if size >= BLOCK_BYTES:
                 yield from flush()
-                words, order, ids, sizes, size = {}, [], [], [], 0
+                words, order, ids, sizes, size = {}, array("I"), [], [], 0
     if ids:
         yield from flush()
 
@@ -171,19 +187,17 @@ def _encode_lists(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Itera
             data = zstandard.ZstdDecompressor().decompress(row.column("body")[0].as_py())
             if len(memo) > MEMO:
                 memo.clear()
-            out: list[int] = []
-            counts: list[int] = []
-            at = 0
+            out, counts, at = array("I"), array("I"), 0
             for n in lengths.tolist():
                 word = data[at: at + n]
                 at += n
                 ids = memo.get(word)
                 if ids is None:
-                    ids = memo[word] = vocabulary.encode_word(word.decode())
+                    ids = memo[word] = array("I", vocabulary.encode_word(word.decode()))
                 out += ids
                 counts.append(len(ids))
             block = row.column("block")[0].as_py()
-            yield _row(block, block, bucket, _packed(np.array(out, np.uint32)), _packed(np.concatenate([np.array(counts, np.uint32), numbers])))
+            yield _row(block, block, bucket, _packed(np.frombuffer(out, np.uint32)), _packed(np.concatenate([np.frombuffer(counts, np.uint32), numbers])))
 
 
 def _assemble(batches: Iterator[pa.RecordBatch], shared: Broadcast, columns: list[str]) -> Iterator[pa.RecordBatch]:
@@ -193,18 +207,29 @@ def _assemble(batches: Iterator[pa.RecordBatch], shared: Broadcast, columns: lis
 
     def flush() -> Iterator[pa.RecordBatch]:
         doc_ids, sizes, places = order[0], order[1], _unpacked(order[2])
-        ids_of: list = [None] * (sum(len(n) for n, _, _ in held))
+        # ids of all words one after the other, by the words' numbers; a word is some ids, so lists of them would be most of the memory
+        count = np.zeros(sum(len(n) for n, _, _ in held), np.int64)
+        for numbers, counts, _ in held:
+            count[numbers] = counts
+        first = np.cumsum(count) - count
+        flat = np.empty(int(count.sum()), np.int32)
         for numbers, counts, ids in held:
-            for number, a, n in zip(numbers.tolist(), (np.cumsum(counts) - counts).tolist(), counts.tolist()):
-                ids_of[number] = ids[a: a + n].tolist()
-        if places.size and (None in ids_of or int(places.max()) >= len(ids_of)):
+            flat[np.arange(len(ids)) + np.repeat(first[numbers] - (np.cumsum(counts, dtype=np.int64) - counts), counts)] = ids
+        if not count.all() or places.size and int(places.max()) >= len(count):
             raise RuntimeError("a block's words came back incomplete")
-        decoded = [b"".join([token_bytes[i] for i in ids]) for ids in ids_of]
-        written = [",".join(map(str, ids)) for ids in ids_of]
-        count = np.fromiter(map(len, ids_of), np.int64, len(ids_of))
+
+        def of_words(made: Callable[[list[int]], object]) -> list:
+            out = []
+            for a in range(0, len(count), WORDS_AT_ONCE):
+                n = count[a: a + WORDS_AT_ONCE]
+                ids = flat[first[a]: first[a] + n.sum()].tolist()
+                ends = np.cumsum(n)
+                out += [made(ids[b:e]) for b, e in zip((ends - n).tolist(), ends.tolist())]
+            return out
+
+        decoded = of_words(lambda ids: b"".join([token_bytes[i] for i in ids])) if {"decoded", "decoded_sha256"} & set(columns) else []
+        written = of_words(lambda ids: ",".join(map(str, ids))) if "ids_sha256" in columns else []
         ends = np.cumsum(sizes)
-        flat = np.fromiter((i for ids in ids_of for i in ids), np.int32, int(count.sum())) if "ids" in columns else None
-        first = np.cumsum(count) - count
         for a, b in rolling.groups_of_rows(np.array(sizes), rolling.CHUNK // 4):
             spans = [places[e - n: e].tolist() for e, n in zip(ends[a:b].tolist(), sizes[a:b])]
             out = {"doc_id": pa.array(doc_ids[a:b], pa.int64()), "n_tokens": pa.array([int(count[s].sum()) for s in spans], pa.int64())}

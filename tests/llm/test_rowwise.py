@@ -3,13 +3,16 @@
 import base64
 import hashlib
 import re
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
-from playlens.llm import bpe, decontaminate, html, langid, quality, urls
+from playlens.llm import bpe, decontaminate, html, langid, quality, rolling, stages, urls
 from tests.llm.common import odd_docs, passages
 
 PATH, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -34,6 +37,45 @@ def test_bpe_as_the_library(spark, monkeypatch):
     assert bpe.encoded(odd_docs(spark, []), PATH, PATTERN).count() == 0
 
 
+def test_bpe_holds_a_block_in_few_bytes_per_word(monkeypatch):
+    """Positions take four bytes a word and are worked on in place; ids of distinct words are no lists."""
+    monkeypatch.setattr(bpe.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    with open(PATH, "rb") as f:
+        shared = SimpleNamespace(value=(f.read(), PATTERN))
+    bpe._vocabulary(shared)
+    columns = ["doc_id", "n_tokens", "ids", "decoded_sha256"]
+
+    def peak(rows):
+        tracemalloc.reset_peak()
+        before, out = tracemalloc.get_traced_memory()[0], list(rows)
+        return (tracemalloc.get_traced_memory()[1] - before) / 1e6, out
+
+    def blocks(texts):
+        batches = (pa.RecordBatch.from_pydict({"doc_id": [i], "text": [t]}) for i, t in enumerate(texts))
+        tracemalloc.start()
+        try:
+            cut, rows = peak(bpe._cut(batches, PATTERN, {}))
+            rows = sorted(bpe._encode_lists(iter(rows), shared), key=lambda r: (r.column("block")[0].as_py(), r.column("bucket")[0].as_py()))
+            assembled, out = peak(bpe._assemble(iter(rows), shared, columns))
+        finally:
+            tracemalloc.stop()
+        assert [hashlib.sha256(t.encode()).hexdigest() for t in texts] == [x for b in out for x in b.column("decoded_sha256").to_pylist()]
+        return cut, assembled
+
+    cut, _ = blocks([" a b c d" * 5_000] * 75)  # 1.5 million words, four of them distinct
+    assert cut < 15  # megabytes
+    _, assembled = blocks([" ".join(f"{chr(0x4e00 + i)}{chr(0x5e00 + j)}" for i in range(k, k + 10) for j in range(1_000)) for k in range(0, 100, 10)])
+    assert assembled < 28  # 100,000 words, all distinct
+
+
+def test_workers_forget_words_after_a_task():
+    rolling.word_symbols(*rolling.text_bytes(pa.array(["some words"])))
+    decontaminate.templates(["some words"])
+    assert rolling._word_hashes and decontaminate._codes
+    stages.release_memory()
+    assert not rolling._word_hashes and not decontaminate._codes
+
+
 def test_bpe_words_of_all_characters_are_those_of_the_library():
     """Every code point alone, between letters, digits, blanks and others: the pieces are the library's."""
     import regex
